@@ -32,11 +32,17 @@ def build_rls(hier: DataFrame, marker: str = TXN_MARKER) -> DataFrame:
     F3 -> X3 -> X1 -> W1 -> F5 -> X2, as one select chain.
     """
     src = hier.filter(F.col("txn_type").contains(marker) & F.col("sh_2_email").isNotNull())
-    emails = non_empty([F.col(f"sh_{k}_email") for k in LEVELS])
+    raw = [F.col(f"sh_{k}_email") for k in LEVELS]
+    present = [e.isNotNull() & (e != F.lit("")) for e in raw]
+    # Ids are computed column by column (inside whole-stage codegen); only the
+    # cheap list filters run as higher-order functions.
+    ids = [F.when(p, email_path_id(e)) for e, p in zip(raw, present)]
+    emails = non_empty(raw)
     staged = src.select(
         "*",
         emails.alias("_emails"),
-    ).withColumn("_path", drop_adjacent_repeats(F.transform(F.col("_emails"), email_path_id)))
+        F.filter(F.array(*ids), lambda x: x.isNotNull()).alias("_ids"),
+    ).withColumn("_path", drop_adjacent_repeats(F.col("_ids")))
     return staged.filter(F.size("_path") >= MIN_PATH_LEN).select(
         F.col("cluster_code").alias("cluster"),
         F.col("division_code").alias("division"),

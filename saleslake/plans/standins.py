@@ -92,3 +92,73 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     e4 = h.selectExpr("sh_4_email AS email")
     e5 = h.selectExpr("sh_5_email AS email")
     return e4.unionByName(e5).where("email IS NOT NULL").distinct()
+
+
+# --- dirty all-string invoice lines: lineitem as an incoming CSV --------------
+# Headers are the incoming (lower-case, no underscore) names of FACT_LINES.
+
+_YMD = "CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS INTEGER)"
+
+RAW_LINES_EXPRS: list[tuple[str, str]] = [
+    ("invoicekey", "CAST(l_orderkey * 10 + l_linenumber AS STRING)"),
+    ("invoicedate", f"CASE WHEN l_orderkey % 53 = 0 THEN NULL ELSE CAST({_YMD} AS STRING) END"),
+    ("salesgroupcode",
+     "CASE WHEN l_orderkey % 31 = 0 THEN ' ' || CAST(l_suppkey % 1000 AS STRING) || ' ' "
+     "ELSE CAST(l_suppkey % 1000 AS STRING) END"),
+    ("recordtype",
+     "CASE WHEN l_orderkey % 13 = 0 THEN NULL WHEN l_orderkey % 101 = 0 THEN 'DDX' "
+     "WHEN l_returnflag = 'R' THEN 'DD' ELSE l_returnflag || l_linestatus END"),
+    ("quantity",
+     "CASE l_orderkey % 97 WHEN 0 THEN '12.5' WHEN 1 THEN 'abc' WHEN 2 THEN '+7' WHEN 3 THEN '' "
+     "WHEN 4 THEN '1e3' WHEN 5 THEN ' 12 ' WHEN 6 THEN '99999999999' "
+     "ELSE CAST(CAST(l_quantity AS BIGINT) AS STRING) END"),
+    ("value", "CASE WHEN l_orderkey % 89 = 0 THEN 'x1' ELSE CAST(l_extendedprice AS STRING) END"),
+    ("discount", "CAST(l_discount AS STRING)"),
+    ("shipdate", "CASE WHEN l_orderkey % 83 = 0 THEN 'soon' ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END"),
+    ("linenumber", "CAST(l_linenumber AS STRING)"),
+    ("linestatus", "l_linestatus"),
+    ("bigqty", "CAST(CAST(l_quantity AS BIGINT) * 100000000 AS STRING)"),
+    ("Desc", "l_returnflag"),
+]
+
+RAW_LINES_SQL = "SELECT\n  " + _select_sql([(f'"{n}"', e) for n, e in RAW_LINES_EXPRS]) + "\nFROM lineitem"
+
+
+def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read(spark, sf_dir, "lineitem")
+    return li.selectExpr(*[f"{e} AS `{n}`" for n, e in RAW_LINES_EXPRS])
+
+
+# --- integer ranges: lineitem keys against narrow declared types --------------
+
+LINE_INTS_EXPRS: list[tuple[str, str]] = [
+    ("l_orderkey", "l_orderkey"),
+    ("l_partkey", "l_partkey"),
+    ("l_suppkey", "l_suppkey"),
+    ("l_linenumber", "l_linenumber"),
+    ("v_int", "l_orderkey * 100000"),
+    ("v_big", "CAST(l_orderkey AS DECIMAL(38,0)) * CAST(1000000000000000 AS DECIMAL(38,0))"),
+    ("v_neg", "l_linenumber - 130"),
+]
+LINE_INTS_SQL = "SELECT\n  " + _select_sql(LINE_INTS_EXPRS) + "\nFROM lineitem"
+
+
+def line_ints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in LINE_INTS_EXPRS])
+
+
+# --- events with a day-truncated copy of the timestamp -------------------------
+
+EVENTS_EXPRS: list[tuple[str, str]] = [
+    ("event_id", "event_id"),
+    ("ts", "ts"),
+    ("day_ts", "date_trunc('day', ts)"),
+    ("user_id", "user_id"),
+    ("event_type", "event_type"),
+    ("value", "value"),
+]
+EVENTS_SQL = "SELECT\n  " + _select_sql(EVENTS_EXPRS) + "\nFROM events"
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "events").selectExpr(*[f"{e} AS {n}" for n, e in EVENTS_EXPRS])
