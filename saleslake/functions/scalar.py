@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 # --- fixed values -------------------------------------------------------------
 # Whitespace removed by a Python-style strip(): ASCII whitespace, the
 # information separators 0x1C-0x1F, NEL and every Unicode separator.
-WS_CLASS = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
-STRIP_PATTERN = rf"^{WS_CLASS}+|{WS_CLASS}+$"
+WS_CHARS = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 # E-mail -> path id replacements, applied in this order after strip + lower.
 EMAIL_REPLACEMENTS = (("@", "_at_"), (".", "_dot_"), ("-", "_"), (" ", "_"))
 # Anything that is not a letter, a digit or "_" is dropped from a path id.
@@ -18,8 +21,8 @@ NOT_ID_CHAR = r"[^\p{L}\p{N}_]"
 
 
 def strip(c: Column) -> Column:
-    """Remove leading and trailing whitespace (Unicode-aware)."""
-    return F.regexp_replace(c, STRIP_PATTERN, "")
+    """Remove leading and trailing whitespace (Unicode-aware, no regex)."""
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def blank_to_null(c: Column) -> Column:

@@ -64,42 +64,56 @@ def _plan(df: DataFrame, spec: TableSpec):
 
 
 def profile(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """A2-A8 in one aggregation; one row per declared column present in ``df``."""
+    """A2-A8 in one aggregation; one row per declared column present in ``df``.
+
+    A projection first computes each conversion once per row (``_v{i}``,
+    ``_ok{i}_{k}``, ``_len{i}``); the aggregate then only counts, mins and
+    maxes plain columns, so no expression is evaluated twice.
+    """
     plan = _plan(df, spec)
+    pre = []
     aggs = [F.count(F.lit(1)).alias("n")]
     structs = []
     for i, (c, actual, d, kind) in enumerate(plan):
         raw = F.col(f"`{actual}`")
         t = c.family
-        aggs.append(F.count_if(raw.isNull()).alias(f"z{i}"))
+        pre.append(raw.isNull().alias(f"_null{i}"))
+        aggs.append(F.count_if(F.col(f"_null{i}")).alias(f"z{i}"))
         fail = F.lit(0).cast("long")
         fmt = F.lit(None).cast("string")
         mn = mx = F.lit(None).cast(_DEC)
         max_len = F.lit(None).cast("int")
         has_time = F.lit(None).cast("boolean")
+        v = F.col(f"_v{i}")
         if kind == "int":
-            conv = to_int(raw, large=(t == "LARGEINT"))
-            aggs += [failed(raw, conv).alias(f"f{i}"), F.min(conv).cast(_DEC).alias(f"mn{i}"),
-                     F.max(conv).cast(_DEC).alias(f"mx{i}")]
+            pre.append(to_int(raw, large=(t == "LARGEINT")).alias(f"_v{i}"))
+            aggs += [F.count_if(~F.col(f"_null{i}") & v.isNull()).alias(f"f{i}"),
+                     F.min(v).cast(_DEC).alias(f"mn{i}"), F.max(v).cast(_DEC).alias(f"mx{i}")]
             fail, mn, mx = F.col(f"f{i}"), F.col(f"mn{i}"), F.col(f"mx{i}")
         elif kind == "double":
-            aggs.append(failed(raw, to_double(raw)).alias(f"f{i}"))
+            pre.append(to_double(raw).alias(f"_v{i}"))
+            aggs.append(F.count_if(~F.col(f"_null{i}") & v.isNull()).alias(f"f{i}"))
             fail = F.col(f"f{i}")
         elif kind == "date":
             with_time = t == "DATETIME"
-            aggs += [failed(raw, to_date(raw, p, with_time)).alias(f"f{i}_{k}") for k, (_, p) in enumerate(DATE_FORMATS)]
+            for k, (_, p) in enumerate(DATE_FORMATS):
+                pre.append(to_date(raw, p, with_time).isNull().alias(f"_bad{i}_{k}"))
+                aggs.append(F.count_if(~F.col(f"_null{i}") & F.col(f"_bad{i}_{k}")).alias(f"f{i}_{k}"))
             fails = [F.col(f"f{i}_{k}") for k in range(len(DATE_FORMATS))]
             choice = date_format_choice(fails, F.col("n"))
             fmt = F.element_at(F.array(*[F.lit(lbl) for lbl, _ in DATE_FORMATS]), choice + 1)
             fail = F.coalesce(F.element_at(F.array(*fails), choice + 1), F.col("n") - F.col(f"z{i}"))
         elif t in INT_FAMILIES and d in INT_FAMILIES + ("DECIMAL",):
-            aggs += [F.min(raw).cast(_DEC).alias(f"mn{i}"), F.max(raw).cast(_DEC).alias(f"mx{i}")]
+            pre.append(raw.alias(f"_v{i}"))
+            aggs += [F.min(v).cast(_DEC).alias(f"mn{i}"), F.max(v).cast(_DEC).alias(f"mx{i}")]
             mn, mx = F.col(f"mn{i}"), F.col(f"mx{i}")
         if t == "VARCHAR":
-            aggs.append(F.max(F.length(raw.cast("string"))).alias(f"ml{i}"))
+            pre.append(F.length(raw.cast("string")).alias(f"_len{i}"))
+            aggs.append(F.max(F.col(f"_len{i}")).alias(f"ml{i}"))
             max_len = F.col(f"ml{i}")
         if t == "DATE" and d == "DATETIME":
-            aggs.append(F.bool_or(raw != F.date_trunc("day", raw)).alias(f"ht{i}"))
+            pre.append((raw != F.date_trunc("day", raw)).alias(f"_time{i}"))
+            aggs.append(F.bool_or(F.col(f"_time{i}")).alias(f"ht{i}"))
             has_time = F.coalesce(F.col(f"ht{i}"), F.lit(False))
         if t in INT_FAMILIES:
             num_ovf = F.coalesce(~_fits(mn, mx, t), F.lit(False))
@@ -119,7 +133,7 @@ def profile(df: DataFrame, spec: TableSpec) -> DataFrame:
             mn.cast("string").alias("min_val"), mx.cast("string").alias("max_val"),
             num_ovf.alias("numeric_overflow"), has_time.alias("has_time"), upgrade.alias("type_upgrade"),
         ))
-    one = df.agg(*aggs)
+    one = df.select(*pre).agg(*aggs)
     stacked = one.select("n", F.inline(F.array(*structs)))
     a, b = VARCHAR_WIDEN_FACTOR
     rec_raw = F.floor(F.col("max_len") * a / b).cast("int")

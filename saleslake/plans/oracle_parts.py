@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from saleslake.functions.scalar import STRIP_PATTERN
+from saleslake.functions.scalar import WS_CHARS
+
+_WS_SQL = WS_CHARS.replace("'", "''")
 
 
 def d_strip(x: str) -> str:
-    return f"regexp_replace({x}, '{STRIP_PATTERN}', '', 'g')"
+    return f"trim({x}, '{_WS_SQL}')"
 
 
 def d_email_id(x: str) -> str:

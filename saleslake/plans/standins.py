@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from saleslake.sources.files import spread
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -19,7 +21,13 @@ TABLES = (
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; large ones are spread to one task per core (see ``spread``)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in SPREAD_TABLES else df
+
+
+# Tables big enough that a single scan task would be the bottleneck.
+SPREAD_TABLES = {"lineitem", "orders", "documents", "events", "pages", "conversations"}
 
 
 def _select_sql(exprs: list[tuple[str, str]]) -> str:
