@@ -111,8 +111,8 @@ RAW_LINES_EXPRS: list[tuple[str, str]] = [
     ("invoicekey", "CAST(l_orderkey * 10 + l_linenumber AS STRING)"),
     ("invoicedate", f"CASE WHEN l_orderkey % 53 = 0 THEN NULL ELSE CAST({_YMD} AS STRING) END"),
     ("salesgroupcode",
-     "CASE WHEN l_orderkey % 31 = 0 THEN ' ' || CAST(l_suppkey % 1000 AS STRING) || ' ' "
-     "ELSE CAST(l_suppkey % 1000 AS STRING) END"),
+     "CASE WHEN l_orderkey % 31 = 0 THEN ' ' || CAST(l_suppkey % 100 AS STRING) || ' ' "
+     "ELSE CAST(l_suppkey % 100 AS STRING) END"),
     ("recordtype",
      "CASE WHEN l_orderkey % 13 = 0 THEN NULL WHEN l_orderkey % 101 = 0 THEN 'DDX' "
      "WHEN l_returnflag = 'R' THEN 'DD' ELSE l_returnflag || l_linestatus END"),
@@ -120,7 +120,9 @@ RAW_LINES_EXPRS: list[tuple[str, str]] = [
      "CASE l_orderkey % 97 WHEN 0 THEN '12.5' WHEN 1 THEN 'abc' WHEN 2 THEN '+7' WHEN 3 THEN '' "
      "WHEN 4 THEN '1e3' WHEN 5 THEN ' 12 ' WHEN 6 THEN '99999999999' "
      "ELSE CAST(CAST(l_quantity AS BIGINT) AS STRING) END"),
-    ("value", "CASE WHEN l_orderkey % 89 = 0 THEN 'x1' ELSE CAST(l_extendedprice AS STRING) END"),
+    ("value",
+     "CASE WHEN l_orderkey % 89 = 0 THEN 'x1' WHEN l_suppkey % 10 = 7 AND l_orderkey % 4 = 1 THEN 'n/a' "
+     "ELSE CAST(l_extendedprice AS STRING) END"),
     ("discount", "CAST(l_discount AS STRING)"),
     ("shipdate", "CASE WHEN l_orderkey % 83 = 0 THEN 'soon' ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END"),
     ("linenumber", "CAST(l_linenumber AS STRING)"),
@@ -170,3 +172,33 @@ EVENTS_SQL = "SELECT\n  " + _select_sql(EVENTS_EXPRS) + "\nFROM events"
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").selectExpr(*[f"{e} AS {n}" for n, e in EVENTS_EXPRS])
+
+
+# --- typed facts: lineitem as fact_invoice_secondary / fact_invoice_details ----
+
+_SHIP_YMD = "CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS INTEGER)"
+CUTOFF_YMD = 19960101   # rows shipped before it form the existing table; the rest are "new files"
+
+
+def fact_exprs(group_expr: str) -> list[tuple[str, str]]:
+    return [
+        ("invoice_key", "l_orderkey * 10 + l_linenumber"),
+        ("sales_group_code", f"CAST({group_expr} AS SMALLINT)"),
+        ("record_type",
+         "CASE WHEN l_orderkey % 13 = 0 THEN NULL WHEN l_returnflag = 'R' THEN 'DD' "
+         "ELSE l_returnflag || l_linestatus END"),
+        ("value", "l_extendedprice"),
+        ("ship_ymd", _SHIP_YMD),
+    ]
+
+
+SECONDARY_GROUP = "l_suppkey % 100"
+DETAILS_GROUP = "100 * (1 + l_suppkey % 9) + l_suppkey % 13"
+
+
+def fact_sql(group_expr: str) -> str:
+    return "SELECT\n  " + _select_sql(fact_exprs(group_expr)) + "\nFROM lineitem"
+
+
+def facts(spark: SparkSession, sf_dir: str, group_expr: str = SECONDARY_GROUP) -> DataFrame:
+    return read(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in fact_exprs(group_expr)])
