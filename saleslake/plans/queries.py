@@ -5,4 +5,5 @@ from __future__ import annotations
 from saleslake.plans import q_rls  # noqa: F401
 from saleslake.plans import q_clean  # noqa: F401
 from saleslake.plans import q_load  # noqa: F401
+from saleslake.plans import q_misc  # noqa: F401
 from saleslake.plans.registry import ORACLE, QUERIES  # noqa: F401

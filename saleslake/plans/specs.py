@@ -36,3 +36,14 @@ EVENTS = TableSpec(
     "events",
     parse_columns("event_id:BIGINT, ts:DATE, day_ts:DATE, user_id:INT, event_type:VARCHAR(20), value:FLOAT"),
 )
+
+# Customer master stand-in: incoming headers exercise every rename rule.
+DIM_CUSTOMER = TableSpec(
+    "dim_customer",
+    parse_columns(
+        'customer_code:BIGINT, customer_name:VARCHAR(150), nation_code:INT<-"nation code", '
+        'account_balance:DOUBLE<-"acct bal", market_segment:VARCHAR(20), customer_group:VARCHAR(5), '
+        'cm_customer_group:VARCHAR(120)<-"customer group", div_col_rf:VARCHAR(105)<-"div", phone:VARCHAR(20)'
+    ),
+    keys=("customer_code",),
+)

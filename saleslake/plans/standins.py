@@ -202,3 +202,63 @@ def fact_sql(group_expr: str) -> str:
 
 def facts(spark: SparkSession, sf_dir: str, group_expr: str = SECONDARY_GROUP) -> DataFrame:
     return read(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {n}" for n, e in fact_exprs(group_expr)])
+
+
+# --- customer master as an incoming file with drifted headers -------------------
+
+RAW_CUSTOMER_EXPRS: list[tuple[str, str]] = [
+    ("Customer Name", "c_name"),
+    ("customercode", "c_custkey"),
+    ("nation code", "c_nationkey"),
+    ("acct bal", "c_acctbal"),
+    ("MarketSegment", "c_mktsegment"),
+    ("customer group", "'CG-' || CAST(c_custkey % 7 AS STRING)"),
+    ("customergroup", "CAST(c_custkey % 5 AS STRING)"),
+    ("Div", "CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 'D' || CAST(c_nationkey AS STRING) END"),
+    ("Select", "c_mktsegment || '/' || CAST(c_nationkey AS STRING)"),
+]
+RAW_CUSTOMER_SQL = "SELECT\n  " + _select_sql([(f'"{n}"', e) for n, e in RAW_CUSTOMER_EXPRS]) + "\nFROM customer"
+
+
+def raw_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "customer").selectExpr(*[f"{e} AS `{n}`" for n, e in RAW_CUSTOMER_EXPRS])
+
+
+# --- sales-group seed file: nation x region -------------------------------------
+
+SEED_EXPRS: list[tuple[str, str]] = [
+    ("SalesGroup", "CAST(100 + n_nationkey AS STRING)"),
+    ("Division", "r_name"),
+    ("Vertical",
+     "CASE WHEN n_nationkey % 6 = 1 THEN 'FV – ' || n_name "
+     "WHEN n_nationkey % 6 = 2 THEN n_name || chr(39) || 's line' ELSE n_name END"),
+    ("Remarks",
+     "CASE WHEN n_nationkey % 4 = 0 THEN '' WHEN n_nationkey % 4 = 1 THEN '   ' ELSE 'ok ' || n_name END"),
+]
+SEED_SQL = ("SELECT\n  " + _select_sql(SEED_EXPRS)
+            + "\nFROM nation JOIN region ON n_regionkey = r_regionkey")
+
+
+def seed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = read(spark, sf_dir, "nation")
+    r = read(spark, sf_dir, "region")
+    return n.join(r, n.n_regionkey == r.r_regionkey).selectExpr(*[f"{e} AS {k}" for k, e in SEED_EXPRS])
+
+
+# --- file names as data: one incoming file per order -----------------------------
+
+FILE_NAME_EXPR = (
+    "CASE o_orderkey % 7 "
+    "WHEN 0 THEN 'FactInvoiceSecondary_' || CAST(o_custkey % 100 AS STRING) || '_' || CAST(o_orderkey % 9 AS STRING) || '_2024.csv.gz' "
+    "WHEN 1 THEN 'FactInvoiceDetails_107_112_' || CAST(o_orderkey AS STRING) || '.csv' "
+    "WHEN 2 THEN 'FactInvoiceDetails_' || CAST(o_custkey % 100 AS STRING) || '.csv' "
+    "WHEN 3 THEN 'DimMaterialMapping_' || CAST(o_orderkey AS STRING) || '.csv' "
+    "WHEN 4 THEN 'DimMaterial_' || CAST(o_orderkey AS STRING) || '.csv' "
+    "WHEN 5 THEN 'dimdealer_' || CAST(o_orderkey AS STRING) || '.csv' "
+    "ELSE 'SalesTargetPlan_' || o_orderpriority || '.csv' END"
+)
+FILE_NAMES_SQL = f"SELECT o_orderkey, {FILE_NAME_EXPR} AS name FROM orders"
+
+
+def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{FILE_NAME_EXPR} AS name")
