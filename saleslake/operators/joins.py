@@ -1,0 +1,20 @@
+"""Join helpers: size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension is broadcast only when it has at most this many rows; beyond it
+# the join stays a shuffle join (AQE may still convert it from measured sizes).
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only after proving the size bound.
+
+    ``limit(max_rows + 1).count()`` stops reading as soon as the bound is
+    exceeded, so the check costs at most ``max_rows`` rows of scan.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
