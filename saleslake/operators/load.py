@@ -76,7 +76,8 @@ def write_delimited(df: DataFrame, path: str, sep: str = "\u0001", header: bool
     """K3: delimited export (SOH by default), no header, table column order."""
     if spec is not None:
         df = df.select(*[c for c in spec.names if c in df.columns])
-    df.write.mode("overwrite").option("sep", sep).option("header", header).option("nullValue", "").csv(path)
+    (df.write.mode("overwrite").option("sep", sep).option("header", header).option("nullValue", "")
+       .option("escape", '"').csv(path))
 
 
 # --- versioned snapshots (K5, K11, K13) -------------------------------------------

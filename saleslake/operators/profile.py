@@ -187,11 +187,11 @@ def clean_table(df: DataFrame, spec: TableSpec, policy: str = "raise") -> tuple[
     errors = []
     for r in rows:
         if r["over_limit"]:
-            errors.append(f"{r['column']}: {r['failed']} of {r['n']} values failed conversion")
+            errors.append(f"{r['column_name']}: {r['failed']} of {r['n']} values failed conversion")
         if r["data_type"] == "VARCHAR" and spec.column(r["column_name"]).family in ("DATE", "DATETIME") and r["date_format"] is None:
-            errors.append(f"{r['column']}: no date format fits")
+            errors.append(f"{r['column_name']}: no date format fits")
         if r["numeric_overflow"] and policy != "widen":
-            errors.append(f"{r['column']}: values [{r['min_val']}, {r['max_val']}] overflow {r['declared']}")
+            errors.append(f"{r['column_name']}: values [{r['min_val']}, {r['max_val']}] overflow {r['declared']}")
     if errors and policy in ("raise", "widen"):
         raise ConversionError("; ".join(errors))
     cols = []
