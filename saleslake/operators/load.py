@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -260,6 +261,11 @@ class LoadResult:
     status: DataFrame       # one row per load unit
     loaded: DataFrame       # rows that were written
     rejected: DataFrame     # rows that were filtered
+    _shared: DataFrame | None = None
+
+    def release(self) -> None:
+        if self._shared is not None:
+            self._shared.unpersist()
 
 
 def tolerant_load(raw: DataFrame, spec: TableSpec, unit_col: str, max_ratio=MAX_FILTER_RATIO) -> LoadResult:
@@ -270,7 +276,10 @@ def tolerant_load(raw: DataFrame, spec: TableSpec, unit_col: str, max_ratio=MAX_
     rows of units that passed (a semi join with the passing units, whose
     number is the number of files, small and measured by AQE at run time).
     """
-    typed = typed_with_errors(raw, spec)
+    # Three consumers (unit counts, loaded rows, rejected rows) share one
+    # conversion pass: persist it (memory, spilling to disk; lost blocks are
+    # recomputed from lineage).  Call ``LoadResult.release()`` when done.
+    typed = typed_with_errors(raw, spec).persist(StorageLevel.MEMORY_AND_DISK)
     a, b = max_ratio
     status = typed.groupBy(unit_col).agg(
         F.count(F.lit(1)).alias("total"),
@@ -287,7 +296,7 @@ def tolerant_load(raw: DataFrame, spec: TableSpec, unit_col: str, max_ratio=MAX_
     passing = status.where(F.col("status") == "Success").select(unit_col)
     loaded = typed.where(~F.col("_bad")).join(passing, unit_col, "left_semi").drop("_bad")
     rejected = typed.where(F.col("_bad")).drop("_bad")
-    return LoadResult(status, loaded, rejected)
+    return LoadResult(status, loaded, rejected, typed)
 
 
 def summarize(status: DataFrame) -> DataFrame:

@@ -217,9 +217,11 @@ def _tolerance(spark, sf):
     raw = S.raw_lines(spark, sf)
     res = L.tolerant_load(raw, _LOAD_SPEC, "sales_group_code")
     root = scratch_path(spark, "tolerant")
-    status = res.status.cache()
+    status = res.status.persist()
+    status.count()
     L.write_parquet(res.loaded, root, partition_by=("sales_group_code",))
     L.write_parquet(res.rejected, root + "_rejects")
+    res.release()
     return status, root
 
 
