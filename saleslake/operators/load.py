@@ -229,8 +229,12 @@ def _group_lits(spark: SparkSession, root: str, group_col: str, groups: list[str
 # --- K4: tolerant load -------------------------------------------------------------
 
 
-def typed_with_errors(raw: DataFrame, spec: TableSpec) -> DataFrame:
-    """Convert every declared column; add ``_bad`` = any conversion failed."""
+def typed_with_errors(raw: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Convert every declared column; add ``_bad`` = any conversion failed.
+
+    ``keep`` names extra columns carried through unchanged (e.g. the load unit).
+    """
+    carried = [F.col(f"`{k}`") for k in keep if k not in spec.names]
     raw = rename_to_spec(raw, spec)
     cols, bad = [], []
     for c, actual, d, kind in _plan(raw, spec):
@@ -253,7 +257,7 @@ def typed_with_errors(raw: DataFrame, spec: TableSpec) -> DataFrame:
     flag = F.lit(False)
     for b in bad:
         flag = flag | b
-    return raw.select(*cols, flag.alias("_bad"))
+    return raw.select(*cols, *carried, flag.alias("_bad"))
 
 
 @dataclass
@@ -279,7 +283,7 @@ def tolerant_load(raw: DataFrame, spec: TableSpec, unit_col: str, max_ratio=MAX_
     # Three consumers (unit counts, loaded rows, rejected rows) share one
     # conversion pass: persist it (memory, spilling to disk; lost blocks are
     # recomputed from lineage).  Call ``LoadResult.release()`` when done.
-    typed = typed_with_errors(raw, spec).persist(StorageLevel.MEMORY_AND_DISK)
+    typed = typed_with_errors(raw, spec, keep=(unit_col,)).persist(StorageLevel.MEMORY_AND_DISK)
     a, b = max_ratio
     status = typed.groupBy(unit_col).agg(
         F.count(F.lit(1)).alias("total"),

@@ -151,3 +151,9 @@ def check_types(df: DataFrame, spec: TableSpec) -> None:
     bad = type_mismatches(df, spec)
     if bad:
         raise TypeError("type mismatch: " + ", ".join(f"{c} ({d} vs {t})" for c, d, t in bad))
+
+
+def check_mapping(mapping: dict[str, str], spec: TableSpec) -> list[str]:
+    """Mapped target columns that the table does not have (empty = valid)."""
+    names = {n.lower() for n in spec.names}
+    return sorted({t for t in mapping.values() if t.lower() not in names})

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from saleslake.functions.arrays import drop_adjacent_repeats, join_path, non_empty
 from saleslake.functions.scalar import email_path_id
+from saleslake.operators.joins import broadcast_if_small
 
 # --- fixed values -------------------------------------------------------------
 TXN_MARKER = "Sales Hierarchy"          # txn_type must contain this text
@@ -102,12 +103,13 @@ def user_groups(rls: DataFrame, users: DataFrame, email_col: str = "email") -> D
     return u.join(m, "member_id", "inner").select("email", "sales_group").distinct()
 
 
-def secured_fact(fact: DataFrame, allowed: DataFrame, group_col: str = "sales_group_code") -> DataFrame:
+def secured_fact(fact: DataFrame, allowed: DataFrame, group_col: str = "sales_group_code",
+                 max_grant_rows: int = 1_000_000) -> DataFrame:
     """Fact rows joined to the ``(email, sales_group)`` grants of the users.
 
-    The grants frame is small (users x groups); AQE turns the join into a
-    broadcast at run time when its measured size allows, else it stays a
-    shuffle join with skew splitting.
+    The grants (users x groups) are broadcast only after a row-count check;
+    beyond the bound the join stays a shuffle join, where AQE splits the
+    partitions of a hot sales group (skew join).
     """
     g = allowed.select("email", F.col("sales_group").alias(group_col))
-    return fact.join(g, group_col, "inner")
+    return fact.join(broadcast_if_small(g, max_grant_rows), group_col, "inner")

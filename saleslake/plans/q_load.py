@@ -241,3 +241,58 @@ FROM s GROUP BY status""",
 def q_load_summary(spark, sf):
     status, _ = _tolerance(spark, sf)
     return L.summarize(status)
+
+
+# --- A16 per-file isolation over real CSV files, A10-A12 file inventory -----------
+
+_FILE_UNIT = "linestatus"
+
+
+def _landed_lines(spark, sf):
+    """The dirty lines written as CSV files, one folder per line status."""
+    root = scratch_path(spark, "landing_lines")
+    (S.raw_lines(spark, sf).write.partitionBy(_FILE_UNIT).option("header", True).option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(root))
+    return root
+
+
+def _d_file_status() -> str:
+    # In a CSV file an empty cell is NULL (as the reference's reader has it).
+    blanked = "SELECT " + ", ".join(f"NULLIF(\"{n}\", '') AS \"{n}\"" for n, _ in S.RAW_LINES_EXPRS) + f" FROM ({S.RAW_LINES_SQL})"
+    sql = _d_tolerance_status().replace(f"r AS ({S.RAW_LINES_SQL})", f"r AS ({blanked})", 1)
+    sql = sql.replace("TRY_CAST(" + d_to_int("salesgroupcode") + " AS SMALLINT) AS sales_group_code", "linestatus AS source_unit")
+    sql = sql.replace("SELECT sales_group_code, count(*) AS total", "SELECT source_unit, count(*) AS total")
+    return sql.replace("SELECT sales_group_code, total,", "SELECT source_unit, total,")
+
+
+@query("load_file_status", _d_file_status())
+def q_load_file_status(spark, sf):
+    """A16 + K4: every landed file group is validated on its own; one bad file does not stop the others."""
+    root = _landed_lines(spark, sf)
+    raw = SRC.read_csv_all_string(spark, root, with_source=True)
+    raw = raw.withColumn("source_unit", F.regexp_extract("source_file", f"{_FILE_UNIT}=([^/]+)/", 1))
+    res = L.tolerant_load(raw.drop("source_file", "source_stem", "dataset", _FILE_UNIT), _LOAD_SPEC, "source_unit")
+    status = res.status.persist()
+    status.count()
+    res.release()
+    return status
+
+
+@query("inventory_files")
+def q_inventory_files(spark, sf):
+    """Landed files with human sizes, plus the gzip reduction (rows-only check)."""
+    from saleslake.functions.scalar import human_bytes
+
+    root = scratch_path(spark, "landing_sizes")
+    part = S.read(spark, sf, "part")
+    part.write.option("header", True).csv(f"{root}/plain")
+    part.write.option("header", True).option("compression", "gzip").csv(f"{root}/gz")
+    plain = SRC.file_listing(spark, f"{root}/plain", glob="*.csv")
+    packed = SRC.file_listing(spark, f"{root}/gz", glob="*.csv.gz")
+    ratio = SRC.compression_ratio(plain, packed).first()
+    summary = SRC.transfer_summary(plain.unionByName(packed)).first()
+    return plain.unionByName(packed).select(
+        "name", "length", human_bytes(F.col("length")).alias("size_text"),
+        F.lit(ratio["reduction_pct"]).alias("gzip_reduction_pct"),
+        F.lit(summary["total_bytes"]).alias("total_bytes"),
+    )

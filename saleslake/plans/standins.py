@@ -135,11 +135,10 @@ RAW_LINES_SQL = "SELECT\n  " + _select_sql([(f'"{n}"', e) for n, e in RAW_LINES_
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The incoming all-string file.  Built before the spread, so downstream
-    operators see plain columns (as from a CSV scan), not the generating
-    expressions inlined into every reference."""
-    li = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
-    return spread(li.selectExpr(*[f"{e} AS `{n}`" for n, e in RAW_LINES_EXPRS]))
+    """The incoming all-string file (the generating expressions run after the
+    scan is spread, one task per core)."""
+    li = read(spark, sf_dir, "lineitem")
+    return li.selectExpr(*[f"{e} AS `{n}`" for n, e in RAW_LINES_EXPRS])
 
 
 # --- integer ranges: lineitem keys against narrow declared types --------------

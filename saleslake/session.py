@@ -65,3 +65,26 @@ def hadoop_fs(spark: SparkSession, path: str):
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs, jpath
+
+
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
+               target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` of data on a cluster.
+
+    Shuffle partitions are sized so that each holds about
+    ``target_partition_bytes`` before AQE coalescing (and never fewer than
+    two waves of tasks); scans split at 256 MB; AQE splits skewed shuffle
+    partitions and rebalanced writes.
+    """
+    slots = max(1, executors * cores_per_executor)
+    parts = max(2 * slots, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.task.maxFailures": "8",
+    }

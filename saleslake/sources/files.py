@@ -90,3 +90,24 @@ def file_listing(spark: SparkSession, root: str, glob: str | None = None) -> Dat
 def missing_outputs(sources: DataFrame, targets: DataFrame, key: str = "name") -> DataFrame:
     """Sources whose output (same ``key``) does not exist yet (left anti join)."""
     return sources.join(targets.select(key).distinct(), key, "left_anti")
+
+
+def transfer_summary(listing: DataFrame) -> DataFrame:
+    """Number of files, total bytes and empty files of a listing."""
+    return listing.agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum("length").alias("total_bytes"),
+        F.count_if(F.col("length") == 0).alias("empty_files"),
+    )
+
+
+def compression_ratio(raw_listing: DataFrame, packed_listing: DataFrame) -> DataFrame:
+    """``(1 - packed / raw) * 100`` from two listings' total sizes (one aggregation)."""
+    both = raw_listing.select("length", F.lit(False).alias("_packed")).unionByName(
+        packed_listing.select("length", F.lit(True).alias("_packed")))
+    agg = both.agg(
+        F.sum(F.when(~F.col("_packed"), F.col("length"))).alias("raw_bytes"),
+        F.sum(F.when(F.col("_packed"), F.col("length"))).alias("packed_bytes"),
+    )
+    return agg.select("raw_bytes", "packed_bytes",
+                      ((F.lit(1.0) - F.col("packed_bytes") / F.col("raw_bytes")) * 100).alias("reduction_pct"))
