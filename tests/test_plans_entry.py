@@ -21,7 +21,7 @@ def test_entry_runs(spark):
 def test_every_query_has_oracle_or_is_declared_rows_only():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"src_file_listing"}
+    assert set(q) - set(o) == {"src_file_listing", "inventory_files"}
 
 
 @pytest.fixture(scope="module")
