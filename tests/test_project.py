@@ -44,3 +44,33 @@ def test_upgrade_table():
 
     assert is_allowed_upgrade("TINYINT", "BIGINT") and is_allowed_upgrade("FLOAT", "DOUBLE")
     assert not is_allowed_upgrade("BIGINT", "INT") and not is_allowed_upgrade("VARCHAR(5)", "INT")
+
+
+def test_mapping_files_and_check(tmp_path):
+    import json
+
+    from saleslake.spec import load_mappings, load_order
+
+    (tmp_path / "05_DimSalesGroup.json").write_text(json.dumps({
+        "salesgroup": {"db_column": "sales_group", "data_type": "SMALLINT"},
+        "division": {"db_column": "division", "data_type": "VARCHAR", "max_string_length": 50},
+    }))
+    (tmp_path / "07_FactInvoiceDetails.json").write_text(json.dumps({
+        "div": {"db_column": "div_col_rf", "data_type": "VARCHAR(105)"},
+    }))
+    (tmp_path / "08_Broken.json").write_text("{not json")
+    specs, skipped = load_mappings(tmp_path)
+    assert skipped == ["08_Broken.json"]
+    assert set(specs) == {"dim_sales_group", "fact_invoice_details"}
+    sg = specs["dim_sales_group"]
+    assert [(c.name, c.type) for c in sg.columns] == [("sales_group", "SMALLINT"), ("division", "VARCHAR(50)")]
+    assert specs["fact_invoice_details"].columns[0].incoming() == "div"
+    assert [s.name for s in load_order(specs)] == ["dim_sales_group", "fact_invoice_details"]
+    assert PR.check_mapping({"salesgroup": "sales_group", "x": "nope"}, sg) == ["nope"]
+
+
+def test_seed_registry():
+    from saleslake.sources.seeds import Seed, enabled_seeds
+
+    reg = {"a": Seed("dim_a", "a.csv"), "b": Seed("dim_b", "b.csv", enabled=False)}
+    assert list(enabled_seeds(reg)) == ["a"]
