@@ -39,11 +39,14 @@ def build_rls(hier: DataFrame, marker: str = TXN_MARKER) -> DataFrame:
     # cheap list filters run as higher-order functions.
     ids = [F.when(p, email_path_id(e)) for e, p in zip(raw, present)]
     emails = non_empty(raw)
-    staged = src.select(
-        "*",
+    # The fold's result is needed by the size filter and by the output.  It
+    # is produced by a one-row ``inline`` so that it is computed once per row:
+    # a generator output cannot be inlined into the pushed-down filter.
+    paths = F.array(F.struct(
         emails.alias("_emails"),
-        F.filter(F.array(*ids), lambda x: x.isNotNull()).alias("_ids"),
-    ).withColumn("_path", drop_adjacent_repeats(F.col("_ids")))
+        drop_adjacent_repeats(F.filter(F.array(*ids), lambda x: x.isNotNull())).alias("_path"),
+    ))
+    staged = src.select("*", F.inline(paths))
     return staged.filter(F.size("_path") >= MIN_PATH_LEN).select(
         F.col("cluster_code").alias("cluster"),
         F.col("division_code").alias("division"),

@@ -27,7 +27,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Tables big enough that a single scan task would be the bottleneck.
-SPREAD_TABLES = {"lineitem", "orders", "documents", "events", "pages", "conversations"}
+SPREAD_TABLES = {"lineitem", "orders", "customer", "documents", "events", "pages", "conversations"}
 
 
 def _select_sql(exprs: list[tuple[str, str]]) -> str:
