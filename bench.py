@@ -30,6 +30,7 @@ HEADLINE = [
     "sink_parquet_roundtrip",
     "src_csv_gzip",
     "merge_upsert",
+    "merge_upsert_partitioned",
     "recon_counts",
     "pipeline_historical_load",
     "stream_file_ingest",

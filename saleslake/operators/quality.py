@@ -21,7 +21,8 @@ def latest_changes(changes: DataFrame, key: str, seq: str) -> DataFrame:
     as a window partition would; ties on ``seq`` break on the other fields."""
     others = [c for c in changes.columns if c not in (key, seq)]
     packed = F.max(F.struct(F.col(seq).alias("_seq"), *[F.col(c) for c in others])).alias("_c")
-    return changes.groupBy(key).agg(packed).select(key, *[F.col(f"_c.{c}").alias(c) for c in others])
+    return changes.groupBy(key).agg(packed).select(
+        key, *[F.col(f"_c.{c}").alias(c) for c in others], F.col("_c._seq").alias(seq))
 
 
 def merge_upsert(target: DataFrame, changes: DataFrame, key: str, seq: str = "seq", op: str = "op") -> DataFrame:
@@ -84,3 +85,29 @@ def rollup_report(df: DataFrame, dims: list[str], value_col: str) -> DataFrame:
         F.round(F.sum(value_col), 2).alias("total_value"),
         F.grouping_id(*dims).cast("int").alias("level"),
     )
+
+
+def merge_partitions(spark, root: str, changes: DataFrame, key: str, partition_col: str,
+                     seq: str = "seq", op: str = "op") -> list:
+    """N1 on a partitioned table: rewrite only the partitions the changes touch.
+
+    Touched partitions are those of the new values *and* the current
+    partitions of the changed keys (a key may move); the latter is found by a
+    semi join that reads only the key and partition columns.  The touched
+    partitions are merged and written back with dynamic partition overwrite;
+    one that ends up empty is removed.  Returns the touched partition values.
+    """
+    from saleslake.operators.load import replace_partitions
+
+    target = spark.read.parquet(root)
+    latest = latest_changes(changes, key, seq)
+    moved_from = target.select(key, partition_col).join(latest.select(key), key, "left_semi").select(partition_col)
+    touched = [r[0] for r in latest.where(F.col(op) != F.lit(DELETE_OP)).select(partition_col)
+               .union(moved_from).distinct().collect()]
+    if not touched:
+        return []
+    dtype = target.schema[partition_col].dataType
+    part = target.filter(F.col(partition_col).isin(*[F.lit(t).cast(dtype) for t in touched]))
+    merged = merge_upsert(part, latest, key, seq, op)
+    # replace_partitions with an always-true condition = overwrite the touched partitions with ``merged``
+    return replace_partitions(spark, root, merged, F.lit(True), partition_col, affected=touched)

@@ -109,6 +109,42 @@ def q_merge_upsert(spark, sf):
     return Q.merge_upsert(o, ch, "o_orderkey")
 
 
+_D_CHANGES_MOVE = _D_CHANGES.replace(
+    "SELECT o_orderkey, o_custkey, o_totalprice + 2, o_orderstatus, 'U', 2",
+    "SELECT o_orderkey, o_custkey, o_totalprice + 2, 'X', 'U', 2")
+
+
+@query(
+    "merge_upsert_partitioned",
+    f"""WITH t AS (SELECT {_ORD} FROM orders), ch AS ({_D_CHANGES_MOVE}),
+l AS (SELECT * FROM ch QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY seq DESC) = 1)
+SELECT coalesce(l.o_orderkey, t.o_orderkey) AS o_orderkey,
+       CASE WHEN l.op IS NOT NULL THEN l.o_custkey ELSE t.o_custkey END AS o_custkey,
+       CASE WHEN l.op IS NOT NULL THEN l.o_totalprice ELSE t.o_totalprice END AS o_totalprice,
+       CASE WHEN l.op IS NOT NULL THEN l.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus
+FROM t FULL OUTER JOIN l ON t.o_orderkey = l.o_orderkey
+WHERE l.op IS NULL OR l.op <> 'D'""",
+)
+def q_merge_upsert_partitioned(spark, sf):
+    """N1 at scale: the target is partitioned by status; some updates move keys to a new partition."""
+    o = S.read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    root = scratch_path(spark, "orders_by_status")
+    L.write_parquet(o, root, partition_by=("o_orderstatus",))
+    k = F.col("o_orderkey")
+    ch = (
+        o.where(k % 5 == 0).select("o_orderkey", "o_custkey", (F.col("o_totalprice") + 1).alias("o_totalprice"),
+                                   "o_orderstatus", F.lit("U").alias("op"), F.lit(1).alias("seq"))
+        .unionByName(o.where(k % 10 == 0).select("o_orderkey", "o_custkey", (F.col("o_totalprice") + 2).alias("o_totalprice"),
+                                                 F.lit("X").alias("o_orderstatus"), F.lit("U").alias("op"), F.lit(2).alias("seq")))
+        .unionByName(o.where(k % 7 == 0).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus",
+                                                F.lit("D").alias("op"), F.lit(3).alias("seq")))
+        .unionByName(o.where(k % 11 == 0).select((-k).alias("o_orderkey"), "o_custkey", "o_totalprice",
+                                                 F.lit("N").alias("o_orderstatus"), F.lit("I").alias("op"), F.lit(1).alias("seq")))
+    )
+    Q.merge_partitions(spark, root, ch, "o_orderkey", "o_orderstatus")
+    return spark.read.parquet(root).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+
+
 # --- N2 reconciliation -------------------------------------------------------------
 
 
