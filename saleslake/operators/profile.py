@@ -63,7 +63,24 @@ def _plan(df: DataFrame, spec: TableSpec):
     return out
 
 
+WIDE_THRESHOLD = 40   # above this many columns the profile runs in long form
+
+
 def profile(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """A2-A8 in one pass over the data; one row per declared column present in ``df``.
+
+    Narrow tables use one aggregate with a few buffers per column.  Wide
+    tables (hundreds of columns) would need thousands of aggregate buffers in
+    one generated class; they are unpivoted into ``(column, value)`` cells
+    instead and aggregated by column, so the generated code does not grow
+    with the width (see ``_profile_long``).
+    """
+    if len(_plan(df, spec)) > WIDE_THRESHOLD:
+        return _profile_long(df, spec)
+    return _profile_wide(df, spec)
+
+
+def _profile_wide(df: DataFrame, spec: TableSpec) -> DataFrame:
     """A2-A8 in one aggregation; one row per declared column present in ``df``.
 
     A projection first computes each conversion once per row (``_v{i}``,
@@ -135,6 +152,11 @@ def profile(df: DataFrame, spec: TableSpec) -> DataFrame:
         ))
     one = df.select(*pre).agg(*aggs)
     stacked = one.select("n", F.inline(F.array(*structs)))
+    return _finish(stacked)
+
+
+def _finish(stacked: DataFrame) -> DataFrame:
+    """Overflow flags, recommendations and the proposed type from the per-column stats."""
     a, b = VARCHAR_WIDEN_FACTOR
     rec_raw = F.floor(F.col("max_len") * a / b).cast("int")
     vovf = F.coalesce(F.col("max_len") > F.col("declared_limit"), F.lit(False))
@@ -150,6 +172,114 @@ def profile(df: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
+def _fits_by_family(mn: Column, mx: Column, fam: Column, t_fam: str | None = None) -> Column:
+    """Range test where the family is a column value (long form)."""
+    expr = F.lit(True)
+    for name in reversed([f for f in INT_FAMILIES if INT_RANGES[f][0] is not None]):
+        expr = F.when(fam == F.lit(name), _fits(mn, mx, name)).otherwise(expr)
+    return expr
+
+
+def _upgrade_by_family(mn: Column, mx: Column, fam: Column) -> Column:
+    expr = F.lit(None).cast("string")
+    for name in INT_FAMILIES:
+        expr = F.when(fam == F.lit(name), _int_upgrade(mn, mx, name)).otherwise(expr)
+    return expr
+
+
+def _profile_long(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The same profile for wide tables: unpivot to cells, aggregate by column.
+
+    Each input row becomes one cell per declared column (a Generate), the
+    conversions run on the single ``txt`` field with constant-size
+    expressions, and a ``groupBy(column)`` with partial aggregation folds the
+    cells (one partial row per column per task).
+    """
+    plan = _plan(df, spec)
+    # Per-column constants live in small literal arrays indexed by the cell's
+    # column number; a cell carries only (index, null flag, text, number, time flag).
+    meta = {
+        "column_name": [c.name for c, _, _, _ in plan],
+        "declared": [c.type for c, _, _, _ in plan],
+        "data_type": [d for _, _, d, _ in plan],
+        "kind": [k or "" for _, _, _, k in plan],
+        "fam": [c.family for c, _, _, _ in plan],
+    }
+    limits = [c.limit for c, _, _, _ in plan]
+
+    def lookup(name: str, idx: Column) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in meta[name]]), idx + 1)
+
+    stack_args = []
+    for i, (c, actual, d, kind) in enumerate(plan):
+        raw = F.col(f"`{actual}`")
+        t = c.family
+        txt = raw if d == "VARCHAR" else (raw.cast("string") if t == "VARCHAR" else F.lit(None))
+        # integers travel as bigint (fast min/max); only DECIMAL data needs decimal(38,0)
+        num = raw.cast("bigint") if (t in INT_FAMILIES and d in INT_FAMILIES) else F.lit(None)
+        dnum = raw.cast(_DEC) if (t in INT_FAMILIES and d == "DECIMAL") else F.lit(None)
+        ht = (raw != F.date_trunc("day", raw)) if (t == "DATE" and d == "DATETIME") else F.lit(None)
+        stack_args += [F.lit(i), raw.isNull(), txt.cast("string"), num.cast("bigint"), dnum.cast(_DEC), ht.cast("boolean")]
+    long = df.select(F.stack(F.lit(len(plan)), *stack_args).alias("idx", "is_null", "txt", "num", "dnum", "ht"))
+    idx = F.col("idx")
+    txt, kind, fam = F.col("txt"), lookup("kind", idx), lookup("fam", idx)
+    present = ~F.col("is_null")
+    large = fam == "LARGEINT"
+    v_long = F.when((kind == "int") & ~large, to_int(txt))
+    v_dec = F.when((kind == "int") & large, to_int(txt, large=True))
+    int_fail = (kind == "int") & present & F.when(large, v_dec.isNull()).otherwise(v_long.isNull())
+    conv_fail = int_fail | ((kind == "double") & present & to_double(txt).isNull())
+    date_bad = [(kind == "date") & present & to_date(txt, p).isNull() for _, p in DATE_FORMATS]
+    keyed = long.select(
+        "idx", "is_null", "ht",
+        conv_fail.alias("conv_fail"), F.coalesce(v_long, F.col("num")).alias("v"),
+        F.coalesce(v_dec, F.col("dnum")).alias("vd"),
+        F.when(fam == "VARCHAR", F.length(txt)).alias("len"),
+        *[b.alias(f"bad{k}") for k, b in enumerate(date_bad)],
+    )
+    agg = keyed.groupBy("idx").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("is_null")).alias("nulls"),
+        F.count_if(F.col("conv_fail")).alias("cf"),
+        F.min("v").alias("mn_l"), F.max("v").alias("mx_l"),
+        F.min("vd").alias("mn_d"), F.max("vd").alias("mx_d"),
+        F.max("len").alias("max_len"),
+        F.bool_or(F.col("ht")).alias("ht"),
+        *[F.count_if(F.col(f"bad{k}")).alias(f"f{k}") for k in range(len(DATE_FORMATS))],
+    )
+    agg = agg.select(
+        "*",
+        F.coalesce(F.col("mn_l").cast(_DEC), F.col("mn_d")).alias("mn"),
+        F.coalesce(F.col("mx_l").cast(_DEC), F.col("mx_d")).alias("mx"),
+    )
+    g = agg.select(
+        "*", *[lookup(k, idx).alias(k) for k in meta],
+        F.element_at(F.array(*[F.lit(v).cast("int") for v in limits]), idx + 1).alias("declared_limit"),
+    )
+    fails = [F.col(f"f{k}") for k in range(len(DATE_FORMATS))]
+    choice = date_format_choice(fails, F.col("n"))
+    is_date = F.col("kind") == "date"
+    fmt = F.when(is_date, F.element_at(F.array(*[F.lit(lbl) for lbl, _ in DATE_FORMATS]), choice + 1))
+    failed_col = (F.when(is_date, F.coalesce(F.element_at(F.array(*fails), choice + 1), F.col("n") - F.col("nulls")))
+                  .otherwise(F.col("cf")))
+    mn, mx = F.col("mn"), F.col("mx")
+    is_int = F.col("fam").isin(*INT_FAMILIES)
+    num_ovf = F.when(is_int, F.coalesce(~_fits_by_family(mn, mx, F.col("fam")), F.lit(False))).otherwise(F.lit(False))
+    has_time = F.when((F.col("fam") == "DATE") & (F.col("data_type") == "DATETIME"), F.coalesce(F.col("ht"), F.lit(False)))
+    upgrade = (
+        F.when(is_int & num_ovf, _upgrade_by_family(mn, mx, F.col("fam")))
+        .when((F.col("fam") == "FLOAT") & ((F.col("data_type") == "DOUBLE") | (F.col("kind") == "double")), F.lit("DOUBLE"))
+        .when((F.col("fam") == "DATE") & (F.col("data_type") == "DATETIME") & has_time, F.lit("DATETIME"))
+    )
+    stacked = g.select(
+        "n", "column_name", "declared", "data_type", "nulls", failed_col.cast("long").alias("failed"),
+        fmt.alias("date_format"), F.col("max_len").cast("int").alias("max_len"), "declared_limit",
+        mn.cast("string").alias("min_val"), mx.cast("string").alias("max_val"),
+        num_ovf.alias("numeric_overflow"), has_time.alias("has_time"), upgrade.alias("type_upgrade"),
+    )
+    return _finish(stacked)
+
+
 def issues(prof: DataFrame) -> DataFrame:
     """The profile as a list of issues ``(column, issue, detail)``."""
     detail_v = F.concat(F.lit("max "), F.col("max_len").cast("string"), F.lit(" > "), F.col("declared_limit").cast("string"))

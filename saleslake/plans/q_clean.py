@@ -315,3 +315,28 @@ FROM r, c"""
 def q_clean_table(spark, sf):
     typed, _ = P.clean_table(S.raw_lines(spark, sf), SP.FACT_LINES, policy="widen")
     return typed
+
+
+def _d_wide() -> str:
+    rows = []
+    for name, kind, _ in S.wide_exprs():
+        if kind in _RANGES:
+            v = f"CAST({d_to_int(name)} AS HUGEINT)"
+            rows.append(f"SELECT '{name}' AS column_name, '{kind}' AS declared, {d_failed(name, d_to_int(name))} AS failed, "
+                        f"CAST(NULL AS INTEGER) AS max_len, CAST(min({v}) AS VARCHAR) AS min_val, "
+                        f"CAST(max({v}) AS VARCHAR) AS max_val, {_d_upgrade(f'min({v})', f'max({v})', kind)} AS proposed FROM w")
+        elif kind == "DOUBLE":
+            rows.append(f"SELECT '{name}', '{kind}', {d_failed(name, d_to_double(name))}, CAST(NULL AS INTEGER), "
+                        f"CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM w")
+        else:
+            ml = f"CAST(max(length({name})) AS INTEGER)"
+            rows.append(f"SELECT '{name}', '{kind}', CAST(0 AS BIGINT), {ml}, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), "
+                        f"CASE WHEN {ml} > 12 THEN 'VARCHAR(' || CAST(least(({ml} * 6) // 5, 5000) AS VARCHAR) || ')' END FROM w")
+    return f"WITH w AS ({S.WIDE_SQL})\n" + "\nUNION ALL\n".join(rows)
+
+
+@query("profile_wide_table", _d_wide())
+def q_profile_wide_table(spark, sf):
+    """A2-A8 over a 200-column all-string table in one aggregation pass."""
+    prof = P.profile(S.wide(spark, sf), SP.wide_spec())
+    return prof.select("column_name", "declared", "failed", "max_len", "min_val", "max_val", "proposed")

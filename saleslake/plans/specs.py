@@ -47,3 +47,9 @@ DIM_CUSTOMER = TableSpec(
     ),
     keys=("customer_code",),
 )
+
+# The wide stand-in's declared types (see standins.wide_exprs).
+def wide_spec():
+    from saleslake.plans.standins import wide_exprs
+
+    return TableSpec("wide_lines", parse_columns(", ".join(f"{n}:{t}" for n, t, _ in wide_exprs())))

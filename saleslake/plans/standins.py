@@ -264,3 +264,33 @@ FILE_NAMES_SQL = f"SELECT o_orderkey, {FILE_NAME_EXPR} AS name FROM orders"
 
 def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{FILE_NAME_EXPR} AS name")
+
+
+# --- a wide all-string table (the width of the widest fact, ~200 columns) -------
+
+WIDE_COLUMNS = 200
+_WIDE_KINDS = ("SMALLINT", "INT", "BIGINT", "DOUBLE", "VARCHAR(12)")
+
+
+def wide_exprs() -> list[tuple[str, str, str]]:
+    """``(name, declared type, SQL expression)``: column i cycles through five kinds."""
+    out = []
+    for i in range(WIDE_COLUMNS):
+        kind = _WIDE_KINDS[i % len(_WIDE_KINDS)]
+        m = 10 ** (i % 6 + 2)
+        if kind == "DOUBLE":
+            e = f"CAST(l_extendedprice * {i % 9 + 1} AS STRING)"
+        elif kind.startswith("VARCHAR"):
+            e = f"repeat('x', CAST((l_orderkey + {i}) % {i % 15 + 2} AS INT))"
+        else:
+            e = f"CAST((l_orderkey * {i + 1} + l_linenumber) % {m} AS STRING)"
+        e = f"CASE WHEN (l_orderkey + {i}) % 53 = 0 THEN 'n/a' ELSE {e} END"
+        out.append((f"w{i:03d}", kind, e))
+    return out
+
+
+WIDE_SQL = "SELECT\n  " + _select_sql([(n, e) for n, _, e in wide_exprs()]) + "\nFROM lineitem"
+
+
+def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "lineitem").selectExpr(*[f"{e} AS {n}" for n, _, e in wide_exprs()])

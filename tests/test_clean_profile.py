@@ -106,3 +106,20 @@ def test_clean_table_widen_policy(spark):
     typed, _ = P.clean_table(df, spec, policy="widen")
     assert dict(typed.dtypes)["v"] == "int"
     assert sorted(r[0] for r in typed.collect()) == [1, 70000]
+
+
+def test_long_form_profile_matches_wide(spark):
+    """The unpivoted profile used for wide tables gives the same rows as the one-aggregate form."""
+    import datetime as dt
+    from decimal import Decimal
+
+    rows = [("12", " 7 ", "x", "2024-01-05", dt.datetime(2024, 1, 1, 3), 1.5, 70000, Decimal("92233720368547758070"), "abcdef"),
+            ("n/a", "", None, "soon", dt.datetime(2024, 1, 2), 2.5, 5, Decimal("1"), None),
+            ("-129", "1e3", "12.5", "2024-02-01", dt.datetime(2024, 1, 3), None, None, None, "é")]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string, e timestamp_ntz, f double, g long, "
+                                     "h decimal(38,0), i string")
+    spec = TableSpec("t", parse_columns("a:TINYINT, b:INT, c:DOUBLE, d:DATE, e:DATE, f:FLOAT, g:SMALLINT, "
+                                        "h:BIGINT, i:VARCHAR(3)"))
+    wide = sorted(map(tuple, P._profile_wide(df, spec).collect()), key=repr)
+    long = sorted(map(tuple, P._profile_long(df, spec).collect()), key=repr)
+    assert wide == long
