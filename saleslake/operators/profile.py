@@ -207,20 +207,27 @@ def _profile_long(df: DataFrame, spec: TableSpec) -> DataFrame:
     }
     limits = [c.limit for c, _, _, _ in plan]
 
+    def sql_str(v) -> str:
+        return "NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
     def lookup(name: str, idx: Column) -> Column:
-        return F.element_at(F.array(*[F.lit(v) for v in meta[name]]), idx + 1)
+        # one JVM-side literal array per attribute, built from SQL text (one call, not one per value)
+        arr = F.expr("array(" + ", ".join(sql_str(v) for v in meta[name]) + ")")
+        return F.element_at(arr, idx + 1)
 
-    stack_args = []
+    # The unpivot is written as one SQL ``stack`` expression: a single call to
+    # the JVM however wide the table is.
+    parts = []
     for i, (c, actual, d, kind) in enumerate(plan):
-        raw = F.col(f"`{actual}`")
+        q = "`" + actual.replace("`", "``") + "`"
         t = c.family
-        txt = raw if d == "VARCHAR" else (raw.cast("string") if t == "VARCHAR" else F.lit(None))
-        # integers travel as bigint (fast min/max); only DECIMAL data needs decimal(38,0)
-        num = raw.cast("bigint") if (t in INT_FAMILIES and d in INT_FAMILIES) else F.lit(None)
-        dnum = raw.cast(_DEC) if (t in INT_FAMILIES and d == "DECIMAL") else F.lit(None)
-        ht = (raw != F.date_trunc("day", raw)) if (t == "DATE" and d == "DATETIME") else F.lit(None)
-        stack_args += [F.lit(i), raw.isNull(), txt.cast("string"), num.cast("bigint"), dnum.cast(_DEC), ht.cast("boolean")]
-    long = df.select(F.stack(F.lit(len(plan)), *stack_args).alias("idx", "is_null", "txt", "num", "dnum", "ht"))
+        txt = q if d == "VARCHAR" else (f"CAST({q} AS STRING)" if t == "VARCHAR" else "NULL")
+        num = f"CAST({q} AS BIGINT)" if (t in INT_FAMILIES and d in INT_FAMILIES) else "NULL"
+        dnum = f"CAST({q} AS DECIMAL(38,0))" if (t in INT_FAMILIES and d == "DECIMAL") else "NULL"
+        ht = f"({q} <> date_trunc('day', {q}))" if (t == "DATE" and d == "DATETIME") else "NULL"
+        parts.append(f"{i}, {q} IS NULL, CAST({txt} AS STRING), CAST({num} AS BIGINT), "
+                     f"CAST({dnum} AS DECIMAL(38,0)), CAST({ht} AS BOOLEAN)")
+    long = df.selectExpr(f"stack({len(plan)}, {', '.join(parts)}) AS (idx, is_null, txt, num, dnum, ht)")
     idx = F.col("idx")
     txt, kind, fam = F.col("txt"), lookup("kind", idx), lookup("fam", idx)
     present = ~F.col("is_null")
@@ -254,7 +261,8 @@ def _profile_long(df: DataFrame, spec: TableSpec) -> DataFrame:
     )
     g = agg.select(
         "*", *[lookup(k, idx).alias(k) for k in meta],
-        F.element_at(F.array(*[F.lit(v).cast("int") for v in limits]), idx + 1).alias("declared_limit"),
+        F.element_at(F.expr("array(" + ", ".join("CAST(NULL AS INT)" if v is None else str(v) for v in limits) + ")"),
+                     idx + 1).alias("declared_limit"),
     )
     fails = [F.col(f"f{k}") for k in range(len(DATE_FORMATS))]
     choice = date_format_choice(fails, F.col("n"))
