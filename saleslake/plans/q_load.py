@@ -9,9 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslake.functions.naming import col_groups_from_stem  # noqa: F401  (Column form used in q_misc)
 from saleslake.operators import load as L
-from saleslake.operators.project import rename_to_spec
 from saleslake.plans import specs as SP
 from saleslake.plans import standins as S
 from saleslake.plans.oracle_parts import d_to_double, d_to_int
