@@ -20,6 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Local sessions handle small inputs: a small advisory size keeps every
+    # core busy after AQE coalescing (scale_conf() sets 256 MB for clusters).
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
 }
 
 
