@@ -170,6 +170,8 @@ def replace_partitions(spark: SparkSession, root: str, new: DataFrame, delete_co
     """
     cur = spark.read.parquet(root)
     pcol = F.col(partition_col)
+    # the incoming rows feed three jobs (partition list, kept list, write): convert them once
+    new = new.persist(StorageLevel.MEMORY_AND_DISK)
     if affected is None:
         hit = cur.filter(delete_cond).select(partition_col)
         affected = [r[0] for r in hit.union(new.select(partition_col)).distinct().collect()]
@@ -177,6 +179,7 @@ def replace_partitions(spark: SparkSession, root: str, new: DataFrame, delete_co
         new_parts = [r[0] for r in new.select(partition_col).distinct().collect()]
         affected = list(affected) + new_parts
     if not affected:
+        new.unpersist()
         return []
     dtype = cur.schema[partition_col].dataType
     integral = isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
@@ -194,6 +197,7 @@ def replace_partitions(spark: SparkSession, root: str, new: DataFrame, delete_co
     for a in affected:
         if a not in kept:
             fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{partition_col}={a}"), True)
+    new.unpersist()
     return affected
 
 
