@@ -74,3 +74,18 @@ def test_seed_registry():
 
     reg = {"a": Seed("dim_a", "a.csv"), "b": Seed("dim_b", "b.csv", enabled=False)}
     assert list(enabled_seeds(reg)) == ["a"]
+
+
+def test_table_reader_and_scale_conf(spark, tmp_path):
+    from saleslake.session import scale_conf
+    from saleslake.sources.tables import read_table, table_columns
+
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a")], "k int, v string").write.parquet(path)
+    df = read_table(spark, path, fmt="parquet")
+    assert table_columns(df) == [("k", "int"), ("v", "string")]
+    conf = scale_conf(100 * 1024 ** 4, executors=1000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    small = scale_conf(1024, executors=10)
+    assert int(small["spark.sql.shuffle.partitions"]) == 2 * 10 * 4
