@@ -10,11 +10,20 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after proving the size bound.
+def is_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
 
     ``limit(max_rows + 1).count()`` stops reading as soon as the bound is
     exceeded, so the check costs at most ``max_rows`` rows of scan.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
+    """Hint a broadcast only after proving the size bound.
+
+    ``bound_by`` may name a cheaper frame with at least as many rows (e.g. the
+    dimension before de-duplication): its count proves the bound without
+    computing ``df`` itself.
+    """
+    return F.broadcast(df) if is_bounded(bound_by if bound_by is not None else df, max_rows) else df

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslake.operators.joins import broadcast_if_small
+from saleslake.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
 
 DELETE_OP = "D"
 
@@ -73,8 +73,11 @@ def enrich(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, cols: l
     stays a shuffle join.  Dimension keys are de-duplicated first so a
     duplicate master row can never multiply fact rows.
     """
-    d = dim.select(F.col(dim_key).alias("_k"), *cols).dropDuplicates(["_k"])
-    d = broadcast_if_small(d, max_broadcast_rows) if max_broadcast_rows else broadcast_if_small(d)
+    raw = dim.select(F.col(dim_key).alias("_k"), *cols)
+    d = raw.dropDuplicates(["_k"])
+    # the raw dimension bounds the de-duplicated one, and counting it needs no shuffle
+    limit = max_broadcast_rows or MAX_BROADCAST_ROWS
+    d = broadcast_if_small(d, limit, bound_by=raw.select("_k"))
     return fact.join(d, fact[fact_key] == d["_k"], "left").drop("_k")
 
 
