@@ -116,3 +116,14 @@ def secured_fact(fact: DataFrame, allowed: DataFrame, group_col: str = "sales_gr
     """
     g = allowed.select("email", F.col("sales_group").alias(group_col))
     return fact.join(broadcast_if_small(g, max_grant_rows), group_col, "inner")
+
+
+def publish_rls(hier: DataFrame, root: str) -> int:
+    """Replace the RLS table with a freshly built one (a new committed version).
+
+    The previous version stays readable until the new one has committed, so
+    readers never see the empty table that a truncate-then-insert would show.
+    """
+    from saleslake.operators.load import publish_version
+
+    return publish_version(build_rls(hier), root)

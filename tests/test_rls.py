@@ -46,3 +46,13 @@ def test_secured_fact(spark):
     fact = spark.createDataFrame([(10, 1.0), (11, 2.0), (12, 3.0)], "sales_group_code int, v double")
     got = sorted(r["sales_group_code"] for r in R.secured_fact(fact, grants).collect())
     assert got == [10, 11]
+
+
+def test_publish_rls_versions(spark, tmp_root):
+    from saleslake.operators.load import current_version, read_current
+
+    hier = spark.createDataFrame(ROWS, COLS)
+    assert R.publish_rls(hier, f"{tmp_root}/rls") == 1
+    assert R.publish_rls(hier.where("sales_group <> 10"), f"{tmp_root}/rls") == 2
+    assert current_version(spark, f"{tmp_root}/rls") == 2
+    assert 10 not in {r["sales_group"] for r in read_current(spark, f"{tmp_root}/rls").collect()}
