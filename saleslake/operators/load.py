@@ -194,9 +194,12 @@ def replace_partitions(spark: SparkSession, root: str, new: DataFrame, delete_co
         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(root))
     fs, _ = hadoop_fs(spark, root)
     jvm = spark.sparkContext._jvm
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     for a in affected:
         if a not in kept:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{partition_col}={a}"), True)
+            # the folder name uses Spark's own escaping of partition values
+            value = str(a) if integral else ("__HIVE_DEFAULT_PARTITION__" if a is None else escape(str(a)))
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{partition_col}={value}"), True)
     new.unpersist()
     return affected
 

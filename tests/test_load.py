@@ -77,3 +77,11 @@ def test_soh_export_roundtrip(spark, tmp_root):
     from saleslake.sources.files import csv_reader
     back = csv_reader(spark, sep="\u0001", header=False).schema(df.schema).csv(f"{tmp_root}/soh")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_replace_clears_escaped_string_partitions(spark, tmp_root):
+    root = f"{tmp_root}/s"
+    schema = "grp string, v int"
+    L.write_parquet(spark.createDataFrame([("a/b c", 1), ("x", 2)], schema), root, partition_by=("grp",))
+    L.replace_partitions(spark, root, spark.createDataFrame([], schema), F.lit(True), "grp", affected=["a/b c"])
+    assert [tuple(r) for r in spark.read.parquet(root).select("grp", "v").collect()] == [("x", 2)]
