@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from saleslake.llm import op04_pack, op10_resync_counts  # noqa: F401
+from saleslake.llm import op01_rans, op04_pack, op08_grace_dedup, op09_segment_bpe, op10_resync_counts  # noqa: F401
 from saleslake.llm.common import ORACLE, QUERIES  # noqa: F401
