@@ -20,7 +20,7 @@ RESERVED_WORDS = frozenset(
     ADD ALL ALTER ANALYZE AND ARRAY AS ASC BETWEEN BIGINT BITMAP BOTH BY CASE CHAR
     CHARACTER CHECK COLLATE COLUMN COMPACTION CONVERT CREATE CROSS CUBE CURRENT_DATE
     CURRENT_TIME CURRENT_TIMESTAMP CURRENT_USER CURRENT_ROLE DIV DATABASE DATABASES
-    DECIMAL DEFAULT DELETE DENSE_RANK DESC DESCRIBE DISTINCT DOUBLE DROP DUAL DEFERRED
+    DECIMAL DECIMALV2 DECIMAL32 DECIMAL64 DECIMAL128 DEFAULT DELETE DENSE_RANK DESC DESCRIBE DISTINCT DOUBLE DROP DUAL DEFERRED
     ELSE EXCEPT EXCLUDE EXISTS EXPLAIN FALSE FIRST_VALUE FLOAT FOR FORCE FROM FULL
     FUNCTION GRANT GROUP GROUPS GROUPING GROUPING_ID HAVING HLL HOST IF IGNORE IN INDEX
     INFILE INNER INSERT INT INTEGER INTERSECT INTO IS IMMEDIATE JOIN JSON KEY KEYS KILL
@@ -147,6 +147,18 @@ def col_dataset_name(stem: Column) -> Column:
     return F.when(F.lower(name) == DEALER_SHORT_NAME, F.lit(DEALER_DATASET)).otherwise(name)
 
 
+def dataset_from_stem(stem: str) -> str:
+    """P13 on a Python string (same rule as :func:`col_dataset_name`)."""
+    fact = re.match(FACT_DATASET_PATTERN, stem)
+    name = fact[1] if fact else stem.split("_", 1)[0]
+    return DEALER_DATASET if name.lower() == DEALER_SHORT_NAME else name
+
+
+def groups_from_dataset(dataset: str) -> list[str]:
+    """P14 on a dataset name: the sales groups whose rows the file replaces."""
+    return dataset.split("_")[1:]
+
+
 def col_groups_from_stem(stem: Column) -> Column:
     """Sales groups named in a file stem (``X_1_2`` -> ``[1, 2]`` as strings)."""
     parts = F.split(stem, "_")

@@ -17,12 +17,13 @@ from saleslake.functions.scalar import blank_to_null
 INT_PATTERN = r"^[+-]?[0-9]+$"
 NUM_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 # Date formats tried in this order: (label in strftime form, Spark pattern).
+# As with strptime, days, months and times may be written without a leading zero.
 DATE_FORMATS = (
-    ("%Y-%m-%d", "yyyy-MM-dd"),
-    ("%d/%m/%Y", "dd/MM/yyyy"),
-    ("%m/%d/%Y", "MM/dd/yyyy"),
+    ("%Y-%m-%d", "yyyy-M-d"),
+    ("%d/%m/%Y", "d/M/yyyy"),
+    ("%m/%d/%Y", "M/d/yyyy"),
     ("%Y%m%d", "yyyyMMdd"),
-    ("%Y-%m-%d %H:%M:%S", "yyyy-MM-dd HH:mm:ss"),
+    ("%Y-%m-%d %H:%M:%S", "yyyy-M-d H:m:s"),
 )
 SOFT_DATE_FORMATS = DATE_FORMATS[:4]   # the soft path never tries date + time
 # ------------------------------------------------------------------------------
@@ -44,6 +45,12 @@ def to_double(c: Column) -> Column:
     return F.when(s.rlike(NUM_PATTERN), s.try_cast("double"))
 
 
+def to_decimal(c: Column, dtype) -> Column:
+    """C2 for exact types: the text goes straight to the declared decimal, digits and all."""
+    s = blank_to_null(c)
+    return F.when(s.rlike(NUM_PATTERN), s.try_cast(dtype))
+
+
 def shape_regex(pattern: str) -> str:
     """A loose regex that every string the datetime ``pattern`` can parse matches.
 
@@ -99,7 +106,8 @@ def converted_date(raw: Column, choice: int, with_time: bool = False, formats=DA
 def failure_rates(df: DataFrame, int_cols=(), double_cols=(), date_cols=()) -> DataFrame:
     """One aggregation pass -> one row per column with n, nulls, failures, rate.
 
-    Date columns report the failures of their chosen format (C3).
+    Date columns report the failures of their chosen format (C3); when none
+    fits, every value that is not NULL has failed (as in ``profile``).
     """
     n = F.count(F.lit(1))
     aggs = [n.alias("n")]
@@ -120,7 +128,7 @@ def failure_rates(df: DataFrame, int_cols=(), double_cols=(), date_cols=()) -> D
         fails = [F.col(f"f{i}_t{k}") for k in range(len(DATE_FORMATS))]
         choice = date_format_choice(fails, F.col("n"))
         fmt = F.element_at(F.array(*[F.lit(lbl) for lbl, _ in DATE_FORMATS]), choice + 1)
-        chosen_fail = F.coalesce(F.element_at(F.array(*fails), choice + 1), F.col("n"))
+        chosen_fail = F.coalesce(F.element_at(F.array(*fails), choice + 1), F.col("n") - F.col(f"z{i}_t"))
         structs.append(_rate_struct(c, "DATE", F.col(f"z{i}_t"), chosen_fail, fmt))
     rows = one.select(F.col("n"), F.inline(F.array(*structs)))
     return rows.select(
@@ -168,6 +176,20 @@ def soft_convert_plan(df: DataFrame, int_cols=(), double_cols=(), date_cols=())
     return one.select(F.inline(F.array(*structs)))
 
 
+def soft_convert(df: DataFrame, int_cols=(), double_cols=(), date_cols=()) -> DataFrame:
+    """C4 applied: each column converted, or kept as text, as ``soft_convert_plan`` decides (one row a column is collected)."""
+    cols = {}
+    for r in soft_convert_plan(df, int_cols, double_cols, date_cols).collect():
+        c = F.col(f"`{r['column_name']}`")
+        if r["outcome"] != "converted":
+            continue
+        if r["target"] == "DATE":
+            cols[r["column_name"]] = to_date(c, dict(SOFT_DATE_FORMATS)[r["date_format"]])
+        else:
+            cols[r["column_name"]] = to_int(c) if r["target"] == "INTEGER" else to_double(c)
+    return df.select(*[cols.get(c, F.col(f"`{c}`")).alias(c) for c in df.columns])
+
+
 def _soft_struct(name, target, fails, outcome, fmt) -> Column:
     return F.struct(
         F.lit(name).alias("column_name"), F.lit(target).alias("target"), fails.alias("failed"),

@@ -1,15 +1,13 @@
-"""Sinks and load modes.
+"""Sinks and load modes.
 
 Two physical layouts, both plain Parquet:
 
 * **Versioned snapshot** (dimensions, RLS): every full refresh writes a new
   ``v=<n>`` folder; Spark's commit writes ``_SUCCESS`` last, and readers take
-  the highest committed version.  A failed or half-written load is never
-  visible and the previous version stays readable (K5, K11, K13).
-* **Partitioned fact** (``partition_by`` = the delete key, e.g.
-  ``sales_group_code``): a partial replace rewrites *only* the affected
-  partitions with dynamic partition overwrite, so a load touching a few
-  sales groups never rewrites the rest of a 100 TB table (K6-K9).
+  the highest committed version (K5, K11, K13).
+* **Partitioned fact** (``operators.table``): a partial replace writes the new
+  rows and the survivors of the partitions it touches, then publishes one
+  manifest, so a load is atomic and touches only its sales groups (K6-K9).
 
 Validation (type gate, tolerance) always runs before anything is written;
 the reference deleted first and validated afterwards (trap 17).
@@ -20,15 +18,15 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from saleslake.operators import table as TB
 from saleslake.operators.profile import _plan
 from saleslake.operators.project import rename_to_spec
-from saleslake.operators.clean import to_date, to_double, to_int
-from saleslake.session import hadoop_fs
+from saleslake.operators.clean import DATE_FORMATS, choose_date_formats, to_date, to_decimal, to_double, to_int
+from saleslake.operators.table import LoadError  # noqa: F401  (raised here and by the table)
+from saleslake.session import hadoop_fs, scratch_path
 from saleslake.spec import TableSpec, spark_type
 
 # --- fixed values -------------------------------------------------------------
@@ -47,10 +45,6 @@ ROW_GROUP_BYTES = 128 * 1024 * 1024
 _VERSION_RE = re.compile(r"^v=(\d+)$")
 
 
-class LoadError(RuntimeError):
-    """A load that must not publish anything."""
-
-
 # --- K1/K2/K3: plain sinks ------------------------------------------------------
 
 
@@ -64,7 +58,8 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    w = df.write.mode(mode).option("parquet.block.size", row_group_bytes)
+    # static: an overwrite replaces the whole path whatever the session says
+    w = df.write.mode(mode).option("parquet.block.size", row_group_bytes).option("partitionOverwriteMode", "static")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
@@ -110,11 +105,11 @@ def read_current(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/v={v:06d}")
 
 
-def publish_version(df: DataFrame, root: str, keep: int = 2, partition_by=()) -> int:
+def publish_version(df: DataFrame, root: str, keep: int | None = None, partition_by=()) -> int:
     """K5: full refresh = write a new version, visible once committed.
 
-    Older committed versions beyond ``keep`` are removed afterwards; a
-    reader holding an older version keeps working until then.
+    With ``keep`` older committed versions beyond it are removed afterwards
+    (only when no reader can still hold them); by default all stay.
     """
     spark = df.sparkSession
     versions = _versions(spark, root)
@@ -143,9 +138,9 @@ def drop_table(spark: SparkSession, root: str) -> bool:
 # --- partitioned facts (K6-K9) ---------------------------------------------------
 
 
-def append(df: DataFrame, root: str, partition_by=()) -> None:
+def append(df: DataFrame, root: str) -> list:
     """K9: append without delete."""
-    write_parquet(df, root, mode="append", partition_by=partition_by)
+    return TB.append(df, root)
 
 
 def expand_groups(groups: list[str]) -> list[str]:
@@ -156,90 +151,41 @@ def expand_groups(groups: list[str]) -> list[str]:
     return out
 
 
-def replace_partitions(spark: SparkSession, root: str, new: DataFrame, delete_cond: Column,
-                       partition_col: str, affected: list | None = None) -> list:
-    """Delete the rows matching ``delete_cond`` and add ``new``, partition by partition.
-
-    Survivors are ``NOT coalesce(cond, false)``, so rows where the condition
-    is NULL (e.g. ``record_type != 'DD'`` on a NULL type) are kept.
-    Only the affected partitions are read and rewritten (dynamic partition
-    overwrite); an affected partition left with no rows is removed.  When
-    ``affected`` is not given it is computed from the condition and the new
-    rows (one distinct over the partition column: one value per partition).
-    Returns the list of affected partition values.
-    """
-    cur = spark.read.parquet(root)
-    pcol = F.col(partition_col)
-    # the incoming rows feed three jobs (partition list, kept list, write): convert them once
-    new = new.persist(StorageLevel.MEMORY_AND_DISK)
-    if affected is None:
-        hit = cur.filter(delete_cond).select(partition_col)
-        affected = [r[0] for r in hit.union(new.select(partition_col)).distinct().collect()]
-    else:
-        new_parts = [r[0] for r in new.select(partition_col).distinct().collect()]
-        affected = list(affected) + new_parts
-    if not affected:
-        new.unpersist()
-        return []
-    dtype = cur.schema[partition_col].dataType
-    integral = isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-    affected = list(dict.fromkeys(int(a) if integral else a for a in affected))
-    survivors = cur.filter(pcol.isin(*[F.lit(a).cast(dtype) for a in affected]))
-    survivors = survivors.filter(~F.coalesce(delete_cond, F.lit(False)))
-    out = survivors.unionByName(new.select(*cur.columns))
-    kept = {r[0] for r in survivors.select(partition_col).union(new.select(partition_col)).distinct().collect()}
-    # REBALANCE lets AQE even out file sizes and split a hot partition across
-    # tasks (one sales group may hold a third of all rows).
-    (out.hint("rebalance", partition_col).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(root))
-    fs, _ = hadoop_fs(spark, root)
-    jvm = spark.sparkContext._jvm
-    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for a in affected:
-        if a not in kept:
-            # the folder name uses Spark's own escaping of partition values
-            value = str(a) if integral else ("__HIVE_DEFAULT_PARTITION__" if a is None else escape(str(a)))
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{partition_col}={value}"), True)
-    new.unpersist()
-    return affected
-
-
 def replace_groups_not_dd(spark: SparkSession, root: str, new: DataFrame, groups: list[str],
                           group_col: str = "sales_group_code", type_col: str = "record_type") -> list:
-    """K6: delete the file's groups except ``DD`` rows, then add the new rows."""
-    g = _group_lits(spark, root, group_col, groups)
-    cond = F.col(group_col).isin(*g) & (F.col(type_col) != F.lit(EXCLUDED_RECORD_TYPE))
-    return replace_partitions(spark, root, new, cond, group_col, affected=list(groups))
+    """K6: delete the file's groups except ``DD`` rows, then add the new rows.
+
+    Rows without a group belong to no file's groups and stay; rows without a
+    record type stay too (``record_type <> 'DD'`` is not true for them).
+    """
+    cond = F.col(group_col).isin(*_group_lits(spark, root, group_col, groups)) & (F.col(type_col) != F.lit(EXCLUDED_RECORD_TYPE))
+    return TB.replace(spark, root, new, cond, list(groups))
 
 
-def replace_dd(spark: SparkSession, root: str, new: DataFrame, group_col: str = "sales_group_code",
-               type_col: str = "record_type") -> list:
-    """K7: delete every ``DD`` row (all groups), then add the new rows."""
-    cond = F.col(type_col) == F.lit(EXCLUDED_RECORD_TYPE)
-    return replace_partitions(spark, root, new, cond, group_col)
+def replace_dd(spark: SparkSession, root: str, new: DataFrame, type_col: str = "record_type") -> list:
+    """K7: delete every ``DD`` row (all groups, those without a group too), then add the new rows."""
+    return TB.replace(spark, root, new, F.col(type_col) == F.lit(EXCLUDED_RECORD_TYPE))
 
 
-def replace_groups_expanded(spark: SparkSession, root: str, new: DataFrame, groups: list[str],
-                            group_col: str = "sales_group_code") -> list:
-    """K8: delete the (expanded) groups, then add the new rows."""
-    full = expand_groups(groups)
-    cond = F.col(group_col).isin(*_group_lits(spark, root, group_col, full))
-    return replace_partitions(spark, root, new, cond, group_col, affected=full)
+def replace_groups_expanded(spark: SparkSession, root: str, new: DataFrame, groups: list[str]) -> list:
+    """K8: drop the (expanded) groups whole, then add the new rows."""
+    return TB.replace(spark, root, new, None, expand_groups(groups))
 
 
 def _group_lits(spark: SparkSession, root: str, group_col: str, groups: list[str]) -> list[Column]:
     """Group names (text from a file name) as literals of the column's type, like SQL ``IN ('1')``."""
-    dtype = spark.read.parquet(root).schema[group_col].dataType
+    dtype = TB.manifest(spark, root).schema[group_col].dataType
     return [F.lit(g).cast(dtype) for g in groups]
 
 
 # --- K4: tolerant load -------------------------------------------------------------
 
 
-def typed_with_errors(raw: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> DataFrame:
+def typed_with_errors(raw: DataFrame, spec: TableSpec, keep: tuple[str, ...] = (), formats: dict[str, str] | None = None) -> DataFrame:
     """Convert every declared column; add ``_bad`` = any conversion failed.
 
     ``keep`` names extra columns carried through unchanged (e.g. the load unit).
+    ``formats``: the date pattern of each date column (C3's choice).
     """
     carried = [F.col(f"`{k}`") for k in keep if k not in spec.names]
     raw = rename_to_spec(raw, spec)
@@ -248,10 +194,12 @@ def typed_with_errors(raw: DataFrame, spec: TableSpec, keep: tuple[str, ...] = (
         r = F.col(f"`{actual}`")
         if kind == "int":
             v = to_int(r, large=c.family == "LARGEINT")
+        elif kind == "decimal":
+            v = to_decimal(r, spark_type(c.type))
         elif kind == "double":
             v = to_double(r)
         elif kind == "date":
-            v = to_date(r, "yyyy-MM-dd", c.family == "DATETIME")
+            v = to_date(r, (formats or {}).get(c.name, DATE_FORMATS[0][1]), c.family == "DATETIME")
         else:
             v = r
         # try_cast: a value that does not fit the declared type is a failed row
@@ -267,30 +215,35 @@ def typed_with_errors(raw: DataFrame, spec: TableSpec, keep: tuple[str, ...] = (
     return raw.select(*cols, *carried, flag.alias("_bad"))
 
 
+def chosen_formats(raw: DataFrame, spec: TableSpec) -> dict[str, str]:
+    """C3 for a load: the first date pattern within the limit, by column (the first listed if none is)."""
+    raw = rename_to_spec(raw, spec)
+    dates = [(c.name, actual) for c, actual, _, kind in _plan(raw, spec) if kind == "date"]
+    picked = choose_date_formats(raw, [a for _, a in dates]) if dates else {}
+    return {name: picked[a][1] for name, a in dates if picked[a]}
+
+
 @dataclass
 class LoadResult:
     status: DataFrame       # one row per load unit
-    loaded: DataFrame       # rows that were written
-    rejected: DataFrame     # rows that were filtered
-    _shared: DataFrame | None = None
-
-    def release(self) -> None:
-        if self._shared is not None:
-            self._shared.unpersist()
+    loaded: DataFrame       # rows to write
+    rejected: DataFrame     # all other rows, with ``reason``
 
 
 def tolerant_load(raw: DataFrame, spec: TableSpec, unit_col: str, max_ratio=MAX_FILTER_RATIO) -> LoadResult:
     """K4: filter failing rows; a unit with more than 10 % filtered rows loads nothing.
 
-    ``unit_col`` names the load unit (a file, a chunk, a sales group).  The
-    per-unit counts are one grouped aggregation; the loaded rows are the good
-    rows of units that passed (a semi join with the passing units, whose
-    number is the number of files, small and measured by AQE at run time).
+    ``unit_col`` names the load unit (a file, a chunk, a sales group); rows
+    without one form a unit of their own.  Every row is in ``loaded`` or in
+    ``rejected`` (reason ``bad_value``, or ``unit_failed`` for a good row of
+    a failed unit).  The converted rows are staged once as a table in the
+    shared folder, which all three results read.
     """
-    # Three consumers (unit counts, loaded rows, rejected rows) share one
-    # conversion pass: persist it (memory, spilling to disk; lost blocks are
-    # recomputed from lineage).  Call ``LoadResult.release()`` when done.
-    typed = typed_with_errors(raw, spec, keep=(unit_col,)).persist(StorageLevel.MEMORY_AND_DISK)
+    spark = raw.sparkSession
+    staged = typed_with_errors(raw, spec, keep=(unit_col,), formats=chosen_formats(raw, spec))
+    path = scratch_path(spark, "tolerant")
+    staged.write.parquet(path)
+    typed = spark.read.schema(staged.schema).parquet(path)
     a, b = max_ratio
     status = typed.groupBy(unit_col).agg(
         F.count(F.lit(1)).alias("total"),
@@ -304,10 +257,13 @@ def tolerant_load(raw: DataFrame, spec: TableSpec, unit_col: str, max_ratio=MAX_
         (F.col("filtered").cast("double") * 100.0 / F.col("total").cast("double")).alias("filtered_pct"),
         F.when(ok, F.lit("Success")).otherwise(F.lit("Failed")).alias("status"),
     )
-    passing = status.where(F.col("status") == "Success").select(unit_col)
-    loaded = typed.where(~F.col("_bad")).join(passing, unit_col, "left_semi").drop("_bad")
-    rejected = typed.where(F.col("_bad")).drop("_bad")
-    return LoadResult(status, loaded, rejected, typed)
+    passing = status.where(F.col("status") == "Success").select(F.col(unit_col).alias("_unit"), F.lit(True).alias("_ok"))
+    judged = typed.join(passing, F.col(unit_col).eqNullSafe(F.col("_unit")), "left").drop("_unit")
+    good = ~F.col("_bad") & F.col("_ok").isNotNull()
+    reason = F.when(F.col("_bad"), "bad_value").otherwise("unit_failed")
+    loaded = judged.where(good).drop("_bad", "_ok")
+    rejected = judged.where(~good).withColumn("reason", reason).drop("_bad", "_ok")
+    return LoadResult(status, loaded, rejected)
 
 
 def summarize(status: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleslake.operators.clean import (
-    DATE_FORMATS, ConversionError, date_format_choice, failed, to_date, to_double, to_int,
+    DATE_FORMATS, ConversionError, date_format_choice, to_date, to_decimal, to_double, to_int,
 )
 from saleslake.operators.project import data_family, rename_to_spec
 from saleslake.spec import (
@@ -55,7 +55,9 @@ def _plan(df: DataFrame, spec: TableSpec):
         kind = None
         if d == "VARCHAR" and t in INT_FAMILIES:
             kind = "int"
-        elif d == "VARCHAR" and t in ("FLOAT", "DOUBLE", "DECIMAL"):
+        elif d == "VARCHAR" and t == "DECIMAL":
+            kind = "decimal"
+        elif d == "VARCHAR" and t in ("FLOAT", "DOUBLE"):
             kind = "double"
         elif d == "VARCHAR" and t in ("DATE", "DATETIME"):
             kind = "date"
@@ -63,31 +65,40 @@ def _plan(df: DataFrame, spec: TableSpec):
     return out
 
 
-WIDE_THRESHOLD = 40   # above this many columns the profile runs in long form
+PROFILE_GROUP = 25  # columns profiled by one aggregate
 
 
 def profile(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """A2-A8 in one pass over the data; one row per declared column present in ``df``.
+    """A2-A8; one row per declared column present in ``df``, for tables of any width and size.
 
-    Narrow tables use one aggregate with a few buffers per column.  Wide
-    tables (hundreds of columns) would need thousands of aggregate buffers in
-    one generated class; they are unpivoted into ``(column, value)`` cells
-    instead and aggregated by column, so the generated code does not grow
-    with the width (see ``_profile_long``).
+    One aggregate with buffers for thousands of columns would outgrow
+    generated code, so columns are profiled in groups of ``PROFILE_GROUP``,
+    each by one aggregation that reads only its own columns (on Parquet the
+    groups together read every column once).  An aggregate without keys has a
+    row for an empty table, too.
     """
-    if len(_plan(df, spec)) > WIDE_THRESHOLD:
-        return _profile_long(df, spec)
-    return _profile_wide(df, spec)
+    plan = _plan(df, spec)
+    groups = [plan[i : i + PROFILE_GROUP] for i in range(0, len(plan), PROFILE_GROUP)] or [[]]
+    stacked = [_profile_group(df, g) for g in groups]
+    out = stacked[0]
+    for s in stacked[1:]:
+        out = out.unionByName(s)
+    return _finish(out)
+
 
+_STATS = ("column_name string, declared string, data_type string, nulls long, failed long, date_format string, max_len int, "
+          "declared_limit int, min_val string, max_val string, numeric_overflow boolean, has_time boolean, type_upgrade string")
 
-def _profile_wide(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """A2-A8 in one aggregation; one row per declared column present in ``df``.
+
+def _profile_group(df: DataFrame, plan: list) -> DataFrame:
+    """A2-A8 of some columns in one aggregation.
 
     A projection first computes each conversion once per row (``_v{i}``,
     ``_ok{i}_{k}``, ``_len{i}``); the aggregate then only counts, mins and
     maxes plain columns, so no expression is evaluated twice.
     """
-    plan = _plan(df, spec)
+    if not plan:
+        return df.sparkSession.createDataFrame([], f"n long, {_STATS}")
     pre = []
     aggs = [F.count(F.lit(1)).alias("n")]
     structs = []
@@ -107,8 +118,8 @@ def _profile_wide(df: DataFrame, spec: TableSpec) -> DataFrame:
             aggs += [F.count_if(~F.col(f"_null{i}") & v.isNull()).alias(f"f{i}"),
                      F.min(v).cast(_DEC).alias(f"mn{i}"), F.max(v).cast(_DEC).alias(f"mx{i}")]
             fail, mn, mx = F.col(f"f{i}"), F.col(f"mn{i}"), F.col(f"mx{i}")
-        elif kind == "double":
-            pre.append(to_double(raw).alias(f"_v{i}"))
+        elif kind in ("double", "decimal"):
+            pre.append((to_double(raw) if kind == "double" else to_decimal(raw, spark_type(c.type))).alias(f"_v{i}"))
             aggs.append(F.count_if(~F.col(f"_null{i}") & v.isNull()).alias(f"f{i}"))
             fail = F.col(f"f{i}")
         elif kind == "date":
@@ -151,8 +162,7 @@ def _profile_wide(df: DataFrame, spec: TableSpec) -> DataFrame:
             num_ovf.alias("numeric_overflow"), has_time.alias("has_time"), upgrade.alias("type_upgrade"),
         ))
     one = df.select(*pre).agg(*aggs)
-    stacked = one.select("n", F.inline(F.array(*structs)))
-    return _finish(stacked)
+    return one.select("n", F.inline(F.array(*structs)))
 
 
 def _finish(stacked: DataFrame) -> DataFrame:
@@ -172,129 +182,16 @@ def _finish(stacked: DataFrame) -> DataFrame:
     )
 
 
-def _fits_by_family(mn: Column, mx: Column, fam: Column, t_fam: str | None = None) -> Column:
-    """Range test where the family is a column value (long form)."""
-    expr = F.lit(True)
-    for name in reversed([f for f in INT_FAMILIES if INT_RANGES[f][0] is not None]):
-        expr = F.when(fam == F.lit(name), _fits(mn, mx, name)).otherwise(expr)
-    return expr
-
-
-def _upgrade_by_family(mn: Column, mx: Column, fam: Column) -> Column:
-    expr = F.lit(None).cast("string")
-    for name in INT_FAMILIES:
-        expr = F.when(fam == F.lit(name), _int_upgrade(mn, mx, name)).otherwise(expr)
-    return expr
-
-
-def _profile_long(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """The same profile for wide tables: unpivot to cells, aggregate by column.
+def issues(prof: DataFrame) -> DataFrame:
+    """The profile as a list of issues ``(column, issue, detail)``.
 
-    Each input row becomes one cell per declared column (a Generate), the
-    conversions run on the single ``txt`` field with constant-size
-    expressions, and a ``groupBy(column)`` with partial aggregation folds the
-    cells (one partial row per column per task).
+    ``type_mismatch``: text that is no number in a column declared numeric.
     """
-    plan = _plan(df, spec)
-    # Per-column constants live in small literal arrays indexed by the cell's
-    # column number; a cell carries only (index, null flag, text, number, time flag).
-    meta = {
-        "column_name": [c.name for c, _, _, _ in plan],
-        "declared": [c.type for c, _, _, _ in plan],
-        "data_type": [d for _, _, d, _ in plan],
-        "kind": [k or "" for _, _, _, k in plan],
-        "fam": [c.family for c, _, _, _ in plan],
-    }
-    limits = [c.limit for c, _, _, _ in plan]
-
-    def sql_str(v) -> str:
-        return "NULL" if v is None else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-    def lookup(name: str, idx: Column) -> Column:
-        # one JVM-side literal array per attribute, built from SQL text (one call, not one per value)
-        arr = F.expr("array(" + ", ".join(sql_str(v) for v in meta[name]) + ")")
-        return F.element_at(arr, idx + 1)
-
-    # The unpivot is written as one SQL ``stack`` expression: a single call to
-    # the JVM however wide the table is.
-    parts = []
-    for i, (c, actual, d, kind) in enumerate(plan):
-        q = "`" + actual.replace("`", "``") + "`"
-        t = c.family
-        txt = q if d == "VARCHAR" else (f"CAST({q} AS STRING)" if t == "VARCHAR" else "NULL")
-        num = f"CAST({q} AS BIGINT)" if (t in INT_FAMILIES and d in INT_FAMILIES) else "NULL"
-        dnum = f"CAST({q} AS DECIMAL(38,0))" if (t in INT_FAMILIES and d == "DECIMAL") else "NULL"
-        ht = f"({q} <> date_trunc('day', {q}))" if (t == "DATE" and d == "DATETIME") else "NULL"
-        parts.append(f"{i}, {q} IS NULL, CAST({txt} AS STRING), CAST({num} AS BIGINT), "
-                     f"CAST({dnum} AS DECIMAL(38,0)), CAST({ht} AS BOOLEAN)")
-    long = df.selectExpr(f"stack({len(plan)}, {', '.join(parts)}) AS (idx, is_null, txt, num, dnum, ht)")
-    idx = F.col("idx")
-    txt, kind, fam = F.col("txt"), lookup("kind", idx), lookup("fam", idx)
-    present = ~F.col("is_null")
-    large = fam == "LARGEINT"
-    v_long = F.when((kind == "int") & ~large, to_int(txt))
-    v_dec = F.when((kind == "int") & large, to_int(txt, large=True))
-    int_fail = (kind == "int") & present & F.when(large, v_dec.isNull()).otherwise(v_long.isNull())
-    conv_fail = int_fail | ((kind == "double") & present & to_double(txt).isNull())
-    date_bad = [(kind == "date") & present & to_date(txt, p).isNull() for _, p in DATE_FORMATS]
-    keyed = long.select(
-        "idx", "is_null", "ht",
-        conv_fail.alias("conv_fail"), F.coalesce(v_long, F.col("num")).alias("v"),
-        F.coalesce(v_dec, F.col("dnum")).alias("vd"),
-        F.when(fam == "VARCHAR", F.length(txt)).alias("len"),
-        *[b.alias(f"bad{k}") for k, b in enumerate(date_bad)],
-    )
-    agg = keyed.groupBy("idx").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("is_null")).alias("nulls"),
-        F.count_if(F.col("conv_fail")).alias("cf"),
-        F.min("v").alias("mn_l"), F.max("v").alias("mx_l"),
-        F.min("vd").alias("mn_d"), F.max("vd").alias("mx_d"),
-        F.max("len").alias("max_len"),
-        F.bool_or(F.col("ht")).alias("ht"),
-        *[F.count_if(F.col(f"bad{k}")).alias(f"f{k}") for k in range(len(DATE_FORMATS))],
-    )
-    agg = agg.select(
-        "*",
-        F.coalesce(F.col("mn_l").cast(_DEC), F.col("mn_d")).alias("mn"),
-        F.coalesce(F.col("mx_l").cast(_DEC), F.col("mx_d")).alias("mx"),
-    )
-    g = agg.select(
-        "*", *[lookup(k, idx).alias(k) for k in meta],
-        F.element_at(F.expr("array(" + ", ".join("CAST(NULL AS INT)" if v is None else str(v) for v in limits) + ")"),
-                     idx + 1).alias("declared_limit"),
-    )
-    fails = [F.col(f"f{k}") for k in range(len(DATE_FORMATS))]
-    choice = date_format_choice(fails, F.col("n"))
-    is_date = F.col("kind") == "date"
-    fmt = F.when(is_date, F.element_at(F.array(*[F.lit(lbl) for lbl, _ in DATE_FORMATS]), choice + 1))
-    failed_col = (F.when(is_date, F.coalesce(F.element_at(F.array(*fails), choice + 1), F.col("n") - F.col("nulls")))
-                  .otherwise(F.col("cf")))
-    mn, mx = F.col("mn"), F.col("mx")
-    is_int = F.col("fam").isin(*INT_FAMILIES)
-    num_ovf = F.when(is_int, F.coalesce(~_fits_by_family(mn, mx, F.col("fam")), F.lit(False))).otherwise(F.lit(False))
-    has_time = F.when((F.col("fam") == "DATE") & (F.col("data_type") == "DATETIME"), F.coalesce(F.col("ht"), F.lit(False)))
-    upgrade = (
-        F.when(is_int & num_ovf, _upgrade_by_family(mn, mx, F.col("fam")))
-        .when((F.col("fam") == "FLOAT") & ((F.col("data_type") == "DOUBLE") | (F.col("kind") == "double")), F.lit("DOUBLE"))
-        .when((F.col("fam") == "DATE") & (F.col("data_type") == "DATETIME") & has_time, F.lit("DATETIME"))
-    )
-    stacked = g.select(
-        "n", "column_name", "declared", "data_type", "nulls", failed_col.cast("long").alias("failed"),
-        fmt.alias("date_format"), F.col("max_len").cast("int").alias("max_len"), "declared_limit",
-        mn.cast("string").alias("min_val"), mx.cast("string").alias("max_val"),
-        num_ovf.alias("numeric_overflow"), has_time.alias("has_time"), upgrade.alias("type_upgrade"),
-    )
-    return _finish(stacked)
-
-
-def issues(prof: DataFrame) -> DataFrame:
-    """The profile as a list of issues ``(column, issue, detail)``."""
     detail_v = F.concat(F.lit("max "), F.col("max_len").cast("string"), F.lit(" > "), F.col("declared_limit").cast("string"))
     detail_n = F.concat(F.lit("["), F.col("min_val"), F.lit(", "), F.col("max_val"), F.lit("] outside "), F.col("declared"))
     detail_f = F.concat(F.col("failed").cast("string"), F.lit(" of "), F.col("n").cast("string"))
     num_decl = F.upper(F.split_part(F.col("declared"), F.lit("("), F.lit(1)))
-    mismatch = (F.col("data_type") == "VARCHAR") & num_decl.isin(*_NUMERIC, "INTEGER") & F.col("failed").isNull()
+    mismatch = (F.col("data_type") == "VARCHAR") & num_decl.isin(*_NUMERIC, "INTEGER") & (F.col("failed") > 0)
     items = F.array(
         F.struct(F.lit("varchar_overflow").alias("issue"), F.when(F.col("varchar_overflow"), detail_v).alias("detail")),
         F.struct(F.lit("numeric_overflow").alias("issue"), F.when(F.col("numeric_overflow"), detail_n).alias("detail")),
@@ -309,29 +206,26 @@ def issues(prof: DataFrame) -> DataFrame:
     return prof.select("column_name", F.inline(items)).where(F.col("detail").isNotNull())
 
 
-def clean_table(df: DataFrame, spec: TableSpec, policy: str = "raise") -> tuple[DataFrame, DataFrame]:
-    """C5 + C6: rename, convert every string column to its declared type.
+POLICIES = ("raise", "widen", "quarantine")
 
-    ``policy``: ``raise`` (conversion over the limit, missing date format or
-    numeric overflow raise; VARCHAR overflow is only reported), or ``widen``
-    (numeric overflow casts to the proposed wider type instead).
-    Returns ``(typed frame in table order, profile frame)``.
-    """
+
+def _decided(df: DataFrame, spec: TableSpec, policy: str):
+    """(renamed frame, profile, errors, [(column, incoming, converted)]) of a clean under ``policy``."""
+    if policy not in POLICIES:
+        raise ValueError(f"policy is one of {POLICIES}, not {policy!r}")
     df = rename_to_spec(df, spec)
     prof_lazy = profile(df, spec)
     rows = prof_lazy.collect()          # one row per declared column
-    prof = df.sparkSession.createDataFrame(rows, prof_lazy.schema) if rows else prof_lazy
+    prof = df.sparkSession.createDataFrame(rows, prof_lazy.schema)
     by_col = {r["column_name"]: r for r in rows}
     errors = []
     for r in rows:
-        if r["over_limit"]:
+        if r["over_limit"] and policy != "quarantine":
             errors.append(f"{r['column_name']}: {r['failed']} of {r['n']} values failed conversion")
         if r["data_type"] == "VARCHAR" and spec.column(r["column_name"]).family in ("DATE", "DATETIME") and r["date_format"] is None:
             errors.append(f"{r['column_name']}: no date format fits")
-        if r["numeric_overflow"] and policy != "widen":
+        if r["numeric_overflow"] and policy == "raise":
             errors.append(f"{r['column_name']}: values [{r['min_val']}, {r['max_val']}] overflow {r['declared']}")
-    if errors and policy in ("raise", "widen"):
-        raise ConversionError("; ".join(errors))
     cols = []
     for c, actual, d, kind in _plan(df, spec):
         raw = F.col(f"`{actual}`")
@@ -341,12 +235,47 @@ def clean_table(df: DataFrame, spec: TableSpec, policy: str = "raise") -> tuple[
             target = spark_type(r["proposed"])
         if kind == "int":
             e = to_int(raw, large=isinstance(target, T.DecimalType))
+        elif kind == "decimal":
+            e = to_decimal(raw, target)
         elif kind == "double":
             e = to_double(raw)
-        elif kind == "date":
-            choice = [lbl for lbl, _ in DATE_FORMATS].index(r["date_format"])
-            e = to_date(raw, DATE_FORMATS[choice][1], c.family == "DATETIME")
+        elif kind == "date" and r["date_format"] is not None:
+            e = to_date(raw, dict(DATE_FORMATS)[r["date_format"]], c.family == "DATETIME")
         else:
             e = raw
-        cols.append(e.cast(target).alias(c.name))
-    return df.select(*cols), prof
+        cols.append((c, raw, (e.try_cast(target) if policy == "quarantine" else e.cast(target)).alias(c.name)))
+    return df, prof, errors, cols
+
+
+def clean_table(df: DataFrame, spec: TableSpec, policy: str = "raise") -> tuple[DataFrame, DataFrame]:
+    """C5 + C6: rename, convert every string column to its declared type.
+
+    ``policy``: ``raise`` (conversion over the limit, missing date format or
+    numeric overflow raise; VARCHAR overflow is only reported), or ``widen``
+    (numeric overflow casts to the proposed wider type instead).  For
+    ``quarantine`` see ``clean_quarantine``.
+    Returns ``(typed frame in table order, profile frame)``.
+    """
+    if policy == "quarantine":
+        raise ValueError("clean_quarantine returns the rejected rows as well")
+    df, prof, errors, cols = _decided(df, spec, policy)
+    if errors:
+        raise ConversionError("; ".join(errors))
+    return df.select(*[e for _, _, e in cols]), prof
+
+
+def clean_quarantine(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """C6 quarantine: rows with a value that does not convert or fit go aside.
+
+    Returns ``(typed good rows, incoming bad rows with ``failed_columns``,
+    profile)``; every row is in one of the first two.  A column without a
+    usable date format still raises: no row of it could pass.
+    """
+    df, prof, errors, cols = _decided(df, spec, "quarantine")
+    if errors:
+        raise ConversionError("; ".join(errors))
+    lost = [F.when(raw.isNotNull() & e.isNull(), F.lit(c.name)) for c, raw, e in cols]
+    lost += [F.when(e.isNull() & raw.isNull(), F.lit(c.name)) for c, raw, e in cols if not c.nullable]
+    marked = df.withColumn("failed_columns", F.filter(F.array(*lost), lambda x: x.isNotNull()))
+    good = marked.where(F.size("failed_columns") == 0).select(*[e for _, _, e in cols])
+    return good, marked.where(F.size("failed_columns") > 0), prof

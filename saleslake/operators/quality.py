@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleslake.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
+from saleslake.operators import table as TB
 
 DELETE_OP = "D"
 
@@ -37,17 +37,18 @@ def merge_upsert(target: DataFrame, changes: DataFrame, key: str, seq: str = "se
 
 
 def recon_counts(source: DataFrame, target: DataFrame, group_cols: list[str]) -> DataFrame:
-    """Rows per group in source and target, side by side (full outer join of two aggregates)."""
-    s = source.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("source_rows"))
-    t = target.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("target_rows"))
-    j = s.join(t, group_cols, "full_outer")
-    src = F.coalesce(F.col("source_rows"), F.lit(0)).cast("long")
-    tgt = F.coalesce(F.col("target_rows"), F.lit(0)).cast("long")
-    status = (F.when(F.col("source_rows").isNull(), "missing_in_source")
-              .when(F.col("target_rows").isNull(), "missing_in_target")
-              .when(src == tgt, "match").otherwise("mismatch"))
-    return j.select(*group_cols, src.alias("source_rows"), tgt.alias("target_rows"),
-                    (src - tgt).alias("diff"), status.alias("status"))
+    """Rows per group in source and target, side by side.
+
+    One aggregation over both sides, so a NULL group is one group like any other.
+    """
+    both = source.select(*group_cols, F.lit(1).alias("_s"), F.lit(0).alias("_t")).unionByName(
+        target.select(*group_cols, F.lit(0).alias("_s"), F.lit(1).alias("_t")))
+    j = both.groupBy(*group_cols).agg(F.sum("_s").alias("source_rows"), F.sum("_t").alias("target_rows"))
+    status = (F.when(F.col("source_rows") == 0, "missing_in_source")
+              .when(F.col("target_rows") == 0, "missing_in_target")
+              .when(F.col("source_rows") == F.col("target_rows"), "match").otherwise("mismatch"))
+    return j.select(*group_cols, "source_rows", "target_rows",
+                    (F.col("source_rows") - F.col("target_rows")).alias("diff"), status.alias("status"))
 
 
 def recon_duplicates(df: DataFrame, key_cols: list[str]) -> DataFrame:
@@ -57,27 +58,24 @@ def recon_duplicates(df: DataFrame, key_cols: list[str]) -> DataFrame:
 
 def recon_missing_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                        left_name: str = "left", right_name: str = "right") -> DataFrame:
-    """Referential integrity both ways (two anti joins on de-duplicated keys)."""
-    lk = left.select(F.col(left_key).alias("key")).distinct()
-    rk = right.select(F.col(right_key).alias("key")).distinct()
+    """Referential integrity both ways (two anti joins on de-duplicated keys; NULL is no key)."""
+    lk = left.select(F.col(left_key).alias("key")).where("key IS NOT NULL").distinct()
+    rk = right.select(F.col(right_key).alias("key")).where("key IS NOT NULL").distinct()
     a = lk.join(rk, "key", "left_anti").select("key", F.lit(f"missing_in_{right_name}").alias("side"))
     b = rk.join(lk, "key", "left_anti").select("key", F.lit(f"missing_in_{left_name}").alias("side"))
     return a.unionByName(b)
 
 
-def enrich(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, cols: list[str],
-           max_broadcast_rows: int | None = None) -> DataFrame:
+def enrich(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, cols: list[str]) -> DataFrame:
     """Left join of facts with dimension attributes.
 
-    The dimension is broadcast only behind a row-count check; a larger one
-    stays a shuffle join.  Dimension keys are de-duplicated first so a
-    duplicate master row can never multiply fact rows.
+    Of several master rows with one key the smallest (by ``cols`` in order,
+    NULL first) gives the attributes, so a duplicate neither multiplies facts nor makes the
+    result depend on the run; ``recon_duplicates`` reports them.  The join
+    strategy is left to the measured sizes (autoBroadcastJoinThreshold, AQE).
     """
-    raw = dim.select(F.col(dim_key).alias("_k"), *cols)
-    d = raw.dropDuplicates(["_k"])
-    # the raw dimension bounds the de-duplicated one, and counting it needs no shuffle
-    limit = max_broadcast_rows or MAX_BROADCAST_ROWS
-    d = broadcast_if_small(d, limit, bound_by=raw.select("_k"))
+    d = dim.groupBy(F.col(dim_key).alias("_k")).agg(F.min(F.struct(*cols)).alias("_d"))
+    d = d.select("_k", *[F.col(f"_d.{c}").alias(c) for c in cols])
     return fact.join(d, fact[fact_key] == d["_k"], "left").drop("_k")
 
 
@@ -92,25 +90,19 @@ def rollup_report(df: DataFrame, dims: list[str], value_col: str) -> DataFrame:
 
 def merge_partitions(spark, root: str, changes: DataFrame, key: str, partition_col: str,
                      seq: str = "seq", op: str = "op") -> list:
-    """N1 on a partitioned table: rewrite only the partitions the changes touch.
+    """N1 on a published table: rewrite only the partitions that hold a changed key.
 
-    Touched partitions are those of the new values *and* the current
-    partitions of the changed keys (a key may move); the latter is found by a
-    semi join that reads only the key and partition columns.  The touched
-    partitions are merged and written back with dynamic partition overwrite;
-    one that ends up empty is removed.  Returns the touched partition values.
+    The current partitions of the changed keys are found by a semi join that
+    reads only the key and the partition column; their rows are merged with
+    the newest changes and published in one step.  A changed row whose new
+    partition holds no changed key is simply added there.  Returns the
+    changed partitions as text.
     """
-    from saleslake.operators.load import replace_partitions
-
-    target = spark.read.parquet(root)
+    target = TB.read_table(spark, root)
     latest = latest_changes(changes, key, seq)
-    moved_from = target.select(key, partition_col).join(latest.select(key), key, "left_semi").select(partition_col)
-    touched = [r[0] for r in latest.where(F.col(op) != F.lit(DELETE_OP)).select(partition_col)
-               .union(moved_from).distinct().collect()]
-    if not touched:
-        return []
-    dtype = target.schema[partition_col].dataType
-    part = target.filter(F.col(partition_col).isin(*[F.lit(t).cast(dtype) for t in touched]))
+    holds = target.select(key, partition_col).join(latest.select(key), key, "left_semi")
+    touched = [r[0] for r in holds.select(partition_col).distinct().collect()]  # at most one row per partition
+    keys = [TB.partition_key(target.schema, partition_col, t) for t in touched]
+    part = TB.read_table(spark, root, keys) if keys else target.limit(0)
     merged = merge_upsert(part, latest, key, seq, op)
-    # replace_partitions with an always-true condition = overwrite the touched partitions with ``merged``
-    return replace_partitions(spark, root, merged, F.lit(True), partition_col, affected=touched)
+    return TB.replace(spark, root, merged, None, touched)

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from saleslake.functions.arrays import drop_adjacent_repeats, join_path, non_empty
 from saleslake.functions.scalar import email_path_id
-from saleslake.operators.joins import broadcast_if_small
 
 # --- fixed values -------------------------------------------------------------
 TXN_MARKER = "Sales Hierarchy"          # txn_type must contain this text
@@ -106,16 +105,22 @@ def user_groups(rls: DataFrame, users: DataFrame, email_col: str = "email") -> D
     return u.join(m, "member_id", "inner").select("email", "sales_group").distinct()
 
 
-def secured_fact(fact: DataFrame, allowed: DataFrame, group_col: str = "sales_group_code",
-                 max_grant_rows: int = 1_000_000) -> DataFrame:
-    """Fact rows joined to the ``(email, sales_group)`` grants of the users.
+def secured_fact(fact: DataFrame, rls: DataFrame, email: str, group_col: str = "sales_group_code") -> DataFrame:
+    """The fact rows that one caller may see (a left semi join with the caller's sales groups)."""
+    caller = rls.sparkSession.createDataFrame([(email,)], "email string")
+    groups = user_groups(rls, caller).select(F.col("sales_group").alias(group_col))
+    return fact.join(groups, group_col, "left_semi")
 
-    The grants (users x groups) are broadcast only after a row-count check;
-    beyond the bound the join stays a shuffle join, where AQE splits the
-    partitions of a hot sales group (skew join).
+
+def secured_totals(fact: DataFrame, grants: DataFrame, value_col: str, group_col: str = "sales_group_code") -> DataFrame:
+    """N6 for all callers: rows and total of what each may see.
+
+    The fact is summed by sales group first, so the join with the grants
+    works on groups, not on facts times users.
     """
-    g = allowed.select("email", F.col("sales_group").alias(group_col))
-    return fact.join(broadcast_if_small(g, max_grant_rows), group_col, "inner")
+    per_group = fact.groupBy(F.col(group_col).alias("sales_group")).agg(F.count(F.lit(1)).alias("n"), F.sum(value_col).alias("v"))
+    return grants.select("email", "sales_group").join(per_group, "sales_group").groupBy("email").agg(
+        F.sum("n").alias("n_rows"), F.round(F.sum("v"), 2).alias("total"))
 
 
 def publish_rls(hier: DataFrame, root: str) -> int:

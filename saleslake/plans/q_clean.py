@@ -83,7 +83,7 @@ def _d_rate_rows() -> str:
         fails = [f"f_{c}_{k}" for k in range(len(DUCK_DATE_FORMATS))]
         k = d_choice(fails)
         fmt = "(CASE " + k + " " + " ".join(f"WHEN {i + 1} THEN '{f}'" for i, f in enumerate(DUCK_DATE_FORMATS)) + " END)"
-        pick = "(CASE " + k + " " + " ".join(f"WHEN {i + 1} THEN {f}" for i, f in enumerate(fails)) + " ELSE n END)"
+        pick = "(CASE " + k + " " + " ".join(f"WHEN {i + 1} THEN {f}" for i, f in enumerate(fails)) + f" ELSE n - z_{c} END)"
         parts.append(f"SELECT '{c}', 'DATE', n, z_{c}, {pick}, {fmt} FROM s")
     return "\nUNION ALL\n".join(parts)
 
@@ -269,6 +269,7 @@ def _d_issues() -> str:
             rows.append(f"SELECT '{c.name}', 'type_upgrade', CASE WHEN {up} IS NOT NULL THEN '{c.type} -> ' || {up} END FROM r")
             rows.append(f"SELECT '{c.name}', 'conversion_failures', CASE WHEN {d_failed(raw, d_to_int(raw))} * 10 > count(*) "
                         f"THEN CAST({d_failed(raw, d_to_int(raw))} AS VARCHAR) || ' of ' || CAST(count(*) AS VARCHAR) END FROM r")
+            rows.append(f"SELECT '{c.name}', 'type_mismatch', CASE WHEN {d_failed(raw, d_to_int(raw))} > 0 THEN '{c.type}' END FROM r")
         elif fam == "VARCHAR":
             ml = f"max(length({raw}))"
             rows.append(f"SELECT '{c.name}', 'varchar_overflow', CASE WHEN {ml} > {c.limit} THEN 'max ' || CAST({ml} AS VARCHAR) "
@@ -279,6 +280,7 @@ def _d_issues() -> str:
             f = d_failed(raw, d_to_double(raw))
             rows.append(f"SELECT '{c.name}', 'conversion_failures', CASE WHEN {f} * 10 > count(*) "
                         f"THEN CAST({f} AS VARCHAR) || ' of ' || CAST(count(*) AS VARCHAR) END FROM r")
+            rows.append(f"SELECT '{c.name}', 'type_mismatch', CASE WHEN {f} > 0 THEN '{c.type}' END FROM r")
             if fam == "FLOAT":
                 rows.append(f"SELECT '{c.name}', 'type_upgrade', '{c.type} -> DOUBLE'")
         elif fam == "DATE":
@@ -335,6 +337,69 @@ def _d_wide() -> str:
     return f"WITH w AS ({S.WIDE_SQL})\n" + "\nUNION ALL\n".join(rows)
 
 
+@query("profile_empty_table", "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS column_name, '{k}' AS declared, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS failed, CAST(NULL AS VARCHAR) AS proposed"
+    for n, k, _ in S.wide_exprs()))
+def q_profile_empty_table(spark, sf):
+    """a wide table without rows still has a profile row for every column, and cleans."""
+    none = S.wide(spark, sf).where("w000 IS NULL AND w000 IS NOT NULL")
+    typed, prof = P.clean_table(none, SP.wide_spec())
+    if typed.columns != SP.wide_spec().names:
+        raise AssertionError("columns lost")
+    return prof.select("column_name", "declared", "n", "failed", "proposed")
+
+
+_DEC_TEXT = "CAST(p_partkey AS STRING) || '2345678901234567.' || lpad(CAST(p_partkey % 10000 AS STRING), 10, '1')"
+
+
+@query(
+    "clean_decimal",
+    f"SELECT p_partkey, CAST(CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE {_DEC_TEXT} END AS DECIMAL(38,10)) AS amount FROM part",
+)
+def q_clean_decimal(spark, sf):
+    """C2 for exact types: all 38 digits of the text arrive."""
+    text = S.read(spark, sf, "part").selectExpr("CAST(p_partkey AS STRING) AS partkey", f"CASE WHEN p_partkey % 11 = 0 THEN 'n/a' ELSE {_DEC_TEXT} END AS amount")
+    typed, _ = P.clean_table(text, SP.DECIMALS)
+    return typed.select(F.col("part_key").alias("p_partkey"), "amount")
+
+
+def _d_quarantine() -> str:
+    lost = []
+    for c in SP.FACT_LINES.columns:
+        raw, fam = c.incoming(), c.family
+        name = {"BIGINT": "BIGINT", "INT": "INTEGER", "SMALLINT": "SMALLINT", "TINYINT": "TINYINT"}.get(fam)
+        if name:
+            conv = f"TRY_CAST({d_to_int(raw)} AS {name})"
+        elif fam in ("DOUBLE", "FLOAT"):
+            conv = f"TRY_CAST({d_to_double(raw)} AS {fam})"
+        elif fam == "DATE":
+            conv = f"try_strptime({raw}, '%Y-%m-%d')"
+        else:
+            continue
+        lost.append(f"CASE WHEN {raw} IS NOT NULL AND {conv} IS NULL THEN '{c.name}' END")
+    return (f"WITH {_R} SELECT invoicekey AS k, array_to_string(list_filter([{', '.join(lost)}], lambda x: x IS NOT NULL), ',') "
+            "AS failed_columns FROM r")
+
+
+@query("clean_quarantine", _d_quarantine())
+def q_clean_quarantine(spark, sf):
+    """Every row is converted or set aside with the columns that failed."""
+    good, bad, _ = P.clean_quarantine(S.raw_lines(spark, sf), SP.FACT_LINES)
+    return good.select(F.col("invoice_key").cast("string").alias("k"), F.lit("").alias("failed_columns")).unionByName(
+        bad.select(F.col("invoice_key").alias("k"), F.array_join("failed_columns", ",").alias("failed_columns")))
+
+
+@query("clean_soft_applied", f"""WITH {_R}, f AS (SELECT {d_failed('quantity', d_to_int('quantity'))} AS q, {d_failed('linenumber', d_to_int('linenumber'))} AS l,
+  {d_failed('value', d_to_double('value'))} AS v, {d_failed('discount', d_to_double('discount'))} AS d FROM r)
+SELECT invoicekey, CASE WHEN q > 0 THEN quantity ELSE CAST({d_to_int('quantity')} AS VARCHAR) END AS quantity,
+       {d_to_int('linenumber')} AS linenumber, CASE WHEN v > 0 THEN value ELSE CAST({d_to_double('value')} AS VARCHAR) END AS value,
+       {d_to_double('discount')} AS discount, CAST(try_strptime(shipdate, '%Y-%m-%d') AS DATE) AS shipdate FROM r, f""")
+def q_clean_soft_applied(spark, sf):
+    """C4 applied: columns that convert without loss are converted, the others stay text."""
+    cols = ["invoicekey", "quantity", "linenumber", "value", "discount", "shipdate"]
+    return C.soft_convert(S.raw_lines(spark, sf).select(*cols), ("quantity", "linenumber"), ("value", "discount"), ("shipdate",))
+
+
 @query("profile_wide_table", _d_wide())
 def q_profile_wide_table(spark, sf):
     """A2-A8 over a 200-column all-string table in one aggregation pass."""

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from saleslake.operators import load as L
+from saleslake.operators import table as TB
 from saleslake.plans import specs as SP
 from saleslake.plans import standins as S
 from saleslake.plans.oracle_parts import d_to_double, d_to_int
 from saleslake.plans.registry import query
-from saleslake.session import scratch_path
+from saleslake.session import hadoop_fs, scratch_path
 from saleslake.sources import files as SRC
 
 # --- round trips ---------------------------------------------------------------
@@ -46,7 +47,7 @@ def q_src_parquet(spark, sf):
     # Nested folders at different depths, discovered recursively.
     L.write_parquet(o.where("o_orderstatus = 'F'"), f"{root}/a")
     L.write_parquet(o.where("o_orderstatus <> 'F' OR o_orderstatus IS NULL"), f"{root}/b/deeper")
-    return SRC.read_parquet(spark, root, recursive=True, min_partitions=0)
+    return SRC.read_parquet(spark, root, recursive=True)
 
 
 def _csv_roundtrip(spark, sf, compression: str | None):
@@ -89,6 +90,15 @@ def q_load_full_refresh(spark, sf):
 _CUT = S.CUTOFF_YMD
 _SECONDARY_FILE = "FactInvoiceSecondary_1_2_3_4"     # group 4 is named but has no new rows
 _SECONDARY_NEW_GROUPS = (1, 2, 3)
+_D_NEW = f"(sales_group_code IN ({', '.join(map(str, _SECONDARY_NEW_GROUPS))}) OR sales_group_code IS NULL)"
+
+
+def _new_rows(f: DataFrame) -> DataFrame:
+    """What the new file brings: some groups, and rows that have none."""
+    g = F.col("sales_group_code")
+    return f.where((F.col("ship_ymd") >= _CUT) & (g.isin(*_SECONDARY_NEW_GROUPS) | g.isNull()))
+
+
 _DD_FILE = "FactInvoiceSecondary_DD"
 _DETAILS_FILE = "FactInvoiceDetails_107_112"
 
@@ -116,8 +126,7 @@ def _d_summary(final_sql: str) -> str:
 def _seed_fact(spark, sf, group_expr=S.SECONDARY_GROUP):
     f = S.facts(spark, sf, group_expr)
     root = scratch_path(spark, "fact")
-    L.write_parquet(f.where(F.col("ship_ymd") < _CUT), root,
-                    partition_by=("sales_group_code",))
+    TB.create(f.where(F.col("ship_ymd") < _CUT), root, "sales_group_code")
     return f, root
 
 
@@ -129,13 +138,12 @@ def _in(vals) -> str:
     "load_append",
     _d_summary(f"""WITH f AS ({S.fact_sql(S.SECONDARY_GROUP)}),
 fin AS (SELECT * FROM f WHERE ship_ymd < {_CUT}
-        UNION ALL SELECT * FROM f WHERE ship_ymd >= {_CUT} AND sales_group_code IN ({_in(_SECONDARY_NEW_GROUPS)}))"""),
+        UNION ALL SELECT * FROM f WHERE ship_ymd >= {_CUT})"""),
 )
 def q_load_append(spark, sf):
     f, root = _seed_fact(spark, sf)
-    new = f.where((F.col("ship_ymd") >= _CUT) & F.col("sales_group_code").isin(*_SECONDARY_NEW_GROUPS))
-    L.append(new, root, partition_by=("sales_group_code",))
-    return _summary(spark.read.parquet(root))
+    L.append(f.where(F.col("ship_ymd") >= _CUT), root)
+    return _summary(TB.read_table(spark, root))
 
 
 @query(
@@ -143,13 +151,12 @@ def q_load_append(spark, sf):
     _d_summary(f"""WITH f AS ({S.fact_sql(S.SECONDARY_GROUP)}),
 fin AS (SELECT * FROM f WHERE ship_ymd < {_CUT}
           AND NOT coalesce(sales_group_code IN ({_in(_groups(_SECONDARY_FILE))}) AND record_type <> 'DD', FALSE)
-        UNION ALL SELECT * FROM f WHERE ship_ymd >= {_CUT} AND sales_group_code IN ({_in(_SECONDARY_NEW_GROUPS)}))"""),
+        UNION ALL SELECT * FROM f WHERE ship_ymd >= {_CUT} AND {_D_NEW})"""),
 )
 def q_load_replace_groups_not_dd(spark, sf):
     f, root = _seed_fact(spark, sf)
-    new = f.where((F.col("ship_ymd") >= _CUT) & F.col("sales_group_code").isin(*_SECONDARY_NEW_GROUPS))
-    L.replace_groups_not_dd(spark, root, new, _groups(_SECONDARY_FILE))
-    return _summary(spark.read.parquet(root))
+    L.replace_groups_not_dd(spark, root, _new_rows(f), _groups(_SECONDARY_FILE))
+    return _summary(TB.read_table(spark, root))
 
 
 @query(
@@ -162,10 +169,14 @@ def q_load_replace_dd(spark, sf):
     f, root = _seed_fact(spark, sf)
     new = f.where((F.col("ship_ymd") >= _CUT) & (F.col("record_type") == "DD"))
     L.replace_dd(spark, root, new)
-    return _summary(spark.read.parquet(root))
+    return _summary(TB.read_table(spark, root))
 
 
-_DETAIL_GROUPS = L.expand_groups(_groups(_DETAILS_FILE))
+# K8's list, written out for the oracle (the operator has its own)
+_DETAIL_GROUPS = (
+    107, 112, 101, 203, 204, 202, 205, 302, 303, 304, 408, 409, 402, 403, 407, 451, 452, 453, 454, 455, 456, 457, 501, 502,
+    503, 504, 505, 506, 508, 509, 601, 602, 604, 956, 957, 961, 949, 951, 958, 959, 960,
+)
 
 
 @query(
@@ -178,7 +189,7 @@ def q_load_replace_groups_expanded(spark, sf):
     f, root = _seed_fact(spark, sf, S.DETAILS_GROUP)
     new = f.where((F.col("ship_ymd") >= _CUT) & F.col("sales_group_code").isin(107, 112))
     L.replace_groups_expanded(spark, root, new, _groups(_DETAILS_FILE))
-    return _summary(spark.read.parquet(root))
+    return _summary(TB.read_table(spark, root))
 
 
 # --- K4 tolerance and A9 summary ------------------------------------------------------
@@ -212,21 +223,36 @@ FROM g"""
 
 
 def _tolerance(spark, sf):
+    """Load the lines and write both results; (status, all rows read back with ``outcome``)."""
     raw = S.raw_lines(spark, sf)
     res = L.tolerant_load(raw, _LOAD_SPEC, "sales_group_code")
-    root = scratch_path(spark, "tolerant")
-    status = res.status.persist()
-    status.count()
-    L.write_parquet(res.loaded, root, partition_by=("sales_group_code",))
-    L.write_parquet(res.rejected, root + "_rejects")
-    res.release()
-    return status, root
+    root = scratch_path(spark, "tolerant_out")
+    L.write_parquet(res.loaded, f"{root}/loaded", partition_by=("line_status",))
+    L.write_parquet(res.rejected, f"{root}/rejected")
+    loaded = spark.read.parquet(f"{root}/loaded").withColumn("outcome", F.lit("loaded"))
+    rejected = spark.read.parquet(f"{root}/rejected").withColumnRenamed("reason", "outcome")
+    return res.status, loaded.unionByName(rejected)
 
 
 @query("load_error_tolerance", _d_tolerance_status())
 def q_load_error_tolerance(spark, sf):
-    status, _ = _tolerance(spark, sf)
-    return status
+    """The status of each unit (rows without a group are one), checked against what was written."""
+    status, rows = _tolerance(spark, sf)
+    n = rows.groupBy(F.col("sales_group_code").alias("_g")).agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col("outcome") == "loaded").alias("_l"))
+    both = status.join(n, F.col("sales_group_code").eqNullSafe(F.col("_g")), "left")
+    return both.select("sales_group_code", F.col("_n").alias("total"), F.col("_l").alias("loaded"), "filtered", "filtered_pct", "status")
+
+
+@query(
+    "load_tolerance_rows",
+    _d_tolerance_status().split("g AS (SELECT")[0].replace("t AS (SELECT", f"t AS (SELECT CAST({d_to_int('invoicekey')} AS BIGINT) AS invoice_key,") + """
+g AS (SELECT sales_group_code, count(*) FILTER (WHERE bad) * 10 <= count(*) AS ok FROM t GROUP BY 1)
+SELECT invoice_key, t.sales_group_code, CASE WHEN bad THEN 'bad_value' WHEN ok THEN 'loaded' ELSE 'unit_failed' END AS outcome
+FROM t JOIN g ON t.sales_group_code IS NOT DISTINCT FROM g.sales_group_code""",
+)
+def q_load_tolerance_rows(spark, sf):
+    """K4: every row is loaded or rejected, with the reason."""
+    return _tolerance(spark, sf)[1].select("invoice_key", "sales_group_code", "outcome")
 
 
 @query(
@@ -237,8 +263,54 @@ SELECT status, count(*) AS units, CAST(sum(total) AS BIGINT) AS rows_total, CAST
 FROM s GROUP BY status""",
 )
 def q_load_summary(spark, sf):
-    status, _ = _tolerance(spark, sf)
-    return L.summarize(status)
+    return L.summarize(L.tolerant_load(S.raw_lines(spark, sf), _LOAD_SPEC, "sales_group_code").status)
+
+
+@query(
+    "load_widened_partition",
+    f"""WITH f AS ({S.fact_sql(S.SECONDARY_GROUP)})
+SELECT CAST(invoice_key AS BIGINT) AS invoice_key, sales_group_code, CAST(ship_ymd AS BIGINT) AS ship_ymd,
+       CAST(value AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS note FROM f WHERE ship_ymd < {_CUT}
+UNION ALL SELECT invoice_key, sales_group_code, CAST(ship_ymd AS BIGINT) * 1000000, value, 'new' FROM f
+WHERE ship_ymd >= {_CUT} AND {_D_NEW}""",
+)
+def q_load_widened_partition(spark, sf):
+    """One load widens a column and adds one; the partitions written before stay readable."""
+    f = S.facts(spark, sf).select("invoice_key", "sales_group_code", "ship_ymd", "value")
+    root = scratch_path(spark, "fact_widened")
+    TB.create(f.where(F.col("ship_ymd") < _CUT), root, "sales_group_code")
+    new = _new_rows(f).withColumn("ship_ymd", F.col("ship_ymd").cast("long") * 1000000).withColumn("note", F.lit("new"))
+    TB.append(new, root)
+    return TB.read_table(spark, root)
+
+
+# --- S1 files of many senders ------------------------------------------------------
+
+_SENT = ("p_partkey", "p_name", "p_brand")
+
+
+@query(
+    "src_csv_checked",
+    """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, CASE WHEN p_partkey % 3 = 2 THEN NULL ELSE p_brand END AS p_brand,
+       FALSE AS ragged FROM part
+UNION ALL SELECT CASE WHEN p_partkey % 2 = 0 THEN CAST(p_partkey AS VARCHAR) || ',x,y,EXTRA' ELSE CAST(p_partkey AS VARCHAR) END,
+       NULL, NULL, TRUE FROM part WHERE p_partkey % 5 = 0""",
+)
+def q_src_csv_checked(spark, sf):
+    """Three senders order (or lack) columns differently, and some records are ragged: none is cut, padded or mixed up."""
+    part = S.read(spark, sf, "part")
+    root = scratch_path(spark, "senders")
+    k = F.col("p_partkey")
+    text = part.select(k.cast("string").alias("p_partkey"), "p_name", "p_brand", (k % 3).alias("sender"))
+    for sender, names in enumerate((_SENT, ("p_brand", "p_partkey", "p_name"), ("p_name", "p_partkey"))):
+        text.where(F.col("sender") == sender).select(*names).write.option("header", True).option("escape", '"').csv(f"{root}/s{sender}")
+    bad = F.when(k % 2 == 0, F.concat(k.cast("string"), F.lit(",x,y,EXTRA"))).otherwise(k.cast("string"))
+    lines = part.where(k % 5 == 0).select(bad.alias("value"))
+    spark.createDataFrame([("p_partkey,p_name,p_brand",)], "value string").unionByName(lines).coalesce(1).write.text(f"{root}/s3")
+    good, ragged = SRC.read_csv_checked(spark, root, list(_SENT))
+    return good.select(*_SENT, F.lit(False).alias("ragged")).unionByName(
+        ragged.select(F.col("record").alias("p_partkey"), F.lit(None).cast("string").alias("p_name"),
+                      F.lit(None).cast("string").alias("p_brand"), F.lit(True).alias("ragged")))
 
 
 # --- A16 per-file isolation over real CSV files, A10-A12 file inventory -----------
@@ -270,27 +342,34 @@ def q_load_file_status(spark, sf):
     raw = SRC.read_csv_all_string(spark, root, with_source=True)
     raw = raw.withColumn("source_unit", F.regexp_extract("source_file", f"{_FILE_UNIT}=([^/]+)/", 1))
     res = L.tolerant_load(raw.drop("source_file", "source_stem", "dataset", _FILE_UNIT), _LOAD_SPEC, "source_unit")
-    status = res.status.persist()
-    status.count()
-    res.release()
-    return status
+    return res.status
 
 
-@query("inventory_files")
-def q_inventory_files(spark, sf):
-    """Landed files with human sizes, plus the gzip reduction (rows-only check)."""
-    from saleslake.functions.scalar import human_bytes
+_D_SIZES = """SELECT p_brand AS folder, count(*) AS n_rows FROM part GROUP BY p_brand"""
+
 
+@query(
+    "inventory_files",
+    f"""WITH f AS ({_D_SIZES}), k AS (SELECT unnest(['plain', 'gz']) AS kind)
+SELECT kind, folder, CAST(1 AS BIGINT) AS n_files, n_rows, kind = 'gz' AS is_gzip, FALSE AS is_empty FROM f, k
+UNION ALL SELECT 'plain', 'none', 1, 0, FALSE, TRUE""",
+)
+def q_inventory_files(spark, sf):
+    """Files and rows by landed folder, gzip and empty files flagged."""
     root = scratch_path(spark, "landing_sizes")
-    part = S.read(spark, sf, "part")
-    part.write.option("header", True).csv(f"{root}/plain")
-    part.write.option("header", True).option("compression", "gzip").csv(f"{root}/gz")
-    plain = SRC.file_listing(spark, f"{root}/plain", glob="*.csv")
-    packed = SRC.file_listing(spark, f"{root}/gz", glob="*.csv.gz")
-    ratio = SRC.compression_ratio(plain, packed).first()
-    summary = SRC.transfer_summary(plain.unionByName(packed)).first()
-    return plain.unionByName(packed).select(
-        "name", "length", human_bytes(F.col("length")).alias("size_text"),
-        F.lit(ratio["reduction_pct"]).alias("gzip_reduction_pct"),
-        F.lit(summary["total_bytes"]).alias("total_bytes"),
-    )
+    part = S.read(spark, sf, "part").select("p_partkey", "p_brand").repartition("p_brand")
+    for kind in ("plain", "gz"):
+        w = part.write.partitionBy("p_brand").option("header", True)
+        (w.option("compression", "gzip") if kind == "gz" else w).csv(f"{root}/{kind}")
+    fs, _ = hadoop_fs(spark, root)
+    fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/plain/p_brand=none/empty.csv")).close()
+    kind = lambda path: F.regexp_extract(path, "/(plain|gz)/", 1).alias("kind")
+    folder = lambda path: F.url_decode(F.regexp_extract(path, "p_brand=([^/]+)/", 1)).alias("folder")
+    files = SRC.file_listing(spark, root, glob="*.csv*").groupBy(
+        kind(F.col("path")), folder(F.col("path")), F.lower("name").endswith(".gz").alias("is_gzip"), (F.col("length") == 0).alias("is_empty"),
+    ).agg(F.count(F.lit(1)).alias("n_files"))
+    rows = spark.read.option("header", True).option("recursiveFileLookup", True).schema("p_partkey string").csv(root)
+    src = F.url_decode("_metadata.file_path")  # a URI, of a name that is itself escaped
+    rows = rows.groupBy(kind(src), folder(src)).count()
+    return files.join(rows, ["kind", "folder"], "left").select(
+        "kind", "folder", "n_files", F.coalesce("count", F.lit(0)).alias("n_rows"), "is_gzip", "is_empty")

@@ -8,6 +8,7 @@ from saleslake.functions import naming as N
 from saleslake.functions.scalar import human_count
 from saleslake.operators import filters as FL
 from saleslake.operators import load as L
+from saleslake.operators.order import numbered
 from saleslake.operators.project import rename_to_spec, select_table_order
 from saleslake.plans import specs as SP
 from saleslake.plans import standins as S
@@ -90,13 +91,14 @@ _FACT_PREFIX = "Fact"
 @query(
     "sort_load_order",
     f"""WITH f AS ({S.FILE_NAMES_SQL})
-SELECT name, starts_with(name, '{_FACT_PREFIX}') AS is_fact FROM f""",
+SELECT name, starts_with(name, '{_FACT_PREFIX}') AS is_fact,
+       row_number() OVER (ORDER BY starts_with(name, '{_FACT_PREFIX}'), name, o_orderkey) AS place FROM f""",
 )
 def q_sort_load_order(spark, sf):
     """O1: dimension files first, facts last, each by name (a distributed sort)."""
     f = S.file_names(spark, sf)
-    out = f.select("name", F.col("name").startswith(_FACT_PREFIX).alias("is_fact"))
-    return out.orderBy("is_fact", "name")
+    out = f.select("name", F.col("name").startswith(_FACT_PREFIX).alias("is_fact"), "o_orderkey")
+    return numbered(out, ["is_fact", "name", "o_orderkey"], "place").drop("o_orderkey")
 
 
 @query(
@@ -242,7 +244,7 @@ def q_route_files(spark, sf):
 def _written_files(spark, sf):
     """Write one CSV file per order status (plus a gzip copy and an empty file)."""
     root = scratch_path(spark, "landing")
-    o = S.read(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    o = S.read(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice").repartition("o_orderstatus")
     o.write.partitionBy("o_orderstatus").option("header", True).csv(f"{root}/plain")
     o.write.partitionBy("o_orderstatus").option("header", True).option("compression", "gzip").csv(f"{root}/gz")
     fs, _ = hadoop_fs(spark, root)
@@ -250,13 +252,20 @@ def _written_files(spark, sf):
     return root
 
 
-@query("src_file_listing")
+@query(
+    "src_file_listing",
+    """WITH f AS (SELECT DISTINCT o_orderstatus AS folder FROM orders), k AS (SELECT unnest([FALSE, TRUE]) AS is_gzip)
+SELECT folder, CAST(1 AS BIGINT) AS n_files, is_gzip, FALSE AS is_empty FROM f, k
+UNION ALL SELECT '', 1, FALSE, TRUE""",
+)
 def q_src_file_listing(spark, sf):
-    """Every data file under the landing folder, gzip ones flagged (rows-only check)."""
+    """The data files under the landing folder by sub-folder, gzip and empty ones flagged."""
     root = _written_files(spark, sf)
     lst = SRC.file_listing(spark, root, glob="*.csv*")
-    return lst.select("name", "length", F.lower(F.col("name")).endswith(".gz").alias("is_gzip"),
-                      (F.col("length") == 0).alias("is_empty"))
+    return lst.groupBy(
+        F.regexp_extract("path", "o_orderstatus=([^/]+)/", 1).alias("folder"),
+        F.lower(F.col("name")).endswith(".gz").alias("is_gzip"), (F.col("length") == 0).alias("is_empty"),
+    ).agg(F.count(F.lit(1)).alias("n_files"))
 
 
 _MISSING_SRC = "SELECT 'Orders_' || CAST(o_orderkey AS VARCHAR) AS name FROM orders"

@@ -8,12 +8,13 @@ from saleslake.operators import evolve as EV
 from saleslake.operators import load as L
 from saleslake.operators import profile as P
 from saleslake.operators import quality as Q
+from saleslake.operators import table as TB
 from saleslake.operators.clean import to_double, to_int
 from saleslake.operators.project import rename_to_spec
 from saleslake.plans import specs as SP
 from saleslake.plans import standins as S
 from saleslake.plans.oracle_parts import d_to_double, d_to_int
-from saleslake.plans.pipeline import historical_load
+from saleslake.plans.pipeline import load_file
 from saleslake.plans.registry import query
 from saleslake.session import scratch_path
 
@@ -109,14 +110,16 @@ def q_merge_upsert(spark, sf):
     return Q.merge_upsert(o, ch, "o_orderkey")
 
 
-_D_CHANGES_MOVE = _D_CHANGES.replace(
+# every order of some customers has no status: the partition without a value
+_D_NO_STATUS = "(SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_custkey % 9 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus FROM orders)"
+_D_CHANGES_MOVE = _D_CHANGES.replace("FROM orders", f"FROM {_D_NO_STATUS}").replace(
     "SELECT o_orderkey, o_custkey, o_totalprice + 2, o_orderstatus, 'U', 2",
     "SELECT o_orderkey, o_custkey, o_totalprice + 2, 'X', 'U', 2")
 
 
 @query(
     "merge_upsert_partitioned",
-    f"""WITH t AS (SELECT {_ORD} FROM orders), ch AS ({_D_CHANGES_MOVE}),
+    f"""WITH t AS (SELECT {_ORD} FROM {_D_NO_STATUS}), ch AS ({_D_CHANGES_MOVE}),
 l AS (SELECT * FROM ch QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY seq DESC) = 1)
 SELECT coalesce(l.o_orderkey, t.o_orderkey) AS o_orderkey,
        CASE WHEN l.op IS NOT NULL THEN l.o_custkey ELSE t.o_custkey END AS o_custkey,
@@ -127,9 +130,10 @@ WHERE l.op IS NULL OR l.op <> 'D'""",
 )
 def q_merge_upsert_partitioned(spark, sf):
     """N1 at scale: the target is partitioned by status; some updates move keys to a new partition."""
-    o = S.read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    status = F.when(F.col("o_custkey") % 9 == 0, F.lit(None)).otherwise(F.col("o_orderstatus"))
+    o = S.read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", status.alias("o_orderstatus"))
     root = scratch_path(spark, "orders_by_status")
-    L.write_parquet(o, root, partition_by=("o_orderstatus",))
+    TB.create(o, root, "o_orderstatus")
     k = F.col("o_orderkey")
     ch = (
         o.where(k % 5 == 0).select("o_orderkey", "o_custkey", (F.col("o_totalprice") + 1).alias("o_totalprice"),
@@ -142,7 +146,7 @@ def q_merge_upsert_partitioned(spark, sf):
                                                  F.lit("N").alias("o_orderstatus"), F.lit("I").alias("op"), F.lit(1).alias("seq")))
     )
     Q.merge_partitions(spark, root, ch, "o_orderkey", "o_orderstatus")
-    return spark.read.parquet(root).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    return TB.read_table(spark, root).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
 
 
 # --- N2 reconciliation -------------------------------------------------------------
@@ -242,38 +246,129 @@ def q_report_rollup(spark, sf):
     return Q.rollup_report(_enriched_sales_group(spark, sf), ["division", "vertical"], "value")
 
 
+# --- enrichment with duplicate master rows ------------------------------------------
+
+
+@query(
+    "enrich_duplicate_master",
+    """WITH m AS (SELECT p_partkey AS k, p_brand AS brand, p_type AS vertical FROM part
+  UNION ALL SELECT p_partkey, 'A-' || p_brand, p_type FROM part WHERE p_partkey % 4 = 0
+  UNION ALL SELECT p_partkey, NULL, 'later' FROM part WHERE p_partkey % 8 = 0),
+d AS (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY k ORDER BY brand NULLS FIRST, vertical NULLS FIRST) = 1)
+SELECT l_orderkey * 10 + l_linenumber AS invoice_key, l_partkey AS material_code, brand, vertical
+FROM lineitem LEFT JOIN d ON l_partkey = k""",
+)
+def q_enrich_duplicate_master(spark, sf):
+    """Duplicate master rows neither multiply facts nor make the result depend on the run."""
+    li = S.read(spark, sf, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("invoice_key"), F.col("l_partkey").alias("material_code"))
+    p = S.read(spark, sf, "part").select(F.col("p_partkey").alias("k"), F.col("p_brand").alias("brand"), F.col("p_type").alias("vertical"))
+    more = p.where("k % 4 = 0").withColumn("brand", F.concat(F.lit("A-"), "brand"))
+    none = p.where("k % 8 = 0").select("k", F.lit(None).cast("string").alias("brand"), F.lit("later").alias("vertical"))
+    return Q.enrich(li, p.unionByName(more).unionByName(none), "material_code", "k", ["brand", "vertical"])
+
+
 # --- R3 historical load -----------------------------------------------------------------
 
-_FILE = "FactInvoiceSecondary_1_2_3_4"
 _CUT = 19960101
+_FILE = "FactInvoiceSecondary_1_2_2024"       # P13: the data set is FactInvoiceSecondary_1_2, the groups 1 and 2
+_DETAILS_FILE = "FactInvoiceDetails_107_112_2024"
+
+_D_TYPED = f"""WITH {_R}, f AS (SELECT CASE WHEN count(*) FILTER (WHERE shipdate IS NOT NULL AND try_strptime(shipdate, '%Y-%m-%d') IS NULL) * 10 <= count(*)
+  THEN 1 END AS k FROM r),
+t AS (SELECT CAST({d_to_int('invoicekey')} AS BIGINT) AS invoice_key, CAST({d_to_int('invoicedate')} AS INTEGER) AS invoice_date,
+       CAST({d_to_int('salesgroupcode')} AS SMALLINT) AS sales_group_code, recordtype AS record_type, {d_to_int('quantity')} AS quantity,
+       {d_to_double('value')} AS value, CAST({d_to_double('discount')} AS FLOAT) AS discount,
+       CAST(try_strptime(shipdate, '%Y-%m-%d') AS DATE) AS ship_date, CAST({d_to_int('linenumber')} AS TINYINT) AS line_number,
+       linestatus AS line_status, {d_to_int('bigqty')} AS big_qty FROM r)"""
+
+
+def _landed(df, spark, name: str) -> str:
+    root = scratch_path(spark, name)
+    (df.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+       .option("ignoreTrailingWhiteSpace", False).csv(root))
+    return root
+
+
+def _secondary(spark, sf):
+    """(existing table, incoming lines, their day)."""
+    raw = S.raw_lines(spark, sf)
+    day = F.col("invoicedate").cast("int")
+    # the existing table: everything that was not invoiced after the cut-off, cleaned the same way
+    existing, _ = P.clean_table(raw.where(~F.coalesce(day >= _CUT, F.lit(False))), SP.FACT_LINES, policy="widen")
+    root = scratch_path(spark, "fact_secondary")
+    TB.create(existing, root, "sales_group_code")
+    return root, raw, day
 
 
 @query(
     "pipeline_historical_load",
-    f"""WITH {_R},
-t AS (SELECT TRY_CAST({d_to_int('salesgroupcode')} AS SMALLINT) AS sales_group_code, recordtype AS record_type,
-             {d_to_double('value')} AS value, CAST(invoicedate AS INTEGER) AS d FROM r),
-fin AS (SELECT * FROM t WHERE d < {_CUT} AND NOT coalesce(sales_group_code IN (1, 2, 3, 4) AND record_type <> 'DD', FALSE)
-        UNION ALL SELECT * FROM t WHERE d > {_CUT - 1} AND sales_group_code IN (1, 2, 3))
-SELECT CAST(sales_group_code AS INTEGER) AS sales_group_code, count(*) AS n_rows,
-       count(*) FILTER (WHERE record_type = 'DD') AS n_dd, count(*) FILTER (WHERE record_type IS NULL) AS n_null_type,
-       round(sum(value), 2) AS total_value
-FROM fin GROUP BY 1""",
+    f"""{_D_TYPED}
+SELECT * FROM t WHERE NOT coalesce(invoice_date >= {_CUT}, FALSE) AND NOT coalesce(sales_group_code IN (1, 2) AND record_type <> 'DD', FALSE)
+UNION ALL SELECT * FROM t WHERE invoice_date >= {_CUT} AND sales_group_code IN (1, 2, 3)""",
 )
 def q_pipeline_historical_load(spark, sf):
-    raw = S.raw_lines(spark, sf)
-    day = F.col("invoicedate").cast("int")
-    # The existing table: everything invoiced before the cut-off, cleaned the same way.
-    existing, _ = P.clean_table(raw.where(day < _CUT), SP.FACT_LINES, policy="widen")
-    root = scratch_path(spark, "fact_secondary")
-    L.write_parquet(existing, root, partition_by=("sales_group_code",))
-    # The incoming file: groups 1-3 after the cut-off (group 4 is named but empty).
-    new_file = raw.where((day >= _CUT) & to_int(F.col("salesgroupcode")).isin(1, 2, 3))
-    historical_load(spark, new_file, SP.FACT_LINES, root, _FILE, floor=_CUT - 1)
-    out = spark.read.parquet(root)
-    return out.groupBy(F.col("sales_group_code").cast("int").alias("sales_group_code")).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("record_type") == "DD").alias("n_dd"),
-        F.count_if(F.col("record_type").isNull()).alias("n_null_type"),
-        F.round(F.sum("value"), 2).alias("total_value"),
-    )
+    """R3 with K6: the groups of the data set's name are replaced but for DD; other rows of the file are added."""
+    root, raw, day = _secondary(spark, sf)
+    landed = _landed(raw.where((day >= _CUT) & to_int(F.col("salesgroupcode")).isin(1, 2, 3)), spark, "landed")
+    load_file(spark, landed, _FILE, SP.FACT_LINES, root, floor=_CUT - 1)
+    return TB.read_table(spark, root)
+
+
+@query(
+    "pipeline_historical_load_dd",
+    f"""{_D_TYPED}
+SELECT * FROM t WHERE NOT coalesce(invoice_date >= {_CUT}, FALSE) AND NOT coalesce(record_type = 'DD', FALSE)
+UNION ALL SELECT * FROM t WHERE invoice_date >= {_CUT} AND record_type = 'DD'""",
+)
+def q_pipeline_historical_load_dd(spark, sf):
+    """R3 with K7: the DD rows of all groups, also of rows without one."""
+    root, raw, day = _secondary(spark, sf)
+    landed = _landed(raw.where((day >= _CUT) & (F.col("recordtype") == "DD")), spark, "landed")
+    load_file(spark, landed, "FactInvoiceSecondary_DD_2024", SP.FACT_LINES, root, dd=True, floor=_CUT - 1)
+    return TB.read_table(spark, root)
+
+
+_DETAILS_GROUP = "CASE WHEN o_custkey % 37 = 0 THEN NULL ELSE 100 * (1 + o_custkey % 9) + o_custkey % 13 END"
+_POSTED = "CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INTEGER)"
+_DETAILS_SQL = f"""SELECT o_orderkey AS order_number, {_POSTED} AS posting_date, CAST({_DETAILS_GROUP} AS SMALLINT) AS sales_group_code,
+  CAST(o_totalprice AS DOUBLE) AS net_value, o_orderstatus AS status FROM orders"""
+
+
+@query(
+    "pipeline_historical_load_details",
+    f"""WITH t AS ({_DETAILS_SQL})
+SELECT * FROM t WHERE posting_date < {_CUT} AND NOT coalesce(sales_group_code IN (107, 112, 101, 203, 204, 202, 205, 302, 303, 304, 408,
+  409, 402, 403, 407, 451, 452, 453, 454, 455, 456, 457, 501, 502, 503, 504, 505, 506, 508, 509, 601, 602, 604, 956, 957, 961, 949,
+  951, 958, 959, 960), FALSE)
+UNION ALL SELECT * FROM t WHERE posting_date >= {_CUT} AND sales_group_code IN (107, 112, 101, 203)""",
+)
+def q_pipeline_historical_load_details(spark, sf):
+    """R3 with F2 and K8: details of groups 107 and 112 replace the further groups, too."""
+    t = S.read(spark, sf, "orders").selectExpr(
+        "o_orderkey AS order_number", f"{_POSTED} AS posting_date", f"CAST({_DETAILS_GROUP} AS SMALLINT) AS sales_group_code",
+        "CAST(o_totalprice AS DOUBLE) AS net_value", "o_orderstatus AS status")
+    root = scratch_path(spark, "fact_details")
+    TB.create(t.where(F.col("posting_date") < _CUT), root, "sales_group_code")
+    # the sender's file also holds rows before the floor, which do not pass
+    new = t.where(((F.col("posting_date") >= _CUT) & F.col("sales_group_code").isin(107, 112, 101, 203)) | (F.col("order_number") % 50 == 0) & (F.col("posting_date") < _CUT))
+    landed = _landed(new.select(*[F.col(c).cast("string").alias(c.replace("_", "")) for c in t.columns]), spark, "landed_details")
+    load_file(spark, landed, _DETAILS_FILE, SP.FACT_DETAILS, root, floor=_CUT - 1)
+    return TB.read_table(spark, root)
+
+
+@query(
+    "pipeline_historical_load_dimension",
+    f"""WITH r AS ({S.RAW_CUSTOMER_SQL})
+SELECT CAST(customercode AS BIGINT) AS customer_code, "Customer Name" AS customer_name, CAST("nation code" AS INTEGER) AS nation_code,
+       CAST("acct bal" AS DOUBLE) AS account_balance, MarketSegment AS market_segment, customergroup AS customer_group,
+       "customer group" AS cm_customer_group, Div AS div_col_rf, CAST(NULL AS VARCHAR) AS phone
+FROM r WHERE customercode % 3 <> 0""",
+)
+def q_pipeline_historical_load_dimension(spark, sf):
+    """R3 with K5: a dimension is refreshed whole, twice."""
+    raw = S.raw_customer(spark, sf)
+    raw = raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns])
+    root = scratch_path(spark, "dim_customer_master")
+    for rows in (raw, raw.where("CAST(customercode AS BIGINT) % 3 <> 0")):
+        load_file(spark, _landed(rows, spark, "landed_dim"), "DimCustomerMaster_2024", SP.DIM_CUSTOMER, root, columns=raw.columns)
+    return L.read_current(spark, root)

@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from saleslake.functions.arrays import drop_adjacent_repeats, non_empty
 from saleslake.functions.scalar import email_path_id
+from saleslake.operators import load as L
 from saleslake.operators import rls as rls_ops
 from saleslake.plans import standins as S
 from saleslake.plans.oracle_parts import d_email_id
 from saleslake.plans.registry import query
+from saleslake.session import scratch_path
 
 # =============================================================================
 # RLS (R1, R2, N6) and the scalar/array pieces
@@ -133,7 +135,28 @@ def q_rls_secured_fact(spark, sf):
     o = S.read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     c = S.read(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("sales_group_code"))
     fact = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_totalprice", "sales_group_code")
-    sec = rls_ops.secured_fact(fact, grants, "sales_group_code")
-    return sec.groupBy("email").agg(
-        F.count("*").alias("n_rows"), F.round(F.sum("o_totalprice"), 2).alias("total")
-    )
+    return rls_ops.secured_totals(fact, grants, "o_totalprice")
+
+
+_CALLER = "zm 1@corp.example"
+
+
+@query(
+    "rls_secured_caller",
+    f"""
+WITH rls AS ({_D_RLS}),
+u AS (SELECT {d_email_id("'" + _CALLER + "'")} AS mid),
+g AS (SELECT DISTINCT rls.sales_group FROM u JOIN rls ON list_contains(string_split(rls.hierarchy_path, '.'), u.mid))
+SELECT o_orderkey, o_totalprice, c_nationkey AS sales_group_code
+FROM orders JOIN customer ON o_custkey = c_custkey
+WHERE c_nationkey IN (SELECT sales_group FROM g)
+""",
+)
+def q_rls_secured_caller(spark, sf):
+    """N6 for one caller, against the published RLS table."""
+    root = scratch_path(spark, "rls")
+    rls_ops.publish_rls(S.hierarchy(spark, sf), root)
+    o = S.read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    c = S.read(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("sales_group_code"))
+    fact = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_totalprice", "sales_group_code")
+    return rls_ops.secured_fact(fact, L.read_current(spark, root), _CALLER)

@@ -54,4 +54,4 @@ def q_stream_idempotent_batches(spark, sf):
     ST.ingest_batches(ST.csv_stream(spark, landing, _COLS, max_files_per_trigger=1), target, ckpt, "events")
     _land(second.repartition(2), landing)
     ST.ingest_batches(ST.csv_stream(spark, landing, _COLS, max_files_per_trigger=1), target, ckpt, "events")
-    return _typed(spark.read.parquet(target).drop("batch", "load_label"))
+    return _typed(spark.read.parquet(target).drop("run", "batch", "load_label"))

@@ -45,9 +45,18 @@ DIM_CUSTOMER = TableSpec(
         'account_balance:DOUBLE<-"acct bal", market_segment:VARCHAR(20), customer_group:VARCHAR(5), '
         'cm_customer_group:VARCHAR(120)<-"customer group", div_col_rf:VARCHAR(105)<-"div", phone:VARCHAR(20)'
     ),
-    keys=("customer_code",),
+    keys=("customer_code",), prefixes=("cm",),
 )
 
+# Order lines stand-in for fact_invoice_details.
+FACT_DETAILS = TableSpec(
+    "fact_invoice_details",
+    parse_columns("order_number:BIGINT!, posting_date:INT, sales_group_code:SMALLINT, net_value:DOUBLE, status:VARCHAR(3)"),
+    keys=("order_number",), partition_by=("sales_group_code",),
+)
+
+DECIMALS = TableSpec("decimals", parse_columns("part_key:BIGINT, amount:DECIMAL(38, 10)"))
+
 # The wide stand-in's declared types (see standins.wide_exprs).
 def wide_spec():
     from saleslake.plans.standins import wide_exprs

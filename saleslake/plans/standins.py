@@ -12,8 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saleslake.sources.files import spread
-
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -21,13 +19,8 @@ TABLES = (
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; large ones are spread to one task per core (see ``spread``)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in SPREAD_TABLES else df
-
-
-# Tables big enough that a single scan task would be the bottleneck.
-SPREAD_TABLES = {"lineitem", "orders", "customer", "documents", "events", "pages", "conversations"}
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _select_sql(exprs: list[tuple[str, str]]) -> str:
@@ -111,7 +104,7 @@ RAW_LINES_EXPRS: list[tuple[str, str]] = [
     ("invoicekey", "CAST(l_orderkey * 10 + l_linenumber AS STRING)"),
     ("invoicedate", f"CASE WHEN l_orderkey % 53 = 0 THEN NULL ELSE CAST({_YMD} AS STRING) END"),
     ("salesgroupcode",
-     "CASE WHEN l_orderkey % 31 = 0 THEN ' ' || CAST(l_suppkey % 100 AS STRING) || ' ' "
+     "CASE WHEN l_orderkey % 43 = 0 THEN NULL WHEN l_orderkey % 31 = 0 THEN ' ' || CAST(l_suppkey % 100 AS STRING) || ' ' "
      "ELSE CAST(l_suppkey % 100 AS STRING) END"),
     ("recordtype",
      "CASE WHEN l_orderkey % 13 = 0 THEN NULL WHEN l_orderkey % 101 = 0 THEN 'DDX' "
@@ -194,8 +187,9 @@ def fact_exprs(group_expr: str) -> list[tuple[str, str]]:
     ]
 
 
-SECONDARY_GROUP = "l_suppkey % 100"
-DETAILS_GROUP = "100 * (1 + l_suppkey % 9) + l_suppkey % 13"
+# every 41st order has no sales group
+SECONDARY_GROUP = "CASE WHEN l_orderkey % 41 = 0 THEN NULL ELSE l_suppkey % 100 END"
+DETAILS_GROUP = "CASE WHEN l_orderkey % 41 = 0 THEN NULL ELSE 100 * (1 + l_suppkey % 9) + l_suppkey % 13 END"
 
 
 def fact_sql(group_expr: str) -> str:

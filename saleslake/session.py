@@ -50,7 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:
             configured = None
     if not configured:
-        # Unset: a local test session.  A fresh folder per session.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        # A local test session: driver and executors are one process.  A fresh folder per session.
         configured = tempfile.mkdtemp(prefix="saleslake-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -6,50 +6,101 @@ S4/J1 missing-only pick-up, S6 recursive Parquet scan.
 
 from __future__ import annotations
 
+import csv
+import datetime
+import fnmatch
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleslake.functions.naming import col_csv_stem, col_dataset_name
+from saleslake.session import hadoop_fs
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Make sure a CPU-heavy plan has at least one task per core.
-
-    A file written as a single row group is read by a single task.  When a
-    scan yields fewer partitions than the cluster's default parallelism the
-    rows are spread round-robin (a deterministic, retry-safe repartition);
-    on a large input the scan is already split and this is a no-op.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
-def read_parquet(spark: SparkSession, path: str, recursive: bool = False, min_partitions: int | None = None) -> DataFrame:
+def read_parquet(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """Parquet scan (recursive discovery when asked)."""
     reader = spark.read
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    df = reader.parquet(path)
-    return spread(df, min_partitions) if min_partitions != 0 else df
+    return reader.parquet(path)
+
 
+def csv_reader(spark: SparkSession, sep: str = ",", header: bool = True, multi_line: bool = False):
+    """The reader behind S1/S2/S8: no inference, quotes kept.
 
-def csv_reader(spark: SparkSession, sep: str = ",", header: bool = True):
-    """The reader behind S1/S2/S8: no inference, quotes and embedded newlines kept."""
+    Files are split over tasks.  ``multi_line`` keeps line breaks inside
+    quotes, at the price of one task per file.  A given schema must have the
+    names and the order of each file's header, else the read fails.
+    """
     return (
         spark.read.option("header", header)
         .option("inferSchema", False)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("sep", sep)
+        .option("enforceSchema", not header)
         .option("mode", "PERMISSIVE")
     )
 
 
+CORRUPT = "_corrupt_record"
+
+
+def csv_headers(spark: SparkSession, paths: list[str], sep: str = ",") -> dict[tuple[str, ...], list[str]]:
+    """Files by the column names of their first line (metadata only: one line of each file is read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    out: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        stream = p.getFileSystem(conf).open(p)
+        codec = codecs.getCodec(p)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            line = reader.readLine()
+        finally:
+            reader.close()
+        names = tuple(next(csv.reader([line.lstrip("\ufeff")], delimiter=sep))) if line else ()
+        out.setdefault(names, []).append(path)
+    return out
+
+
+def read_csv_checked(spark: SparkSession, path: str, columns: list[str], sep: str = ",", multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """S1/S2 for files of many senders: (rows, ragged rows).
+
+    Every file is read by its own header, so files that order their columns
+    differently meet by name; a column that a file lacks is NULL, one that no
+    table column is named after is dropped.  A row with more or fewer cells
+    than its header goes to the second frame (``record``, ``source_file``)
+    instead of being cut or padded.  Empty files have no rows.
+    """
+    listing = file_listing(spark, path).where("length > 0").select("path").collect()  # names only
+    good, bad = [], []
+    for header, files in csv_headers(spark, [r[0] for r in listing], sep).items():
+        if not header:
+            continue
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, CORRUPT]])
+        df = (csv_reader(spark, sep, True, multi_line).option("enforceSchema", True)
+              .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).schema(schema).csv(files))
+        src = F.col("_metadata.file_path").alias("source_file")
+        have = set(header)
+        cells = [(F.col(f"`{c}`") if c in have else F.lit(None).cast("string")).alias(c) for c in columns]
+        # judged together with a data column: Spark refuses queries of the corrupt record alone
+        first = F.col(f"`{header[0]}`")
+        ragged = F.length(F.concat_ws("", CORRUPT, first)) > F.coalesce(F.length(first), F.lit(0))
+        good.append(df.where(~ragged).select(*cells, src))
+        bad.append(df.where(ragged).select(F.col(CORRUPT).alias("record"), src))
+    if not good:
+        return (spark.createDataFrame([], ", ".join(f"`{c}` string" for c in [*columns, "source_file"])),
+                spark.createDataFrame([], "record string, source_file string"))
+    return reduce(DataFrame.unionByName, good), reduce(DataFrame.unionByName, bad)
+
+
 def read_csv_all_string(spark: SparkSession, path: str, columns: list[str] | None = None, sep: str = ",",
-                        header: bool = True, with_source: bool = False) -> DataFrame:
+                        header: bool = True, with_source: bool = False, multi_line: bool = False) -> DataFrame:
     """Every column as string.  ``.gz`` files are decompressed by the reader.
 
     With ``columns`` the schema is fixed up front (no header pass over the
@@ -57,7 +108,7 @@ def read_csv_all_string(spark: SparkSession, path: str, columns: list[str] | Non
     string because inference is off.  ``with_source`` adds the source file,
     its stem (``x.csv.gz`` -> ``x``) and the dataset name (P13).
     """
-    reader = csv_reader(spark, sep, header)
+    reader = csv_reader(spark, sep, header, multi_line)
     if columns is not None:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     df = reader.csv(path)
@@ -68,23 +119,25 @@ def read_csv_all_string(spark: SparkSession, path: str, columns: list[str] | Non
     return df
 
 
+LISTING = "path string, name string, length long, modified timestamp"
+
+
 def file_listing(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """``(path, name, length, modified)`` for every file under ``root``, sorted by path.
 
-    The ``binaryFile`` source lists files as rows; only metadata columns are
-    selected, so file contents are never read.  Zero-length files are kept
-    (F6 filters them where needed).
+    A listing is metadata: it is taken from the file system as it is (Spark's
+    own file sources leave out empty files, which F6 wants to see).  Hidden
+    names (starting with ``_`` or ``.``) are left out; no file is opened.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(root).select(
-        F.col("path"),
-        F.regexp_extract(F.col("path"), r"([^/]+)$", 1).alias("name"),
-        F.col("length"),
-        F.col("modificationTime").alias("modified"),
-    )
-    return df.orderBy("path")
+    fs, folder = hadoop_fs(spark, root)
+    rows, files = [], fs.listFiles(folder, True)
+    while files.hasNext():
+        f = files.next()
+        path = f.getPath()
+        name = path.getName()
+        if name[0] not in "_." and fnmatch.fnmatchcase(name, glob or "*"):
+            rows.append((path.toString(), name, f.getLen(), datetime.datetime.fromtimestamp(f.getModificationTime() / 1000)))
+    return spark.createDataFrame(sorted(rows), LISTING)
 
 
 def missing_outputs(sources: DataFrame, targets: DataFrame, key: str = "name") -> DataFrame:
@@ -93,9 +146,10 @@ def missing_outputs(sources: DataFrame, targets: DataFrame, key: str = "name") -
 
 
 def transfer_summary(listing: DataFrame) -> DataFrame:
-    """Number of files, total bytes and empty files of a listing."""
+    """Number of files, of successful (not empty) files, total bytes and empty files of a listing."""
     return listing.agg(
         F.count(F.lit(1)).alias("files"),
+        F.count_if(F.col("length") > 0).alias("succeeded"),
         F.sum("length").alias("total_bytes"),
         F.count_if(F.col("length") == 0).alias("empty_files"),
     )

@@ -107,6 +107,7 @@ class TableSpec:
     kind: str = "TABLE"
     comment: str = ""
     partition_by: tuple[str, ...] = ()
+    prefixes: tuple[str, ...] = ()      # name prefixes that incoming headers may leave out
     extra: dict = field(default_factory=dict)
 
     def column(self, name: str) -> Column | None:
@@ -131,6 +132,13 @@ class TableSpec:
             fields.append(T.StructField(c.name, spark_type(c.type), c.nullable, meta))
         return T.StructType(fields)
 
+    def aliases(self, c: Column) -> list[str]:
+        """Normalised names of a column, with and without the table's prefixes."""
+        from saleslake.functions.naming import lookup_key
+
+        key = lookup_key(c.name)
+        return [key, *(key[len(p):] for p in self.prefixes if key.startswith(p))]
+
     def header_map(self) -> dict[str, str]:
         """Incoming header -> column name (exact headers)."""
         return {c.incoming(): c.name for c in self.columns}
@@ -152,11 +160,11 @@ class TableSpec:
 def parse_columns(text: str) -> tuple[Column, ...]:
     """Compact spec text: ``name:TYPE[!][<-"header"]`` separated by commas/newlines."""
     out = []
-    for item in re.split(r",\s*|\n", text.strip()):
+    for item in re.split(r",\s*(?![^(]*\))|\n", text.strip()):
         item = item.strip()
         if not item:
             continue
-        m = re.fullmatch(r'(\w+):([A-Za-z]+(?:\(\d+(?:,\d+)?\))?)(!)?(?:<-"([^"]*)")?', item)
+        m = re.fullmatch(r'(\w+):([A-Za-z]+(?:\(\d+(?:,\s*\d+)?\))?)(!)?(?:<-"([^"]*)")?', item)
         if not m:
             raise ValueError(f"bad column spec: {item!r}")
         out.append(Column(m.group(1), m.group(2).upper(), m.group(4), nullable=m.group(3) is None))

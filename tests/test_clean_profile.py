@@ -108,18 +108,35 @@ def test_clean_table_widen_policy(spark):
     assert sorted(r[0] for r in typed.collect()) == [1, 70000]
 
 
-def test_long_form_profile_matches_wide(spark):
-    """The unpivoted profile used for wide tables gives the same rows as the one-aggregate form."""
-    import datetime as dt
-    from decimal import Decimal
-
-    rows = [("12", " 7 ", "x", "2024-01-05", dt.datetime(2024, 1, 1, 3), 1.5, 70000, Decimal("92233720368547758070"), "abcdef"),
-            ("n/a", "", None, "soon", dt.datetime(2024, 1, 2), 2.5, 5, Decimal("1"), None),
-            ("-129", "1e3", "12.5", "2024-02-01", dt.datetime(2024, 1, 3), None, None, None, "é")]
-    df = spark.createDataFrame(rows, "a string, b string, c string, d string, e timestamp_ntz, f double, g long, "
-                                     "h decimal(38,0), i string")
-    spec = TableSpec("t", parse_columns("a:TINYINT, b:INT, c:DOUBLE, d:DATE, e:DATE, f:FLOAT, g:SMALLINT, "
-                                        "h:BIGINT, i:VARCHAR(3)"))
-    wide = sorted(map(tuple, P._profile_wide(df, spec).collect()), key=repr)
-    long = sorted(map(tuple, P._profile_long(df, spec).collect()), key=repr)
-    assert wide == long
+@pytest.mark.parametrize("width", [1, 24, 25, 26, 41, 203])
+def test_profile_is_the_same_at_every_width(spark, width):
+    """Groups of columns do not show in the result, with rows and without."""
+    cells = ("12", "n/a", "-129", "2024-01-05", "abcdef")
+    types = ("TINYINT", "INT", "DOUBLE", "DATE", "VARCHAR(3)")
+    spec = TableSpec("t", parse_columns(", ".join(f"c{i}:{types[i % 5]}" for i in range(width))))
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    rows = [tuple(cells[(i + k) % 5] for i in range(width)) for k in range(3)]
+    out = {r["column_name"]: r for r in P.profile(spark.createDataFrame(rows, schema), spec).collect()}
+    assert list(out) == spec.names
+    for i, c in enumerate(spec.columns):
+        alone = P.profile(spark.createDataFrame([(r[i],) for r in rows], f"{c.name} string"), TableSpec("t", (c,))).first() if i < 5 else None
+        assert out[c.name] == (alone or out[f"c{i % 5}"]) or i >= 5
+    none = spark.createDataFrame([], schema)
+    assert [(r["column_name"], r["n"], r["failed"]) for r in P.profile(none, spec).collect()] == [(n, 0, 0) for n in spec.names]
+    typed, prof = P.clean_table(none, spec)
+    assert typed.columns == spec.names and prof.count() == width and typed.count() == 0
+
+
+def test_type_mismatch_and_policies(spark):
+    spec = TableSpec("t", parse_columns("a:INT, b:DECIMAL(38,10), c:DATE"))
+    rows = [(str(i), f"{i}2345678901234567890.0123456789", f"{i + 1}/1/2024") for i in range(19)] + [("x", "0.5", "1/2/2024")]
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    found = {(r["column_name"], r["issue"]) for r in P.issues(P.profile(df, spec)).collect()}
+    assert ("a", "type_mismatch") in found and ("b", "type_mismatch") not in found
+    for policy in ("quarantine", "typo"):
+        with pytest.raises(ValueError):
+            P.clean_table(df, spec, policy=policy)
+    good, bad, _ = P.clean_quarantine(df, spec)
+    assert good.count() == 19 and [tuple(r) for r in bad.select("a", "failed_columns").collect()] == [("x", ["a"])]
+    row = good.where("a = 7").first()
+    assert str(row["b"]) == "72345678901234567890.0123456789" and str(row["c"]) == "2024-01-08"

@@ -41,18 +41,9 @@ def test_lookup_exact_element_not_like(spark):
 
 def test_secured_fact(spark):
     rls = R.build_rls(spark.createDataFrame(ROWS, COLS))
-    users = spark.createDataFrame([("b@x.com",)], "email string")
-    grants = R.user_groups(rls, users)
-    fact = spark.createDataFrame([(10, 1.0), (11, 2.0), (12, 3.0)], "sales_group_code int, v double")
-    got = sorted(r["sales_group_code"] for r in R.secured_fact(fact, grants).collect())
-    assert got == [10, 11]
-
-
-def test_publish_rls_versions(spark, tmp_root):
-    from saleslake.operators.load import current_version, read_current
-
-    hier = spark.createDataFrame(ROWS, COLS)
-    assert R.publish_rls(hier, f"{tmp_root}/rls") == 1
-    assert R.publish_rls(hier.where("sales_group <> 10"), f"{tmp_root}/rls") == 2
-    assert current_version(spark, f"{tmp_root}/rls") == 2
-    assert 10 not in {r["sales_group"] for r in read_current(spark, f"{tmp_root}/rls").collect()}
+    fact = spark.createDataFrame([(10, 1.0), (11, 2.0), (12, 3.0), (10, 4.0), (None, 5.0)], "sales_group_code int, v double")
+    got = sorted(tuple(r) for r in R.secured_fact(fact, rls, "b@x.com").collect())
+    assert got == [(10, 1.0), (10, 4.0), (11, 2.0)]
+    assert R.secured_fact(fact, rls, "nobody@x.com").count() == 0
+    grants = R.user_groups(rls, spark.createDataFrame([("b@x.com",)], "email string"))
+    assert [tuple(r) for r in R.secured_totals(fact, grants, "v").collect()] == [("b@x.com", 3, 7.0)]
