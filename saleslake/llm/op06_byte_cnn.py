@@ -129,7 +129,8 @@ class ByteCnn:
         count = np.diff(firsts)
         own = np.repeat(np.arange(len(y)), count)
         d_pool = (d[:, None] * self.out[half:] / count[:, None])[own]
-        d_pool += np.where(pooled >= z[own, :half], (d[:, None] * self.out[:half])[own], 0)
+        top = pooled >= z[own, :half]
+        d_pool += np.where(top, (d[:, None] * self.out[:half] / np.add.reduceat(top, firsts[:-1], dtype=np.int64))[own], 0)  # equal chunks share
         d_pool[pooled <= 0] = 0
         dc = d_pool[:, :FILTERS]
         span = (at * STRIDE)[:, :, None] + np.arange(WIDTH)
