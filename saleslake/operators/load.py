@@ -27,7 +27,7 @@ from saleslake.operators.project import rename_to_spec
 from saleslake.operators.clean import DATE_FORMATS, choose_date_formats, to_date, to_decimal, to_double, to_int
 from saleslake.operators.table import LoadError  # noqa: F401  (raised here and by the table)
 from saleslake.session import hadoop_fs, scratch_path
-from saleslake.spec import TableSpec, spark_type
+from saleslake.spec import TableSpec, load_order, spark_type
 
 # --- fixed values -------------------------------------------------------------
 MAX_FILTER_RATIO = (1, 10)      # a load unit fails when > 10 % of its rows are filtered
@@ -135,6 +135,44 @@ def drop_table(spark: SparkSession, root: str) -> bool:
     return bool(fs.delete(p, True)) if fs.exists(p) else False
 
 
+def create_all(spark: SparkSession, specs: dict[str, TableSpec], root: str, views: dict[str, str] | None = None,
+               rows: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Every table in load order, its first rows, then the views; one status row each.
+
+    ``rows``: what a table holds from the start.  ``views``: SQL over the
+    tables (and views before), registered in the session.  A table that
+    exists is left as it is; one that fails does not stop the others.
+    """
+    out = []
+
+    def attempt(kind: str, name: str, step) -> None:
+        try:
+            out.append((kind, name, step(), None))
+        except Exception as e:  # reported as this one's status
+            out.append((kind, name, "failed", str(e).splitlines()[0][:500]))
+
+    def table(spec: TableSpec) -> str:
+        path = f"{root.rstrip('/')}/{spec.name}"
+        status = "exists"
+        if current_version(spark, path) is None:
+            create_table(spark, spec, path)
+            if rows and spec.name in rows:
+                publish_version(TB.aligned(rows[spec.name], spec.schema()), path)
+            status = "created"
+        read_current(spark, path).createOrReplaceTempView(spec.name)
+        return status
+
+    def view(name: str, sql: str) -> str:
+        spark.sql(sql).createOrReplaceTempView(name)
+        return "created"
+
+    for spec in load_order(specs):
+        attempt("table", spec.name, lambda spec=spec: table(spec))
+    for name, sql in (views or {}).items():
+        attempt("view", name, lambda name=name, sql=sql: view(name, sql))
+    return spark.createDataFrame(out, "kind string, name string, status string, error string")
+
+
 # --- partitioned facts (K6-K9) ---------------------------------------------------
 
 

@@ -192,6 +192,16 @@ def q_load_replace_groups_expanded(spark, sf):
     return _summary(TB.read_table(spark, root))
 
 
+#: for the benchmark: loads by themselves, on a table that is already there
+LOADS = {
+    "load_append": (S.SECONDARY_GROUP, lambda spark, f, root: L.append(f.where(F.col("ship_ymd") >= _CUT), root)),
+    "load_replace_groups_not_dd": (S.SECONDARY_GROUP, lambda spark, f, root: L.replace_groups_not_dd(spark, root, _new_rows(f), _groups(_SECONDARY_FILE))),
+    "load_replace_dd": (S.SECONDARY_GROUP, lambda spark, f, root: L.replace_dd(spark, root, f.where((F.col("ship_ymd") >= _CUT) & (F.col("record_type") == "DD")))),
+    "load_replace_groups_expanded": (S.DETAILS_GROUP, lambda spark, f, root: L.replace_groups_expanded(
+        spark, root, f.where((F.col("ship_ymd") >= _CUT) & F.col("sales_group_code").isin(107, 112)), _groups(_DETAILS_FILE))),
+}
+
+
 # --- K4 tolerance and A9 summary ------------------------------------------------------
 
 _LOAD_SPEC = SP.FACT_LINES.with_types({"big_qty": "BIGINT"})

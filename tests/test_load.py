@@ -62,6 +62,18 @@ def test_versioned_refresh_and_create(spark, tmp_root):
     assert L.drop_table(spark, root) and not L.drop_table(spark, root)
 
 
+def test_create_all(spark, tmp_root):
+    specs = {n: TableSpec(n, parse_columns("k:INT, name:VARCHAR(9)"), order=o) for n, o in (("fact_a", 0), ("dim_b", 2), ("dim_c", 1))}
+    rows = {"dim_c": spark.createDataFrame([(1, "x")], "k long, name string")}
+    views = {"v_names": "SELECT c.name FROM dim_c c LEFT JOIN dim_b USING (k)", "v_bad": "SELECT nothing FROM nowhere", "v_more": "SELECT * FROM v_names"}
+    got = [tuple(r)[:3] for r in L.create_all(spark, specs, tmp_root, views, rows).collect()]
+    assert got == [("table", "dim_c", "created"), ("table", "dim_b", "created"), ("table", "fact_a", "created"),
+                   ("view", "v_names", "created"), ("view", "v_bad", "failed"), ("view", "v_more", "created")]
+    assert [r[0] for r in spark.table("v_more").collect()] == ["x"]
+    again = [r["status"] for r in L.create_all(spark, specs, tmp_root).collect()]
+    assert again == ["exists"] * 3
+
+
 def test_tolerance_boundary(spark):
     spec = TableSpec("t", parse_columns("u:VARCHAR(5), v:INT"))
     rows = [("A", "x" if i < 10 else str(i)) for i in range(100)]           # 10.0 % filtered
