@@ -132,6 +132,12 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str = KEY) -> C
     """The surrogate of an entity on its attempt-th draw."""
     seed = F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), canon)
     stream = F.concat(F.sha2(F.concat(F.lit("0"), seed), 512), F.sha2(F.concat(F.lit("1"), seed), 512))
+    # a lambda variable, so that the digests are computed once for an entity and not once for each character
+    return _once(stream, lambda h: _from_stream(h, kind, canon, attempt))
+
+
+def _from_stream(stream: Column, kind: Column, canon: Column, attempt: Column) -> Column:
+    """The surrogate that 256 hexadecimal digits give."""
 
     def byte(i: Column) -> Column:
         return F.conv(F.substring(stream, 2 * F.pmod(i, F.lit(128)) + 1, F.lit(2)), 16, 10).cast("int")
@@ -147,11 +153,18 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str = KEY) -> C
     def shape(text: Column) -> Column:
         return F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: like(F.substring(text, i, F.lit(1)), i)), "")
 
-    def pick(values: list[str], i: Column) -> Column:
-        return F.element_at(F.array(*map(F.lit, values)), byte(i) % len(values) + 1)
+    def several(values: Column, n: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), n), lambda i: F.element_at(values, byte(i) % F.size(values) + 1))
 
-    def several(values: list[str], n: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), n), lambda i: pick(values, i))
+    literals = lambda values: F.array(*map(F.lit, values))
+    given = F.lit(None)
+    for who, names in GIVEN.items():
+        given = F.when(kind == f"given_{who}", literals(names)).otherwise(given)
+    cyrillic = kind.endswith("_cyrillic")
+    syllables = F.when(cyrillic, literals(SYLLABLES["cyrillic"])).otherwise(literals(SYLLABLES["latin"]))
+    ending = F.when(~cyrillic, "").when(kind == "family_f_cyrillic", "ова").otherwise("ов")
+    given = F.array_join(several(given, 1 + F.floor(attempt / 2).cast("int")), "-")
+    family = F.concat(F.initcap(F.array_join(several(syllables, 3 + F.floor(attempt / 4).cast("int")), "")), ending)
 
     digits = shape(F.regexp_replace(canon, "[0-9]", "0"))
     host = F.concat(F.array_join(F.transform(F.sequence(F.lit(60), F.lit(65)), lambda i: F.char(97 + byte(i) % 26)), ""), F.lit(".example.net"))
@@ -170,26 +183,38 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str = KEY) -> C
         .when(kind == "access_key", F.concat(F.lit("AKIA"), shape(F.substring(canon, 5, 16))))
         .when((kind == "secret") & canon.rlike("^[0-9a-f]+$"), F.substring(stream, F.lit(1), F.length(canon)))
     )
-    for script, syllables in SYLLABLES.items():
-        for gender in "mf":
-            ending = {"latin": "", "cyrillic": "ова" if gender == "f" else "ов"}[script]
-            out = out.when(kind == f"given_{gender}_{script}", F.array_join(several(GIVEN[f"{gender}_{script}"], 1 + F.floor(attempt / 2).cast("int")), "-"))
-            out = out.when(kind == f"family_{gender}_{script}", F.concat(F.initcap(F.array_join(several(syllables, 3 + F.floor(attempt / 4).cast("int")), "")), F.lit(ending)))
+    out = out.when(kind.startswith("given_"), given).when(kind.startswith("family_"), family)
     return out.otherwise(shape(canon))
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used (a lambda variable)."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _as_written(part: Column, new: Column) -> Column:
-    """The surrogate in the mention's format: its digits and letters at the places of the mention's."""
+    """The surrogate in the mention's format: its digits and letters at the places of the mention's.
+
+    A phone number longer than its ten canonical digits keeps those before them.
+    """
     text = part["text"]
-    filled = F.aggregate(
-        F.sequence(F.lit(1), F.length(text)),
-        F.struct(F.lit("").alias("out"), F.lit(0).alias("n")),
-        lambda acc, i: F.when(
-            F.substring(text, i, F.lit(1)).rlike("[0-9A-Z]"), F.struct(F.concat(acc["out"], F.substring(new, acc["n"] + 1, F.lit(1))).alias("out"), (acc["n"] + 1).alias("n"))
-        ).otherwise(F.struct(F.concat(acc["out"], F.substring(text, i, F.lit(1))).alias("out"), acc["n"].alias("n"))),
-        lambda acc: acc["out"],
-    )
-    return F.when(part["kind"].isin("ssn", "card", "iban", "phone"), filled).otherwise(new)
+    digits = _digits(text)
+    code = F.when(part["kind"] == "phone", F.substring(digits, F.lit(1), F.length(digits) - F.length(part["canon"]))).otherwise("")
+
+    def filled(full: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            c = F.substring(text, i, F.lit(1))
+            own = c.rlike("[0-9A-Z]")
+            return F.struct(
+                F.concat(acc["out"], F.when(own, F.substring(full, acc["n"] + 1, F.lit(1))).otherwise(c)).alias("out"),
+                (acc["n"] + own.cast("int")).alias("n"),
+            )
+
+        start = F.struct(F.lit("").alias("out"), F.lit(0).alias("n"))
+        return F.aggregate(F.sequence(F.lit(1), F.length(text)), start, step, lambda acc: acc["out"])
+
+    spaced = part["kind"].isin("ssn", "card", "iban", "phone")
+    return _once(F.concat(code, new), lambda full: F.when(spaced, filled(full)).otherwise(full))
 
 
 def _drawn(entities: DataFrame, key: str) -> DataFrame:
@@ -231,7 +256,7 @@ def surrogates(df: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
     def render(f: Column) -> Column:
         def one(p: Column) -> Column:
             attempt = F.coalesce(F.try_element_at("attempts", F.concat_ws(":", p["kind"], p["canon"])), F.lit(0))
-            return _as_written(p, _keep_code(p, surrogate(p["kind"], p["canon"], attempt, key)))
+            return _as_written(p, surrogate(p["kind"], p["canon"], attempt, key))
 
         return F.when(F.size(f["parts"]) == 0, f["m"]).otherwise(F.concat(f["before"], F.array_join(F.transform(f["parts"], one), " ")))
 
@@ -242,12 +267,6 @@ def surrogates(df: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
     return rows.select(F.col("row").withField(text, new).alias("row"), F.when(body.isNull(), 0).otherwise(n).alias("n_entities"))
 
 
-def _keep_code(p: Column, new: Column) -> Column:
-    """A phone number longer than its ten canonical digits keeps those before them."""
-    digits = _digits(p["text"])
-    return F.when(p["kind"] == "phone", F.concat(F.substring(digits, F.lit(1), F.length(digits) - F.length(p["canon"])), new)).otherwise(new)
-
-
 @query("op7_pii_surrogates")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = surrogates(table(spark, sf_dir, "documents"))
