@@ -121,7 +121,8 @@ class ByteCnn:
 
     def gradients(self, raw: np.ndarray, off: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
         x, firsts = chunks_of(raw, off)
-        pooled, at, where = self.pooled(x, places=True)
+        slices = [self.pooled(x[i : i + 512], places=True) for i in range(0, len(x), 512)]  # bounds the driver's memory
+        pooled, at, where = (np.concatenate(part) for part in zip(*slices))
         z = self.features(pooled, firsts)
         p = 1 / (1 + np.exp(-(z @ self.out + self.shift[0])))
         d = ((p - y) / len(y)).astype(np.float32)
