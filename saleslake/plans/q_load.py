@@ -172,8 +172,8 @@ def q_load_replace_dd(spark, sf):
     return _summary(TB.read_table(spark, root))
 
 
-# K8's list, written out for the oracle (the operator has its own)
-_DETAIL_GROUPS = (
+# K8's list, written out for the oracles (the operator has its own).
+DETAIL_GROUPS = (
     107, 112, 101, 203, 204, 202, 205, 302, 303, 304, 408, 409, 402, 403, 407, 451, 452, 453, 454, 455, 456, 457, 501, 502,
     503, 504, 505, 506, 508, 509, 601, 602, 604, 956, 957, 961, 949, 951, 958, 959, 960,
 )
@@ -182,7 +182,7 @@ _DETAIL_GROUPS = (
 @query(
     "load_replace_groups_expanded",
     _d_summary(f"""WITH f AS ({S.fact_sql(S.DETAILS_GROUP)}),
-fin AS (SELECT * FROM f WHERE ship_ymd < {_CUT} AND NOT coalesce(sales_group_code IN ({_in(_DETAIL_GROUPS)}), FALSE)
+fin AS (SELECT * FROM f WHERE ship_ymd < {_CUT} AND NOT coalesce(sales_group_code IN ({_in(DETAIL_GROUPS)}), FALSE)
         UNION ALL SELECT * FROM f WHERE ship_ymd >= {_CUT} AND sales_group_code IN (107, 112))"""),
 )
 def q_load_replace_groups_expanded(spark, sf):

@@ -15,6 +15,7 @@ from saleslake.plans import specs as SP
 from saleslake.plans import standins as S
 from saleslake.plans.oracle_parts import d_to_double, d_to_int
 from saleslake.plans.pipeline import load_file
+from saleslake.plans.q_load import DETAIL_GROUPS
 from saleslake.plans.registry import query
 from saleslake.session import scratch_path
 
@@ -328,6 +329,7 @@ def q_pipeline_historical_load_dd(spark, sf):
     return TB.read_table(spark, root)
 
 
+_DETAIL_GROUPS_SQL = ", ".join(map(str, DETAIL_GROUPS))
 _DETAILS_GROUP = "CASE WHEN o_custkey % 37 = 0 THEN NULL ELSE 100 * (1 + o_custkey % 9) + o_custkey % 13 END"
 _POSTED = "CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INTEGER)"
 _DETAILS_SQL = f"""SELECT o_orderkey AS order_number, {_POSTED} AS posting_date, CAST({_DETAILS_GROUP} AS SMALLINT) AS sales_group_code,
@@ -337,9 +339,7 @@ _DETAILS_SQL = f"""SELECT o_orderkey AS order_number, {_POSTED} AS posting_date,
 @query(
     "pipeline_historical_load_details",
     f"""WITH t AS ({_DETAILS_SQL})
-SELECT * FROM t WHERE posting_date < {_CUT} AND NOT coalesce(sales_group_code IN (107, 112, 101, 203, 204, 202, 205, 302, 303, 304, 408,
-  409, 402, 403, 407, 451, 452, 453, 454, 455, 456, 457, 501, 502, 503, 504, 505, 506, 508, 509, 601, 602, 604, 956, 957, 961, 949,
-  951, 958, 959, 960), FALSE)
+SELECT * FROM t WHERE posting_date < {_CUT} AND NOT coalesce(sales_group_code IN ({_DETAIL_GROUPS_SQL}), FALSE)
 UNION ALL SELECT * FROM t WHERE posting_date >= {_CUT} AND sales_group_code IN (107, 112, 101, 203)""",
 )
 def q_pipeline_historical_load_details(spark, sf):
