@@ -12,6 +12,10 @@ mentions of an entity, however written, get the same one in every document:
   and family names are entities of their own, so "Ms Ann Lee" and "Ms Lee"
   stay one person.
 
+A run of digits or capitals may hold a card or an IBAN beside other words:
+every cut between separators is tried (an IBAN has its country's length), the
+well-formed ones first, and what is left is searched for the other types.
+
 Collision check: over the distinct entities of the whole table, no surrogate
 may stand for two entities of a type nor equal an entity of the table; those
 that do draw again (next attempt) until none is left.  Drawing first from the
@@ -41,14 +45,35 @@ PATTERNS = {
     "secret": _SECRET_NAME + r"[A-Za-z0-9_+/-]{8,128}",
     "access_key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,256}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]++(?![a-z]))++",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\d(+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{4}(?!\d)|(?<!\d)\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]|\.\d)",
-    "card": r"(?<![\d.-])\d(?:[ -]?\d){12,18}(?!\d)",
+    "card": r"(?<![\d.-])(?!(?<=\b[A-Z]{2})\d\d )\d(?:[ -]?\d){12,}+",
     "person": rf"(?<!\p{{L}})(?:{MALE}|{FEMALE})\.? \p{{Lu}}[\p{{L}}'-]{{1,40}}(?: \p{{Lu}}[\p{{L}}'-]{{1,40}}){{0,2}}",
 }
-ANY = "|".join(PATTERNS.values())
+# what is cut out first (runs that may hold several numbers), with the kinds that go before it; then all others
+IBAN_SCAN = "|".join(PATTERNS[k] for k in ("secret", "access_key", "email", "iban"))
+CARD_SCAN = "|".join(PATTERNS[k] for k in ("secret", "access_key", "email", "ip", "ssn", "phone", "card"))
+ANY = "|".join(p for k, p in PATTERNS.items() if k not in ("iban", "card"))
+
+# a cut starts and ends at a separator: the longest one from each start, all of them (the longest first), well-formed ones
+CARD_CUTS = [r"\d(?:[ -]?\d){%d}(?!\d)" % (n - 1) for n in range(19, 12, -1)]
+CARD_HINT = r"\d(?:[ -]?\d){12}"
+CARD_HEAD = r"(?<!\d)(?=(\d(?:[ -]?\d){12,18}(?!\d)))"
+CARD_FORM = r"^(?=3[04-9]|4|5|6|2[2-7])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{4,5})$"
+IBAN_CUTS = [r"[A-Z0-9](?: ?[A-Z0-9]){%d}(?![A-Z0-9])" % (n - 1) for n in range(34, 11, -1)]
+IBAN_HINT = r"[A-Z]{2}\d{2} ?[A-Z0-9]"
+IBAN_HEAD = r"(?<![A-Z0-9])(?=([A-Z]{2}\d{2}(?: ?[A-Z0-9]){8,30}(?![A-Z0-9])))"
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN_GROUPS = r"^[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])"
+IBAN_LISTED = "^(?:" + "|".join(IBAN_LENGTHS.values()).replace(" ", "|") + ")"
+IBAN_FORM = "^(?:" + "|".join(r"(?:%s)(?: ?[A-Z0-9]){%d}" % (c.replace(" ", "|"), n - 2) for n, c in IBAN_LENGTHS.items()) + ")$"
 
 GIVEN = {
     "m_latin": "Adam Bruno Carl David Emil Felix Georg Henri Ivo Jonas Karl Leon Marco Niels Oscar Paul".split(),
@@ -92,13 +117,16 @@ def _mod97(iban: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(turned)), F.lit(0), add)
 
 
+PARTS = "array<struct<kind:string,canon:string,text:string>>"
+
+
 def _part(kind: Column, canon: Column, text: Column) -> Column:
     return F.struct(kind.alias("kind"), canon.alias("canon"), text.alias("text"))
 
 
 def _mention(m: Column) -> Column:
     """Struct (m, before, parts) of a match; without parts it is not an entity."""
-    digits, tight = _digits(m), F.regexp_replace(m, " ", "")
+    digits = _digits(m)
     before = F.regexp_extract(m, f"^{_SECRET_NAME}", 0)
     secret = F.substring(m, F.length(before) + 1, F.length(m))
     words = F.split(F.regexp_replace(m, r"^\S+ ", ""), " ")
@@ -110,16 +138,14 @@ def _mention(m: Column) -> Column:
         return _part(F.concat_ws("_", role, gender, script), F.lower(w), w)
 
     one = lambda kind, canon, text: F.array(_part(F.lit(kind), canon, text))
-    none = F.expr("cast(array() as array<struct<kind:string,canon:string,text:string>>)")
+    none = F.expr(f"cast(array() as {PARTS})")
     parts = (
         F.when(_matches(m, "secret"), one("secret", secret, secret))
         .when(_matches(m, "access_key"), one("access_key", m, m))
         .when(m.contains("@"), one("email", F.lower(m), m))
         .when(_matches(m, "person"), F.transform(words, name))
-        .when(_matches(m, "iban"), F.when(_mod97(tight) == 1, one("iban", tight, m)).otherwise(none))
         .when(_matches(m, "ip"), one("ip", m, m))
         .when(_matches(m, "ssn"), one("ssn", digits, m))
-        .when(_matches(m, "card") & (_luhn_sum(digits) % 10 == 0), one("card", digits, m))
         .when(_matches(m, "phone"), one("phone", F.right(digits, F.lit(10)), m))
         .otherwise(none)
     )
@@ -128,6 +154,120 @@ def _mention(m: Column) -> Column:
     return F.struct(m.alias("m"), prefix.alias("before"), parts.alias("parts"))
 
 
+def _spans(run: Column, head: str, cuts: list[str], form: str, valid) -> Column:
+    """Array of (a, b), the places of the valid numbers in a run: a is 0 for its first character, b is behind the last.
+
+    First those that are written like a number (``form``), from any separator
+    on; then, in what is left, any other valid cut, from where a scan for the
+    longest ones comes by.
+    """
+    places = "array<struct<a:int,b:int>>"
+    empty = F.expr(f"cast(array() as {places})")
+    span = lambda a, n: F.array(F.struct(a.alias("a"), (a + n).alias("b")))
+    heads, steps = F.regexp_extract_all(run, F.lit(head), F.lit(1)), F.split(run, head, -1)
+
+    def cut(step: Column, longest: Column) -> Column:
+        all_cuts = F.array(*[F.regexp_extract(longest, f"^{c}", 0) for c in cuts])
+        good = F.filter(all_cuts, lambda c: (c != "") & valid(c, longest))
+        return _once(good, lambda g: F.struct(
+            F.length(step).alias("step"), F.length(longest).alias("longest"), F.transform(g, F.length).alias("any"),
+            F.coalesce(F.length(F.get(F.filter(g, lambda c: c.rlike(form)), F.lit(0))), F.lit(0)).alias("formed"),
+        ))
+
+    # without a head at its start, the run's first step belongs to none
+    tried = F.zip_with(steps, F.when(F.size(steps) > F.size(heads), F.concat(F.array(F.lit("")), heads)).otherwise(heads), cut)
+
+    def formed(acc: Column, x: Column) -> Column:
+        new = (x["formed"] > 0) & (acc["at"] >= acc["scan"])
+        return F.struct(
+            (acc["at"] + x["step"]).alias("at"), F.when(new, acc["at"] + x["formed"]).otherwise(acc["scan"]).alias("scan"),
+            F.when(new, F.concat(acc["spans"], span(acc["at"], x["formed"]))).otherwise(acc["spans"]).alias("spans"),
+        )
+
+    def others(first: Column):
+        def step(acc: Column, x: Column) -> Column:
+            at = acc["at"]
+            free = lambda n: ~F.exists(first, lambda s: (s["a"] < at + n) & (at < s["b"]))
+            here = (at >= acc["scan"]) & free(F.lit(1)) & (x["longest"] > 0)
+            return _once(F.get(F.filter(x["any"], free), F.lit(0)), lambda n: F.struct(
+                (at + x["step"]).alias("at"), F.when(here, at + F.coalesce(n, x["longest"])).otherwise(acc["scan"]).alias("scan"),
+                F.when(here & n.isNotNull(), F.concat(acc["spans"], span(at, n))).otherwise(acc["spans"]).alias("spans"),
+            ))
+
+        return step
+
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("scan"), empty.alias("spans"))
+    fold = lambda items, step: F.aggregate(items, start, step, lambda acc: acc["spans"])
+    return _once(tried, lambda t: _once(fold(t, formed), lambda first: F.array_sort(F.concat(first, fold(t, others(first))))))
+
+
+def _piece(text: Column, kind: str | None) -> Column:
+    return F.struct(text.alias("text"), F.lit(kind).cast("string").alias("kind"))
+
+
+def _cut_out(text: Column, kind: str, scan: str, hint: str, head: str, cuts: list[str], form: str, valid) -> Column:
+    """Array of (text, kind): a text's numbers of a kind, and what is between them (no kind)."""
+
+    def run_pieces(run: Column) -> Column:
+        def around(spans: Column) -> Column:
+            starts = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["b"]))
+            ends = F.concat(F.transform(spans, lambda s: s["a"]), F.array(F.length(run)))
+            rests = F.zip_with(starts, ends, lambda a, b: F.array(_piece(F.substring(run, a + 1, b - a), None)))
+            own = F.transform(spans, lambda s: F.array(_piece(F.substring(run, s["a"] + 1, s["b"] - s["a"]), kind)))
+            return F.flatten(F.flatten(F.zip_with(rests, F.concat(own, F.array(F.expr("cast(array() as array<struct<text:string,kind:string>>)"))), lambda a, b: F.array(a, b))))
+
+        return _once(_spans(run, head, cuts, form, valid), around)
+
+    def pieces(between: Column, m: Column) -> Column:
+        return F.concat(F.array(_piece(between, None)), F.when(_matches(m, kind), run_pieces(m)).otherwise(F.array(_piece(m, None))))
+
+    found = F.concat(F.regexp_extract_all(text, F.lit(scan), F.lit(0)), F.array(F.lit("")))
+    all_pieces = F.flatten(F.zip_with(F.split(text, scan, -1), found, pieces))
+
+    def joined(p: Column) -> Column:
+        """The text between two numbers as one, so that it is scanned as one."""
+        at = F.filter(F.sequence(F.lit(0), F.size(p) - 1), lambda i: F.get(p, i)["kind"].isNotNull())
+
+        def upto(a: Column, b: Column) -> Column:
+            rest = F.array_join(F.transform(F.slice(p, a + 2, b - a - 1), lambda x: x["text"]), "")
+            return F.filter(F.array(_piece(rest, None), F.get(p, b)), lambda x: x.isNotNull())
+
+        return _once(at, lambda i: F.flatten(F.zip_with(F.concat(F.array(F.lit(-1)), i), F.concat(i, F.array(F.size(p))), upto)))
+
+    # the scan is for the few texts with something like a number of the kind
+    return F.when(text.rlike(hint), _once(all_pieces, joined)).otherwise(F.array(_piece(text, None)))
+
+
+def _tokens(text: Column) -> Column:
+    """Array of (m, before, parts) that make up a text: entities, and without parts what is between them."""
+    none = F.expr(f"cast(array() as {PARTS})")
+
+    def plain(m: Column) -> Column:
+        return F.struct(m.alias("m"), F.lit("").alias("before"), none.alias("parts"))
+
+    def token(p: Column) -> Column:
+        t = p["text"]
+        canon = F.regexp_replace(t, "[ -]", "")
+        number = F.struct(t.alias("m"), F.lit("").alias("before"), F.array(_part(p["kind"], canon, t)).alias("parts"))
+        found = F.transform(F.regexp_extract_all(t, F.lit(ANY), F.lit(0)), lambda m: F.array(_mention(m)))
+        between = F.transform(F.split(t, ANY, -1), plain)
+        end = F.array(F.expr(f"cast(array() as array<struct<m:string,before:string,parts:{PARTS}>>)"))
+        scanned = F.flatten(F.zip_with(between, F.concat(found, end), lambda a, b: F.concat(F.array(a), b)))
+        return F.when(p["kind"].isNotNull(), F.array(number)).otherwise(scanned)
+
+    def cards(p: Column) -> Column:
+        own = _cut_out(p["text"], "card", CARD_SCAN, CARD_HINT, CARD_HEAD, CARD_CUTS, CARD_FORM, lambda c, _: _luhn_sum(_digits(c)) % 10 == 0)
+        return F.when(p["kind"].isNotNull(), F.array(p)).otherwise(own)
+
+    def iban(c: Column, longest: Column) -> Column:
+        # of a country that is not listed, the longest cut in groups of four
+        length = F.when(c.rlike(IBAN_LISTED), c.rlike(IBAN_FORM)).otherwise(c == F.regexp_extract(longest, IBAN_GROUPS, 0))
+        return length & (_mod97(F.regexp_replace(c, " ", "")) == 1)
+
+    ibans = _cut_out(text, "iban", IBAN_SCAN, IBAN_HINT, IBAN_HEAD, IBAN_CUTS, IBAN_FORM, iban)
+    return F.flatten(F.transform(F.flatten(F.transform(ibans, cards)), token))
+
+
 def surrogate(kind: Column, canon: Column, attempt: Column, key: str = KEY) -> Column:
     """The surrogate of an entity on its attempt-th draw."""
     seed = F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), canon)
@@ -244,8 +384,11 @@ def surrogates(df: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
     spark = df.sparkSession
     body = F.col("row")[text]
     base = df.select(F.monotonically_increasing_id().alias("uid"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
-    base = base.withColumn("found", F.transform(F.regexp_extract_all(body, F.lit(ANY), F.lit(0)), _mention))
-    base = written(base, scratch(spark, "pii-documents"))
+    base = base.withColumn("found", _tokens(body))
+    # a text is kept once: in its row where it has no entities, else as tokens
+    n = F.size(F.filter("found", lambda f: F.size(f["parts"]) > 0))
+    base = base.withColumn("n", F.when(body.isNull(), 0).otherwise(n))
+    base = written(base.select("uid", F.when(F.col("n") == 0, F.col("row")).otherwise(F.col("row").withField(text, F.lit(None).cast("string"))).alias("row"), F.when(F.col("n") > 0, F.col("found")).alias("found"), "n"), scratch(spark, "pii-documents"))
     parts = base.select("uid", F.explode(F.flatten("found.parts")).alias("p")).select("uid", "p.kind", "p.canon")
     later = _drawn(parts.select("kind", "canon").distinct(), key)
     name = F.concat_ws(":", "kind", "canon")
@@ -260,11 +403,8 @@ def surrogates(df: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
 
         return F.when(F.size(f["parts"]) == 0, f["m"]).otherwise(F.concat(f["before"], F.array_join(F.transform(f["parts"], one), " ")))
 
-    between = F.split(body, ANY, -1)
-    pieces = F.zip_with(between, F.concat(F.transform("found", render), F.array(F.lit(""))), lambda a, b: F.concat(a, b))
-    n = F.size(F.filter("found", lambda f: F.size(f["parts"]) > 0))
-    new = F.when(n > 0, F.array_join(pieces, "")).otherwise(body)
-    return rows.select(F.col("row").withField(text, new).alias("row"), F.when(body.isNull(), 0).otherwise(n).alias("n_entities"))
+    new = F.when(F.col("n") > 0, F.array_join(F.transform("found", render), "")).otherwise(body)
+    return rows.select(F.col("row").withField(text, new).alias("row"), F.col("n").alias("n_entities"))
 
 
 @query("op7_pii_surrogates")

@@ -130,3 +130,19 @@ def test_odd_rows_pass_through(odd):
     out = pii.surrogates(odd).select("row.*")
     assert out.columns == odd.columns
     assert out.exceptAll(odd).count() == 0 and odd.exceptAll(out).count() == 0
+
+
+def test_numbers_next_to_others(spark):
+    """A valid card or IBAN is found beside other digits and words, which stay or are found on their own."""
+    card, es = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332"
+    around = ["{} 123", "4111111111111111 12/26", "ref 123 {}.", "2024 {} 2025", "{} 202-555-0143", "{} 10.1.255.3", "{} 12foo@mail.com"]
+    texts = [t.format(card) for t in around] + [f"{es} I paid", f"{es} 12 OK", f"AB12 {es}", f"AB12 PAID WITH CARD {card}", f"{es} {card}"]
+    df = spark.createDataFrame(list(enumerate(texts + ["bad 4111 1111 1111 1112 123, ES92 2100 0418 4502 0005 1332 I"])), "doc_id long, text string")
+    *out, bad = [(r.row.text, r.n_entities) for r in pii.surrogates(df).orderBy("row.doc_id").collect()]
+    assert bad == ("bad 4111 1111 1111 1112 123, ES92 2100 0418 4502 0005 1332 I", 0)
+    assert [n for _, n in out] == [1, 1, 1, 1, 2, 2, 2, 1, 1, 1, 1, 2]
+    new = [t for t, _ in out]
+    assert not any("1111" in t or "2100" in t or "0143" in t or "foo" in t or "255.3" in t for t in new)
+    assert new[0].endswith(" 123") and new[1].endswith(" 12/26") and new[2].startswith("ref 123 ") and new[3].startswith("2024 ") and new[3].endswith(" 2025")
+    assert new[7].endswith(" I paid") and new[8].endswith(" 12 OK") and new[9].startswith("AB12 ES") and new[10].startswith("AB12 PAID WITH CARD 4")
+    assert new[0][:19] == new[4][:19] == new[11][-19:] and new[7][:29] == new[8][:29] == new[11][:29]
