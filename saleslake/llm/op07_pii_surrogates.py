@@ -2,7 +2,8 @@
 
 Detected: e-mail addresses, phone numbers, payment cards (Luhn), IPv4
 addresses, US social security numbers, IBANs (mod 97), access keys, secrets
-after ``password=``, ``token =`` and the like, and names after a title.  A
+of 8 characters or more after ``password=``, ``token =`` and the like, up to
+the closing quote or white space, and names after a title.  A
 surrogate is a keyed function of the entity's type and canonical form, so all
 mentions of an entity, however written, get the same one in every document:
 
@@ -41,8 +42,10 @@ MALE = "Mr|Herr|Monsieur|Señor|Господин"
 FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Госпожа"
 _SECRET_NAME = r"(?<![A-Za-z])(?i:password|passwd|pwd|token|secret|api_?key) ?[:=] ?[\"']?"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|\d\d?)"
+# up to the closing quote or white space, without the sentence's punctuation where there is no quote; not a blank or a mask
+_SECRET = r"""(?![*_.•=-]+(?:[\s"']|$))(?:(?<=")[^\s"]{8,}+|(?<=')[^\s']{8,}+|(?<!["'])[^\s"']{8,}(?<![.,;:?)\]}>]))"""
 PATTERNS = {
-    "secret": _SECRET_NAME + r"[A-Za-z0-9_+/-]{8,128}",
+    "secret": _SECRET_NAME + _SECRET,
     "access_key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,256}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]++(?![a-z]))++",
@@ -273,25 +276,51 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str = KEY) -> C
     seed = F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), canon)
     stream = F.concat(F.sha2(F.concat(F.lit("0"), seed), 512), F.sha2(F.concat(F.lit("1"), seed), 512))
     # a lambda variable, so that the digests are computed once for an entity and not once for each character
-    return _once(stream, lambda h: _from_stream(h, kind, canon, attempt))
+    return F.when(kind == "secret", _secret(seed, canon)).otherwise(_once(stream, lambda h: _from_stream(h, kind, canon, attempt)))
+
+
+def _byte(stream: Column, i: Column) -> Column:
+    return F.conv(F.substring(stream, 2 * i + 1, F.lit(2)), 16, 10).cast("int")
+
+
+def _like(c: Column, byte: Column) -> Column:
+    return (
+        F.when(c.rlike("[0-9]"), F.char(48 + byte % 10))
+        .when(c.rlike("[A-Z]"), F.char(65 + byte % 26))
+        .when(c.rlike(r"\p{L}"), F.char(97 + byte % 26))
+        .otherwise(c)
+    )
+
+
+def _secret(seed: Column, canon: Column) -> Column:
+    """A secret of any length, with a digest of its own for every 64 characters.
+
+    Hexadecimal digits also stand for a value with few letters and digits,
+    whose shape would leave too little to draw from.
+    """
+    chunks = F.regexp_extract_all(canon, F.lit("(?s).{1,64}"), F.lit(0))
+    as_hex = canon.rlike("^[0-9a-f]+$") | (F.length(F.regexp_replace(canon, r"[^\p{L}0-9]", "")) < 8)
+
+    def shape(c: Column, h: Column) -> Column:
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: _like(F.substring(c, i, F.lit(1)), _byte(h, i - 1))), "")
+
+    def drawn(hexed: Column) -> Column:
+        def chunk(c: Column, i: Column) -> Column:
+            return _once(F.sha2(F.concat(i.cast("string"), seed), 512), lambda h: F.when(hexed, F.substring(h, F.lit(1), F.length(c))).otherwise(shape(c, h)))
+
+        return F.array_join(F.transform(chunks, chunk), "")
+
+    return _once(as_hex, drawn)
 
 
 def _from_stream(stream: Column, kind: Column, canon: Column, attempt: Column) -> Column:
     """The surrogate that 256 hexadecimal digits give."""
 
     def byte(i: Column) -> Column:
-        return F.conv(F.substring(stream, 2 * F.pmod(i, F.lit(128)) + 1, F.lit(2)), 16, 10).cast("int")
-
-    def like(c: Column, i: Column) -> Column:
-        return (
-            F.when(c.rlike("[0-9]"), F.char(48 + byte(i) % 10))
-            .when(c.rlike("[A-Z]"), F.char(65 + byte(i) % 26))
-            .when(c.rlike(r"\p{L}"), F.char(97 + byte(i) % 26))
-            .otherwise(c)
-        )
+        return _byte(stream, F.pmod(i, F.lit(128)))
 
     def shape(text: Column) -> Column:
-        return F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: like(F.substring(text, i, F.lit(1)), i)), "")
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: _like(F.substring(text, i, F.lit(1)), byte(i))), "")
 
     def several(values: Column, n: Column) -> Column:
         return F.transform(F.sequence(F.lit(1), n), lambda i: F.element_at(values, byte(i) % F.size(values) + 1))
@@ -321,7 +350,6 @@ def _from_stream(stream: Column, kind: Column, canon: Column, attempt: Column) -
         .when(kind == "card", card)
         .when(kind == "iban", iban)
         .when(kind == "access_key", F.concat(F.lit("AKIA"), shape(F.substring(canon, 5, 16))))
-        .when((kind == "secret") & canon.rlike("^[0-9a-f]+$"), F.substring(stream, F.lit(1), F.length(canon)))
     )
     out = out.when(kind.startswith("given_"), given).when(kind.startswith("family_"), family)
     return out.otherwise(shape(canon))

@@ -146,3 +146,19 @@ def test_numbers_next_to_others(spark):
     assert new[0].endswith(" 123") and new[1].endswith(" 12/26") and new[2].startswith("ref 123 ") and new[3].startswith("2024 ") and new[3].endswith(" 2025")
     assert new[7].endswith(" I paid") and new[8].endswith(" 12 OK") and new[9].startswith("AB12 ES") and new[10].startswith("AB12 PAID WITH CARD 4")
     assert new[0][:19] == new[4][:19] == new[11][-19:] and new[7][:29] == new[8][:29] == new[11][:29]
+
+
+def test_secrets_are_replaced_whole(spark):
+    long = "".join(f"{zlib.crc32(str(i).encode()):x}Z" for i in range(600))
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9"
+    values = [long[:200], jwt, "P@ssw0rd!2024", "~$%^&*!@#a=", long]
+    texts = [f'Use token = {v}, then {q}pwd={v}{q} or secret: "{v}" now.' for v in values for q in ("", "'")]
+    texts += ["password: ******** or pwd=________ now"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    *out, mask = [(r.row.text, r.n_entities) for r in pii.surrogates(df).orderBy("row.doc_id").collect()]
+    assert mask == (texts[-1], 0)
+    for i, (new, n) in enumerate(out):
+        v, q = values[i // 2], "'" if i % 2 else ""
+        m = re.fullmatch(rf'Use token = (\S+), then {q}pwd=([^\s\']+){q} or secret: "(\S+)" now\.', new)
+        assert n == 3 and m and m[1] == m[2] == m[3] and len(m[1]) == len(v)
+        assert not any(v[j : j + 8] in m[1] for j in range(len(v) - 7))
