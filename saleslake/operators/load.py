@@ -176,9 +176,19 @@ def create_all(spark: SparkSession, specs: dict[str, TableSpec], root: str, view
 # --- partitioned facts (K6-K9) ---------------------------------------------------
 
 
-def append(df: DataFrame, root: str) -> list:
+def create_fact(df: DataFrame, root: str, group_col: str = "sales_group_code", type_col: str = "record_type") -> int:
+    """A fact table by sales group whose ``DD`` rows are kept apart, so K6 and K7 swap folders."""
+    return TB.create(df, root, group_col, split=(type_col, EXCLUDED_RECORD_TYPE))
+
+
+def append(df: DataFrame, root: str, txn: tuple | None = None) -> list:
     """K9: append without delete."""
-    return TB.append(df, root)
+    return TB.append(df, root, txn)
+
+
+def _kept_apart(spark: SparkSession, root: str, type_col: str) -> bool:
+    m = TB.manifest(spark, root)
+    return m.split_column() == type_col and m.split[1] == EXCLUDED_RECORD_TYPE
 
 
 def expand_groups(groups: list[str]) -> list[str]:
@@ -190,24 +200,32 @@ def expand_groups(groups: list[str]) -> list[str]:
 
 
 def replace_groups_not_dd(spark: SparkSession, root: str, new: DataFrame, groups: list[str],
-                          group_col: str = "sales_group_code", type_col: str = "record_type") -> list:
+                          group_col: str = "sales_group_code", type_col: str = "record_type", txn: tuple | None = None) -> list:
     """K6: delete the file's groups except ``DD`` rows, then add the new rows.
 
     Rows without a group belong to no file's groups and stay; rows without a
     record type stay too (``record_type <> 'DD'`` is not true for them).
+    Where the table keeps ``DD`` rows apart, nothing is read.
     """
+    if _kept_apart(spark, root, type_col):
+        return TB.replace(spark, root, new, None, [g for g in groups if g], kinds=(TB.OTHER,), txn=txn)
     cond = F.col(group_col).isin(*_group_lits(spark, root, group_col, groups)) & (F.col(type_col) != F.lit(EXCLUDED_RECORD_TYPE))
-    return TB.replace(spark, root, new, cond, list(groups))
+    return TB.replace(spark, root, new, cond, list(groups), txn=txn)
+
 
+def replace_dd(spark: SparkSession, root: str, new: DataFrame, type_col: str = "record_type", txn: tuple | None = None) -> list:
+    """K7: delete every ``DD`` row (all groups, those without a group too), then add the new rows.
 
-def replace_dd(spark: SparkSession, root: str, new: DataFrame, type_col: str = "record_type") -> list:
-    """K7: delete every ``DD`` row (all groups, those without a group too), then add the new rows."""
-    return TB.replace(spark, root, new, F.col(type_col) == F.lit(EXCLUDED_RECORD_TYPE))
+    Where the table keeps them apart, nothing is read and no other row is rewritten.
+    """
+    if _kept_apart(spark, root, type_col):
+        return TB.replace(spark, root, new, None, None, kinds=(TB.HAS,), txn=txn)
+    return TB.replace(spark, root, new, F.col(type_col) == F.lit(EXCLUDED_RECORD_TYPE), txn=txn)
 
 
-def replace_groups_expanded(spark: SparkSession, root: str, new: DataFrame, groups: list[str]) -> list:
+def replace_groups_expanded(spark: SparkSession, root: str, new: DataFrame, groups: list[str], txn: tuple | None = None) -> list:
     """K8: drop the (expanded) groups whole, then add the new rows."""
-    return TB.replace(spark, root, new, None, expand_groups(groups))
+    return TB.replace(spark, root, new, None, expand_groups(groups), txn=txn)
 
 
 def _group_lits(spark: SparkSession, root: str, group_col: str, groups: list[str]) -> list[Column]:

@@ -89,20 +89,21 @@ def rollup_report(df: DataFrame, dims: list[str], value_col: str) -> DataFrame:
 
 
 def merge_partitions(spark, root: str, changes: DataFrame, key: str, partition_col: str,
-                     seq: str = "seq", op: str = "op") -> list:
+                     seq: str = "seq", op: str = "op", txn: tuple | None = None) -> list:
     """N1 on a published table: rewrite only the partitions that hold a changed key.
 
     The current partitions of the changed keys are found by a semi join that
     reads only the key and the partition column; their rows are merged with
-    the newest changes and published in one step.  A changed row whose new
-    partition holds no changed key is simply added there.  Returns the
-    changed partitions as text.
+    the newest changes and published in one step, on the version they were
+    read from.  A changed row whose new partition holds no changed key is
+    simply added there.  Returns the changed partitions as text.
     """
-    target = TB.read_table(spark, root)
+    base = TB.manifest(spark, root)
+    target = TB.read_table(spark, root, version=base.version)
     latest = latest_changes(changes, key, seq)
     holds = target.select(key, partition_col).join(latest.select(key), key, "left_semi")
     touched = [r[0] for r in holds.select(partition_col).distinct().collect()]  # at most one row per partition
     keys = [TB.partition_key(target.schema, partition_col, t) for t in touched]
-    part = TB.read_table(spark, root, keys) if keys else target.limit(0)
+    part = TB.read_table(spark, root, keys, base.version) if keys else target.limit(0)
     merged = merge_upsert(part, latest, key, seq, op)
-    return TB.replace(spark, root, merged, None, touched)
+    return TB.replace(spark, root, merged, None, touched, txn=txn, base=base)

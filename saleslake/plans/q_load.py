@@ -126,7 +126,7 @@ def _d_summary(final_sql: str) -> str:
 def _seed_fact(spark, sf, group_expr=S.SECONDARY_GROUP):
     f = S.facts(spark, sf, group_expr)
     root = scratch_path(spark, "fact")
-    TB.create(f.where(F.col("ship_ymd") < _CUT), root, "sales_group_code")
+    L.create_fact(f.where(F.col("ship_ymd") < _CUT), root)
     return f, root
 
 

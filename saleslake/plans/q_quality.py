@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from saleslake.operators import evolve as EV
+from saleslake.operators import feed as FD
 from saleslake.operators import load as L
 from saleslake.operators import profile as P
 from saleslake.operators import quality as Q
+from saleslake.operators import recon as RC
 from saleslake.operators import table as TB
 from saleslake.operators.clean import to_double, to_int
 from saleslake.operators.project import rename_to_spec
@@ -193,6 +195,37 @@ def q_recon_missing_keys(spark, sf):
     return Q.recon_missing_keys(lab, doc, "doc_id", "doc_id", "labels", "documents")
 
 
+_RECON = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"
+_D_RECON_TARGET = f"""SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 101 = 3 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderkey % 97 = 5 THEN o_totalprice + 0.01 ELSE o_totalprice END AS o_totalprice, o_orderpriority
+FROM orders WHERE o_orderkey % 89 <> 7
+UNION ALL SELECT {_RECON} FROM orders WHERE o_orderkey % 83 = 11
+UNION ALL SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders WHERE o_orderkey % 79 = 13
+UNION ALL SELECT CAST(NULL AS BIGINT), o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders WHERE o_orderkey % 73 = 17"""
+
+
+@query(
+    "recon_contents",
+    f"""WITH s AS (SELECT {_RECON} FROM orders), t AS ({_D_RECON_TARGET}),
+d AS ((SELECT * FROM s EXCEPT ALL SELECT * FROM t) UNION ALL (SELECT * FROM t EXCEPT ALL SELECT * FROM s)),
+k AS (SELECT DISTINCT o_orderkey AS k FROM d),
+a AS (SELECT o_orderkey AS k, count(*) AS n FROM s GROUP BY 1), b AS (SELECT o_orderkey AS k, count(*) AS n FROM t GROUP BY 1)
+SELECT k.k AS o_orderkey, coalesce(a.n, 0) AS source_rows, coalesce(b.n, 0) AS target_rows,
+       CASE WHEN a.n IS NULL THEN 'missing_in_source' WHEN b.n IS NULL THEN 'missing_in_target' WHEN a.n <> b.n THEN 'repeated' ELSE 'changed' END AS status
+FROM k LEFT JOIN a ON a.k IS NOT DISTINCT FROM k.k LEFT JOIN b ON b.k IS NOT DISTINCT FROM k.k""",
+)
+def q_recon_contents(spark, sf):
+    """Orders against a copy with rows changed, missing, added, repeated and without a key."""
+    s = S.read(spark, sf, "orders").select(*_RECON.split(", "))
+    k = F.col("o_orderkey")
+    t = s.where(k % 89 != 7).withColumns({
+        "o_orderstatus": F.when(k % 101 != 3, F.col("o_orderstatus")),
+        "o_totalprice": F.when(k % 97 == 5, F.col("o_totalprice") + 0.01).otherwise(F.col("o_totalprice"))})
+    t = t.unionByName(s.where(k % 83 == 11)).unionByName(s.where(k % 79 == 13).withColumn("o_orderkey", -k))
+    t = t.unionByName(s.where(k % 73 == 17).withColumn("o_orderkey", F.lit(None).cast("long")))
+    return RC.recon_contents(s, t, ["o_orderkey"])
+
+
 # --- N3/N4 enrichment, N5 rollup ------------------------------------------------------
 
 
@@ -297,7 +330,7 @@ def _secondary(spark, sf):
     # the existing table: everything that was not invoiced after the cut-off, cleaned the same way
     existing, _ = P.clean_table(raw.where(~F.coalesce(day >= _CUT, F.lit(False))), SP.FACT_LINES, policy="widen")
     root = scratch_path(spark, "fact_secondary")
-    TB.create(existing, root, "sales_group_code")
+    L.create_fact(existing, root)
     return root, raw, day
 
 
@@ -372,3 +405,123 @@ def q_pipeline_historical_load_dimension(spark, sf):
     for rows in (raw, raw.where("CAST(customercode AS BIGINT) % 3 <> 0")):
         load_file(spark, _landed(rows, spark, "landed_dim"), "DimCustomerMaster_2024", SP.DIM_CUSTOMER, root, columns=raw.columns)
     return L.read_current(spark, root)
+
+
+# --- N1/N8 change feed, N5 materialised view, K14 on the manifest ------------------------
+
+_F = "invoice_key, sales_group_code, record_type, value, ship_ymd"
+# one fact for each order, so that the key is one
+_ORDER_FACTS = [
+    ("invoice_key", "o_orderkey"),
+    ("sales_group_code", "CAST(CASE WHEN o_custkey % 41 = 0 THEN NULL ELSE o_custkey % 20 END AS SMALLINT)"),
+    ("record_type", "CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 5 = 2 THEN 'DD' ELSE 'A' || o_orderstatus END"),
+    ("value", "CAST(o_totalprice AS DOUBLE)"),
+    ("ship_ymd", "CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INTEGER)"),
+]
+_ORDER_FACTS_SQL = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in _ORDER_FACTS) + " FROM orders"
+_CUT_ROWS = f"ship_ymd >= {_CUT}"
+# every load mode on one table, as SQL over the facts f: the table after each load
+_MODES = {
+    1: f"SELECT {_F} FROM f WHERE NOT ({_CUT_ROWS})",
+    2: f"SELECT * FROM s1 UNION ALL SELECT {_F} FROM f WHERE {_CUT_ROWS} AND invoice_key % 4 = 0",
+    3: f"""SELECT * FROM s2 WHERE NOT coalesce(sales_group_code IN (1, 2) AND record_type <> 'DD', FALSE)
+           UNION ALL SELECT {_F} FROM f WHERE {_CUT_ROWS} AND (sales_group_code IN (1, 2) OR sales_group_code IS NULL) AND invoice_key % 4 = 1""",
+    4: f"SELECT * FROM s3 WHERE NOT coalesce(record_type = 'DD', FALSE) UNION ALL SELECT {_F} FROM f WHERE {_CUT_ROWS} AND record_type = 'DD' AND invoice_key % 4 = 2",
+    5: f"SELECT * FROM s4 WHERE NOT coalesce(sales_group_code IN (5, 6), FALSE) UNION ALL SELECT {_F} FROM f WHERE sales_group_code = 5",
+    # every seventh key of some groups gets another value, every eleventh of another goes, some are new, in the group without a name
+    6: f"""SELECT * FROM s5 WHERE NOT coalesce({{changed}}, FALSE)
+           UNION ALL SELECT invoice_key, sales_group_code, record_type, value + 1, ship_ymd FROM f WHERE {{updated}}
+           UNION ALL SELECT -invoice_key, NULL, record_type, value, ship_ymd FROM f WHERE {{new}}""".format(
+        changed="sales_group_code IN (8, 9) AND invoice_key % 7 = 0 OR sales_group_code = 10 AND invoice_key % 11 = 0",
+        updated="sales_group_code IN (8, 9) AND invoice_key % 7 = 0",
+        new="sales_group_code = 12 AND invoice_key % 13 = 0"),
+}
+_D_STATES = f"WITH f AS ({_ORDER_FACTS_SQL}),\n" + ",\n".join(f"s{v} AS ({sql})" for v, sql in _MODES.items())
+
+
+def _d_changes() -> str:
+    """The multiset difference of neighbouring states, both ways, counted."""
+    out = []
+    for v in sorted(_MODES):
+        for change, a, b in (("insert", f"s{v}", f"s{v - 1}"), ("delete", f"s{v - 1}", f"s{v}")):
+            if v == 1:
+                if change == "insert":
+                    out.append(f"SELECT *, {v} AS _version, '{change}' AS c FROM s1")
+                continue
+            out.append(f"SELECT *, {v}, '{change}' FROM (SELECT * FROM {a} EXCEPT ALL SELECT * FROM {b})")
+    return f"""{_D_STATES}, d AS ({' UNION ALL '.join(out)}),
+g AS (SELECT {_F}, CAST(_version AS BIGINT) AS _version, c, count(*) AS _copies FROM d GROUP BY ALL),
+u AS (SELECT _version AS v, invoice_key AS k FROM g GROUP BY ALL HAVING count(DISTINCT c) = 2)
+SELECT {_F}, _version, CASE WHEN k IS NULL THEN c WHEN c = 'insert' THEN 'update_postimage' ELSE 'update_preimage' END AS _change, _copies
+FROM g LEFT JOIN u ON _version = v AND invoice_key = k"""
+
+
+def _loads(spark, sf, each=lambda root: None) -> str:
+    """A table that every load mode has been at; ``each`` is called after each version."""
+    f = S.read(spark, sf, "orders").selectExpr(*[f"{e} AS {n}" for n, e in _ORDER_FACTS])
+    root = scratch_path(spark, "fact_modes")
+    g, cut = F.col("sales_group_code"), F.col("ship_ymd") >= _CUT
+    quarter = F.col("invoice_key") % 4
+    L.create_fact(f.where(~cut), root)
+    each(root)
+    L.append(f.where(cut & (quarter == 0)), root)
+    each(root)
+    L.replace_groups_not_dd(spark, root, f.where(cut & (g.isin(1, 2) | g.isNull()) & (quarter == 1)), ["1", "2"])
+    each(root)
+    L.replace_dd(spark, root, f.where(cut & (F.col("record_type") == "DD") & (quarter == 2)))
+    each(root)
+    L.replace_groups_expanded(spark, root, f.where(g == 5), ["5", "6"])
+    each(root)
+    k = F.col("invoice_key")
+    up = f.where(g.isin(8, 9) & (k % 7 == 0)).withColumn("value", F.col("value") + 1).withColumn("op", F.lit("U"))
+    gone = f.where((g == 10) & (k % 11 == 0)).withColumn("op", F.lit("D"))
+    new = f.where((g == 12) & (k % 13 == 0)).withColumns({"invoice_key": -k, "sales_group_code": F.lit(None).cast("smallint"), "op": F.lit("I")})
+    Q.merge_partitions(spark, root, up.unionByName(gone).unionByName(new).withColumn("seq", F.lit(1)), "invoice_key", "sales_group_code")
+    each(root)
+    return root
+
+
+@query("table_changes", _d_changes())
+def q_table_changes(spark, sf):
+    """What each load mode changed, NULL partition included, with pre- and post-images."""
+    return FD.table_changes(spark, _loads(spark, sf), 0, key="invoice_key").select(*_F.split(", "), "_version", "_change", "_copies")
+
+
+_VIEW_DIMS = ["division", "record_type"]
+
+
+@query(
+    "report_rollup_view",
+    f"""{_D_STATES}, e AS (SELECT 'D' || CAST(sales_group_code % 7 AS VARCHAR) AS division, record_type, value FROM s6)
+SELECT division, record_type, count(*) AS n_rows, CAST(sum(CAST(value AS DECIMAL(28, 6))) AS DOUBLE) AS total_value,
+       CAST(grouping(division, record_type) AS INTEGER) AS level
+FROM e GROUP BY ROLLUP (division, record_type)""",
+)
+def q_report_rollup_view(spark, sf):
+    """A view of the facts, refreshed after each load from the folders that the load changed."""
+    view = scratch_path(spark, "view_division")
+    division = F.concat(F.lit("D"), (F.col("sales_group_code") % 7).cast("string"))
+    _loads(spark, sf, lambda root: FD.refresh_view(spark, root, view, _VIEW_DIMS, "value", lambda rows: rows.withColumn("division", division)))
+    return FD.view_rollup(spark, view, _VIEW_DIMS)
+
+
+@query(
+    "evolve_in_place",
+    f"""WITH f AS ({S.fact_sql(S.SECONDARY_GROUP)})
+SELECT invoice_key, sales_group_code AS group_code, CAST(ship_ymd AS BIGINT) AS ship_ymd, value AS net_value,
+       CAST(NULL AS VARCHAR) AS record_type, CAST(NULL AS VARCHAR) AS note FROM f WHERE ship_ymd < {_CUT}
+UNION ALL SELECT invoice_key, sales_group_code, CAST(ship_ymd AS BIGINT) * 1000000, value, record_type, 'new' FROM f WHERE ship_ymd >= {_CUT}""",
+)
+def q_evolve_in_place(spark, sf):
+    """Widen, rename, drop, add again and add by manifests alone; files written before stay as they are and readable."""
+    f = S.facts(spark, sf)
+    root = scratch_path(spark, "fact_evolved")
+    TB.create(f.where(F.col("ship_ymd") < _CUT), root, "sales_group_code")
+    before = TB.manifest(spark, root).folders()
+    TB.evolve(spark, root, ("widen", "ship_ymd", "bigint"), ("rename", "value", "net_value"), ("rename", "sales_group_code", "group_code"))
+    TB.evolve(spark, root, ("drop", "record_type"))
+    TB.evolve(spark, root, ("add", "record_type", "string"), ("add", "note", "string"))
+    assert TB.manifest(spark, root).folders() == before
+    new = f.where(F.col("ship_ymd") >= _CUT).withColumnsRenamed({"value": "net_value", "sales_group_code": "group_code"})
+    TB.append(new.withColumns({"ship_ymd": F.col("ship_ymd").cast("long") * 1000000, "note": F.lit("new")}), root)
+    return TB.read_table(spark, root).select("invoice_key", "group_code", "ship_ymd", "net_value", "record_type", "note")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from saleslake.operators import table as TB
 from saleslake.plans import standins as S
 from saleslake.plans.registry import query
-from saleslake.session import scratch_path
+from saleslake.session import hadoop_fs, scratch_path
 from saleslake.streaming import ingest as ST
 
 _COLS = ["event_id", "user_id", "event_type", "value", "props"]
@@ -55,3 +56,21 @@ def q_stream_idempotent_batches(spark, sf):
     _land(second.repartition(2), landing)
     ST.ingest_batches(ST.csv_stream(spark, landing, _COLS, max_files_per_trigger=1), target, ckpt, "events")
     return _typed(spark.read.parquet(target).drop("run", "batch", "load_label"))
+
+
+@query("stream_table_batches", f"SELECT * FROM ({_ORACLE}) WHERE NOT (event_type = 'view' AND event_id % 3 <> 0) OR event_type IS NULL")
+def q_stream_table_batches(spark, sf):
+    """T2 into a published table: appended batch by batch, then a replay of all of them, and a stream that replaces a partition."""
+    first, second = _arrivals(spark, sf)
+    landing, late, root = (scratch_path(spark, n) for n in ("landing", "late", "events"))
+    ckpt = scratch_path(spark, "ckpt")
+    _land(first.repartition(3), landing)
+    TB.create(_typed(first.limit(0)), root, "event_type")
+    rows = lambda path: _typed(ST.csv_stream(spark, path, _COLS, max_files_per_trigger=1))
+    ST.ingest_table(rows(landing), root, ckpt)
+    hadoop_fs(spark, f"{ckpt}/commits")[0].delete(hadoop_fs(spark, f"{ckpt}/commits")[1], True)  # the stream forgets what it has done
+    ST.ingest_table(rows(landing), root, ckpt)
+    _land(second.coalesce(1), late)
+    # of what is there, the partition 'view' is replaced by the late rows
+    ST.ingest_table(rows(late), root, scratch_path(spark, "ckpt"), lambda new, txn: TB.replace(spark, root, new, None, ["view"], txn=txn))
+    return TB.read_table(spark, root)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from saleslake.operators import table as TB
 from saleslake.session import hadoop_fs
 
 
@@ -93,3 +94,22 @@ def ingest_batches(stream: DataFrame, target: str, checkpoint: str, table: str)
     if q.exception():
         raise q.exception()
     return _committed(stream.sparkSession, checkpoint) - before
+
+
+def ingest_table(stream: DataFrame, root: str, checkpoint: str, load=None) -> int:
+    """T2 into a published table: each micro-batch is one load and one version, published once.
+
+    The load's transaction is (the checkpoint's run, the batch); it is stored
+    in the version itself, so a batch that is replayed, after a failure at any
+    point, publishes nothing again.  ``load(rows, txn)`` is the load mode
+    (an append if not given).
+    """
+    run = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    load = load or (lambda rows, txn: TB.append(rows, root, txn=txn))
+    before = _committed(stream.sparkSession, checkpoint)
+    q = (stream.writeStream.foreachBatch(lambda rows, batch: load(rows, (run, batch)))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return _committed(stream.sparkSession, checkpoint) - before
