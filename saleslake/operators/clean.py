@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from saleslake.functions.scalar import blank_to_null
+from saleslake.functions.scalar import strip
 
 # --- fixed values -------------------------------------------------------------
 INT_PATTERN = r"^[+-]?[0-9]+$"
@@ -33,22 +33,44 @@ class ConversionError(ValueError):
     """Raised when a column fails the conversion limit or has no date format."""
 
 
+def int_of(s: Column, large: bool = False) -> Column:
+    """C1 for stripped text: integers only (a blank is none); out-of-range -> NULL."""
+    return F.when(s.rlike(INT_PATTERN), s.try_cast("decimal(38,0)" if large else "bigint"))
+
+
+def double_of(s: Column) -> Column:
+    """C2 for stripped text: decimal/scientific numbers only."""
+    return F.when(s.rlike(NUM_PATTERN), s.try_cast("double"))
+
+
+def decimal_of(s: Column, dtype) -> Column:
+    """C2 for exact types: the text goes straight to the declared decimal, digits and all."""
+    return F.when(s.rlike(NUM_PATTERN), s.try_cast(dtype))
+
+
 def to_int(c: Column, large: bool = False) -> Column:
     """Strip, blank -> NULL, integer text only; out-of-range -> NULL."""
-    s = blank_to_null(c)
-    return F.when(s.rlike(INT_PATTERN), s.try_cast("decimal(38,0)" if large else "bigint"))
+    return int_of(strip(c), large)
 
 
 def to_double(c: Column) -> Column:
     """Strip, blank -> NULL, decimal/scientific text only."""
-    s = blank_to_null(c)
-    return F.when(s.rlike(NUM_PATTERN), s.try_cast("double"))
+    return double_of(strip(c))
 
 
 def to_decimal(c: Column, dtype) -> Column:
-    """C2 for exact types: the text goes straight to the declared decimal, digits and all."""
-    s = blank_to_null(c)
-    return F.when(s.rlike(NUM_PATTERN), s.try_cast(dtype))
+    """C2 for exact types, with the strip."""
+    return decimal_of(strip(c), dtype)
+
+
+def stripped(df: DataFrame, texts: dict[str, Column], keep: list[Column]) -> DataFrame:
+    """``keep`` and the stripped texts, by name.
+
+    A projection of its own: what is made from a stripped text uses it more
+    than once, so the optimizer leaves the projection in place and every text
+    is made and stripped once.
+    """
+    return df.select(*keep, *[strip(c).alias(n) for n, c in texts.items()])
 
 
 def shape_regex(pattern: str) -> str:
@@ -99,6 +121,18 @@ def date_format_choice(fail_counts: list[Column], total: Column, formats=DATE_FO
     return expr
 
 
+def picked(values: list[Column], choice: Column) -> Column:
+    """``values[choice]``, NULL where the choice is.
+
+    Not ``element_at``: for an array without NULLs it counts as never NULL,
+    whatever the index.
+    """
+    expr = F.lit(None)
+    for i in reversed(range(len(values))):
+        expr = F.when(choice == i, values[i]).otherwise(expr)
+    return expr
+
+
 def converted_date(raw: Column, choice: int, with_time: bool = False, formats=DATE_FORMATS) -> Column:
     return to_date(raw, formats[choice][1], with_time)
 
@@ -109,15 +143,18 @@ def failure_rates(df: DataFrame, int_cols=(), double_cols=(), date_cols=()) -> D
     Date columns report the failures of their chosen format (C3); when none
     fits, every value that is not NULL has failed (as in ``profile``).
     """
-    n = F.count(F.lit(1))
-    aggs = [n.alias("n")]
-    for i, c in enumerate(int_cols):
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"z{i}_i"), failed(F.col(c), to_int(F.col(c))).alias(f"f{i}_i")]
-    for i, c in enumerate(double_cols):
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"z{i}_d"), failed(F.col(c), to_double(F.col(c))).alias(f"f{i}_d")]
-    for i, c in enumerate(date_cols):
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"z{i}_t"))
-        aggs += [failed(F.col(c), to_date(F.col(c), p)).alias(f"f{i}_t{k}") for k, (_, p) in enumerate(DATE_FORMATS)]
+    raw = lambda c: F.col(f"`{c}`")
+    numbers = {**{f"_i{i}": raw(c) for i, c in enumerate(int_cols)}, **{f"_d{i}": raw(c) for i, c in enumerate(double_cols)}}
+    df = stripped(df, numbers, [raw(c).alias(f"_t{i}") for i, c in enumerate(date_cols)])
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for kind, cols, conv in (("i", int_cols, int_of), ("d", double_cols, double_of)):
+        for i, _ in enumerate(cols):
+            s = F.col(f"_{kind}{i}")
+            aggs += [F.count_if(s.isNull()).alias(f"z{i}_{kind}"), failed(s, conv(s)).alias(f"f{i}_{kind}")]
+    for i, _ in enumerate(date_cols):
+        t = F.col(f"_t{i}")
+        aggs.append(F.count_if(t.isNull()).alias(f"z{i}_t"))
+        aggs += [failed(t, to_date(t, p)).alias(f"f{i}_t{k}") for k, (_, p) in enumerate(DATE_FORMATS)]
     one = df.agg(*aggs)
     structs = []
     for i, c in enumerate(int_cols):
@@ -127,8 +164,8 @@ def failure_rates(df: DataFrame, int_cols=(), double_cols=(), date_cols=()) -> D
     for i, c in enumerate(date_cols):
         fails = [F.col(f"f{i}_t{k}") for k in range(len(DATE_FORMATS))]
         choice = date_format_choice(fails, F.col("n"))
-        fmt = F.element_at(F.array(*[F.lit(lbl) for lbl, _ in DATE_FORMATS]), choice + 1)
-        chosen_fail = F.coalesce(F.element_at(F.array(*fails), choice + 1), F.col("n") - F.col(f"z{i}_t"))
+        fmt = picked([F.lit(lbl) for lbl, _ in DATE_FORMATS], choice)
+        chosen_fail = F.coalesce(picked(fails, choice), F.col("n") - F.col(f"z{i}_t"))
         structs.append(_rate_struct(c, "DATE", F.col(f"z{i}_t"), chosen_fail, fmt))
     rows = one.select(F.col("n"), F.inline(F.array(*structs)))
     return rows.select(
@@ -170,8 +207,8 @@ def soft_convert_plan(df: DataFrame, int_cols=(), double_cols=(), date_cols=())
     for i, c in enumerate(date_cols):
         fails = [F.col(f"t{i}_{k}") for k in range(len(SOFT_DATE_FORMATS))]
         choice = date_format_choice(fails, F.col("n"), SOFT_DATE_FORMATS)
-        fmt = F.element_at(F.array(*[F.lit(lbl) for lbl, _ in SOFT_DATE_FORMATS]), choice + 1)
-        f = F.coalesce(F.element_at(F.array(*fails), choice + 1), F.lit(None).cast("long"))
+        fmt = picked([F.lit(lbl) for lbl, _ in SOFT_DATE_FORMATS], choice)
+        f = picked(fails, choice).cast("long")
         structs.append(_soft_struct(c, "DATE", f, F.when(choice.isNotNull(), "converted").otherwise("kept_string"), fmt))
     return one.select(F.inline(F.array(*structs)))
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from saleslake.operators import table as TB
 from saleslake.operators.profile import _plan
 from saleslake.operators.project import rename_to_spec
-from saleslake.operators.clean import DATE_FORMATS, choose_date_formats, to_date, to_decimal, to_double, to_int
+from saleslake.operators.clean import DATE_FORMATS, choose_date_formats, decimal_of, double_of, int_of, stripped, to_date
 from saleslake.operators.table import LoadError  # noqa: F401  (raised here and by the table)
 from saleslake.session import hadoop_fs, scratch_path
 from saleslake.spec import TableSpec, load_order, spark_type
@@ -245,30 +245,36 @@ def typed_with_errors(raw: DataFrame, spec: TableSpec, keep: tuple[str, ...] = (
     """
     carried = [F.col(f"`{k}`") for k in keep if k not in spec.names]
     raw = rename_to_spec(raw, spec)
-    cols, bad = [], []
-    for c, actual, d, kind in _plan(raw, spec):
-        r = F.col(f"`{actual}`")
+    plan = _plan(raw, spec)
+    # three projections: texts stripped once, values converted once, flags from plain columns
+    source = lambda i: F.col(f"`{plan[i][1]}`")
+    texts = {f"_s{i}": source(i) for i, (_, _, _, kind) in enumerate(plan) if kind in ("int", "decimal", "double")}
+    raw = stripped(raw, texts, [*carried, *[source(i).alias(f"_r{i}") for i in range(len(plan)) if f"_s{i}" not in texts]])
+    cols, given, bad = [], [], []
+    for i, (c, _, d, kind) in enumerate(plan):
+        r = F.col(f"_s{i}" if f"_s{i}" in texts else f"_r{i}")
         if kind == "int":
-            v = to_int(r, large=c.family == "LARGEINT")
+            v = int_of(r, large=c.family == "LARGEINT")
         elif kind == "decimal":
-            v = to_decimal(r, spark_type(c.type))
+            v = decimal_of(r, spark_type(c.type))
         elif kind == "double":
-            v = to_double(r)
+            v = double_of(r)
         elif kind == "date":
             v = to_date(r, (formats or {}).get(c.name, DATE_FORMATS[0][1]), c.family == "DATETIME")
         else:
             v = r
         # try_cast: a value that does not fit the declared type is a failed row
-        v = v.try_cast(spark_type(c.type)) if kind else v
-        cols.append(v.alias(c.name))
+        cols.append((v.try_cast(spark_type(c.type)) if kind else v).alias(f"_v{i}"))
         if kind:
-            bad.append(r.isNotNull() & v.isNull())
+            given.append(r.isNotNull().alias(f"_g{i}"))
+            bad.append(F.col(f"_g{i}") & F.col(f"_v{i}").isNull())
         if not c.nullable:
-            bad.append(v.isNull())
+            bad.append(F.col(f"_v{i}").isNull())
     flag = F.lit(False)
     for b in bad:
         flag = flag | b
-    return raw.select(*cols, *carried, flag.alias("_bad"))
+    raw = raw.select(*cols, *given, *carried)
+    return raw.select(*[F.col(f"_v{i}").alias(c.name) for i, (c, _, _, _) in enumerate(plan)], *carried, flag.alias("_bad"))
 
 
 def chosen_formats(raw: DataFrame, spec: TableSpec) -> dict[str, str]:

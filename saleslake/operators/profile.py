@@ -1,6 +1,6 @@
-"""One-pass column profile (A2-A8) and the whole-table clean.
+"""Column profile (A2-A8) and the whole-table clean.
 
-``profile(df, spec)`` is *one* aggregation over the data, stacked into one
+``profile(df, spec)`` is one aggregation for each 25 columns, stacked into one
 row per declared column: rows, NULLs, conversion failures, chosen date
 format, max text length, min/max of integers, whether DATE data carries a
 time.  Overflow flags and proposed wider types are column expressions over
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleslake.operators.clean import (
-    DATE_FORMATS, ConversionError, date_format_choice, to_date, to_decimal, to_double, to_int,
+    DATE_FORMATS, ConversionError, date_format_choice, decimal_of, double_of, int_of, picked, stripped, to_date,
 )
 from saleslake.operators.project import data_family, rename_to_spec
 from saleslake.spec import (
@@ -93,17 +93,21 @@ _STATS = ("column_name string, declared string, data_type string, nulls long, fa
 def _profile_group(df: DataFrame, plan: list) -> DataFrame:
     """A2-A8 of some columns in one aggregation.
 
-    A projection first computes each conversion once per row (``_v{i}``,
-    ``_ok{i}_{k}``, ``_len{i}``); the aggregate then only counts, mins and
-    maxes plain columns, so no expression is evaluated twice.
+    A first projection strips the texts of numbers, a second computes each
+    conversion (``_v{i}``, ``_bad{i}_{k}``, ``_len{i}``); the aggregate then only
+    counts, mins and maxes plain columns, so nothing is evaluated twice.
     """
     if not plan:
         return df.sparkSession.createDataFrame([], f"n long, {_STATS}")
     pre = []
     aggs = [F.count(F.lit(1)).alias("n")]
     structs = []
-    for i, (c, actual, d, kind) in enumerate(plan):
-        raw = F.col(f"`{actual}`")
+    source = lambda i: F.col(f"`{plan[i][1]}`")
+    numbers = {f"_s{i}": source(i) for i, (_, _, _, kind) in enumerate(plan) if kind in ("int", "double", "decimal")}
+    df = stripped(df, numbers, [source(i).alias(f"_r{i}") for i in range(len(plan)) if f"_s{i}" not in numbers])
+    for i, (c, _, d, kind) in enumerate(plan):
+        # a stripped text is NULL where the text is
+        raw = F.col(f"_s{i}" if f"_s{i}" in numbers else f"_r{i}")
         t = c.family
         pre.append(raw.isNull().alias(f"_null{i}"))
         aggs.append(F.count_if(F.col(f"_null{i}")).alias(f"z{i}"))
@@ -114,12 +118,12 @@ def _profile_group(df: DataFrame, plan: list) -> DataFrame:
         has_time = F.lit(None).cast("boolean")
         v = F.col(f"_v{i}")
         if kind == "int":
-            pre.append(to_int(raw, large=(t == "LARGEINT")).alias(f"_v{i}"))
+            pre.append(int_of(raw, large=(t == "LARGEINT")).alias(f"_v{i}"))
             aggs += [F.count_if(~F.col(f"_null{i}") & v.isNull()).alias(f"f{i}"),
                      F.min(v).cast(_DEC).alias(f"mn{i}"), F.max(v).cast(_DEC).alias(f"mx{i}")]
             fail, mn, mx = F.col(f"f{i}"), F.col(f"mn{i}"), F.col(f"mx{i}")
         elif kind in ("double", "decimal"):
-            pre.append((to_double(raw) if kind == "double" else to_decimal(raw, spark_type(c.type))).alias(f"_v{i}"))
+            pre.append((double_of(raw) if kind == "double" else decimal_of(raw, spark_type(c.type))).alias(f"_v{i}"))
             aggs.append(F.count_if(~F.col(f"_null{i}") & v.isNull()).alias(f"f{i}"))
             fail = F.col(f"f{i}")
         elif kind == "date":
@@ -129,8 +133,8 @@ def _profile_group(df: DataFrame, plan: list) -> DataFrame:
                 aggs.append(F.count_if(~F.col(f"_null{i}") & F.col(f"_bad{i}_{k}")).alias(f"f{i}_{k}"))
             fails = [F.col(f"f{i}_{k}") for k in range(len(DATE_FORMATS))]
             choice = date_format_choice(fails, F.col("n"))
-            fmt = F.element_at(F.array(*[F.lit(lbl) for lbl, _ in DATE_FORMATS]), choice + 1)
-            fail = F.coalesce(F.element_at(F.array(*fails), choice + 1), F.col("n") - F.col(f"z{i}"))
+            fmt = picked([F.lit(lbl) for lbl, _ in DATE_FORMATS], choice).cast("string")
+            fail = F.coalesce(picked(fails, choice), F.col("n") - F.col(f"z{i}"))
         elif t in INT_FAMILIES and d in INT_FAMILIES + ("DECIMAL",):
             pre.append(raw.alias(f"_v{i}"))
             aggs += [F.min(v).cast(_DEC).alias(f"mn{i}"), F.max(v).cast(_DEC).alias(f"mx{i}")]
@@ -210,7 +214,7 @@ POLICIES = ("raise", "widen", "quarantine")
 
 
 def _decided(df: DataFrame, spec: TableSpec, policy: str):
-    """(renamed frame, profile, errors, [(column, incoming, converted)]) of a clean under ``policy``."""
+    """(renamed frame with stripped texts, profile, errors, [(column, incoming, converted)]) of a clean under ``policy``."""
     if policy not in POLICIES:
         raise ValueError(f"policy is one of {POLICIES}, not {policy!r}")
     df = rename_to_spec(df, spec)
@@ -226,19 +230,22 @@ def _decided(df: DataFrame, spec: TableSpec, policy: str):
             errors.append(f"{r['column_name']}: no date format fits")
         if r["numeric_overflow"] and policy == "raise":
             errors.append(f"{r['column_name']}: values [{r['min_val']}, {r['max_val']}] overflow {r['declared']}")
+    plan = _plan(df, spec)
+    texts = {f"_s{i}": F.col(f"`{actual}`") for i, (_, actual, _, kind) in enumerate(plan) if kind in ("int", "double", "decimal")}
+    df = stripped(df, texts, [F.col(f"`{c}`") for c in df.columns])
     cols = []
-    for c, actual, d, kind in _plan(df, spec):
-        raw = F.col(f"`{actual}`")
+    for i, (c, actual, d, kind) in enumerate(plan):
+        raw, s = F.col(f"`{actual}`"), F.col(f"_s{i}")
         r = by_col[c.name]
         target = spark_type(c.type)
         if r["numeric_overflow"] and policy == "widen" and r["proposed"]:
             target = spark_type(r["proposed"])
         if kind == "int":
-            e = to_int(raw, large=isinstance(target, T.DecimalType))
+            e = int_of(s, large=isinstance(target, T.DecimalType))
         elif kind == "decimal":
-            e = to_decimal(raw, target)
+            e = decimal_of(s, target)
         elif kind == "double":
-            e = to_double(raw)
+            e = double_of(s)
         elif kind == "date" and r["date_format"] is not None:
             e = to_date(raw, dict(DATE_FORMATS)[r["date_format"]], c.family == "DATETIME")
         else:
@@ -271,11 +278,14 @@ def clean_quarantine(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFra
     profile)``; every row is in one of the first two.  A column without a
     usable date format still raises: no row of it could pass.
     """
+    incoming = [F.col(f"`{c}`") for c in rename_to_spec(df, spec).columns]
     df, prof, errors, cols = _decided(df, spec, "quarantine")
     if errors:
         raise ConversionError("; ".join(errors))
-    lost = [F.when(raw.isNotNull() & e.isNull(), F.lit(c.name)) for c, raw, e in cols]
-    lost += [F.when(e.isNull() & raw.isNull(), F.lit(c.name)) for c, raw, e in cols if not c.nullable]
+    # converted once, then judged
+    df = df.select(*incoming, *[e.alias(f"_v{i}") for i, (_, _, e) in enumerate(cols)])
+    lost = [F.when(raw.isNotNull() & F.col(f"_v{i}").isNull(), F.lit(c.name)) for i, (c, raw, _) in enumerate(cols)]
+    lost += [F.when(F.col(f"_v{i}").isNull() & raw.isNull(), F.lit(c.name)) for i, (c, raw, _) in enumerate(cols) if not c.nullable]
     marked = df.withColumn("failed_columns", F.filter(F.array(*lost), lambda x: x.isNotNull()))
-    good = marked.where(F.size("failed_columns") == 0).select(*[e for _, _, e in cols])
-    return good, marked.where(F.size("failed_columns") > 0), prof
+    good = marked.where(F.size("failed_columns") == 0).select(*[F.col(f"_v{i}").alias(c.name) for i, (c, _, _) in enumerate(cols)])
+    return good, marked.where(F.size("failed_columns") > 0).select(*incoming, "failed_columns"), prof

@@ -23,6 +23,9 @@ DEFAULT_CONF = {
     # Local sessions handle small inputs: a small advisory size keeps every
     # core busy after AQE coalescing (scale_conf() sets 256 MB for clusters).
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    # HotSpot does not compile methods beyond 8000 bytes; stages of many conversions
+    # then run better operator by operator than as one interpreted method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -91,5 +94,6 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.task.maxFailures": "8",
     }

@@ -140,3 +140,14 @@ def test_type_mismatch_and_policies(spark):
     assert good.count() == 19 and [tuple(r) for r in bad.select("a", "failed_columns").collect()] == [("x", ["a"])]
     row = good.where("a = 7").first()
     assert str(row["b"]) == "72345678901234567890.0123456789" and str(row["c"]) == "2024-01-08"
+
+
+def test_no_date_format_fits(spark):
+    """Then there is no format, and every value that is not NULL has failed."""
+    df = spark.createDataFrame([("2024-01-05",), ("abcdef",), ("12",), (None,)], "d string")
+    prof = P.profile(df, TableSpec("t", parse_columns("d:DATE"))).first()
+    assert (prof["failed"], prof["date_format"], prof["over_limit"]) == (3, None, True)
+    rate = C.failure_rates(df, date_cols=["d"]).first()
+    assert (rate["failed"], rate["date_format"], rate["over_limit"]) == (3, None, True)
+    soft = C.soft_convert_plan(df, date_cols=["d"]).first()
+    assert (soft["failed"], soft["date_format"], soft["outcome"]) == (None, None, "kept_string")
