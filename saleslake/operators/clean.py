@@ -113,24 +113,9 @@ def over_limit(failures: Column, total: Column) -> Column:
     return failures * 10 > total
 
 
-def date_format_choice(fail_counts: list[Column], total: Column, formats=DATE_FORMATS) -> Column:
-    """Index (0-based) of the first format with failures <= 10 % of rows, else NULL."""
-    expr = F.lit(None).cast("int")
-    for i in reversed(range(len(formats))):
-        expr = F.when(fail_counts[i] * 10 <= total, F.lit(i)).otherwise(expr)
-    return expr
-
-
-def picked(values: list[Column], choice: Column) -> Column:
-    """``values[choice]``, NULL where the choice is.
-
-    Not ``element_at``: for an array without NULLs it counts as never NULL,
-    whatever the index.
-    """
-    expr = F.lit(None)
-    for i in reversed(range(len(values))):
-        expr = F.when(choice == i, values[i]).otherwise(expr)
-    return expr
+def first_fitting(values: list[Column], fail_counts: list[Column], total: Column) -> Column:
+    """The value of the first format with failures <= 10 % of rows, else NULL."""
+    return F.coalesce(*[F.when(f * 10 <= total, v) for f, v in zip(fail_counts, values)])
 
 
 def converted_date(raw: Column, choice: int, with_time: bool = False, formats=DATE_FORMATS) -> Column:
@@ -163,9 +148,8 @@ def failure_rates(df: DataFrame, int_cols=(), double_cols=(), date_cols=()) -> D
         structs.append(_rate_struct(c, "DOUBLE", F.col(f"z{i}_d"), F.col(f"f{i}_d"), F.lit(None).cast("string")))
     for i, c in enumerate(date_cols):
         fails = [F.col(f"f{i}_t{k}") for k in range(len(DATE_FORMATS))]
-        choice = date_format_choice(fails, F.col("n"))
-        fmt = picked([F.lit(lbl) for lbl, _ in DATE_FORMATS], choice)
-        chosen_fail = F.coalesce(picked(fails, choice), F.col("n") - F.col(f"z{i}_t"))
+        fmt = first_fitting([F.lit(lbl) for lbl, _ in DATE_FORMATS], fails, F.col("n"))
+        chosen_fail = F.coalesce(first_fitting(fails, fails, F.col("n")), F.col("n") - F.col(f"z{i}_t"))
         structs.append(_rate_struct(c, "DATE", F.col(f"z{i}_t"), chosen_fail, fmt))
     rows = one.select(F.col("n"), F.inline(F.array(*structs)))
     return rows.select(
@@ -206,10 +190,9 @@ def soft_convert_plan(df: DataFrame, int_cols=(), double_cols=(), date_cols=())
         structs.append(_soft_struct(c, "DOUBLE", f, F.when(f == 0, "converted").otherwise("kept_string"), F.lit(None).cast("string")))
     for i, c in enumerate(date_cols):
         fails = [F.col(f"t{i}_{k}") for k in range(len(SOFT_DATE_FORMATS))]
-        choice = date_format_choice(fails, F.col("n"), SOFT_DATE_FORMATS)
-        fmt = picked([F.lit(lbl) for lbl, _ in SOFT_DATE_FORMATS], choice)
-        f = picked(fails, choice).cast("long")
-        structs.append(_soft_struct(c, "DATE", f, F.when(choice.isNotNull(), "converted").otherwise("kept_string"), fmt))
+        fmt = first_fitting([F.lit(lbl) for lbl, _ in SOFT_DATE_FORMATS], fails, F.col("n"))
+        f = first_fitting(fails, fails, F.col("n"))
+        structs.append(_soft_struct(c, "DATE", f, F.when(fmt.isNotNull(), "converted").otherwise("kept_string"), fmt))
     return one.select(F.inline(F.array(*structs)))
 
 

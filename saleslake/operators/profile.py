@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleslake.operators.clean import (
-    DATE_FORMATS, ConversionError, date_format_choice, decimal_of, double_of, int_of, picked, stripped, to_date,
+    DATE_FORMATS, ConversionError, decimal_of, double_of, first_fitting, int_of, stripped, to_date,
 )
 from saleslake.operators.project import data_family, rename_to_spec
 from saleslake.spec import (
@@ -132,9 +132,8 @@ def _profile_group(df: DataFrame, plan: list) -> DataFrame:
                 pre.append(to_date(raw, p, with_time).isNull().alias(f"_bad{i}_{k}"))
                 aggs.append(F.count_if(~F.col(f"_null{i}") & F.col(f"_bad{i}_{k}")).alias(f"f{i}_{k}"))
             fails = [F.col(f"f{i}_{k}") for k in range(len(DATE_FORMATS))]
-            choice = date_format_choice(fails, F.col("n"))
-            fmt = picked([F.lit(lbl) for lbl, _ in DATE_FORMATS], choice).cast("string")
-            fail = F.coalesce(picked(fails, choice), F.col("n") - F.col(f"z{i}"))
+            fmt = first_fitting([F.lit(lbl) for lbl, _ in DATE_FORMATS], fails, F.col("n"))
+            fail = F.coalesce(first_fitting(fails, fails, F.col("n")), F.col("n") - F.col(f"z{i}"))
         elif t in INT_FAMILIES and d in INT_FAMILIES + ("DECIMAL",):
             pre.append(raw.alias(f"_v{i}"))
             aggs += [F.min(v).cast(_DEC).alias(f"mn{i}"), F.max(v).cast(_DEC).alias(f"mx{i}")]

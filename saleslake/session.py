@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     # Local sessions handle small inputs: a small advisory size keeps every
     # core busy after AQE coalescing (scale_conf() sets 256 MB for clusters).
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    # plans of hundreds of columns: no call-site lookup for every column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # HotSpot does not compile methods beyond 8000 bytes; stages of many conversions
     # then run better operator by operator than as one interpreted method.
     "spark.sql.codegen.hugeMethodLimit": "8000",
