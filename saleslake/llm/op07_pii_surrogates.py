@@ -1,21 +1,28 @@
 """PII surrogates with DataFrame functions only (operator 7).
 
-Detected: e-mail addresses, phone numbers, payment cards (Luhn), IPv4
-addresses, US social security numbers, IBANs (mod 97), access keys, secrets
-of 8 characters or more after ``password=``, ``token =`` and the like, up to
-the closing quote or white space, and names after a title.  A
-surrogate is a keyed function of the entity's type and canonical form, so all
+Detected: e-mail addresses, phone numbers, payment cards (issuer, length and
+check digit), IPv4 and IPv6 addresses, US social security numbers, IBANs (mod
+97), access keys, secrets of 8 characters or more after ``password=``,
+``token =`` and the like, up to the closing quote or white space, and names
+after a title, which are then found at their other mentions in that text, too.
+A surrogate is a keyed function of the entity's type and canonical form, so all
 mentions of an entity, however written, get the same one in every document:
 
 * digits, letters and separators keep their places; country codes, card
   issuers and IBAN countries stay, check digits are right again;
-* names come from the same script and, by the title, the same gender; given
-  and family names are entities of their own, so "Ms Ann Lee" and "Ms Lee"
-  stay one person.
+* names come from the same script; given names follow the title's gender (a
+  neutral one after "Dr"), and a family name is one entity whoever bears it:
+  "Ms Ann Lee", "Mr Lee" and "Lee" stay one family, in Russian with the ending
+  that the mention has.
 
-A run of digits or capitals may hold a card or an IBAN beside other words:
-every cut between separators is tried (an IBAN has its country's length), the
-well-formed ones first, and what is left is searched for the other types.
+A card is bare or in its usual groups, and nothing is cut out of other groups
+of digits: a run that has more than ``OTHER_GROUPS`` further groups of four
+digits or more is a table or a list of ids, and stays as it is.  An IBAN may
+stand beside other capitals; it has its country's length.
+
+The key comes from the caller, or from the session (``KEY_SETTING``); without
+one, the query draws a key for the run and forgets it.  Only digests of it
+are in plans.
 
 Collision check: over the distinct entities of the whole table, no surrogate
 may stand for two entities of a type nor equal an entity of the table; those
@@ -30,41 +37,51 @@ All other columns are kept whatever their names (they travel in a struct).
 
 from __future__ import annotations
 
+import hashlib
+import secrets
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from saleslake.llm.common import query, scratch, table, written
 
-KEY = "corpus-surrogates-1"
+KEY_SETTING = "spark.saleslake.surrogates.key"
 MAX_ATTEMPTS = 64
+OTHER_GROUPS = 2
 
 MALE = "Mr|Herr|Monsieur|Señor|Господин"
 FEMALE = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Госпожа"
+NEUTRAL = "Dr|Prof|Professor|Доктор"
+PARTICLE = "de|del|della|der|den|des|di|da|do|dos|du|el|la|le|al|bin|van|von|zu|ter|ten|y"
 _SECRET_NAME = r"(?<![A-Za-z])(?i:password|passwd|pwd|token|secret|api_?key) ?[:=] ?[\"']?"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|\d\d?)"
 # up to the closing quote or white space, without the sentence's punctuation where there is no quote; not a blank or a mask
 _SECRET = r"""(?![*_.•=-]+(?:[\s"']|$))(?:(?<=")[^\s"]{8,}+|(?<=')[^\s']{8,}+|(?<!["'])[^\s"']{8,}(?<![.,;:?)\]}>]))"""
 PATTERNS = {
     "secret": _SECRET_NAME + _SECRET,
-    "access_key": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,256}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
+    "access_key": r"(?<![A-Za-z0-9_-])(?:AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?:gh[a-z]_|github_pat_|sk-|xox[a-z]-)[A-Za-z0-9_-]{20,}+)",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
+    "ipv6": r"(?<![0-9A-Fa-f:.])(?=[A-Fa-f:]*\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Fa-f:])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]++(?![a-z]))++",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\d(+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{4}(?!\d)|(?<!\d)\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]|\.\d)",
+    "phone": r"(?<![\d(+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{4}(?!\d)|(?<!\d)\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)|(?<![\d.-])(?:1[.-])?\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]|\.\d)|(?<![\d.-])(?<!\d )(?:1 )?[2-9]\d{2} [2-9]\d{2} \d{4}(?![\d-]| \d|\.\d)",
     "card": r"(?<![\d.-])(?!(?<=\b[A-Z]{2})\d\d )\d(?:[ -]?\d){12,}+",
-    "person": rf"(?<!\p{{L}})(?:{MALE}|{FEMALE})\.? \p{{Lu}}[\p{{L}}'-]{{1,40}}(?: \p{{Lu}}[\p{{L}}'-]{{1,40}}){{0,2}}",
+    "person": rf"(?<!\p{{L}})(?:{MALE}|{FEMALE}|{NEUTRAL})\.? \p{{Lu}}[\p{{L}}'-]{{1,40}}(?:(?: (?:{PARTICLE}))*+ \p{{Lu}}[\p{{L}}'-]{{1,40}}){{0,3}}",
 }
 # what is cut out first (runs that may hold several numbers), with the kinds that go before it; then all others
 IBAN_SCAN = "|".join(PATTERNS[k] for k in ("secret", "access_key", "email", "iban"))
 CARD_SCAN = "|".join(PATTERNS[k] for k in ("secret", "access_key", "email", "ip", "ssn", "phone", "card"))
 ANY = "|".join(p for k, p in PATTERNS.items() if k not in ("iban", "card"))
 
-# a cut starts and ends at a separator: the longest one from each start, all of them (the longest first), well-formed ones
+# a cut starts and ends at a separator: the longest one from each start, all of them (the longest first), and which are numbers
 CARD_CUTS = [r"\d(?:[ -]?\d){%d}(?!\d)" % (n - 1) for n in range(19, 12, -1)]
 CARD_HINT = r"\d(?:[ -]?\d){12}"
 CARD_HEAD = r"(?<!\d)(?=(\d(?:[ -]?\d){12,18}(?!\d)))"
-CARD_FORM = r"^(?=3[04-9]|4|5|6|2[2-7])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{4,5})$"
+# issuers and their lengths, bare or in the groups that cards are written in
+CARD_ISSUER = (r"(?=(?:4(?:\D?\d){12}(?:(?:\D?\d){3}){0,2}|5[1-5](?:\D?\d){14}|2(?:2[2-9]|[3-6]\d|7[01])\d(?:\D?\d){12}|3[47](?:\D?\d){13}"
+               r"|3(?:0[0-5]|[689]\d)\d(?:\D?\d){10}|35\d\d(?:\D?\d){12,15}|6(?:011|4[4-9]\d|5\d\d|2\d\d)(?:\D?\d){12,15}|(?:50|5[6-8]|63|67)\d\d(?:\D?\d){8,15})$)")
+CARD_FORM = "^" + CARD_ISSUER + r"(?:\d{12,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,4}(?:\1\d{1,3})?|\d{4}([ -])\d{6}\2\d{4,5})$"
 IBAN_CUTS = [r"[A-Z0-9](?: ?[A-Z0-9]){%d}(?![A-Z0-9])" % (n - 1) for n in range(34, 11, -1)]
 IBAN_HINT = r"[A-Z]{2}\d{2} ?[A-Z0-9]"
 IBAN_HEAD = r"(?<![A-Z0-9])(?=([A-Z]{2}\d{2}(?: ?[A-Z0-9]){8,30}(?![A-Z0-9])))"
@@ -82,6 +99,8 @@ GIVEN = {
     "m_latin": "Adam Bruno Carl David Emil Felix Georg Henri Ivo Jonas Karl Leon Marco Niels Oscar Paul".split(),
     "f_latin": "Anna Berta Clara Diana Emma Flora Greta Helena Ida Julia Karin Laura Maria Nora Olga Paula".split(),
     "m_cyrillic": "Антон Борис Виктор Глеб Денис Егор Иван Кирилл Лев Максим Никита Олег Павел Роман Семён Тимур".split(),
+    "n_latin": "Alex Andrea Chris Dana Eden Jody Jules Kim Luca Mika Noel Robin Sacha Sam Toni Val".split(),
+    "n_cyrillic": "Валя Женя Паша Саша Слава Шура".split(),
     "f_cyrillic": "Анна Белла Вера Галина Дарья Елена Жанна Зоя Инна Клара Лариса Мария Нина Ольга Полина Раиса".split(),
 }
 SYLLABLES = {
@@ -121,6 +140,7 @@ def _mod97(iban: Column) -> Column:
 
 
 PARTS = "array<struct<kind:string,canon:string,text:string>>"
+FEMALE_ENDING = "(ов|ев|ёв|ин|ын)а$"
 
 
 def _part(kind: Column, canon: Column, text: Column) -> Column:
@@ -133,12 +153,13 @@ def _mention(m: Column) -> Column:
     before = F.regexp_extract(m, f"^{_SECRET_NAME}", 0)
     secret = F.substring(m, F.length(before) + 1, F.length(m))
     words = F.split(F.regexp_replace(m, r"^\S+ ", ""), " ")
-    gender = F.when(m.rlike(f"^(?:{FEMALE})\\b"), "f").otherwise("m")
+    gender = F.when(m.rlike(f"^(?:{FEMALE})\\b"), "f").when(m.rlike(f"^(?:{MALE})\\b"), "m").otherwise("n")
     script = F.when(m.rlike(r" .*\p{IsCyrillic}"), "cyrillic").otherwise("latin")
 
     def name(w: Column, i: Column) -> Column:
-        role = F.when(i == F.size(words) - 1, "family").otherwise("given")
-        return _part(F.concat_ws("_", role, gender, script), F.lower(w), w)
+        given = _part(F.concat_ws("_", F.lit("given"), gender, script), F.lower(w), w)
+        family = _part(F.concat(F.lit("family_"), script), F.regexp_replace(F.lower(w), FEMALE_ENDING, "$1"), w)
+        return F.when(w.rlike(f"^(?:{PARTICLE})$"), _part(F.lit("particle"), w, w)).when(i == F.size(words) - 1, family).otherwise(given)
 
     one = lambda kind, canon, text: F.array(_part(F.lit(kind), canon, text))
     none = F.expr(f"cast(array() as {PARTS})")
@@ -148,6 +169,7 @@ def _mention(m: Column) -> Column:
         .when(m.contains("@"), one("email", F.lower(m), m))
         .when(_matches(m, "person"), F.transform(words, name))
         .when(_matches(m, "ip"), one("ip", m, m))
+        .when(_matches(m, "ipv6"), one("ipv6", F.lower(m), m))
         .when(_matches(m, "ssn"), one("ssn", digits, m))
         .when(_matches(m, "phone"), one("phone", F.right(digits, F.lit(10)), m))
         .otherwise(none)
@@ -157,58 +179,44 @@ def _mention(m: Column) -> Column:
     return F.struct(m.alias("m"), prefix.alias("before"), parts.alias("parts"))
 
 
-def _spans(run: Column, head: str, cuts: list[str], form: str, valid) -> Column:
-    """Array of (a, b), the places of the valid numbers in a run: a is 0 for its first character, b is behind the last.
-
-    First those that are written like a number (``form``), from any separator
-    on; then, in what is left, any other valid cut, from where a scan for the
-    longest ones comes by.
-    """
-    places = "array<struct<a:int,b:int>>"
-    empty = F.expr(f"cast(array() as {places})")
-    span = lambda a, n: F.array(F.struct(a.alias("a"), (a + n).alias("b")))
+def _spans(run: Column, head: str, cuts: list[str], valid) -> Column:
+    """Array of (a, b), the places of the valid numbers in a run: a is 0 for its first character, b is behind the last."""
+    empty = F.expr("cast(array() as array<struct<a:int,b:int>>)")
     heads, steps = F.regexp_extract_all(run, F.lit(head), F.lit(1)), F.split(run, head, -1)
 
     def cut(step: Column, longest: Column) -> Column:
         all_cuts = F.array(*[F.regexp_extract(longest, f"^{c}", 0) for c in cuts])
-        good = F.filter(all_cuts, lambda c: (c != "") & valid(c, longest))
-        return _once(good, lambda g: F.struct(
-            F.length(step).alias("step"), F.length(longest).alias("longest"), F.transform(g, F.length).alias("any"),
-            F.coalesce(F.length(F.get(F.filter(g, lambda c: c.rlike(form)), F.lit(0))), F.lit(0)).alias("formed"),
-        ))
+        good = F.get(F.filter(all_cuts, lambda c: (c != "") & valid(c, longest)), F.lit(0))
+        return F.struct(F.length(step).alias("step"), F.coalesce(F.length(good), F.lit(0)).alias("n"))
 
     # without a head at its start, the run's first step belongs to none
     tried = F.zip_with(steps, F.when(F.size(steps) > F.size(heads), F.concat(F.array(F.lit("")), heads)).otherwise(heads), cut)
 
-    def formed(acc: Column, x: Column) -> Column:
-        new = (x["formed"] > 0) & (acc["at"] >= acc["scan"])
+    def step(acc: Column, x: Column) -> Column:
+        at = acc["at"]
+        new = (x["n"] > 0) & (at >= acc["scan"])
+        span = F.array(F.struct(at.alias("a"), (at + x["n"]).alias("b")))
         return F.struct(
-            (acc["at"] + x["step"]).alias("at"), F.when(new, acc["at"] + x["formed"]).otherwise(acc["scan"]).alias("scan"),
-            F.when(new, F.concat(acc["spans"], span(acc["at"], x["formed"]))).otherwise(acc["spans"]).alias("spans"),
+            (at + x["step"]).alias("at"), F.when(new, at + x["n"]).otherwise(acc["scan"]).alias("scan"),
+            F.when(new, F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"),
         )
 
-    def others(first: Column):
-        def step(acc: Column, x: Column) -> Column:
-            at = acc["at"]
-            free = lambda n: ~F.exists(first, lambda s: (s["a"] < at + n) & (at < s["b"]))
-            here = (at >= acc["scan"]) & free(F.lit(1)) & (x["longest"] > 0)
-            return _once(F.get(F.filter(x["any"], free), F.lit(0)), lambda n: F.struct(
-                (at + x["step"]).alias("at"), F.when(here, at + F.coalesce(n, x["longest"])).otherwise(acc["scan"]).alias("scan"),
-                F.when(here & n.isNotNull(), F.concat(acc["spans"], span(at, n))).otherwise(acc["spans"]).alias("spans"),
-            ))
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("scan"), empty.alias("spans"))
+    return F.aggregate(tried, start, step, lambda acc: acc["spans"])
 
-        return step
 
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("scan"), empty.alias("spans"))
-    fold = lambda items, step: F.aggregate(items, start, step, lambda acc: acc["spans"])
-    return _once(tried, lambda t: _once(fold(t, formed), lambda first: F.array_sort(F.concat(first, fold(t, others(first))))))
+def _among_few(run: Column, spans: Column) -> Column:
+    """``spans`` of a run of digits, or none if the run is a table or a list of ids."""
+    long = lambda t: F.size(F.filter(F.split(t, "[ -]"), lambda g: F.length(g) >= 4))
+    own = F.aggregate(spans, F.lit(0), lambda n, x: n + long(F.substring(run, x["a"] + 1, x["b"] - x["a"])))
+    return F.when(long(run) - own <= OTHER_GROUPS, spans).otherwise(F.slice(spans, 1, 0))
 
 
 def _piece(text: Column, kind: str | None) -> Column:
     return F.struct(text.alias("text"), F.lit(kind).cast("string").alias("kind"))
 
 
-def _cut_out(text: Column, kind: str, scan: str, hint: str, head: str, cuts: list[str], form: str, valid) -> Column:
+def _cut_out(text: Column, kind: str, scan: str, hint: str, head: str, cuts: list[str], valid) -> Column:
     """Array of (text, kind): a text's numbers of a kind, and what is between them (no kind)."""
 
     def run_pieces(run: Column) -> Column:
@@ -219,7 +227,8 @@ def _cut_out(text: Column, kind: str, scan: str, hint: str, head: str, cuts: lis
             own = F.transform(spans, lambda s: F.array(_piece(F.substring(run, s["a"] + 1, s["b"] - s["a"]), kind)))
             return F.flatten(F.flatten(F.zip_with(rests, F.concat(own, F.array(F.expr("cast(array() as array<struct<text:string,kind:string>>)"))), lambda a, b: F.array(a, b))))
 
-        return _once(_spans(run, head, cuts, form, valid), around)
+        spans = _spans(run, head, cuts, valid)
+        return _once(_once(spans, lambda found: _among_few(run, found)) if kind == "card" else spans, around)
 
     def pieces(between: Column, m: Column) -> Column:
         return F.concat(F.array(_piece(between, None)), F.when(_matches(m, kind), run_pieces(m)).otherwise(F.array(_piece(m, None))))
@@ -256,10 +265,11 @@ def _tokens(text: Column) -> Column:
         between = F.transform(F.split(t, ANY, -1), plain)
         end = F.array(F.expr(f"cast(array() as array<struct<m:string,before:string,parts:{PARTS}>>)"))
         scanned = F.flatten(F.zip_with(between, F.concat(found, end), lambda a, b: F.concat(F.array(a), b)))
-        return F.when(p["kind"].isNotNull(), F.array(number)).otherwise(scanned)
+        # most texts have no entity: one search instead of two
+        return F.when(p["kind"].isNotNull(), F.array(number)).when(t.rlike(ANY), scanned).otherwise(F.array(plain(t)))
 
     def cards(p: Column) -> Column:
-        own = _cut_out(p["text"], "card", CARD_SCAN, CARD_HINT, CARD_HEAD, CARD_CUTS, CARD_FORM, lambda c, _: _luhn_sum(_digits(c)) % 10 == 0)
+        own = _cut_out(p["text"], "card", CARD_SCAN, CARD_HINT, CARD_HEAD, CARD_CUTS, lambda c, _: c.rlike(CARD_FORM) & (_luhn_sum(_digits(c)) % 10 == 0))
         return F.when(p["kind"].isNotNull(), F.array(p)).otherwise(own)
 
     def iban(c: Column, longest: Column) -> Column:
@@ -267,13 +277,48 @@ def _tokens(text: Column) -> Column:
         length = F.when(c.rlike(IBAN_LISTED), c.rlike(IBAN_FORM)).otherwise(c == F.regexp_extract(longest, IBAN_GROUPS, 0))
         return length & (_mod97(F.regexp_replace(c, " ", "")) == 1)
 
-    ibans = _cut_out(text, "iban", IBAN_SCAN, IBAN_HINT, IBAN_HEAD, IBAN_CUTS, IBAN_FORM, iban)
+    ibans = _cut_out(text, "iban", IBAN_SCAN, IBAN_HINT, IBAN_HEAD, IBAN_CUTS, iban)
     return F.flatten(F.transform(F.flatten(F.transform(ibans, cards)), token))
 
 
-def surrogate(kind: Column, canon: Column, attempt: Column, key: str = KEY) -> Column:
+def _other_mentions(found: Column) -> Column:
+    """``found`` (tokens of a text) with the names of its persons found between the entities, too."""
+    names = F.filter(F.flatten(F.transform(found, lambda f: f["parts"])), lambda p: (p["kind"].startswith("given_") | p["kind"].startswith("family_")) & (F.length(p["text"]) > 2))
+
+    def search(names: Column) -> Column:
+        # letters, apostrophes and hyphens only: nothing to escape; the longest name first
+        texts = F.reverse(F.array_sort(F.array_distinct(F.transform(names, lambda p: F.struct(F.length(p["text"]).alias("n"), p["text"].alias("t"))))))
+        return F.concat(F.lit(r"(?<![\p{L}'-])(?:"), F.array_join(F.transform(texts, lambda x: x["t"]), "|"), F.lit(r")(?![\p{L}-])"))
+
+    def retold(names: Column) -> Column:
+        def token(f: Column, pattern: Column) -> Column:
+            plain = lambda t: F.struct(t.alias("m"), F.lit("").alias("before"), F.slice(f["parts"], 1, 0).alias("parts"))
+            again = lambda t: F.struct(t.alias("m"), F.lit("").alias("before"), F.slice(F.filter(names, lambda p: p["text"] == t), 1, 1).alias("parts"))
+            hits = F.concat(F.transform(F.regexp_extract_all(f["m"], pattern, F.lit(0)), lambda t: F.array(again(t))), F.array(F.slice(F.array(f), 1, 0)))
+            between = F.transform(F.split(f["m"], pattern, -1), plain)
+            return F.when((F.size(f["parts"]) == 0) & F.rlike(f["m"], pattern), F.flatten(F.zip_with(between, hits, lambda a, b: F.concat(F.array(a), b)))).otherwise(F.array(f))
+
+        return _once(search(names), lambda pattern: F.flatten(F.transform(found, lambda f: token(f, pattern))))
+
+    return _once(names, lambda n: F.when(F.size(n) > 0, retold(n)).otherwise(found))
+
+
+def _keys(key: str) -> tuple[str, str]:
+    """Inner and outer key of the keyed digest; the caller's key itself stays out of the plan."""
+    if not key:
+        raise ValueError("surrogates need a key")
+    return tuple(hashlib.sha256(f"{side}|{key}".encode()).hexdigest() for side in ("inner", "outer"))
+
+
+def _digest(key: str, message: Column) -> Column:
+    """A keyed digest of 128 hexadecimal digits: a digest of a digest, each with a key of its own."""
+    inner, outer = _keys(key)
+    return F.sha2(F.concat(F.lit(outer), F.sha2(F.concat(F.lit(inner), message), 512)), 512)
+
+
+def surrogate(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """The surrogate of an entity on its attempt-th draw."""
-    seed = F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), canon)
+    seed = _digest(key, F.concat_ws("|", kind, attempt.cast("string"), canon))
     stream = F.concat(F.sha2(F.concat(F.lit("0"), seed), 512), F.sha2(F.concat(F.lit("1"), seed), 512))
     # a lambda variable, so that the digests are computed once for an entity and not once for each character
     return F.when(kind == "secret", _secret(seed, canon)).otherwise(_once(stream, lambda h: _from_stream(h, kind, canon, attempt)))
@@ -330,8 +375,9 @@ def _from_stream(stream: Column, kind: Column, canon: Column, attempt: Column) -
     for who, names in GIVEN.items():
         given = F.when(kind == f"given_{who}", literals(names)).otherwise(given)
     cyrillic = kind.endswith("_cyrillic")
+    key_head = r"^(?:AKIA|gh[a-z]_|github_pat_|sk-|xox[a-z]-)"
     syllables = F.when(cyrillic, literals(SYLLABLES["cyrillic"])).otherwise(literals(SYLLABLES["latin"]))
-    ending = F.when(~cyrillic, "").when(kind == "family_f_cyrillic", "ова").otherwise("ов")
+    ending = F.when(cyrillic, "ов").otherwise("")
     given = F.array_join(several(given, 1 + F.floor(attempt / 2).cast("int")), "-")
     family = F.concat(F.initcap(F.array_join(several(syllables, 3 + F.floor(attempt / 4).cast("int")), "")), ending)
 
@@ -349,7 +395,9 @@ def _from_stream(stream: Column, kind: Column, canon: Column, attempt: Column) -
         .when(kind == "ssn", F.concat(F.lit("9"), F.substring(digits, 2, 8)))
         .when(kind == "card", card)
         .when(kind == "iban", iban)
-        .when(kind == "access_key", F.concat(F.lit("AKIA"), shape(F.substring(canon, 5, 16))))
+        .when(kind == "access_key", F.concat(F.regexp_extract(canon, key_head, 0), shape(F.regexp_replace(canon, key_head, ""))))
+        .when(kind == "ipv6", F.concat(F.lit("2001:db8"), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.concat(F.lit(":"), F.substring(stream, 4 * i + 1, F.lit(4)))), "")))
+        .when(kind == "particle", canon)
     )
     out = out.when(kind.startswith("given_"), given).when(kind.startswith("family_"), family)
     return out.otherwise(shape(canon))
@@ -382,7 +430,9 @@ def _as_written(part: Column, new: Column) -> Column:
         return F.aggregate(F.sequence(F.lit(1), F.length(text)), start, step, lambda acc: acc["out"])
 
     spaced = part["kind"].isin("ssn", "card", "iban", "phone")
-    return _once(F.concat(code, new), lambda full: F.when(spaced, filled(full)).otherwise(full))
+    # a Russian family name has the ending of the mention
+    ending = F.when((part["kind"] == "family_cyrillic") & F.lower(text).rlike(FEMALE_ENDING), "а").otherwise("")
+    return _once(F.concat(code, new, ending), lambda full: F.when(spaced, filled(full)).otherwise(full))
 
 
 def _drawn(entities: DataFrame, key: str) -> DataFrame:
@@ -404,7 +454,7 @@ def _drawn(entities: DataFrame, key: str) -> DataFrame:
     raise RuntimeError(f"surrogates still collide after {MAX_ATTEMPTS} attempts")
 
 
-def surrogates(df: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
+def surrogates(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``df`` with its text column rewritten, and ``n_entities`` (replaced mentions) in a column of its own struct.
 
     Returns (row, n_entities): ``row`` holds all columns of ``df``.
@@ -412,13 +462,13 @@ def surrogates(df: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
     spark = df.sparkSession
     body = F.col("row")[text]
     base = df.select(F.monotonically_increasing_id().alias("uid"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
-    base = base.withColumn("found", _tokens(body))
+    base = base.withColumn("found", _once(_tokens(body), _other_mentions))
     # a text is kept once: in its row where it has no entities, else as tokens
     n = F.size(F.filter("found", lambda f: F.size(f["parts"]) > 0))
     base = base.withColumn("n", F.when(body.isNull(), 0).otherwise(n))
     base = written(base.select("uid", F.when(F.col("n") == 0, F.col("row")).otherwise(F.col("row").withField(text, F.lit(None).cast("string"))).alias("row"), F.when(F.col("n") > 0, F.col("found")).alias("found"), "n"), scratch(spark, "pii-documents"))
     parts = base.select("uid", F.explode(F.flatten("found.parts")).alias("p")).select("uid", "p.kind", "p.canon")
-    later = _drawn(parts.select("kind", "canon").distinct(), key)
+    later = _drawn(parts.where("kind <> 'particle'").select("kind", "canon").distinct(), key)
     name = F.concat_ws(":", "kind", "canon")
     by_doc = parts.distinct().join(later, ["kind", "canon"]).groupBy("uid").agg(F.map_from_entries(F.collect_list(F.struct(name, "attempt"))).alias("attempts"))
     by_doc = written(by_doc, scratch(spark, "pii-attempts"))
@@ -435,7 +485,12 @@ def surrogates(df: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
     return rows.select(F.col("row").withField(text, new).alias("row"), F.col("n").alias("n_entities"))
 
 
+def session_key(spark: SparkSession) -> str:
+    """The session's key; without one, a key for this run alone."""
+    return spark.conf.get(KEY_SETTING, None) or spark.sparkContext.getConf().get(KEY_SETTING, None) or secrets.token_hex(32)
+
+
 @query("op7_pii_surrogates")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = surrogates(table(spark, sf_dir, "documents"))
+    done = surrogates(table(spark, sf_dir, "documents"), session_key(spark))
     return done.select("row.doc_id", "row.text", "n_entities")

@@ -74,6 +74,7 @@ def test_scores_of_odd_rows(spark, odd, none):
     assert np.allclose(cnn.train(odd, labels.limit(0)).score(raw, off), 0.5)
 
 
+KEY = "a key for tests"
 TEXTS = [
     "Call +1 (743) 555-3824 or 743-555-3824, card 4111 1111 1111 1111 and 4111-1111-1111-1111, bad 4111111111111112.",
     "Mail Foo.Bar12@mail8.example.com or foo.bar12@MAIL8.example.com; ip 10.1.255.3, not 1.2.3 or 300.1.1.1 Version 2.0.",
@@ -86,12 +87,12 @@ TEXTS = [
 def test_surrogates(spark, none):
     clean = ["plain text, 2024-01-02 nothing 12345.", "Version 2.0.", "", None]
     df = spark.createDataFrame([(i, t, "u") for i, t in enumerate(TEXTS + clean)], "doc_id long, text string, uid string")
-    out = {r.row.doc_id: (r.row.text, r.n_entities) for r in pii.surrogates(df).collect()}
+    out = {r.row.doc_id: (r.row.text, r.n_entities) for r in pii.surrogates(df, KEY).collect()}
     for i, t in enumerate(clean, len(TEXTS)):
         assert out[i] == (t, 0)
     a, b, c, d, e = (out[i][0] for i in range(5))
     assert [out[i][1] for i in range(5)] == [4, 3, 4, 5, 3]
-    for secret in ("555-3824", "4111 1111", "4111-1111", "oo.bar12", "OO.BAR12", "10.1.255.3", "24be64439e", "e3b3ed3cc8", "W4UCRDTZ", "123-45-6789", "Ann", "Lee", "Иван", "0532"):
+    for secret in ("555-3824", "4111 1111", "4111-1111", "oo.bar12", "OO.BAR12", "10.1.255.3", "24be64439e", "e3b3ed3cc8", "W4UCRDTZ", "123-45-6789", "Ann ", "Lee", "Иван ", "0532"):
         assert not any(secret in t for t in (a, b, c, d, e)), secret
     m = re.fullmatch(r"Call \+1 \((\d{3})\) (\d{3}-\d{4}) or (\d{3})-(\d{3}-\d{4}), card (\d{4} \d{4} \d{4} \d{4}) and (\d{4}-\d{4}-\d{4}-\d{4}), bad 4111111111111112\.", a)
     assert m and (m[1], m[2]) == (m[3], m[4])  # one entity, two formats
@@ -107,27 +108,27 @@ def test_surrogates(spark, none):
     assert n and n[2] == n[5] and n[1] in pii.GIVEN["f_latin"] and n[3] in pii.GIVEN["m_latin"] and n[6] in pii.GIVEN["m_cyrillic"]
     iban = n[8].replace(" ", "")
     assert int("".join(str(int(x, 36)) for x in iban[4:] + iban[:4])) % 97 == 1
-    assert pii.surrogates(none).count() == 0
-    assert {r.row.text for r in pii.surrogates(df, key="other").collect()}.isdisjoint({a, b, c, d, e})
+    assert pii.surrogates(none, KEY).count() == 0
+    assert {r.row.text for r in pii.surrogates(df, "other").collect()}.isdisjoint({a, b, c, d, e})
 
 
 def test_collisions_draw_again(spark, monkeypatch):
     """Sixteen given names for forty people: later draws keep them apart."""
     names = sorted({f"{a}{b}" for a in ("Zak", "Wim", "Ulf", "Tor", "Sven") for b in ("a", "o", "e", "i", "u", "en", "el", "er")})
     df = spark.createDataFrame([(i, f"Mr {n} Smith came.") for i, n in enumerate(names)], "doc_id long, text string")
-    out = [r.row.text for r in pii.surrogates(df).collect()]
+    out = [r.row.text for r in pii.surrogates(df, KEY).collect()]
     given = [t.split()[1] for t in out]
     assert len(set(given)) == len(names) and not set(given) & set(names)
     assert len({t.split()[2] for t in out}) == 1
 
 
 def test_no_python_in_the_plan(spark, odd):
-    plan = pii.surrogates(odd)._jdf.queryExecution().executedPlan().toString()
+    plan = pii.surrogates(odd, KEY)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
 def test_odd_rows_pass_through(odd):
-    out = pii.surrogates(odd).select("row.*")
+    out = pii.surrogates(odd, KEY).select("row.*")
     assert out.columns == odd.columns
     assert out.exceptAll(odd).count() == 0 and odd.exceptAll(out).count() == 0
 
@@ -138,7 +139,7 @@ def test_numbers_next_to_others(spark):
     around = ["{} 123", "4111111111111111 12/26", "ref 123 {}.", "2024 {} 2025", "{} 202-555-0143", "{} 10.1.255.3", "{} 12foo@mail.com"]
     texts = [t.format(card) for t in around] + [f"{es} I paid", f"{es} 12 OK", f"AB12 {es}", f"AB12 PAID WITH CARD {card}", f"{es} {card}"]
     df = spark.createDataFrame(list(enumerate(texts + ["bad 4111 1111 1111 1112 123, ES92 2100 0418 4502 0005 1332 I"])), "doc_id long, text string")
-    *out, bad = [(r.row.text, r.n_entities) for r in pii.surrogates(df).orderBy("row.doc_id").collect()]
+    *out, bad = [(r.row.text, r.n_entities) for r in pii.surrogates(df, KEY).orderBy("row.doc_id").collect()]
     assert bad == ("bad 4111 1111 1111 1112 123, ES92 2100 0418 4502 0005 1332 I", 0)
     assert [n for _, n in out] == [1, 1, 1, 1, 2, 2, 2, 1, 1, 1, 1, 2]
     new = [t for t, _ in out]
@@ -155,10 +156,59 @@ def test_secrets_are_replaced_whole(spark):
     texts = [f'Use token = {v}, then {q}pwd={v}{q} or secret: "{v}" now.' for v in values for q in ("", "'")]
     texts += ["password: ******** or pwd=________ now"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    *out, mask = [(r.row.text, r.n_entities) for r in pii.surrogates(df).orderBy("row.doc_id").collect()]
+    *out, mask = [(r.row.text, r.n_entities) for r in pii.surrogates(df, KEY).orderBy("row.doc_id").collect()]
     assert mask == (texts[-1], 0)
     for i, (new, n) in enumerate(out):
         v, q = values[i // 2], "'" if i % 2 else ""
         m = re.fullmatch(rf'Use token = (\S+), then {q}pwd=([^\s\']+){q} or secret: "(\S+)" now\.', new)
         assert n == 3 and m and m[1] == m[2] == m[3] and len(m[1]) == len(v)
         assert not any(v[j : j + 8] in m[1] for j in range(len(v) - 7))
+
+
+def test_numbers_stay(spark):
+    """Tables, years, ids and dates are not cards or phones: byte for byte as they were."""
+    rng = np.random.default_rng(8)
+    texts = ["12 15 18 22 31 45 60 71 83 95 101 117", "2022 2023 2024 2025", "1990 1991 1992 1993 1994 1995 1996", "2024-01-02 2024-02-03 2024-03-04 2024-04-05"]
+    texts += [" ".join(map(str, rng.integers(0, 10 ** int(rng.integers(1, 7)), 60))) for _ in range(300)]
+    texts += [" ".join(map(str, rng.integers(4000, 7000, 40))) for _ in range(40)]
+    texts += [" ".join(map(str, rng.integers(10**15, 10**16, 12))) for _ in range(40)]
+    texts += ["\n".join(f"{a} {b:04d} {c}" for a, b, c in rng.integers(0, 9000, (30, 3))) for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    out = {r.row.doc_id: r.row.text for r in pii.surrogates(df, KEY).collect()}
+    assert [i for i, t in enumerate(texts) if out[i] != t] == []
+
+
+def test_more_forms(spark):
+    texts = ["Call 202 555 0143 or 1-202-555-0143 or (202) 555-0143 now", "at fe80::1ff:fe23:4567:890a and 2001:0db8:85a3:0000:0000:8a2e:0370:7334, at 12:30:45 std::cout",
+             "ghp_0123456789abcdefghijABCDEFGHIJ012345 sk-abcdefghijklmnopqrstuvwx12", "cards 4111 1111 1111 1111 5500 0000 0000 0004 12 26 and 378282246310005.",
+             "x" * 300 + "@example.com"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    (a, n), (b, m), (c, k), (d, j), (e, i) = [(r.row.text, r.n_entities) for r in pii.surrogates(df, KEY).orderBy("row.doc_id").collect()]
+    assert (n, m, k, j, i) == (3, 2, 2, 3, 1)
+    p = re.fullmatch(r"Call (\d{3}) (\d{3}) (\d{4}) or 1-(\d{3})-(\d{3})-(\d{4}) or \((\d{3})\) (\d{3})-(\d{4}) now", a)
+    assert p and p.groups()[:3] == p.groups()[3:6] == p.groups()[6:] and "0143" not in a
+    assert b.count("2001:db8:") == 2 and b.endswith(", at 12:30:45 std::cout") and "7334" not in b
+    assert re.fullmatch(r"ghp_[0-9a-zA-Z]{36} sk-[0-9a-z]{26}", c) and c != texts[2]
+    assert re.fullmatch(r"cards 4\d{3} \d{4} \d{4} \d{4} 5\d{3} \d{4} \d{4} \d{4} 12 26 and 3\d{14}\.", d) and "1111" not in d
+    assert "xxx" not in e and e.endswith(".example.net")
+
+
+def test_one_family_whoever_bears_it(spark):
+    texts = ["Mr Smith and Ms Smith met Dr. Alice Brown; Brown said Alice knew Smith, not Smithson.", "Mr Juan de la Cruz. Cruz left.", "Господин Петров и Госпожа Петрова. Петров ушёл."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    a, b, c = [r.row.text for r in pii.surrogates(df, KEY).orderBy("row.doc_id").collect()]
+    m = re.fullmatch(r"Mr (\w+) and Ms (\w+) met Dr\. (\w+) (\w+); (\w+) said (\w+) knew (\w+), not Smithson\.", a)
+    assert m and m[1] == m[2] == m[7] != "Smith" and m[4] == m[5] != "Brown" and m[3] == m[6] and m[3] in pii.GIVEN["n_latin"]
+    m = re.fullmatch(r"Mr (\w+) de la (\w+)\. (\w+) left\.", b)
+    assert m and m[2] == m[3] != "Cruz" and m[1] in pii.GIVEN["m_latin"]
+    m = re.fullmatch(r"Господин (\w+) и Госпожа (\w+)\. (\w+) ушёл\.", c)
+    assert m and m[2] == m[1] + "а" and m[3] == m[1] != "Петров"
+
+
+def test_the_key_is_the_callers(spark):
+    df = spark.createDataFrame([(1, "Mail a.b@example.com"), (2, "a.b@example.com")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        pii.surrogates(df, "").collect()
+    assert pii.session_key(spark) != pii.session_key(spark)
+    plan = pii.surrogates(df, "the very secret key")._jdf.queryExecution().toString()
+    assert "the very secret key" not in plan
