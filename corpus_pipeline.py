@@ -15,7 +15,7 @@ from saleslake.llm.common import scratch, table, written
 from saleslake.llm.op04_pack import pack
 from saleslake.llm.op05_simhash_tiles import near_dedup
 from saleslake.llm.op06_byte_cnn import quality_scores, train
-from saleslake.llm.op07_pii_surrogates import surrogates
+from saleslake.llm.op07_pii_surrogates import session_key, surrogates
 from saleslake.llm.op08_grace_dedup import exact_dedup
 
 
@@ -51,7 +51,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with surrogates; n_chars follows the text."""
-    done = surrogates(docs).select("row.*")
+    done = surrogates(docs, session_key(spark)).select("row.*")
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return done.select(*[F.col(f"`{c}`") for c in docs.columns])
