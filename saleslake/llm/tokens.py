@@ -119,6 +119,11 @@ class MemoTokenizer:
 
     def encode(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets by text) of texts given as in ``byte_view``."""
+        flat, at, _, by_text = self.stretches(raw, off)
+        return flat, at[by_text]
+
+    def stretches(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, ids before each stretch and in all, first byte of each stretch, stretches before each text and in all)."""
         low = _LOWER[raw]
         cut = np.zeros(len(raw), bool)
         np.logical_and(_LETTER[low[:-1]], _PUNCT[low[1:]], out=cut[1:])
@@ -136,14 +141,14 @@ class MemoTokenizer:
         by_text = np.searchsorted(firsts, off)
         kept = low[~space]
         if not len(firsts):
-            return np.empty(0, np.uint32), np.zeros(len(off), np.int64)
+            return np.empty(0, np.uint32), np.zeros(1, np.int64), firsts, by_text
         begins = np.append(np.flatnonzero(start[~space]), len(kept)).astype(np.int64)
         words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(firsts), [None, pa.py_buffer(begins), pa.py_buffer(kept)])
         words = words.dictionary_encode()
         ids = pa.array(self._ids_of(words.dictionary.to_pylist()), pa.large_binary()).take(words.indices)
         ends = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset : ids.offset + len(ids) + 1]
         flat = np.frombuffer(ids.buffers()[2], "<u4")[ends[0] // 4 : ends[-1] // 4]
-        return flat, (ends[by_text] - ends[0]) // 4
+        return flat, (ends - ends[0]) // 4, firsts, by_text
 
     def encode_column(self, col: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, end row, ids, offsets) for groups of rows of a string column."""

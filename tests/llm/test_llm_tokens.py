@@ -15,9 +15,11 @@ from tokenizers import Tokenizer
 from saleslake.llm import op01_rans as rans
 from saleslake.llm.op04_pack import TierPacker, pack
 from saleslake.llm.op09_segment_bpe import RANKS, bpe_digests, load_ranks, merged
+from saleslake.llm import op10_resync_counts as resync
 from saleslake.llm.op10_resync_counts import count_by_chunks, token_counts
 from saleslake.llm.tokens import WORD_BPE, memo_tokenizer
 
+from tests.conftest import SF_SMALL
 from tests.llm.conftest import odd_rows
 
 
@@ -141,3 +143,30 @@ def test_overlaps_widen_until_they_align(text):
     tok = memo_tokenizer().tok
     for chunk, overlap in ((300, 16), (1000, 8), (64, 64)):
         assert count_by_chunks(tok, text, chunk, overlap)[0] == len(tok.encode(text, add_special_tokens=False).ids)
+
+
+def test_registered_counts_are_spliced(spark):
+    """Over a hundred of the given documents are spliced; every count is the library's."""
+    docs = spark.read.parquet(f"{SF_SMALL.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r for r in resync.token_counts(docs).collect()}
+    tok = memo_tokenizer().tok
+    rows = docs.collect()
+    assert sum(r.chunks > 1 for r in got.values()) > 100
+    assert [r.doc_id for r in rows if got[r.doc_id].n_tokens != len(tok.encode(r.text or "", add_special_tokens=False).ids)] == []
+
+
+def test_small_chunks_and_odd_texts():
+    memo = memo_tokenizer()
+    texts = [t or "" for _, t in odd_rows()] + ["Don't stop-me now; " * 300, "é" * 3_000 + " x", "a" * 500 + "!" + "b" * 700, "x <|endoftext|> y " * 90, "é å " * 200, "你好 " * 400]
+    raw = [t.encode() for t in texts]
+    off = np.concatenate([[0], np.cumsum([len(t) for t in raw])])
+    for chunk, overlap in ((64, 24), (200, 60), (1000, 100)):
+        n, chunks = resync.spliced(memo, np.frombuffer(b"".join(raw), np.uint8), off, chunk, overlap)
+        done = 0
+        for t, k, c in zip(texts, n.tolist(), chunks.tolist()):
+            want = len(memo.tok.encode(t, add_special_tokens=False).ids)
+            assert k in (-1, want)
+            if k < 0:
+                assert c > 1 and resync.count_by_chunks(memo.tok, t, chunk, overlap)[0] == want
+            done += c > 1 and k >= 0
+        assert done >= 4
