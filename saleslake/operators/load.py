@@ -135,21 +135,28 @@ def drop_table(spark: SparkSession, root: str) -> bool:
     return bool(fs.delete(p, True)) if fs.exists(p) else False
 
 
+VIEWS = "_views"
+VIEW_COLUMNS = "place int, name string, sql string"
+
+
 def create_all(spark: SparkSession, specs: dict[str, TableSpec], root: str, views: dict[str, str] | None = None,
                rows: dict[str, DataFrame] | None = None) -> DataFrame:
     """Every table in load order, its first rows, then the views; one status row each.
 
     ``rows``: what a table holds from the start.  ``views``: SQL over the
-    tables (and views before), registered in the session.  A table that
-    exists is left as it is; one that fails does not stop the others.
+    tables (and views before); they are stored beside the tables and
+    registered in the session (``open_all`` does so in any other).  A table
+    that exists is left as it is; one that fails does not stop the others.
     """
     out = []
 
-    def attempt(kind: str, name: str, step) -> None:
+    def attempt(kind: str, name: str, step) -> bool:
         try:
             out.append((kind, name, step(), None))
+            return True
         except Exception as e:  # reported as this one's status
             out.append((kind, name, "failed", str(e).splitlines()[0][:500]))
+            return False
 
     def table(spec: TableSpec) -> str:
         path = f"{root.rstrip('/')}/{spec.name}"
@@ -168,11 +175,34 @@ def create_all(spark: SparkSession, specs: dict[str, TableSpec], root: str, view
 
     for spec in load_order(specs):
         attempt("table", spec.name, lambda spec=spec: table(spec))
-    for name, sql in (views or {}).items():
-        attempt("view", name, lambda name=name, sql=sql: view(name, sql))
+    good = [(name, sql) for name, sql in (views or {}).items() if attempt("view", name, lambda name=name, sql=sql: view(name, sql))]
+    if good:
+        held = {r["name"]: r["sql"] for r in stored_views(spark, root)} | dict(good)
+        stored = spark.createDataFrame([(i, *v) for i, v in enumerate(held.items())], VIEW_COLUMNS)
+        publish_version(stored.coalesce(1), f"{root.rstrip('/')}/{VIEWS}")
     return spark.createDataFrame(out, "kind string, name string, status string, error string")
 
 
+def stored_views(spark: SparkSession, root: str) -> list:
+    """The views stored beside the tables, in the order in which they build on each other."""
+    path = f"{root.rstrip('/')}/{VIEWS}"
+    return read_current(spark, path).orderBy("place").collect() if current_version(spark, path) is not None else []
+
+
+def open_all(spark: SparkSession, specs: dict[str, TableSpec], root: str) -> list[str]:
+    """Register the tables of ``specs`` and the views stored with them in this session; their names."""
+    names = []
+    for spec in load_order(specs):
+        path = f"{root.rstrip('/')}/{spec.name}"
+        if current_version(spark, path) is not None:
+            read_current(spark, path).createOrReplaceTempView(spec.name)
+            names.append(spec.name)
+    for r in stored_views(spark, root):
+        spark.sql(r["sql"]).createOrReplaceTempView(r["name"])
+        names.append(r["name"])
+    return names
+
+
 # --- partitioned facts (K6-K9) ---------------------------------------------------
 
 

@@ -337,16 +337,28 @@ def _d_wide() -> str:
     return f"WITH w AS ({S.WIDE_SQL})\n" + "\nUNION ALL\n".join(rows)
 
 
-@query("profile_empty_table", "\nUNION ALL\n".join(
-    f"SELECT '{n}' AS column_name, '{k}' AS declared, CAST(0 AS BIGINT) AS n, CAST(0 AS BIGINT) AS failed, CAST(NULL AS VARCHAR) AS proposed"
-    for n, k, _ in S.wide_exprs()))
+def _d_empty() -> str:
+    rows = []
+    for c in SP.FACT_LINES.columns:
+        raw = c.incoming()
+        failed = d_failed(raw, d_to_int(raw)) if c.family in _RANGES else d_failed(raw, d_to_double(raw)) if c.family in ("FLOAT", "DOUBLE") else (
+            d_failed(raw, f"try_strptime({raw}, '%Y-%m-%d')") if c.family == "DATE" else "CAST(0 AS BIGINT)")
+        rows.append(f"SELECT '{c.name}' AS column_name, rows_of, count(*) FILTER (WHERE here) AS n, ({failed.replace('(WHERE', '(WHERE here AND')}) AS failed FROM x GROUP BY rows_of")
+    return (f"WITH r AS ({S.RAW_LINES_SQL}), x AS (SELECT *, 'all' AS rows_of, TRUE AS here FROM r UNION ALL SELECT *, 'none', quantity = 'never' FROM r)\n"
+            + "\nUNION ALL\n".join(rows))
+
+
+@query("profile_empty_table", _d_empty())
 def q_profile_empty_table(spark, sf):
-    """a wide table without rows still has a profile row for every column, and cleans."""
-    none = S.wide(spark, sf).where("w000 IS NULL AND w000 IS NOT NULL")
-    typed, prof = P.clean_table(none, SP.wide_spec())
-    if typed.columns != SP.wide_spec().names:
-        raise AssertionError("columns lost")
-    return prof.select("column_name", "declared", "n", "failed", "proposed")
+    """a file without rows that pass has a profile row for every column and cleans, like the whole one."""
+    out = None
+    for name, rows in (("all", S.raw_lines(spark, sf)), ("none", S.raw_lines(spark, sf).where("quantity = 'never'"))):
+        typed, prof = P.clean_table(rows, SP.FACT_LINES, policy="widen")
+        if typed.columns != SP.FACT_LINES.names:
+            raise AssertionError("columns lost")
+        some = prof.select("column_name", F.lit(name).alias("rows_of"), "n", "failed")
+        out = some if out is None else out.unionByName(some)
+    return out
 
 
 _DEC_TEXT = "CAST(p_partkey AS STRING) || '2345678901234567.' || lpad(CAST(p_partkey % 10000 AS STRING), 10, '1')"

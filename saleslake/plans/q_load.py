@@ -383,3 +383,58 @@ def q_inventory_files(spark, sf):
     rows = rows.groupBy(kind(src), folder(src)).count()
     return files.join(rows, ["kind", "folder"], "left").select(
         "kind", "folder", "n_files", F.coalesce("count", F.lit(0)).alias("n_rows"), "is_gzip", "is_empty")
+
+
+# --- A11, A12 transfer totals, K13 tables and views -----------------------------------
+
+
+@query(
+    "transfer_totals",
+    """WITH t AS (SELECT sum(octet_length(encode(l_orderkey || ';' || l_linenumber || ';' || l_returnflag)) + 1) AS b FROM lineitem)
+SELECT CAST(b AS BIGINT) AS raw_bytes, TRUE AS all_succeeded, CAST(1 AS BIGINT) AS empty_files, TRUE AS packed_is_smaller, TRUE AS ratio_is_right FROM t""",
+)
+def q_transfer_totals(spark, sf):
+    """Bytes landed, files that came whole and empty ones, and what compression saved."""
+    root = scratch_path(spark, "transfer")
+    lines = S.read(spark, sf, "lineitem").select(F.concat_ws(";", "l_orderkey", "l_linenumber", "l_returnflag").alias("value"))
+    lines.write.text(f"{root}/plain")
+    lines.write.option("compression", "gzip").text(f"{root}/gz")
+    fs, _ = hadoop_fs(spark, root)
+    fs.create(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/plain/empty.txt")).close()
+    plain, packed = SRC.file_listing(spark, f"{root}/plain"), SRC.file_listing(spark, f"{root}/gz")
+    total, ratio = SRC.transfer_summary(plain), SRC.compression_ratio(plain, packed)
+    # one row each
+    return total.join(ratio, total["total_bytes"] == ratio["raw_bytes"]).select(
+        "raw_bytes", (F.col("succeeded") + F.col("empty_files") == F.col("files")).alias("all_succeeded"), "empty_files",
+        (F.col("packed_bytes") < F.col("raw_bytes")).alias("packed_is_smaller"),
+        (F.abs(F.col("reduction_pct") / 100 * F.col("raw_bytes") - (F.col("raw_bytes") - F.col("packed_bytes"))) < 1).alias("ratio_is_right"))
+
+
+_K13_SPECS = {s.name: s for s in (SP.K13_CUSTOMER, SP.K13_NATION)}
+_K13_VIEWS = {
+    "v_nation_balance": "SELECT nation_code, count(*) AS n, CAST(sum(CAST(account_balance AS DECIMAL(20, 2))) AS DOUBLE) AS balance FROM k13_customer GROUP BY nation_code",
+    "v_named": "SELECT nation_name, n, balance FROM k13_nation JOIN v_nation_balance USING (nation_code)",
+    "v_broken": "SELECT no_such_column FROM k13_nation",
+}
+
+
+@query(
+    "create_tables_views",
+    """SELECT n_name AS nation_name, count(*) AS n, CAST(sum(CAST(c_acctbal AS DECIMAL(20, 2))) AS DOUBLE) AS balance,
+       'k13_customer created,k13_nation created,v_broken failed,v_named created,v_nation_balance created' AS status
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
+)
+def q_create_tables_views(spark, sf):
+    """Tables with their first rows and views over them, read in another session; a view that fails stops nothing."""
+    root = scratch_path(spark, "k13")
+    rows = {
+        "k13_customer": S.read(spark, sf, "customer").selectExpr("c_custkey AS customer_code", "c_nationkey AS nation_code", "c_acctbal AS account_balance"),
+        "k13_nation": S.read(spark, sf, "nation").selectExpr("n_nationkey AS nation_code", "n_name AS nation_name"),
+    }
+    made = L.create_all(spark, _K13_SPECS, root, _K13_VIEWS, rows)
+    status = ",".join(sorted(f"{r['name']} {r['status']}" for r in made.collect()))  # one row for each table and view
+    other = spark.newSession()
+    L.open_all(other, _K13_SPECS, root)
+    path = f"{root}/read_elsewhere"
+    other.table("v_named").write.parquet(path)
+    return spark.read.parquet(path).withColumn("status", F.lit(status))

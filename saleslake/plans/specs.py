@@ -62,3 +62,7 @@ def wide_spec():
     from saleslake.plans.standins import wide_exprs
 
     return TableSpec("wide_lines", parse_columns(", ".join(f"{n}:{t}" for n, t, _ in wide_exprs())))
+
+# Tables that are created from their specs.
+K13_CUSTOMER = TableSpec("k13_customer", parse_columns("customer_code:BIGINT, nation_code:INT, account_balance:DOUBLE"), keys=("customer_code",))
+K13_NATION = TableSpec("k13_nation", parse_columns("nation_code:INT, nation_name:VARCHAR(30)"), keys=("nation_code",))
