@@ -73,6 +73,8 @@ PATTERNS = {
 IBAN_SCAN = "|".join(PATTERNS[k] for k in ("secret", "access_key", "email", "iban"))
 CARD_SCAN = "|".join(PATTERNS[k] for k in ("secret", "access_key", "email", "ip", "ssn", "phone", "card"))
 ANY = "|".join(p for k, p in PATTERNS.items() if k not in ("iban", "card"))
+# what a text without a digit or an at sign can hold
+WORDS = "|".join(PATTERNS[k] for k in ("secret", "access_key", "person"))
 
 # a cut starts and ends at a separator: the longest one from each start, all of them (the longest first), and which are numbers
 CARD_CUTS = [r"\d(?:[ -]?\d){%d}(?!\d)" % (n - 1) for n in range(19, 12, -1)]
@@ -261,12 +263,16 @@ def _tokens(text: Column) -> Column:
         t = p["text"]
         canon = F.regexp_replace(t, "[ -]", "")
         number = F.struct(t.alias("m"), F.lit("").alias("before"), F.array(_part(p["kind"], canon, t)).alias("parts"))
-        found = F.transform(F.regexp_extract_all(t, F.lit(ANY), F.lit(0)), lambda m: F.array(_mention(m)))
-        between = F.transform(F.split(t, ANY, -1), plain)
         end = F.array(F.expr(f"cast(array() as array<struct<m:string,before:string,parts:{PARTS}>>)"))
-        scanned = F.flatten(F.zip_with(between, F.concat(found, end), lambda a, b: F.concat(F.array(a), b)))
-        # most texts have no entity: one search instead of two
-        return F.when(p["kind"].isNotNull(), F.array(number)).when(t.rlike(ANY), scanned).otherwise(F.array(plain(t)))
+
+        def scanned(pattern: str) -> Column:
+            """Most texts have no entity: they are searched once."""
+            found = F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda m: F.array(_mention(m)))
+            between = F.transform(F.split(t, pattern, -1), plain)
+            both = F.flatten(F.zip_with(between, F.concat(found, end), lambda a, b: F.concat(F.array(a), b)))
+            return F.when(t.rlike(pattern), both).otherwise(F.array(plain(t)))
+
+        return F.when(p["kind"].isNotNull(), F.array(number)).when(t.rlike("[0-9@]"), scanned(ANY)).otherwise(scanned(WORDS))
 
     def cards(p: Column) -> Column:
         own = _cut_out(p["text"], "card", CARD_SCAN, CARD_HINT, CARD_HEAD, CARD_CUTS, lambda c, _: c.rlike(CARD_FORM) & (_luhn_sum(_digits(c)) % 10 == 0))
