@@ -41,7 +41,7 @@ def _int_upgrade(mn: Column, mx: Column, fam: str) -> Column:
     return expr
 
 
-def _plan(df: DataFrame, spec: TableSpec):
+def _plan(df: DataFrame, spec: TableSpec) -> list:
     """Per present column: (column, declared, data family, conversion kind)."""
     types = {f.name.lower(): (f.name, f.dataType) for f in df.schema.fields}
     out = []
@@ -91,60 +91,92 @@ _STATS = ("column_name string, declared string, data_type string, nulls long, fa
 
 
 def _profile_group(df: DataFrame, plan: list) -> DataFrame:
-    """A2-A8 of some columns in one aggregation.
+    """A2-A8 of some columns in one aggregation."""
+    if not plan:
+        return df.sparkSession.createDataFrame([], f"n long, {_STATS}")
+    return judged(measured(df, plan), plan)
+
+
+def measured(df: DataFrame, plan: list, keys: list[str] | None = None) -> DataFrame:
+    """What the profile needs of some columns, by ``keys``: rows and, per column, NULLs, failures, extremes.
+
+    The columns are ``n`` and, for the i-th of the plan, ``z{i}``, ``f{i}_{k}``
+    (failures, of each date format), ``mn{i}``, ``mx{i}``, ``ml{i}`` and ``ht{i}``
+    where they apply; all of them can be added up or merged by min and max.
 
     A first projection strips the texts of numbers, a second computes each
     conversion (``_v{i}``, ``_bad{i}_{k}``, ``_len{i}``); the aggregate then only
     counts, mins and maxes plain columns, so nothing is evaluated twice.
     """
-    if not plan:
-        return df.sparkSession.createDataFrame([], f"n long, {_STATS}")
-    pre = []
+    keys = keys or []
+    own = [F.col(f"`{k}`") for k in keys]
+    pre = list(own)
     aggs = [F.count(F.lit(1)).alias("n")]
-    structs = []
     source = lambda i: F.col(f"`{plan[i][1]}`")
     numbers = {f"_s{i}": source(i) for i, (_, _, _, kind) in enumerate(plan) if kind in ("int", "double", "decimal")}
-    df = stripped(df, numbers, [source(i).alias(f"_r{i}") for i in range(len(plan)) if f"_s{i}" not in numbers])
+    df = stripped(df, numbers, [*own, *[source(i).alias(f"_r{i}") for i in range(len(plan)) if f"_s{i}" not in numbers]])
     for i, (c, _, d, kind) in enumerate(plan):
         # a stripped text is NULL where the text is
         raw = F.col(f"_s{i}" if f"_s{i}" in numbers else f"_r{i}")
         t = c.family
         pre.append(raw.isNull().alias(f"_null{i}"))
         aggs.append(F.count_if(F.col(f"_null{i}")).alias(f"z{i}"))
-        fail = F.lit(0).cast("long")
-        fmt = F.lit(None).cast("string")
-        mn = mx = F.lit(None).cast(_DEC)
-        max_len = F.lit(None).cast("int")
-        has_time = F.lit(None).cast("boolean")
         v = F.col(f"_v{i}")
         if kind == "int":
             pre.append(int_of(raw, large=(t == "LARGEINT")).alias(f"_v{i}"))
-            aggs += [F.count_if(~F.col(f"_null{i}") & v.isNull()).alias(f"f{i}"),
+            aggs += [F.count_if(~F.col(f"_null{i}") & v.isNull()).alias(f"f{i}_0"),
                      F.min(v).cast(_DEC).alias(f"mn{i}"), F.max(v).cast(_DEC).alias(f"mx{i}")]
-            fail, mn, mx = F.col(f"f{i}"), F.col(f"mn{i}"), F.col(f"mx{i}")
         elif kind in ("double", "decimal"):
             pre.append((double_of(raw) if kind == "double" else decimal_of(raw, spark_type(c.type))).alias(f"_v{i}"))
-            aggs.append(F.count_if(~F.col(f"_null{i}") & v.isNull()).alias(f"f{i}"))
-            fail = F.col(f"f{i}")
+            aggs.append(F.count_if(~F.col(f"_null{i}") & v.isNull()).alias(f"f{i}_0"))
         elif kind == "date":
             with_time = t == "DATETIME"
             for k, (_, p) in enumerate(DATE_FORMATS):
                 pre.append(to_date(raw, p, with_time).isNull().alias(f"_bad{i}_{k}"))
                 aggs.append(F.count_if(~F.col(f"_null{i}") & F.col(f"_bad{i}_{k}")).alias(f"f{i}_{k}"))
-            fails = [F.col(f"f{i}_{k}") for k in range(len(DATE_FORMATS))]
-            fmt = first_fitting([F.lit(lbl) for lbl, _ in DATE_FORMATS], fails, F.col("n"))
-            fail = F.coalesce(first_fitting(fails, fails, F.col("n")), F.col("n") - F.col(f"z{i}"))
         elif t in INT_FAMILIES and d in INT_FAMILIES + ("DECIMAL",):
             pre.append(raw.alias(f"_v{i}"))
             aggs += [F.min(v).cast(_DEC).alias(f"mn{i}"), F.max(v).cast(_DEC).alias(f"mx{i}")]
-            mn, mx = F.col(f"mn{i}"), F.col(f"mx{i}")
         if t == "VARCHAR":
             pre.append(F.length(raw.cast("string")).alias(f"_len{i}"))
             aggs.append(F.max(F.col(f"_len{i}")).alias(f"ml{i}"))
-            max_len = F.col(f"ml{i}")
         if t == "DATE" and d == "DATETIME":
             pre.append((raw != F.date_trunc("day", raw)).alias(f"_time{i}"))
             aggs.append(F.bool_or(F.col(f"_time{i}")).alias(f"ht{i}"))
+    rows = df.select(*pre)
+    return rows.groupBy(*own).agg(*aggs) if keys else rows.agg(*aggs)
+
+
+def measures(plan: list, i: int) -> dict[str, str]:
+    """The columns that ``measured`` has for the i-th of the plan, and how they merge."""
+    c, _, d, kind = plan[i]
+    t = c.family
+    fails = {"int": 1, "double": 1, "decimal": 1, "date": len(DATE_FORMATS)}.get(kind, 0)
+    out = {f"z{i}": "sum", **{f"f{i}_{k}": "sum" for k in range(fails)}}
+    if kind == "int" or kind is None and t in INT_FAMILIES and d in INT_FAMILIES + ("DECIMAL",):
+        out |= {f"mn{i}": "min", f"mx{i}": "max"}
+    if t == "VARCHAR":
+        out[f"ml{i}"] = "max"
+    if t == "DATE" and d == "DATETIME":
+        out[f"ht{i}"] = "bool_or"
+    return out
+
+
+def judged(one: DataFrame, plan: list) -> DataFrame:
+    """One row per column of the plan from the one row of ``measured``."""
+    structs = []
+    for i, (c, _, d, kind) in enumerate(plan):
+        t, have = c.family, measures(plan, i)
+        get = lambda name, kind: F.col(name) if name in have else F.lit(None).cast(kind)  # noqa: B023, E731
+        mn, mx, max_len = get(f"mn{i}", _DEC), get(f"mx{i}", _DEC), get(f"ml{i}", "int")
+        fail, fmt, has_time = F.lit(0).cast("long"), F.lit(None).cast("string"), F.lit(None).cast("boolean")
+        if kind == "date":
+            fails = [F.col(f"f{i}_{k}") for k in range(len(DATE_FORMATS))]
+            fmt = first_fitting([F.lit(lbl) for lbl, _ in DATE_FORMATS], fails, F.col("n"))
+            fail = F.coalesce(first_fitting(fails, fails, F.col("n")), F.col("n") - F.col(f"z{i}"))
+        elif kind is not None:
+            fail = F.col(f"f{i}_0")
+        if f"ht{i}" in have:
             has_time = F.coalesce(F.col(f"ht{i}"), F.lit(False))
         if t in INT_FAMILIES:
             num_ovf = F.coalesce(~_fits(mn, mx, t), F.lit(False))
@@ -164,7 +196,6 @@ def _profile_group(df: DataFrame, plan: list) -> DataFrame:
             mn.cast("string").alias("min_val"), mx.cast("string").alias("max_val"),
             num_ovf.alias("numeric_overflow"), has_time.alias("has_time"), upgrade.alias("type_upgrade"),
         ))
-    one = df.select(*pre).agg(*aggs)
     return one.select("n", F.inline(F.array(*structs)))
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from saleslake.operators import clean as C
+from saleslake.operators import kept as KP
 from saleslake.operators import profile as P
+from saleslake.operators import table as TB
 from saleslake.operators.project import rename_to_spec
 from saleslake.plans import specs as SP
 from saleslake.plans import standins as S
@@ -13,6 +15,7 @@ from saleslake.plans.oracle_parts import (
     DUCK_DATE_FORMATS, d_blank_null, d_choice, d_failed, d_to_date, d_to_double, d_to_int,
 )
 from saleslake.plans.registry import query
+from saleslake.session import scratch_path
 
 _R = f"r AS ({S.RAW_LINES_SQL})"
 
@@ -417,3 +420,41 @@ def q_profile_wide_table(spark, sf):
     """A2-A8 over a 200-column all-string table in one aggregation pass."""
     prof = P.profile(S.wide(spark, sf), SP.wide_spec())
     return prof.select("column_name", "declared", "failed", "max_len", "min_val", "max_val", "proposed")
+
+
+# --- A2-A8, A10: a profile kept beside a table ------------------------------------------
+
+_KEPT_FINAL = (f"SELECT * FROM ({S.fact_sql(S.SECONDARY_GROUP)}) WHERE NOT (ship_ymd < {S.CUTOFF_YMD} "
+               "AND (sales_group_code IN (1, 2, 3) OR sales_group_code IS NULL))")
+
+
+def _d_kept() -> str:
+    out = []
+    for c in SP.FACT_NARROW.columns:
+        n = f"SELECT '{c.name}' AS column_name, count(*) AS n, count(*) - count({c.name}) AS nulls, "
+        if c.family in _RANGES:
+            lo, hi = f"min({c.name})", f"max({c.name})"
+            n += (f"CAST(NULL AS INTEGER) AS max_len, CAST({lo} AS VARCHAR) AS min_val, CAST({hi} AS VARCHAR) AS max_val, "
+                  f"{_d_upgrade(f'CAST({lo} AS HUGEINT)', f'CAST({hi} AS HUGEINT)', c.family)} AS proposed")
+        elif c.family == "VARCHAR":
+            ml = f"CAST(max(length({c.name})) AS INTEGER)"
+            n += f"{ml} AS max_len, NULL AS min_val, NULL AS max_val, CASE WHEN {ml} > {c.limit} THEN 'VARCHAR(' || CAST(({ml} * 6) // 5 AS VARCHAR) || ')' END AS proposed"
+        else:
+            n += "CAST(NULL AS INTEGER) AS max_len, NULL AS min_val, NULL AS max_val, 'DOUBLE' AS proposed"
+        out.append(n + " FROM f")
+    return f"WITH f AS ({_KEPT_FINAL})\n" + "\nUNION ALL\n".join(out)
+
+
+@query("profile_kept", _d_kept())
+def q_profile_kept(spark, sf):
+    """After a first load, an append and a replacement the kept profile is that of all rows; each refresh reads new folders only."""
+    f = S.facts(spark, sf)
+    root, at = scratch_path(spark, "kept_table"), scratch_path(spark, "kept_profile")
+    g, late = F.col("sales_group_code"), F.col("ship_ymd") >= S.CUTOFF_YMD
+    TB.create(f.where(~late), root, "sales_group_code")
+    KP.refresh_profile(spark, root, at, SP.FACT_NARROW)
+    TB.append(f.where(late & ~g.isin(1, 2, 3)), root)
+    KP.refresh_profile(spark, root, at, SP.FACT_NARROW)
+    TB.replace(spark, root, f.where(late & (g.isin(1, 2, 3) | g.isNull())), None, [1, 2, 3, None])
+    KP.refresh_profile(spark, root, at, SP.FACT_NARROW)
+    return KP.kept_profile(spark, root, at, SP.FACT_NARROW).select("column_name", "n", "nulls", "max_len", "min_val", "max_val", "proposed")

@@ -315,8 +315,8 @@ def q_src_csv_checked(spark, sf):
     for sender, names in enumerate((_SENT, ("p_brand", "p_partkey", "p_name"), ("p_name", "p_partkey"))):
         text.where(F.col("sender") == sender).select(*names).write.option("header", True).option("escape", '"').csv(f"{root}/s{sender}")
     bad = F.when(k % 2 == 0, F.concat(k.cast("string"), F.lit(",x,y,EXTRA"))).otherwise(k.cast("string"))
-    lines = part.where(k % 5 == 0).select(bad.alias("value"))
-    spark.createDataFrame([("p_partkey,p_name,p_brand",)], "value string").unionByName(lines).coalesce(1).write.text(f"{root}/s3")
+    # one column under the whole header line, so every file begins with it
+    part.where(k % 5 == 0).select(bad.alias(",".join(_SENT))).write.option("header", True).option("sep", "\x01").csv(f"{root}/s3")
     good, ragged = SRC.read_csv_checked(spark, root, list(_SENT))
     return good.select(*_SENT, F.lit(False).alias("ragged")).unionByName(
         ragged.select(F.col("record").alias("p_partkey"), F.lit(None).cast("string").alias("p_name"),
@@ -355,19 +355,19 @@ def q_load_file_status(spark, sf):
     return res.status
 
 
-_D_SIZES = """SELECT p_brand AS folder, count(*) AS n_rows FROM part GROUP BY p_brand"""
+_D_SIZES = """SELECT p_brand AS folder, count(*) AS n_rows, sum(length(CAST(p_partkey AS VARCHAR)) + 1) AS n_bytes FROM part GROUP BY p_brand"""
 
 
 @query(
     "inventory_files",
     f"""WITH f AS ({_D_SIZES}), k AS (SELECT unnest(['plain', 'gz']) AS kind)
-SELECT kind, folder, CAST(1 AS BIGINT) AS n_files, n_rows, kind = 'gz' AS is_gzip, FALSE AS is_empty FROM f, k
-UNION ALL SELECT 'plain', 'none', 1, 0, FALSE, TRUE""",
+SELECT kind, folder, n_rows, CASE WHEN kind = 'plain' THEN CAST(n_bytes AS BIGINT) END AS data_bytes, kind = 'gz' AS is_gzip, FALSE AS is_empty FROM f, k
+UNION ALL SELECT 'plain', 'none', 0, 0, FALSE, TRUE""",
 )
 def q_inventory_files(spark, sf):
-    """Files and rows by landed folder, gzip and empty files flagged."""
+    """Rows and bytes without header lines by landed folder, whatever the number of files; gzip and empty files flagged."""
     root = scratch_path(spark, "landing_sizes")
-    part = S.read(spark, sf, "part").select("p_partkey", "p_brand").repartition("p_brand")
+    part = S.read(spark, sf, "part").select("p_partkey", "p_brand").hint("rebalance", F.col("p_brand"))
     for kind in ("plain", "gz"):
         w = part.write.partitionBy("p_brand").option("header", True)
         (w.option("compression", "gzip") if kind == "gz" else w).csv(f"{root}/{kind}")
@@ -377,12 +377,12 @@ def q_inventory_files(spark, sf):
     folder = lambda path: F.url_decode(F.regexp_extract(path, "p_brand=([^/]+)/", 1)).alias("folder")
     files = SRC.file_listing(spark, root, glob="*.csv*").groupBy(
         kind(F.col("path")), folder(F.col("path")), F.lower("name").endswith(".gz").alias("is_gzip"), (F.col("length") == 0).alias("is_empty"),
-    ).agg(F.count(F.lit(1)).alias("n_files"))
+    ).agg(F.sum(F.greatest(F.col("length") - len("p_partkey\n"), F.lit(0))).alias("data_bytes"))
     rows = spark.read.option("header", True).option("recursiveFileLookup", True).schema("p_partkey string").csv(root)
     src = F.url_decode("_metadata.file_path")  # a URI, of a name that is itself escaped
     rows = rows.groupBy(kind(src), folder(src)).count()
     return files.join(rows, ["kind", "folder"], "left").select(
-        "kind", "folder", "n_files", F.coalesce("count", F.lit(0)).alias("n_rows"), "is_gzip", "is_empty")
+        "kind", "folder", F.coalesce("count", F.lit(0)).alias("n_rows"), F.when(~F.col("is_gzip"), F.col("data_bytes")).alias("data_bytes"), "is_gzip", "is_empty")
 
 
 # --- A11, A12 transfer totals, K13 tables and views -----------------------------------

@@ -242,9 +242,9 @@ def q_route_files(spark, sf):
 
 
 def _written_files(spark, sf):
-    """Write one CSV file per order status (plus a gzip copy and an empty file)."""
+    """Write CSV files by order status (plus a gzip copy and an empty file)."""
     root = scratch_path(spark, "landing")
-    o = S.read(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice").repartition("o_orderstatus")
+    o = S.read(spark, sf, "orders").select("o_orderkey", "o_orderstatus").hint("rebalance", F.col("o_orderstatus"))
     o.write.partitionBy("o_orderstatus").option("header", True).csv(f"{root}/plain")
     o.write.partitionBy("o_orderstatus").option("header", True).option("compression", "gzip").csv(f"{root}/gz")
     fs, _ = hadoop_fs(spark, root)
@@ -254,18 +254,19 @@ def _written_files(spark, sf):
 
 @query(
     "src_file_listing",
-    """WITH f AS (SELECT DISTINCT o_orderstatus AS folder FROM orders), k AS (SELECT unnest([FALSE, TRUE]) AS is_gzip)
-SELECT folder, CAST(1 AS BIGINT) AS n_files, is_gzip, FALSE AS is_empty FROM f, k
-UNION ALL SELECT '', 1, FALSE, TRUE""",
+    """WITH f AS (SELECT o_orderstatus AS folder, sum(length(CAST(o_orderkey AS VARCHAR)) + 1) AS n FROM orders GROUP BY 1), k AS (SELECT unnest([FALSE, TRUE]) AS is_gzip)
+SELECT folder, CASE WHEN NOT is_gzip THEN CAST(n AS BIGINT) END AS data_bytes, is_gzip, FALSE AS is_empty FROM f, k
+UNION ALL SELECT '', 0, FALSE, TRUE""",
 )
 def q_src_file_listing(spark, sf):
-    """The data files under the landing folder by sub-folder, gzip and empty ones flagged."""
+    """Bytes of data (without header lines) under the landing folder by sub-folder, gzip and empty files flagged."""
     root = _written_files(spark, sf)
     lst = SRC.file_listing(spark, root, glob="*.csv*")
     return lst.groupBy(
         F.regexp_extract("path", "o_orderstatus=([^/]+)/", 1).alias("folder"),
         F.lower(F.col("name")).endswith(".gz").alias("is_gzip"), (F.col("length") == 0).alias("is_empty"),
-    ).agg(F.count(F.lit(1)).alias("n_files"))
+    ).agg(F.sum(F.greatest(F.col("length") - len("o_orderkey\n"), F.lit(0))).alias("n")).select(
+        "folder", F.when(~F.col("is_gzip"), F.col("n")).alias("data_bytes"), "is_gzip", "is_empty")
 
 
 _MISSING_SRC = "SELECT 'Orders_' || CAST(o_orderkey AS VARCHAR) AS name FROM orders"

@@ -15,6 +15,12 @@ FACT_LINES = TableSpec(
     keys=("invoice_key",), buckets=20, partition_by=("sales_group_code",),
 )
 
+# The typed facts, declared narrower than the data.
+FACT_NARROW = TableSpec(
+    "fact_narrow",
+    parse_columns("invoice_key:SMALLINT, sales_group_code:TINYINT, record_type:VARCHAR(1), value:FLOAT, ship_ymd:SMALLINT"),
+)
+
 # Documents with deliberately short text limits.
 DOCUMENTS = TableSpec(
     "documents",
