@@ -5,18 +5,21 @@
    have it.  Texts of fewer words hash the whole sequence; without words the
    fingerprint is zero, and linked like any other.
 2. Distinct fingerprints are range partitioned by the population counts of
-   their four 16-bit quarters into super-tiles of about ``TILE``.  Two
-   fingerprints differ in at least as many bits as the sum of the differences
-   of those counts, so pairs of tiles (and, within them, of sub-tiles) whose
-   count boxes are further apart than the radius are skipped; all others are
-   compared exactly by exclusive-or and bit counts in numpy.  Each pair of
-   super-tiles returns only a spanning forest of its links, so a group of g
-   near copies gives about g rows for each pair, not g * g.
+   their four 16-bit quarters and cut, in that order, into ranges of up to
+   about a million.  Two fingerprints differ in at least as many bits as the
+   sum of the differences of those counts, so pairs of ranges (and, within
+   them, of tiles of 256) whose count boxes are further apart than the radius
+   are skipped; all others are compared exactly by exclusive-or and bit counts
+   in numpy.  The pairs of ranges are the cells of a grid: with g ranges each
+   fingerprint is sent to at most g cells, and a cell is one group of a
+   shuffle.  It returns only a spanning forest of its links, so a group of
+   near copies gives about a row for each member and cell.
 3. Components: alternating large-star and small-star joins until nothing
-   changes; every round is written to the shared folder.
+   changes; every round is written to the shared folder.  The neighbours of a
+   hub are spread over ``SALTS`` tasks.
 
 The number of compared pairs grows with the square of the distinct
-fingerprints, as any exact comparison; the tiles keep its constant small.
+fingerprints, as any exact comparison; the boxes keep its constant small.
 
 Null texts count as empty.  Null keys take part; the component id ignores
 them (null if a component has no other).  Repeated rows share a fingerprint
@@ -29,8 +32,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +47,10 @@ RADIUS = 4
 SEED = 42
 TILE = 16_384
 SUB_TILE = 256
+RANGES = 16  # of fingerprints, at least; their pairs are the cells that are compared
+RANGE_TILES = 64  # tiles in a range, at most
+TASKS = 20_000  # for the cells, at most
+SALTS = 8
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -179,52 +188,58 @@ def tile_links(left: np.ndarray, right: np.ndarray | None, radius: int = RADIUS,
 def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """(a, b): edges that connect just the distinct fingerprints (column fp) within ``radius`` bits."""
     spark = distinct.sparkSession
-    n_tiles = max(1, -(-distinct.count() // tile))
+    n_parts = max(RANGES, -(-distinct.count() // tile))
+    n_ranges = max(RANGES, -(-n_parts // RANGE_TILES))
     quarters = [F.bit_count(F.shiftrightunsigned("fp", 48 - 16 * q).bitwiseAND(F.lit(65535))) for q in range(4)]
 
     def tiles(batches):
-        from pyspark import TaskContext
-
         held: list[np.ndarray] = []
-        number = TaskContext.get().partitionId() << 20
+        number = TaskContext.get().partitionId() * n_ranges // n_parts
 
         def row(fp: np.ndarray) -> pa.RecordBatch:
             counts = quarter_counts(fp)
-            return pa.record_batch([pa.array([number]), pa.array([counts.min(0).tolist()], pa.list_(pa.int32())), pa.array([counts.max(0).tolist()], pa.list_(pa.int32())), pa.array([fp.tobytes()], pa.binary())], ["tile", "low", "high", "fps"])
+            return pa.record_batch([pa.array([number], pa.int32()), pa.array([counts.min(0).tolist()], pa.list_(pa.int32())), pa.array([counts.max(0).tolist()], pa.list_(pa.int32())), pa.array([fp.tobytes()], pa.binary())], ["range", "low", "high", "fps"])
 
         for b in batches:
             held.append(np.asarray(b.column(0)).view(np.uint64))
             if sum(map(len, held)) >= 2 * tile:
                 own = np.concatenate(held)
                 yield row(own[:tile])
-                held, number = [own[tile:]], number + 1
+                held = [own[tile:]]
         if held and sum(map(len, held)):
             yield row(np.concatenate(held))
 
-    parts = distinct.repartitionByRange(n_tiles, *quarters, "fp").sortWithinPartitions(*quarters, "fp")
-    tiled = written(parts.select("fp").mapInArrow(tiles, "tile long, low array<int>, high array<int>, fps binary"), scratch(spark, "simhash-tiles"))
-
-    # which tiles may meet: one row a tile, joined on the number of the other
-    # tile, not on a condition
-    order = tiled.select("tile", "low", "high").orderBy("tile")
-    from pyspark.sql import Window
+    parts = distinct.repartitionByRange(n_parts, *quarters, "fp").sortWithinPartitions(*quarters, "fp")
+    tiled = written(parts.select("fp").mapInArrow(tiles, "range int, low array<int>, high array<int>, fps binary"), scratch(spark, "simhash-tiles"))
 
-    order = order.withColumn("k", F.row_number().over(Window.orderBy("tile")))
-    order = written(order, scratch(spark, "simhash-order"))
-    n = order.count()
-    left = order.select("tile", "low", "high", F.explode(F.sequence("k", F.lit(n))).alias("k")) if n else order
-    right = order.select("k", F.col("tile").alias("other"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    # the cells whose boxes are near enough: a row for each pair of ranges, not of tiles
+    edge = lambda fn, name: F.array(*[fn(F.col(name)[q]) for q in range(4)])
+    boxes = tiled.groupBy("range").agg(edge(F.min, "low").alias("low"), edge(F.max, "high").alias("high"))
+    one = boxes.select(F.col("range").alias("one"), "low", "high", F.explode(F.sequence("range", F.lit(n_ranges - 1))).alias("two"))
+    other = boxes.select(F.col("range").alias("two"), F.col("low").alias("low2"), F.col("high").alias("high2"))
     gap = F.expr("aggregate(zip_with(arrays_zip(low, high), arrays_zip(low2, high2), (x, y) -> greatest(0, x.low - y.high2, y.low2 - x.high)), 0, (s, d) -> s + d)")
-    pairs = left.join(right, "k").filter(gap <= radius).select("tile", "other")
-    pairs = pairs.join(tiled.select("tile", "fps"), "tile").join(tiled.select(F.col("tile").alias("other"), F.col("fps").alias("fps2")), "other")
+    cells = written(one.join(other, "two").filter(gap <= radius).select("one", "two"), scratch(spark, "simhash-cells"))
+
+    payload = tiled.select("range", "fps")
+    left = payload.join(cells, F.col("range") == F.col("one")).select("one", "two", F.lit(False).alias("right"), "fps")
+    right = payload.join(cells.filter("one <> two"), F.col("range") == F.col("two")).select("one", "two", F.lit(True).alias("right"), "fps")
+
+    def compare(cell: pd.DataFrame) -> pd.DataFrame:
+        fps = [np.sort(np.concatenate([np.frombuffer(f, np.uint64) for f in cell["fps"][cell["right"] == side]] or [np.empty(0, np.uint64)])) for side in (False, True)]
+        fps = [f[np.lexsort(quarter_counts(f).T[::-1])] for f in fps]  # in the order of the counts, so that tiles have small boxes
+        a, b = tile_links(fps[0], fps[1] if len(fps[1]) else None, radius)
+        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+
+    # a number of tasks of its own: little data, much work
+    dealt = left.union(right).repartition(min(TASKS, n_ranges * (n_ranges + 1) // 2), "one", "two")
+    return dealt.groupBy("one", "two").applyInPandas(compare, "a long, b long")
 
-    def compare(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for one, two, x, y in zip(*(batch.column(i) for i in range(2)), *(batch.column(i).to_pylist() for i in (2, 3))):
-            own = np.frombuffer(x, np.uint64)
-            a, b = tile_links(own, None if one == two else np.frombuffer(y, np.uint64), radius)
-            yield pa.record_batch([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
-    return arrow_map(pairs.select("tile", "other", "fps", "fps2"), compare, "a long, b long")
+def _by_hub(rows: DataFrame, spread: str, hubs: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined with ``hubs`` (one row a key): a key's rows go to ``SALTS`` tasks by ``spread``."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
+    return salted.join(hubs.select("*", salts), [key, "_salt"]).drop("_salt")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -237,9 +252,9 @@ def components(edges: DataFrame) -> DataFrame:
     while before[0]:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        large = _by_hub(both, "b", least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
+        small = _by_hub(large, "b", least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         edges = written(small.union(least.select("a", F.col("m").alias("b"))).distinct(), scratch(spark, "components"))
         now = state(edges)
         if now == before:
@@ -256,7 +271,7 @@ def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     roots = components(links(distinct.select("fp"), radius, tile)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
     member = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = member.groupBy("root").agg(F.min("first_key").alias("component_id"))
-    of_fp = member.join(ids, "root").select("fp", "component_id")
+    of_fp = _by_hub(member, "fp", ids, "root").select("fp", "component_id")
     return rows.join(of_fp, "fp").select(F.col("key").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
