@@ -129,12 +129,16 @@ class Asked:
         self.rank[order] = np.cumsum(new) - 1
         self.high, self.low = high[firsts], None if low is None else low[firsts]
         self.many = np.diff(np.append(firsts, len(high))) > 1
-        edges = [np.uint64(-(-(b << 64) // buckets)) for b in range(1, buckets)]
-        self.bounds = [0, *np.searchsorted(self.high, np.array(edges, np.uint64)).tolist(), len(firsts)]
+        # the buckets that are asked, and where the hashes of each begin
+        bucket = self.high // np.uint64(-(-(1 << 64) // buckets)) if buckets > 1 else np.zeros(len(firsts), np.uint64)
+        first = np.ones(len(bucket), bool)
+        first[1:] = bucket[1:] != bucket[:-1]
+        self.bounds = np.append(np.flatnonzero(first), len(firsts))
+        self.buckets = bucket[first].astype(np.int64)
 
     def rows(self, chunk: int) -> pa.RecordBatch:
         """One row for each bucket that is asked: bucket, chunk, hashes, many."""
-        out = [(b, lo, hi) for b, (lo, hi) in enumerate(zip(self.bounds[:-1], self.bounds[1:])) if hi > lo]
+        out = list(zip(self.buckets.tolist(), self.bounds[:-1].tolist(), self.bounds[1:].tolist()))
         packed = lambda lo, hi: self.high[lo:hi].astype("<u8").tobytes() + (b"" if self.low is None else self.low[lo:hi].astype("<u4").tobytes())
         return pa.record_batch([
             pa.array([b for b, _, _ in out], pa.int64()), pa.array([chunk] * len(out), pa.int64()), pa.array([hi - lo for _, lo, hi in out], pa.int64()),
@@ -144,8 +148,10 @@ class Asked:
     def answered(self, answers) -> np.ndarray:
         """Of each hash asked: does it occur elsewhere (the buckets' answers: (bucket, bits))?"""
         yes = np.zeros(len(self.high), bool)
-        for a in answers if answers is not None else ():
-            lo, hi = self.bounds[a["bucket"]], self.bounds[a["bucket"] + 1]
+        answers = answers if answers is not None else ()
+        places = np.searchsorted(self.buckets, [a["bucket"] for a in answers]).tolist()
+        for a, at in zip(answers, places):
+            lo, hi = self.bounds[at], self.bounds[at + 1]
             yes[lo:hi] = np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=hi - lo).astype(bool)
         return yes[self.rank]
 
