@@ -10,10 +10,11 @@ probability that ``quality`` is 1.
 
 Training: gradient descent (Adam, fixed seed) on the driver, on a bounded
 sample of labelled rows: at most ``TRAIN_ROWS`` of each label with whole texts
-of up to ``TRAIN_TEXT`` bytes, those with the smallest hashes.  Rows whose
+of up to ``TRAIN_TEXT`` bytes, those with the smallest hashes, one text a key
+(the smallest, if a key repeats) and ``TRAIN_BYTES`` in all.  Rows whose
 crc32(key as text) mod 5 is 0 never take part.  Only the text's bytes enter a
 score.  Without labels of both kinds every score is the share of label 1 (0.5
-if there are none).
+if there are none), and ``learned`` is false.
 
 Null texts count as empty; an empty text is scored by its (zero) features.
 Null keys are not held out and not trained on.  Labels that are neither 0 nor
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from saleslake.llm.common import arrow_map, query, table
@@ -44,6 +45,7 @@ LAG_FILTERS = 2
 LAG_BLOCKS = 8  # blocks of STRIDE bytes under a self-match filter
 TRAIN_ROWS = 2500
 TRAIN_TEXT = 65_536
+TRAIN_BYTES = 64_000_000
 STEPS = 500
 BATCH = 32
 THRESHOLD = 0.3
@@ -76,6 +78,7 @@ class ByteCnn:
         self.lag_bias = np.full(LAG_FILTERS, -0.4, np.float32)
         self.out = np.zeros(2 * (FILTERS + LAG_FILTERS), np.float32)
         self.shift = np.zeros(1, np.float32)
+        self.learned = False
 
     def parts(self) -> list[np.ndarray]:
         return [self.embed, self.filters, self.bias, self.lag_filters, self.lag_bias, self.out, self.shift]
@@ -160,6 +163,7 @@ class ByteCnn:
             share = float(np.clip(labels.mean() if len(labels) else 0.5, 1e-6, 1 - 1e-6))
             self.shift[0] = np.log(share / (1 - share))
             return self
+        self.learned = True
         first, second = [[np.zeros_like(p, np.float64) for p in self.parts()] for _ in range(2)]
         for t in range(1, steps + 1):
             pick = np.concatenate([rng.choice(k, batch // 2) for k in kinds])
@@ -177,15 +181,17 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = TRAIN_ROWS, longest: int = TRAIN_TEXT, steps: int = STEPS) -> ByteCnn:
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = TRAIN_ROWS, longest: int = TRAIN_TEXT, steps: int = STEPS, most: int = TRAIN_BYTES) -> ByteCnn:
     """Fit on at most ``rows`` documents of each label that are not held out."""
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("y")).filter(F.col("y").isin(0, 1) & F.col("key").isNotNull())
     known = known.groupBy("key").agg(F.min("y").alias("y")).filter(~held_out(F.col("key"))).withColumn("h", F.xxhash64("key"))
     counts = {y: n for y, n in known.groupBy("y").count().collect()}  # two rows at most
     sample = known.filter("y = 0").orderBy("h", "key").limit(rows).union(known.filter("y = 1").orderBy("h", "key").limit(rows))
     texts = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).filter(F.octet_length("text") <= longest)
-    # at most 2 * rows keys: a bounded broadcast, so the documents aren't shuffled
-    found = texts.join(F.broadcast(sample), "key").orderBy("h", "key", "text").limit(2 * rows).select("text", "y").toPandas()
+    # at most 2 * rows keys: a bounded broadcast, so the documents aren't shuffled; then one text a key, so that none pushes out others
+    found = texts.join(F.broadcast(sample), "key").groupBy("h", "key", "y").agg(F.min("text").alias("text"))
+    found = found.withColumn("so_far", F.sum(F.octet_length("text")).over(Window.orderBy("h", "key"))).filter(F.col("so_far") <= most)
+    found = found.orderBy("h", "key").select("text", "y").toPandas()
     return ByteCnn().fit([t.encode() for t in found["text"]], found["y"].to_numpy(np.int64), steps, odds=(counts.get(1, 0) + 1) / (counts.get(0, 0) + 1))
 
 

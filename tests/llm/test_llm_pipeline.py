@@ -27,6 +27,23 @@ def test_copies_on_odd_rows(spark, odd, none):
     assert pipeline.pii(spark, odd, SF_SMALL).columns == odd.columns
 
 
+def test_quality_and_packing_on_odd_rows(spark, odd, none, tmp_path, monkeypatch):
+    monkeypatch.setattr(pipeline, "train", functools.partial(pipeline.train, steps=3))
+    rows = Counter(map(tuple, odd.collect()))
+    for name, quality in (("one kind", "0"), ("both", "doc_id % 2")):
+        spark.range(20).selectExpr("id AS doc_id", f"CAST({quality.replace('doc_id', 'id')} AS INT) AS quality").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        kept = pipeline.quality(spark, odd, f"{tmp_path}/{name}")
+        assert kept.columns == odd.columns
+        got = Counter(map(tuple, kept.collect()))
+        assert got == rows if name == "one kind" else not got - rows
+        assert pipeline.quality(spark, none, f"{tmp_path}/{name}").count() == 0
+    packed = pipeline.packing(spark, odd, SF_SMALL)
+    lengths = packed.groupBy("sequence_id").sum("length").collect()
+    assert len(lengths) and all(r[1] <= 2048 for r in lengths)
+    assert packed.count() >= odd.count()
+    assert pipeline.packing(spark, none, SF_SMALL).count() == 0
+
+
 def test_run(spark, monkeypatch):
     monkeypatch.setattr(pipeline, "train", functools.partial(pipeline.train, steps=60))
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")

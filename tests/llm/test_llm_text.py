@@ -74,6 +74,56 @@ def test_scores_of_odd_rows(spark, odd, none):
     assert np.allclose(cnn.train(odd, labels.limit(0)).score(raw, off), 0.5)
 
 
+def slow_score(model, text):
+    """The score of one text by plain loops over chunks, filters and places."""
+    step, best, total, n = cnn.CHUNK - cnn.OVERLAP, None, None, 0
+    at = 0
+    while True:
+        x = text[at : at + cnn.CHUNK].ljust(cnn.CHUNK, b"\0")
+        values = []
+        for f in range(cnn.FILTERS):
+            tops = [sum(float(model.embed[x[i + w]] @ model.filters[w, :, f]) for w in range(cnn.WIDTH)) for i in range(0, cnn.CHUNK - cnn.STRIDE, cnn.STRIDE)]
+            values.append(max(0.0, max(tops) + float(model.bias[f])))
+        for f in range(cnn.LAG_FILTERS):
+            tops = []
+            for lag in cnn.LAGS:
+                same = [i >= lag and x[i] == x[i - lag] and x[i] > 0 for i in range(cnn.CHUNK)]
+                share = [sum(same[i : i + cnn.STRIDE]) / cnn.STRIDE for i in range(0, cnn.CHUNK, cnn.STRIDE)]
+                tops += [sum(share[b + k] * float(model.lag_filters[k, f]) for k in range(cnn.LAG_BLOCKS)) for b in range(len(share) - cnn.LAG_BLOCKS + 1)]
+            values.append(max(0.0, max(tops) + float(model.lag_bias[f])))
+        best = values if best is None else [max(a, b) for a, b in zip(best, values)]
+        total = values if total is None else [a + b for a, b in zip(total, values)]
+        n += 1
+        if at + cnn.CHUNK >= len(text):
+            break
+        at += step
+    logit = sum(v * float(w) for v, w in zip(best + [t / n for t in total], model.out)) + float(model.shift[0])
+    return 1 / (1 + np.exp(-logit))
+
+
+def test_scores_by_plain_loops():
+    rng = np.random.default_rng(3)
+    model = cnn.ByteCnn()
+    for part in (model.bias, model.out, model.shift):
+        part += rng.normal(0, 0.3, part.shape).astype(np.float32)
+    texts = [b"", b"a", b"word " * 90, "пример текста ".encode() * 60, b"x" * 512, bytes(rng.integers(1, 256, 1500, dtype=np.uint8))]
+    raw, off = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    assert np.allclose(model.score(raw, off), [slow_score(model, t) for t in texts], atol=1e-4)
+
+
+def test_one_key_repeats(spark, monkeypatch):
+    """A key that repeats very often pushes no other out of the sample; the bytes are bounded."""
+    seen = {}
+    monkeypatch.setattr(cnn.ByteCnn, "fit", lambda self, texts, y, *a, **k: seen.update(texts=texts, y=y.tolist()) or self)
+    free = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5][:8]
+    docs = spark.createDataFrame([(free[0], f"copy {i}") for i in range(300)] + [(i, f"text {i}") for i in free[1:]], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, n % 2, 0) for n, i in enumerate(free)], "doc_id long, quality int, toxic int")
+    cnn.train(docs, labels, rows=4)
+    assert sorted(seen["texts"]) == sorted([b"copy 0"] + [f"text {i}".encode() for i in free[1:]]) and sorted(seen["y"]) == [0] * 4 + [1] * 4
+    cnn.train(docs, labels, rows=4, most=20)
+    assert 0 < sum(map(len, seen["texts"])) <= 20
+
+
 KEY = "a key for tests"
 TEXTS = [
     "Call +1 (743) 555-3824 or 743-555-3824, card 4111 1111 1111 1111 and 4111-1111-1111-1111, bad 4111111111111112.",
