@@ -26,8 +26,14 @@ def _numbered(docs: DataFrame, name: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the byte-level network, trained on the labels of these documents, does not reject."""
-    scored = quality_scores(docs, train(docs, table(spark, sf_dir, "labels")), keep=True)
+    """Documents that the byte-level network, trained on the labels of these documents, does not reject.
+
+    Labels of one kind teach nothing, so then every document stays.
+    """
+    model = train(docs, table(spark, sf_dir, "labels"))
+    if not model.learned:
+        return docs
+    scored = quality_scores(docs, model, keep=True)
     return scored.filter("predicted = 1").select("row.*")
 
 
