@@ -235,11 +235,11 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
     return dealt.groupBy("one", "two").applyInPandas(compare, "a long, b long")
 
 
-def _by_hub(rows: DataFrame, spread: str, hubs: DataFrame, key: str) -> DataFrame:
+def _by_hub(rows: DataFrame, spread: str, hubs: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """``rows`` joined with ``hubs`` (one row a key): a key's rows go to ``SALTS`` tasks by ``spread``."""
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    return salted.join(hubs.select("*", salts), [key, "_salt"]).drop("_salt")
+    return salted.join(hubs.select("*", salts), [key, "_salt"], how).drop("_salt")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -270,8 +270,9 @@ def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     distinct = written(rows.groupBy("fp").agg(F.min("key").alias("first_key")), scratch(spark, "simhash-distinct"))
     roots = components(links(distinct.select("fp"), radius, tile)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
     member = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    ids = member.groupBy("root").agg(F.min("first_key").alias("component_id"))
-    of_fp = _by_hub(member, "fp", ids, "root").select("fp", "component_id")
+    # of one fingerprint alone, the component is its own
+    ids = member.groupBy("root").agg(F.min("first_key").alias("component_id"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    of_fp = _by_hub(member, "fp", ids, "root", "left").select("fp", F.coalesce("component_id", "first_key").alias("component_id"))
     return rows.join(of_fp, "fp").select(F.col("key").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
