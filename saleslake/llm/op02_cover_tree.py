@@ -1,8 +1,8 @@
 """Exact top-k inner products by dual-tree search over cover trees (operator 2).
 
 1. Vectors are dealt to blocks: nearest of ``PIVOTS`` pivots (a bounded sample:
-   the rows with the smallest hashes), large cells split by a hash of the row,
-   so a block holds about ``BLOCK`` vectors whatever the distribution.  Each
+   the rows with the smallest hashes), large cells split by a hash of the row's
+   number (rows that repeat an id are split, too), so a block holds about ``BLOCK`` vectors whatever the distribution.  Each
    block becomes one cover tree: a node's children lie within its radius over
    ``BASE`` and further than that apart; every node keeps its covering radius
    and a bound for its vectors' lengths.  Queries are blocked likewise.
@@ -206,16 +206,17 @@ def _blocks(vectors: DataFrame, pivots: list[np.ndarray], block: int, name: str)
             p["cell"] = out
             yield p
 
-    dealt = written(vectors.mapInPandas(cell, "id long, dim int, v array<bigint>, cell long"), scratch(spark, f"cover-{name}"))
+    vectors = vectors.withColumn("uid", F.monotonically_increasing_id())
+    dealt = written(vectors.mapInPandas(cell, "id long, dim int, v array<bigint>, uid long, cell long"), scratch(spark, f"cover-{name}"))
     sizes = dealt.groupBy("dim", "cell").count()
-    dealt = dealt.join(sizes, ["dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("id"), F.ceil(F.col("count") / block)))
+    dealt = dealt.join(sizes, ["dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("uid"), F.ceil(F.col("count") / block)))
 
     def build(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("id", kind="stable")
         tree = CoverTree.build(p["id"].to_numpy(np.int64), np.array(p["v"].tolist(), np.int64).reshape(len(p), -1))
         return pd.DataFrame({"dim": [p["dim"].iloc[0]], "center": [tree.center[0]], "radius": [tree.radius[0]], "tree": [tree.dump()]})
 
-    trees = dealt.drop("count").groupBy("dim", "cell", "part").applyInPandas(build, "dim int, center array<bigint>, radius double, tree binary")
+    trees = dealt.drop("count", "uid").groupBy("dim", "cell", "part").applyInPandas(build, "dim int, center array<bigint>, radius double, tree binary")
     return written(trees.withColumn("block", F.monotonically_increasing_id()), scratch(spark, f"cover-{name}-trees"))
 
 

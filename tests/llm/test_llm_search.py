@@ -51,6 +51,21 @@ def test_top_k(spark):
     assert sorted(map(tuple, got.collect())) == brute(rows)
 
 
+def test_hot_id_is_split(spark, monkeypatch):
+    """All rows of one id: blocks stay small, and the result is the brute-force one."""
+    from saleslake.llm import op02_cover_tree as tree
+
+    rng = np.random.default_rng(8)
+    rows = [(7, [float(x) for x in rng.normal(size=4)]) for _ in range(300)] + [(50, [1.0, 0.5, 0.0, -1.0]), (100, [0.0] * 4)]
+    sizes = []
+    made = tree._blocks
+    monkeypatch.setattr(tree, "_blocks", lambda *a: sizes.append(made(*a)) or sizes[-1])
+    got = tree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, block=32, pivots=1)
+    assert sorted(map(tuple, got.collect())) == brute(rows)
+    held = [len(CoverTree.load(r.tree).ids) for r in sizes[0].collect()]
+    assert sum(held) == 302 and max(held) < 100
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert top_k(df, F.col("vec_id") % 50 == 0).count() == 0
