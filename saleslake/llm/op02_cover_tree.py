@@ -6,16 +6,20 @@
    block becomes one cover tree: a node's children lie within its radius over
    ``BASE`` and further than that apart; every node keeps its covering radius
    and a bound for its vectors' lengths.  Queries are blocked likewise.
-2. Each query block first meets the candidate block of the largest bound; the
-   worst kth score of its queries then rules out candidate blocks that cannot
-   reach it, and only the others are joined.  Within a pair of blocks the two
-   trees are descended together; a pair of nodes is pruned when
+2. Candidate blocks are leaves of a tree of balls over their centers, whose
+   levels each hold up to ``FAN`` children a node; levels are added until at most
+   ``FAN`` nodes are on top.  Each query block first goes down to one candidate
+   block, by the largest bound at every level; the worst kth score of its queries
+   then rules out nodes on the way down that cannot reach it, and only blocks
+   under the others are joined.  Within a pair of blocks the two trees are
+   descended together; a pair of nodes is pruned when
    <q, c> + rq |c| + rc |q| + rq rc is below the worst kth score of the query
    node's queries.
 3. Each query keeps its best k over all blocks (ties: smaller id).
 
-Every row is a candidate; blocks meet by equality of block numbers, so no
-cross join and no broadcast takes part.  Only vectors of the same length are
+Every row is a candidate.  A query block is compared with the at most ``FAN``
+nodes on top, then with children of nodes that its bound admits (joined by node
+number), so pairs of blocks are not listed all with all.  Only vectors of the same length are
 compared.  Vectors that are null or hold a null or non-finite component take
 no part, nor do rows with a null id.  Rows that repeat an id are separate
 candidates, none of them a candidate of a query with that id; a repeated query
@@ -26,12 +30,13 @@ read.
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from saleslake.llm.common import query, scratch, table, written
 
@@ -40,6 +45,7 @@ SCALE = 256
 PIVOTS = 64
 BLOCK = 4096
 QUERY_BLOCK = 1024
+FAN = 512
 LEAF = 48
 BASE = 1.3
 EXACT = float(1 << 53)
@@ -190,33 +196,39 @@ def dual_search(queries: CoverTree, cands: CoverTree, k: int = K, floor: np.ndar
     return best, scored
 
 
-def _blocks(vectors: DataFrame, pivots: list[np.ndarray], block: int, name: str) -> DataFrame:
-    """dim, block, center, radius, tree for blocks of about ``block`` vectors."""
+def _parts(vectors: DataFrame, column: str, number: str, pivots: list[np.ndarray], size: int, name: str) -> DataFrame:
+    """Rows with ``cell`` (the nearest of the pivots of their length) and ``part``: about ``size`` rows of a cell, by ``number``."""
     spark = vectors.sparkSession
 
-    def cell(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cells(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             out = np.zeros(len(p), np.int64)
             for dim in p["dim"].unique():
                 own, mids = np.flatnonzero(p["dim"] == dim), [v for v in pivots if len(v) == dim]
                 if mids:
                     m = np.array(mids, np.float64)
-                    x = np.stack(p["v"].to_numpy()[own]).astype(np.float64) if dim else np.zeros((len(own), 0))
+                    x = np.stack(p[column].to_numpy()[own]).astype(np.float64) if dim else np.zeros((len(own), 0))
                     out[own] = ((m**2).sum(1)[None] - 2 * (x @ m.T)).argmin(1)
             p["cell"] = out
             yield p
 
-    vectors = vectors.withColumn("uid", F.monotonically_increasing_id())
-    dealt = written(vectors.mapInPandas(cell, "id long, dim int, v array<bigint>, uid long, cell long"), scratch(spark, f"cover-{name}"))
+    schema = T.StructType([*vectors.schema.fields, T.StructField("cell", T.LongType())])
+    dealt = written(vectors.mapInPandas(cells, schema), scratch(spark, f"cover-{name}"))
     sizes = dealt.groupBy("dim", "cell").count()
-    dealt = dealt.join(sizes, ["dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("uid"), F.ceil(F.col("count") / block)))
+    return dealt.join(sizes, ["dim", "cell"]).withColumn("part", F.pmod(F.xxhash64(number), F.ceil(F.col("count") / size))).drop("count")
+
+
+def _blocks(vectors: DataFrame, pivots: list[np.ndarray], block: int, name: str) -> DataFrame:
+    """dim, block, center, radius, tree for blocks of about ``block`` vectors."""
+    spark = vectors.sparkSession
+    dealt = _parts(vectors.withColumn("uid", F.monotonically_increasing_id()), "v", "uid", pivots, block, name)
 
     def build(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("id", kind="stable")
         tree = CoverTree.build(p["id"].to_numpy(np.int64), np.array(p["v"].tolist(), np.int64).reshape(len(p), -1))
         return pd.DataFrame({"dim": [p["dim"].iloc[0]], "center": [tree.center[0]], "radius": [tree.radius[0]], "tree": [tree.dump()]})
 
-    trees = dealt.drop("count", "uid").groupBy("dim", "cell", "part").applyInPandas(build, "dim int, center array<bigint>, radius double, tree binary")
+    trees = dealt.drop("uid").groupBy("dim", "cell", "part").applyInPandas(build, "dim int, center array<bigint>, radius double, tree binary")
     return written(trees.withColumn("block", F.monotonically_increasing_id()), scratch(spark, f"cover-{name}-trees"))
 
 
@@ -227,7 +239,31 @@ def _bound(q: str, c: str) -> Column:
     return dot + rq * norm(c) + rc * norm(q) + rq * rc + F.lit(1e-3)
 
 
-def top_k(df: DataFrame, is_query: Column, k: int = K, key: str = "vec_id", vector: str = "embedding", scale: int = SCALE, block: int = BLOCK, query_block: int = QUERY_BLOCK, pivots: int = PIVOTS) -> DataFrame:
+def _tree(blocks: DataFrame, fan: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The nodes on top (dim, block, center, radius), and the levels below from the top down (node, children).
+
+    A node's ball holds the balls of its children, so its bound is one for all blocks under it.
+    """
+    spark = blocks.sparkSession
+    top, levels, n = blocks, [], blocks.count()
+    while n > fan:
+        # at most one pivot for ``fan`` nodes, and ``fan`` of them in all: a level has at most about 2 n / fan nodes
+        sample = top.select("center", F.xxhash64("block").alias("h")).orderBy("h").limit(min(fan, -(-n // fan))).toPandas()
+        dealt = _parts(top, "center", "block", [np.asarray(v, np.float64) for v in sample["center"]], fan, "nodes")
+        nodes = dealt.groupBy("dim", "cell", "part").agg(F.array_sort(F.collect_list(F.struct("block", "center", "radius"))).alias("children"))
+        center = F.col("children")[0]["center"]
+        reach = F.transform("children", lambda c: c["radius"] + F.sqrt(F.aggregate(F.zip_with(c["center"], center, lambda x, y: (x - y).cast("double")), F.lit(0.0), lambda s, d: s + d * d)))
+        nodes = nodes.select("dim", F.monotonically_increasing_id().alias("block"), center.alias("center"), (F.array_max(reach) * (1 + 1e-9) + 1e-6).alias("radius"), "children")
+        nodes = written(nodes, scratch(spark, "cover-level"))
+        fewer = nodes.count()
+        if fewer >= n:  # as many lengths of vectors as nodes, and only nodes of the same length are compared
+            break
+        levels.insert(0, nodes.select(F.col("block").alias("node"), "children"))
+        top, n = nodes.select("dim", "block", "center", "radius"), fewer
+    return top, levels
+
+
+def top_k(df: DataFrame, is_query: Column, k: int = K, key: str = "vec_id", vector: str = "embedding", scale: int = SCALE, block: int = BLOCK, query_block: int = QUERY_BLOCK, pivots: int = PIVOTS, fan: int = FAN) -> DataFrame:
     """query_id, rank, <key>, score: the k largest inner products of floor(scale * x) for the rows where ``is_query``."""
     spark = df.sparkSession
     whole = F.col("x").isNotNull() & F.col("key").isNotNull() & ~F.exists("x", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
@@ -239,10 +275,19 @@ def top_k(df: DataFrame, is_query: Column, k: int = K, key: str = "vec_id", vect
     cands = _blocks(rows.drop("q"), mids, block, "candidates")
     asked = _blocks(rows.filter("q").select("id", "dim", "v").dropDuplicates(["id", "v"]), mids, query_block, "queries")
 
-    q_cat = asked.select("dim", "center", "radius", "block").alias("q")
-    c_cat = cands.select("dim", "center", "radius", "block").alias("c")
-    pairs = q_cat.join(c_cat, "dim").select(F.col("q.block").alias("q_block"), F.col("c.block").alias("c_block"), _bound("q", "c").alias("bound"))
-    pairs = written(pairs, scratch(spark, "cover-pairs"))
+    ball = F.struct("block", "center", "radius")
+    top, levels = _tree(cands.select("dim", "block", "center", "radius"), fan)
+    fronts = asked.select("dim", F.col("block").alias("q_block"), ball.alias("q"))
+
+    def descend(front: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """The rows of query blocks, each with ``c``, a candidate block, that ``keep`` leaves at every level."""
+        step = front.join(top.select("dim", ball.alias("c")), "dim")
+        step = keep(step.withColumn("bound", _bound("q", "c")))
+        for level in levels:
+            step = step.withColumn("node", F.col("c.block")).drop("c", "bound").join(level, "node").drop("node")
+            step = step.withColumn("c", F.explode("children")).drop("children")
+            step = keep(step.withColumn("bound", _bound("q", "c")))
+        return step
 
     def search(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
@@ -263,13 +308,17 @@ def top_k(df: DataFrame, is_query: Column, k: int = K, key: str = "vec_id", vect
         out = joined.select("q_block", "floor", "q_tree", "c_tree").mapInPandas(search, "q_block long, floor binary, scored long, query_id array<bigint>, id array<bigint>, score array<bigint>")
         return written(out, scratch(spark, f"cover-{name}"))
 
-    turn = Window.partitionBy("q_block").orderBy(F.desc("bound"), "c_block")
-    pairs = written(pairs.withColumn("turn", F.row_number().over(turn)), scratch(spark, "cover-turns"))
-    seeds = searched(pairs.filter("turn = 1").withColumn("floor", F.lit(None).cast("binary")), "seeds")
-    # the worst kth score of a block's queries: candidate blocks below it are out
+    def nearest(step: DataFrame) -> DataFrame:
+        best = step.groupBy("q_block").agg(F.any_value("dim").alias("dim"), F.any_value("q").alias("q"), F.max(F.struct("bound", "c")).alias("m"))
+        return best.select("q_block", "dim", "q", "m.c", "m.bound")
+
+    first = written(descend(fronts, nearest).select("q_block", F.col("c.block").alias("c_block")), scratch(spark, "cover-first"))
+    seeds = searched(first.withColumn("floor", F.lit(None).cast("binary")), "seeds")
+    # the worst kth score of a block's queries: nodes and candidate blocks below it are out
     least = F.pandas_udf(lambda floors: floors.map(lambda f: float(np.frombuffer(f, np.float64).min())), "double")
-    reach = seeds.select("q_block", "floor", least("floor").alias("least"))
-    rest = searched(pairs.filter("turn > 1").join(reach, "q_block").filter("bound >= least"), "rest")
+    reach = first.join(seeds.select("q_block", "floor", least("floor").alias("least")), "q_block").withColumnRenamed("c_block", "seen")
+    others = descend(fronts.join(reach, "q_block"), lambda step: step.filter("bound >= least")).filter("c.block <> seen")
+    rest = searched(written(others.select("q_block", F.col("c.block").alias("c_block"), "floor"), scratch(spark, "cover-pairs")), "rest")
     found = seeds.union(rest).select(F.explode(F.arrays_zip("query_id", "id", "score")).alias("r")).select("r.*")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     found = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)

@@ -66,6 +66,26 @@ def test_hot_id_is_split(spark, monkeypatch):
     assert sum(held) == 302 and max(held) < 100
 
 
+def test_tree_of_blocks(spark, monkeypatch):
+    """Several levels of nodes over the blocks: the same result, and far fewer pairs of blocks than all with all."""
+    from saleslake.llm import op02_cover_tree as tree
+
+    rng = np.random.default_rng(9)
+    mids = 8 * rng.normal(size=(40, 5))
+    rows = [(i, [float(x) for x in mids[i % 40] + 0.05 * rng.normal(size=5)]) for i in range(1600)]
+    rows += [(3000 + i, [1.0] * 5) for i in range(60)] + [(4000 + i, [float(i), 1.0]) for i in range(0, 200, 10)]  # ties; other lengths
+    held, made = {}, tree.written
+    monkeypatch.setattr(tree, "written", lambda df, path: held.setdefault(path.rsplit("/", 1)[1].rsplit("-", 1)[0] + str(len(held)), made(df, path)))
+    got = tree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, block=20, query_block=2, pivots=40, fan=4)
+    assert sorted(map(tuple, got.collect())) == brute(rows)
+    sizes = {name.rstrip("0123456789"): [] for name in held}
+    for name, df in held.items():
+        sizes[name.rstrip("0123456789")].append(df.count())
+    assert len(sizes["cover-level"]) >= 2 and sizes["cover-level"] == sorted(sizes["cover-level"], reverse=True)
+    all_pairs = sizes["cover-candidates-trees"][0] * sizes["cover-queries-trees"][0]
+    assert sizes["cover-first"] == sizes["cover-queries-trees"] and sizes["cover-pairs"][0] < 0.5 * all_pairs
+
+
 def test_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert top_k(df, F.col("vec_id") % 50 == 0).count() == 0
