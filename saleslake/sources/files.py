@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import csv
 import datetime
-import fnmatch
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,24 +49,20 @@ def csv_reader(spark: SparkSession, sep: str = ",", header: bool = True, multi_l
 CORRUPT = "_corrupt_record"
 
 
-def csv_headers(spark: SparkSession, paths: list[str], sep: str = ",") -> dict[tuple[str, ...], list[str]]:
-    """Files by the column names of their first line (metadata only: one line of each file is read)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
-    out: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        stream = p.getFileSystem(conf).open(p)
-        codec = codecs.getCodec(p)
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
-        try:
-            line = reader.readLine()
-        finally:
-            reader.close()
-        names = tuple(next(csv.reader([line.lstrip("\ufeff")], delimiter=sep))) if line else ()
-        out.setdefault(names, []).append(path)
-    return out
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """``(header, files)``: the files under ``path`` (or that file) by their first line that is not blank.
+
+    Tasks read the lines as text and keep the first of each file; files are
+    read whole for it, as Spark has no reader of first lines.  A file of blank
+    lines only has no header and is left out, as is an empty one.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    # the split that begins a file is read by one task, in the order of its lines
+    first = lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+                         F.monotonically_increasing_id().alias("line"))
+    first = first.where((F.col("at") == 0) & F.col("value").rlike(r"[^\x00-\x20]")).groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    name = F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))  # a URI: a plus sign is itself
+    return first.groupBy("header").agg(F.array_sort(F.collect_list(name)).alias("files"))
 
 
 def read_csv_checked(spark: SparkSession, path: str, columns: list[str], sep: str = ",", multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -75,13 +72,12 @@ def read_csv_checked(spark: SparkSession, path: str, columns: list[str], sep: st
     differently meet by name; a column that a file lacks is NULL, one that no
     table column is named after is dropped.  A row with more or fewer cells
     than its header goes to the second frame (``record``, ``source_file``)
-    instead of being cut or padded.  Empty files have no rows.
+    instead of being cut or padded.  Empty files have no rows.  The driver gets
+    the layouts and the names of their files, which Spark's reader is told.
     """
-    listing = file_listing(spark, path).where("length > 0").select("path").collect()  # names only
     good, bad = [], []
-    for header, files in csv_headers(spark, [r[0] for r in listing], sep).items():
-        if not header:
-            continue
+    for line, files in csv_headers(spark, path).orderBy("header").collect():  # one row for each layout
+        header = next(csv.reader([line.lstrip("\ufeff")], delimiter=sep))
         schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, CORRUPT]])
         df = (csv_reader(spark, sep, True, multi_line).option("enforceSchema", True)
               .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).schema(schema).csv(files))
@@ -125,19 +121,24 @@ LISTING = "path string, name string, length long, modified timestamp"
 def file_listing(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """``(path, name, length, modified)`` for every file under ``root``, sorted by path.
 
-    A listing is metadata: it is taken from the file system as it is (Spark's
-    own file sources leave out empty files, which F6 wants to see).  Hidden
-    names (starting with ``_`` or ``.``) are left out; no file is opened.
+    Spark lists the folders (many of them by a job of its own) and tasks make
+    the rows; no file is opened.  Spark's file sources leave out empty files,
+    which F6 wants to see: these, the names that the source holds without a
+    row, are the only ones the driver asks for.  Names (of folders, too) that
+    start with ``_`` or ``.`` are left out.
     """
-    fs, folder = hadoop_fs(spark, root)
-    rows, files = [], fs.listFiles(folder, True)
-    while files.hasNext():
-        f = files.next()
-        path = f.getPath()
-        name = path.getName()
-        if name[0] not in "_." and fnmatch.fnmatchcase(name, glob or "*"):
-            rows.append((path.toString(), name, f.getLen(), datetime.datetime.fromtimestamp(f.getModificationTime() / 1000)))
-    return spark.createDataFrame(sorted(rows), LISTING)
+    source = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    source = (source.option("pathGlobFilter", glob) if glob else source).load(root)
+    name = F.element_at(F.split("path", "/"), -1).alias("name")
+    found = source.select("path", name, "length", F.col("modificationTime").alias("modified"))
+    names = [(re.sub("^file:/+", "file:/", unquote(f)),) for f in source.inputFiles()]
+    empty = spark.createDataFrame(names, "path string").join(found, "path", "left_anti").collect()
+    fs, _ = hadoop_fs(spark, root)
+    rows = []
+    for (path,) in empty:
+        f = fs.getFileStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))
+        rows.append((path, f.getPath().getName(), f.getLen(), datetime.datetime.fromtimestamp(f.getModificationTime() / 1000)))
+    return found.unionByName(spark.createDataFrame(rows, LISTING)).orderBy("path")
 
 
 def missing_outputs(sources: DataFrame, targets: DataFrame, key: str = "name") -> DataFrame:

@@ -217,3 +217,31 @@ def test_csv_by_header(spark, tmp_root):
     assert sorted(r["record"] for r in bad.collect()) == ["2,y,EXTRA", "3"]
     with pytest.raises(Exception, match="(?i)header"):
         read_csv_all_string(spark, f"{tmp_root}/in/b.csv", columns=["id", "v"]).collect()
+
+
+def test_listing_and_headers_by_tasks(spark, tmp_root):
+    """Names that URIs escape, folders, gzip, blank first lines and empty files; layouts come as one frame."""
+    import gzip
+    import os
+
+    from saleslake.sources.files import csv_headers, file_listing, read_csv_checked
+    root = f"{tmp_root}/many"
+    os.makedirs(f"{root}/a b/p=x%231")
+    os.makedirs(f"{root}/_hidden")
+    for name, text in (("a b/p=x%231/f+1.csv", "id,v\n1,2\n"), ("g.csv", "\n  \nv,id\ny,2\n"), ("a b/e+ m%20.csv", ""), ("blank.csv", "\n \n"), ("_hidden/x.csv", "id\n9\n"), ("note.txt", "")):
+        with open(f"{root}/{name}", "w") as f:
+            f.write(text)
+    with gzip.open(f"{root}/h.csv.gz", "wt") as f:
+        f.write("id,v\n3,z\n" + "4,z\n" * 1000)
+    listed = {r["name"]: r for r in file_listing(spark, root, "*.csv*").collect()}
+    assert {n: r["length"] for n, r in listed.items() if n != "h.csv.gz"} == {"f+1.csv": 9, "g.csv": 13, "e+ m%20.csv": 0, "blank.csv": 3}
+    assert listed["h.csv.gz"]["length"] == os.path.getsize(f"{root}/h.csv.gz") and all(r["modified"] for r in listed.values())
+    assert listed["e+ m%20.csv"]["path"].endswith("/many/a b/e+ m%20.csv")
+    assert sorted(r["name"] for r in file_listing(spark, root).collect()) == sorted([*listed, "note.txt"])
+    heads = {r["header"]: [f.rsplit("/", 1)[1] for f in r["files"]] for r in csv_headers(spark, root).collect()}
+    assert heads == {"id,v": ["f+1.csv", "h.csv.gz"], "v,id": ["g.csv"]}
+    good, bad = read_csv_checked(spark, root, ["id", "v"])
+    rows = sorted((r["id"], r["v"]) for r in good.collect())
+    assert rows == sorted([("1", "2"), ("2", "y"), ("3", "z")] + [("4", "z")] * 1000) and bad.count() == 0
+    os.makedirs(f"{root}/none")
+    assert file_listing(spark, f"{root}/none").count() == 0 and read_csv_checked(spark, f"{root}/none", ["id"])[0].count() == 0
