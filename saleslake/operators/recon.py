@@ -21,6 +21,8 @@ from saleslake.session import scratch_path
 
 FAN_OUT = 256
 LEVELS = 2
+ROWS_A_TASK = 250_000  # rows of differing ranges that a task adds up by key
+ORIGINS = 64           # parts in which the rows of a frequent key are added up first
 _LOW = (1 << 32) - 1
 
 
@@ -47,7 +49,7 @@ def _sums() -> list[Column]:
 
 
 def differing_ranges(left: DataFrame, right: DataFrame, level: int, parents: DataFrame | None) -> DataFrame:
-    """``_r``: ranges of ``level`` (within ``parents``, ranges of the level above) whose digests differ."""
+    """``_r``: ranges of ``level`` (within ``parents``, ranges of the level above) whose digests differ; ``_rows``: rows of both sides."""
     width = FAN_OUT ** (LEVELS - level)
     sides = []
     for side, df in enumerate((left, right)):
@@ -55,11 +57,11 @@ def differing_ranges(left: DataFrame, right: DataFrame, level: int, parents: Dat
         own = rows.groupBy(F.floor(F.col("_range") / width).alias("_r")).agg(*_sums())
         sides.append(own.withColumn("_side", F.lit(side)))
     both = sides[0].unionByName(sides[1]).groupBy("_r").agg(
-        F.count(F.lit(1)).alias("sides"), *[(F.max(c) != F.min(c)).alias(f"x_{c}") for c in ("n", "d0", "d1", "d2", "d3")])
+        F.count(F.lit(1)).alias("sides"), F.sum("n").alias("_rows"), *[(F.max(c) != F.min(c)).alias(f"x_{c}") for c in ("n", "d0", "d1", "d2", "d3")])
     other = F.col("sides") < 2
     for c in ("n", "d0", "d1", "d2", "d3"):
         other = other | F.col(f"x_{c}")
-    return both.where(other).select("_r")
+    return both.where(other).select("_r", "_rows")
 
 
 def within(df: DataFrame, ranges: DataFrame, level: int) -> DataFrame:
@@ -87,14 +89,24 @@ def recon_contents(source: DataFrame, target: DataFrame, key_cols: list[str], co
         found.write.parquet(path)
         ranges = spark.read.schema(found.schema).parquet(path)
     keys = [F.col(f"`{c}`") for c in key_cols]
-    # rows of the differing ranges only, added up by key before they are moved
-    rows = [within(df, ranges, LEVELS).groupBy(*keys).agg(*_sums()).withColumn("_side", F.lit(i)) for i, df in enumerate(sides)]
-    one = lambda c, side: F.max(F.when(F.col("_side") == side, F.col(c)))
-    names = ["n", "d0", "d1", "d2", "d3"]
-    both = rows[0].unionByName(rows[1]).groupBy(*keys).agg(*[one(c, s).alias(f"{c}_{s}") for c in names for s in (0, 1)])
+    # rows of the differing ranges only; what a side has too much of a digest is the difference of its sums
+    sign = lambda i: 1 - 2 * i
+    rows = [within(df, ranges, LEVELS).select(*keys, F.lit(1 - i).alias("_n0"), F.lit(i).alias("_n1"), *[(F.col(f"_d{j}") * sign(i)).alias(f"_d{j}") for j in range(4)])
+            for i, df in enumerate(sides)]
+    both, sums = rows[0].unionByName(rows[1]), ["_n0", "_n1", *[f"_d{j}" for j in range(4)]]
+    total = ranges.agg(F.sum("_rows")).first()[0] or 0
+    tasks = -(-total // ROWS_A_TASK)
+    add = [F.sum(c).alias(c) for c in sums]
+    if tasks > 1:
+        # so many tasks that the keys of one fit its memory, whatever the session's number; first by key and
+        # origin, so that the rows of a frequent key (or of none) don't meet before they are added up
+        both = both.withColumn("_origin", F.pmod(F.spark_partition_id(), F.lit(ORIGINS))).repartition(tasks, *keys, "_origin").groupBy(*keys, "_origin").agg(*add)
+        both = both.drop("_origin").repartition(tasks, *keys)
+    both = both.groupBy(*keys).agg(*add)
     same = F.lit(True)
-    for c in names:
-        same = same & F.col(f"{c}_0").eqNullSafe(F.col(f"{c}_1"))
-    status = (F.when(F.col("n_0").isNull(), "missing_in_source").when(F.col("n_1").isNull(), "missing_in_target")
-              .when(F.col("n_0") != F.col("n_1"), "repeated").otherwise("changed"))
-    return both.where(~same).select(*keys, F.coalesce("n_0", F.lit(0)).alias("source_rows"), F.coalesce("n_1", F.lit(0)).alias("target_rows"), status.alias("status"))
+    for c in sums[2:]:
+        same = same & (F.col(c) == 0)
+    same = same & (F.col("_n0") == F.col("_n1"))
+    status = (F.when(F.col("_n0") == 0, "missing_in_source").when(F.col("_n1") == 0, "missing_in_target")
+              .when(F.col("_n0") != F.col("_n1"), "repeated").otherwise("changed"))
+    return both.where(~same).select(*keys, F.col("_n0").alias("source_rows"), F.col("_n1").alias("target_rows"), status.alias("status"))

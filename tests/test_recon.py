@@ -63,3 +63,14 @@ def test_only_differing_ranges_are_moved(spark):
     plan = RC.recon_contents(left, right, ["k"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LeftSemi") == 2  # before the keys are grouped, on each side
     assert [tuple(r) for r in RC.recon_contents(left, right, ["k"]).collect()] == [(777, 1, 0, "missing_in_target")]
+
+
+def test_keys_are_dealt_to_as_many_tasks_as_their_rows_need(spark, monkeypatch):
+    """The tasks that add up keys grow with the rows that differ, not with the session's number; a frequent key is no exception."""
+    monkeypatch.setattr(RC, "ROWS_A_TASK", 200)
+    left = [(i, "x", float(i)) for i in range(1_500)] + [(None, "n", 1.0)] * 900
+    right = [(i, "x", i + 0.5) for i in range(1_500)] + [(None, "n", 1.0)] * 899
+    got = RC.recon_contents(spark.createDataFrame(left, SCHEMA), spark.createDataFrame(right, SCHEMA), ["k"])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and ", 24" in plan  # 4,799 rows of 200
+    assert sorted(map(tuple, got.collect()), key=str) == brute(left, right)
