@@ -18,6 +18,7 @@ from saleslake.operators.clean import (
     DATE_FORMATS, ConversionError, decimal_of, double_of, first_fitting, int_of, stripped, to_date,
 )
 from saleslake.operators.project import data_family, rename_to_spec
+from saleslake.session import scratch_path
 from saleslake.spec import (
     ALLOWED_UPGRADES, INT_FAMILIES, INT_RANGES, VARCHAR_CAP, VARCHAR_WIDEN_FACTOR, TableSpec, spark_type,
 )
@@ -305,8 +306,9 @@ def clean_quarantine(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFra
     """C6 quarantine: rows with a value that does not convert or fit go aside.
 
     Returns ``(typed good rows, incoming bad rows with ``failed_columns``,
-    profile)``; every row is in one of the first two.  A column without a
-    usable date format still raises: no row of it could pass.
+    profile)``; every row is in one of the first two, which read a table
+    staged in the shared folder.  A column without a usable date format still
+    raises: no row of it could pass.
     """
     incoming = [F.col(f"`{c}`") for c in rename_to_spec(df, spec).columns]
     df, prof, errors, cols = _decided(df, spec, "quarantine")
@@ -317,5 +319,19 @@ def clean_quarantine(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFra
     lost = [F.when(raw.isNotNull() & F.col(f"_v{i}").isNull(), F.lit(c.name)) for i, (c, raw, _) in enumerate(cols)]
     lost += [F.when(F.col(f"_v{i}").isNull() & raw.isNull(), F.lit(c.name)) for i, (c, raw, _) in enumerate(cols) if not c.nullable]
     marked = df.withColumn("failed_columns", F.filter(F.array(*lost), lambda x: x.isNotNull()))
-    good = marked.where(F.size("failed_columns") == 0).select(*[F.col(f"_v{i}").alias(c.name) for i, (c, _, _) in enumerate(cols)])
-    return good, marked.where(F.size("failed_columns") > 0).select(*incoming, "failed_columns"), prof
+    # staged, for a filter on the verdict would move below the conversions and repeat them, for each side:
+    # the converted values of good rows, the incoming ones of bad rows
+    bad = F.size("failed_columns") > 0
+    fields = marked.schema.fields
+    rejected = {f"r{i}": f for i, f in enumerate(fields[: len(incoming)])}
+    typed = {f"v{i}": T.StructField(c.name, fields[len(incoming) + i].dataType) for i, (c, _, _) in enumerate(cols)}
+    kept = lambda f: not isinstance(f.dataType, T.NullType)
+    staged = marked.select(
+        *[F.when(bad, c).alias(n) for (n, f), c in zip(rejected.items(), incoming) if kept(f)],
+        *[F.when(~bad, F.col(f"_{n}")).alias(n) for n, f in typed.items() if kept(f)], F.when(bad, F.col("failed_columns")).alias("failed"))
+    path = scratch_path(df.sparkSession, "quarantine")
+    staged.write.parquet(path)
+    back = df.sparkSession.read.schema(staged.schema).parquet(path)
+    out = lambda of: [(F.col(n) if kept(f) else F.lit(None)).alias(f.name) for n, f in of.items()]
+    good = back.where(F.col("failed").isNull()).select(*out(typed))
+    return good, back.where(F.col("failed").isNotNull()).select(*out(rejected), F.col("failed").alias("failed_columns")), prof
