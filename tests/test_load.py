@@ -245,3 +245,18 @@ def test_listing_and_headers_by_tasks(spark, tmp_root):
     assert rows == sorted([("1", "2"), ("2", "y"), ("3", "z")] + [("4", "z")] * 1000) and bad.count() == 0
     os.makedirs(f"{root}/none")
     assert file_listing(spark, f"{root}/none").count() == 0 and read_csv_checked(spark, f"{root}/none", ["id"])[0].count() == 0
+
+
+def test_rows_of_one_unit_do_not_meet_in_one_task(spark):
+    """The verdicts on a few units are sent to the rows, however many these are."""
+    key, old = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "20k")
+    try:
+        rows = spark.range(20_000).selectExpr("'one' AS u", "cast(id * 1234567891 as string) AS v")
+        res = L.tolerant_load(rows, TableSpec("t", parse_columns("v:BIGINT")), "u")
+        for df in (res.loaded, res.rejected):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert res.loaded.count() == 20_000 and res.status.first()["status"] == "Success"
+    finally:
+        spark.conf.set(key, old)
