@@ -167,3 +167,12 @@ def test_no_date_format_fits(spark):
     assert (rate["failed"], rate["date_format"], rate["over_limit"]) == (3, None, True)
     soft = C.soft_convert_plan(df, date_cols=["d"]).first()
     assert (soft["failed"], soft["date_format"], soft["outcome"]) == (None, None, "kept_string")
+
+
+def test_texts_without_anything_to_strip_are_passed_on(spark):
+    """The strip is asked for only where a text holds more than visible ASCII; what is stripped does not change."""
+    texts = ["12", " 12", "12\n", "\u300012\u2028", "1 2", "", " ", None, "\x0112", "é", "~!"]
+    df = C.stripped(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string"), {"s": F.col("t")}, [F.col("i")])
+    assert [r["s"] for r in df.orderBy("i").collect()] == ["12", "12", "12", "12", "1 2", "", "", None, "\x0112", "é", "~!"]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("RLIKE") < plan.index("trim(")
