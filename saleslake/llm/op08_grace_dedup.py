@@ -112,7 +112,7 @@ def grace(records: Iterable[tuple], limit: int = TABLE_BYTES, level: int = 0) ->
                 where = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0]
                 files = [tempfile.TemporaryFile(dir=where if os.path.isdir(where) else None) for _ in range(FAN_OUT)]
                 held = [[] for _ in files]
-            k = int.from_bytes(hashlib.blake2b(h.to_bytes(8, "little"), digest_size=2, salt=level.to_bytes(8, "little")).digest(), "little") % FAN_OUT
+            k = int.from_bytes(hashlib.blake2b(h.to_bytes(8, "little", signed=True), digest_size=2, salt=level.to_bytes(8, "little")).digest(), "little") % FAN_OUT
             held[k].append((h, content, carrier, first, n))
             if len(held[k]) >= 64:
                 pickle.dump(held[k], files[k])

@@ -132,6 +132,20 @@ def test_grace_recursion():
     assert got == {tuple(us): (min(order(None if u % 50 == 0 else u // 2, u) for u in us), 2 * len(us)) for us in want.values()}
 
 
+def test_grace_spills_negative_hashes():
+    """Hashes are signed longs; a full table sends records of either sign to its spill files."""
+    records = [((-1) ** u * (u // 2 + 1) * 2**40 if u > 1 else (-(2**63), 2**63 - 1)[u], b"%d" % u * 20, u, order(u, u), 1) for u in range(400)]
+    got = sorted((carriers.tolist(), first, n) for carriers, first, n in grace(records + [(*r[:2], r[2] + 1000, order(r[2] + 1000, r[2] + 1000), 1) for r in records], limit=2_000))
+    assert got == [([u, u + 1000], order(u, u), 2) for u in range(400)]
+
+
+def test_exact_with_full_tables(spark, odd):
+    """With a table that holds one text at a time, the groups are those of one that holds all."""
+    cols = ("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    rows = lambda **how: sorted(map(repr, exact_dedup(odd, **how).select(*cols).collect()))
+    assert rows(table_bytes=1) == rows()
+
+
 def test_content_table_compares_contents():
     t = ContentTable()
     assert [t.find(5, c) for c in (b"a", b"b", b"a")] == [0, 1, 0]
