@@ -15,9 +15,11 @@ from saleslake.functions.scalar import strip
 
 # --- fixed values -------------------------------------------------------------
 INT_PATTERN = r"^[+-]?[0-9]+$"
+# The same for a text that has nothing to strip.
+BARE_INT_PATTERN = r"\A[+-]?[0-9]+\z"
 # A text of visible ASCII only: nothing to strip (a test that costs a third of the strip).
 BARE_PATTERN = r"^[!-~]+\z"
-NUM_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+NUM_PATTERN = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 # Date formats tried in this order: (label in strftime form, Spark pattern).
 # As with strptime, days, months and times may be written without a leading zero.
 DATE_FORMATS = (
@@ -50,6 +52,20 @@ def decimal_of(s: Column, dtype) -> Column:
     return F.when(s.rlike(NUM_PATTERN), s.try_cast(dtype))
 
 
+def int_like(c: Column) -> Column:
+    """C1, as ``int_of`` for the stripped text: what is an integer as it stands is neither stripped nor matched again."""
+    return F.when(c.rlike(BARE_INT_PATTERN), c.try_cast("bigint")).otherwise(int_of(strip(c)))
+
+
+def is_double(c: Column) -> Column:
+    """Whether ``double_of`` has a value for the stripped text: it has one for every text of the pattern.
+
+    What matches before the strip, matches after it: ``$`` passes over line
+    ends only, and they are white space.
+    """
+    return c.rlike(NUM_PATTERN) | strip(c).rlike(NUM_PATTERN)
+
+
 def to_int(c: Column, large: bool = False) -> Column:
     """Strip, blank -> NULL, integer text only; out-of-range -> NULL."""
     return int_of(strip(c), large)

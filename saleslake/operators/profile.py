@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleslake.operators.clean import (
-    DATE_FORMATS, ConversionError, decimal_of, double_of, first_fitting, int_of, stripped, to_date,
+    DATE_FORMATS, ConversionError, decimal_of, double_of, first_fitting, int_like, int_of, is_double, stripped, to_date,
 )
 from saleslake.operators.project import data_family, rename_to_spec
 from saleslake.session import scratch_path
@@ -66,7 +66,9 @@ def _plan(df: DataFrame, spec: TableSpec) -> list:
     return out
 
 
-PROFILE_GROUP = 25  # columns profiled by one aggregate
+# Columns profiled by one aggregate.  HotSpot compiles no method beyond 8000 bytes of code, so what a value needs is kept
+# small: 25 text columns of mixed kinds make methods of up to 6,500 (tested).
+PROFILE_GROUP = 25
 
 
 def profile(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -105,16 +107,18 @@ def measured(df: DataFrame, plan: list, keys: list[str] | None = None) -> DataFr
     (failures, of each date format), ``mn{i}``, ``mx{i}``, ``ml{i}`` and ``ht{i}``
     where they apply; all of them can be added up or merged by min and max.
 
-    A first projection strips the texts of numbers, a second computes each
-    conversion (``_v{i}``, ``_bad{i}_{k}``, ``_len{i}``); the aggregate then only
-    counts, mins and maxes plain columns, so nothing is evaluated twice.
+    A first projection strips the texts of exact numbers, a second computes
+    each conversion (``_v{i}``, ``_ok{i}``, ``_bad{i}_{k}``, ``_len{i}``); the
+    aggregate then only counts, mins and maxes plain columns, so nothing is
+    evaluated twice.
     """
     keys = keys or []
     own = [F.col(f"`{k}`") for k in keys]
     pre = list(own)
     aggs = [F.count(F.lit(1)).alias("n")]
     source = lambda i: F.col(f"`{plan[i][1]}`")
-    numbers = {f"_s{i}": source(i) for i, (_, _, _, kind) in enumerate(plan) if kind in ("int", "double", "decimal")}
+    large = lambda i: plan[i][0].family == "LARGEINT"
+    numbers = {f"_s{i}": source(i) for i, (_, _, _, kind) in enumerate(plan) if kind == "decimal" or kind == "int" and large(i)}
     df = stripped(df, numbers, [*own, *[source(i).alias(f"_r{i}") for i in range(len(plan)) if f"_s{i}" not in numbers]])
     for i, (c, _, d, kind) in enumerate(plan):
         # a stripped text is NULL where the text is
@@ -124,11 +128,14 @@ def measured(df: DataFrame, plan: list, keys: list[str] | None = None) -> DataFr
         aggs.append(F.count_if(F.col(f"_null{i}")).alias(f"z{i}"))
         v = F.col(f"_v{i}")
         if kind == "int":
-            pre.append(int_of(raw, large=(t == "LARGEINT")).alias(f"_v{i}"))
+            pre.append((int_of(raw, large=True) if large(i) else int_like(raw)).alias(f"_v{i}"))
             aggs += [F.count_if(~F.col(f"_null{i}") & v.isNull()).alias(f"f{i}_0"),
                      F.min(v).cast(_DEC).alias(f"mn{i}"), F.max(v).cast(_DEC).alias(f"mx{i}")]
-        elif kind in ("double", "decimal"):
-            pre.append((double_of(raw) if kind == "double" else decimal_of(raw, spark_type(c.type))).alias(f"_v{i}"))
+        elif kind == "double":
+            pre.append(is_double(raw).alias(f"_ok{i}"))
+            aggs.append(F.count_if(~F.col(f"_ok{i}")).alias(f"f{i}_0"))
+        elif kind == "decimal":
+            pre.append(decimal_of(raw, spark_type(c.type)).alias(f"_v{i}"))
             aggs.append(F.count_if(~F.col(f"_null{i}") & v.isNull()).alias(f"f{i}_0"))
         elif kind == "date":
             with_time = t == "DATETIME"

@@ -1,8 +1,12 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from saleslake.functions.scalar import WS_CHARS
 from saleslake.operators import clean as C
 from saleslake.operators import profile as P
+from saleslake.plans import standins as S
 from saleslake.spec import TableSpec, parse_columns
 
 
@@ -176,3 +180,34 @@ def test_texts_without_anything_to_strip_are_passed_on(spark):
     assert [r["s"] for r in df.orderBy("i").collect()] == ["12", "12", "12", "12", "1 2", "", "", None, "\x0112", "é", "~!"]
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("RLIKE") < plan.index("trim(")
+
+
+def test_profile_of_odd_numbers_is_that_of_stripped_texts(spark):
+    """Failures and extremes against Python's strip and patterns, whether or not a text is taken as it stands."""
+    texts = ["12", " 7", "-12\n", "　15 ", "+3\x85", "1 2", "", " ", None, "\x0112", "12\x00", "\x7f9", "é", "~!", "12.5", "1.", ".5", "-.5e-3", ".", "+", "1e5",
+             "1E+999999999999", "1e", "0x1p3", "1d", "NaN", "inf", "1_000", "٣", "99999999999999999999", "-9223372036854775808", "9223372036854775808", "12\n\n", "12\n3", "1.5\r\n", "\t2.5e3\x1c"]
+    df = spark.createDataFrame([(t, t, t) for t in texts], "i string, d string, l string")
+    got = {r["column_name"]: r for r in P.profile(df, TableSpec("t", parse_columns("i:INT, d:DOUBLE, l:LARGEINT"))).collect()}
+    stripped = [t.strip(WS_CHARS) for t in texts if t is not None]
+    whole = [int(s) for s in stripped if re.fullmatch(r"[+-]?[0-9]+", s)]
+    for name, values in (("i", [v for v in whole if -(2**63) <= v < 2**63]), ("l", whole)):
+        r = got[name]
+        assert (r["n"], r["nulls"], r["failed"], r["min_val"], r["max_val"]) == (len(texts), 1, len(stripped) - len(values), str(min(values)), str(max(values)))
+    numbers = [s for s in stripped if re.fullmatch(r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?", s)]
+    assert got["d"]["failed"] == len(stripped) - len(numbers)
+    assert got["d"]["failed"] == df.where(F.col("d").isNotNull() & C.to_double(F.col("d")).isNull()).count()
+
+
+def test_code_of_a_full_group_can_be_compiled(spark, tmp_root, capfd):
+    """HotSpot interprets methods beyond 8000 bytes; a group of as many mixed text columns as there may be stays below."""
+    exprs = S.wide_exprs()[: P.PROFILE_GROUP]
+    spark.range(100).selectExpr("id AS l_orderkey", "CAST(id % 7 AS INT) AS l_linenumber", "id * 1.5D AS l_extendedprice").write.parquet(f"{tmp_root}/lines")
+    rows = spark.read.parquet(f"{tmp_root}/lines").selectExpr(*[f"{e} AS {n}" for n, _, e in exprs])
+    spec = TableSpec("t", parse_columns(", ".join(f"{n}:{t}" for n, t, _ in exprs)))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else the plan has no code before it runs
+    try:
+        P.measured(rows, P._plan(rows, spec)).explain(mode="codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capfd.readouterr().out)]
+    assert sizes and max(sizes) <= 8000, sizes
